@@ -44,8 +44,13 @@ def stash(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def rows_of(df: DataFrame) -> int:
-    return df.count()
+def drop_stash(*tables: DataFrame) -> None:
+    """Delete stashed tables that no later step reads."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for name in df.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(name).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def connected_components(edges: DataFrame, a: str = "u", b: str = "v") -> DataFrame:
