@@ -235,53 +235,76 @@ def _first_places(docs: DataFrame, several: DataFrame, width: int) -> DataFrame:
     return alone.unionByName(merged)
 
 
-def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 20, carry: tuple[str, ...] = (), original: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text for every row of ``docs`` (doc_id, an integer, and text).
 
     A word is a run of characters other than ASCII white space; kept_text has the kept words joined by
-    one space. A word goes if a window of ``width`` words over it has a sequence that also starts
-    earlier: in a smaller doc_id, or earlier in the same document. Windows are judged on the input.
+    one space, or with ``original`` the text as it was where nothing goes. ``carry`` names columns to
+    pass on in a struct ``rest``. A word goes if a window of ``width`` words over it has a sequence that also
+    starts earlier: in a smaller doc_id, or earlier in the same document. Windows are judged on the input.
     Null, empty and short texts lose nothing; a null text has no words. Rows without doc_id lose nothing and
     nothing is removed on their account. Repeated rows are one document, which does not precede itself.
     Other columns are ignored, and an empty table gives an empty result.
     """
     spans = first_windows(docs, width)
     marks = _marks(spans)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "text", F.struct(*carry).alias("rest") if carry else F.lit(0).alias("rest"))
+    kind, rest = rows.schema["doc_id"].dataType.simpleString(), rows.schema["rest"].dataType.simpleString()
+
+    def joined(words: pa.Array) -> str:
+        return " ".join(words.to_pylist())
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts without a repeat are finished here; only the others are sent to their spans."""
         for piece in slices(batches):
             hit = _marked(marks, piece.column("doc_id"))
             flat, count = split_words(piece.column("text"))
-            end = np.cumsum(count)
-            text = [None if h else " ".join(flat.slice(e - c, c).to_pylist()) for h, c, e in zip(hit.tolist(), count.tolist(), end.tolist(), strict=True)]
-            raw = pc.if_else(pa.array(hit), piece.column("text"), None).combine_chunks()
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), pa.array(count), pa.array(text, pa.string()), raw if isinstance(raw, pa.Array) else pa.concat_arrays(raw.chunks)], ["doc_id", "n_words", "kept_text", "text"])
+            end, hit_ = np.cumsum(count).tolist(), pa.array(hit)
+            if original:
+                done = pc.if_else(hit_, pa.scalar(None, pa.string()), piece.column("text"))
+            else:
+                done = pa.chunked_array([pa.array([None if h else joined(flat.slice(e - c, c)) for h, c, e in zip(hit.tolist(), count.tolist(), end, strict=True)], pa.string())])
+            raw = pc.if_else(hit_, piece.column("text"), pa.scalar(None, pa.string()))
+            out = pa.table([piece.column("doc_id"), piece.column("rest"), pa.array(count), done, raw, hit_], names=["doc_id", "rest", "n_words", "kept_text", "text", "hit"])
+            yield from out.to_batches()
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            flat, count = split_words(piece.column("text"))
+            texts = piece.column("text")
+            flat, count = split_words(texts)
             end, removed, kept = np.cumsum(count), [], []
-            for k, (span, done) in enumerate(zip(piece.column("spans").to_pylist(), piece.column("kept_text").to_pylist(), strict=True)):
-                if done is not None:
-                    removed.append(0)
-                    kept.append(done)
-                    continue
+            columns = (piece.column(c).to_pylist() for c in ("spans", "hit", "kept_text"))
+            for k, (span, hit, done) in enumerate(zip(*columns, strict=True)):
                 cover = np.zeros(count[k] + 1, np.int64)
-                for s in span or ():
+                for s in (span or ()) if hit else ():
                     for t in range(s["bits"].bit_length()):
                         if s["bits"] >> t & 1 and s["start"] + t + width <= count[k]:
                             cover[s["start"] + t] += 1
                             cover[s["start"] + t + width] -= 1
                 keep = np.cumsum(cover[:-1]) == 0
                 removed.append(int(count[k] - keep.sum()))
-                kept.append(" ".join(flat.slice(end[k] - count[k], count[k]).filter(pa.array(keep)).to_pylist()))
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), piece.column("n_words").combine_chunks(), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept_text"])
-
-    first = docs.select("doc_id", "text").mapInArrow(plain, f"doc_id {kind}, n_words long, kept_text string, text string")
-    both = first.join(spans, "doc_id", "left")
-    return both.select("doc_id", "n_words", "kept_text", "text", "spans").mapInArrow(cut_out, f"doc_id {kind}, n_words long, n_removed long, kept_text string")
+                if not hit:
+                    kept.append(done)
+                elif original and not removed[-1]:
+                    kept.append(texts[k].as_py())
+                else:
+                    kept.append(joined(flat.slice(end[k] - count[k], count[k]).filter(pa.array(keep))))
+            out = pa.table([piece.column("doc_id"), piece.column("rest"), piece.column("n_words"), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "rest", "n_words", "n_removed", "kept_text"])
+            yield from out.to_batches()
+
+    first = rows.mapInArrow(plain, f"doc_id {kind}, rest {rest}, n_words long, kept_text string, text string, hit boolean")
+    both = first.join(spans, "doc_id", "left").select("doc_id", "rest", "n_words", "kept_text", "text", "hit", "spans")
+    out = both.mapInArrow(cut_out, f"doc_id {kind}, rest {rest}, n_words long, n_removed long, kept_text string")
+    return out.select("doc_id", *(["rest"] if carry else []), "n_words", "n_removed", "kept_text")
+
+
+def cut_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
+    """``docs`` with their columns; repeated passages are cut out of text, and n_chars follows it."""
+    carry = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    out = remove_repeats(docs, width, carry, original=True)
+    size = {"n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    take = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), **{c: F.col("rest")[c] for c in carry}} | size
+    return out.select(*[take[c].alias(c) for c in docs.columns])
 
 
 def digest(removed: DataFrame) -> DataFrame:

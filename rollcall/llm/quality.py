@@ -167,6 +167,14 @@ def learn_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_
     return fit_crf(np.concatenate(xs), np.array([len(x) for x in xs]), np.array([r["y"] for r in rows]))
 
 
+def text_scores(texts: pa.ChunkedArray, crf: Crf | None) -> np.ndarray:
+    x, size, count = line_features(texts)
+    good = np.ones(len(x)) if crf is None or not len(x) else crf.marginals(with_neighbours(x, count), count)
+    doc = np.repeat(np.arange(len(count)), count)
+    mean = np.bincount(doc, size * good, len(count)) / np.maximum(np.bincount(doc, size, len(count)), 1)
+    return np.clip(mean, 0, 1)
+
+
 def score_quality(docs: DataFrame, crf: Crf | None) -> DataFrame:
     """``docs`` columns doc_id and text become doc_id and score, one row per row, nothing shuffled.
 
@@ -176,17 +184,23 @@ def score_quality(docs: DataFrame, crf: Crf | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            x, size, count = line_features(piece.column("text"))
-            good = np.ones(len(x)) if crf is None or not len(x) else crf.marginals(with_neighbours(x, count), count)
-            doc = np.repeat(np.arange(len(count)), count)
-            weight = np.bincount(doc, size, len(count))
-            mean = np.bincount(doc, size * good, len(count)) / np.maximum(weight, 1)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), pa.array(np.clip(mean, 0, 1))], ["doc_id", "score"])
+            scores = pa.array(text_scores(piece.column("text"), crf))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), scores], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, score double")
 
 
+def keep_good(docs: DataFrame, crf: Crf | None, threshold: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores ``threshold`` or more."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches):
+            yield from piece.filter(pa.array(text_scores(piece.column("text"), crf) >= threshold)).to_batches()
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows whose labels are never learnt from."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

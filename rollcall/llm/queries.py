@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, licenses, mixing, packing, quality, sharding
+from rollcall.llm import ann, chat, licenses, mixing, ngram_join, packing, passages, quality, sharding, vector_dedup
 from rollcall.llm.common import table
 
 #: Threshold of a document that is good; shares of the corpus that the languages shall have.
@@ -27,6 +27,15 @@ def byte_bpe(path: str | None = None) -> Callable[[], packing.ByteBpe]:
     return make
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.learn_quality(docs, labels.filter(~quality.held_out()))
@@ -51,6 +60,10 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), n=8)
 
 
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled table for mixing: the rows of ``labels``, with the language of their document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("domain"))
@@ -65,13 +78,21 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), size=2048)
 
 
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digest(passages.remove_repeats(table(spark, sf_dir, "documents"), width=20))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
+    "op2_ngram_join": op2_ngram_join,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
     "op5_licenses": op5_licenses,
     "op6_shards": op6_shards,
+    "op7_vector_dedup": op7_vector_dedup,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
+    "op10_passages": op10_passages,
 }
 
 
@@ -97,6 +118,31 @@ def _license_sql() -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_ann": """
+    SELECT query_id, rank, vec_id, score FROM (
+      SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_sum(list_transform(list_zip(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score,
+        CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY score, v.vec_id) AS INTEGER) AS rank
+      FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0) WHERE rank <= 10
+    """,
+    "op7_vector_dedup": """
+    WITH RECURSIVE near AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.98),
+    reach(a, b) AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON r.b = n.a)
+    SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(m, v.vec_id)) AS component_id, component_id = v.vec_id AS kept
+    FROM embeddings v LEFT JOIN (SELECT a, count(*) AS n FROM near GROUP BY a) c ON c.a = v.vec_id
+      LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = v.vec_id
+    """,
+    "op10_passages": """
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    win AS (SELECT doc_id, s, sha256(array_to_string(w[s:s + 19], ' ')) AS h FROM w, unnest(range(1, len(w) - 18)) t(s)),
+    late AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS n FROM win) WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS k FROM late),
+    each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM w),
+    kept AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.k) AS t, count(*) AS n FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.k = g.k GROUP BY e.doc_id)
+    SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)
+    """,
     "op4_chat": r"""
     WITH t AS (
       SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
