@@ -259,13 +259,13 @@ def remove_repeats(docs: DataFrame, width: int = 20, carry: tuple[str, ...] = ()
         for piece in slices(batches):
             hit = _marked(marks, piece.column("doc_id"))
             flat, count = split_words(piece.column("text"))
-            end, hit_ = np.cumsum(count).tolist(), pa.array(hit)
+            end = np.cumsum(count).tolist()
+            only = lambda mask: piece.column("text").take(pa.array(np.arange(len(mask)), mask=~mask))  # noqa: B023, E731
             if original:
-                done = pc.if_else(hit_, pa.scalar(None, pa.string()), piece.column("text"))
+                done = only(~hit)
             else:
                 done = pa.chunked_array([pa.array([None if h else joined(flat.slice(e - c, c)) for h, c, e in zip(hit.tolist(), count.tolist(), end, strict=True)], pa.string())])
-            raw = pc.if_else(hit_, piece.column("text"), pa.scalar(None, pa.string()))
-            out = pa.table([piece.column("doc_id"), piece.column("rest"), pa.array(count), done, raw, hit_], names=["doc_id", "rest", "n_words", "kept_text", "text", "hit"])
+            out = pa.table([piece.column("doc_id"), piece.column("rest"), pa.array(count), done, only(hit), pa.array(hit)], names=["doc_id", "rest", "n_words", "kept_text", "text", "hit"])
             yield from out.to_batches()
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
