@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from rollcall.functions import scalar, text, timeparse
-from rollcall.operators import costs, documents, fuzzy, intervals, registry, sequence
+from rollcall.operators import costs, documents, fuzzy, intervals, registry, sequence, terms
 from rollcall.sources import readers
 from rollcall.sources.readers import table
 
@@ -660,3 +660,63 @@ def tumbling_counts(spark, d):
 @query("SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY CUBE (c_mktsegment, c_nationkey)")
 def customer_cube(spark, d):
     return table(spark, d, "customer").cube("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n"))
+
+
+# Terms, corrections, choices
+
+
+@query("""WITH l(ord, k, terms) AS (VALUES (0, ['bolt', 'gear'], ['Works', 'Metal']), (1, ['red', 'ring'], ['Colour', 'metal'])), b AS (SELECT DISTINCT p_name AS body FROM part),
+  t AS (SELECT body, ord, unnest(terms) AS t, generate_subscripts(terms, 1) AS i FROM b JOIN l ON len(list_filter(k, lambda x: contains(lower(body), x))) > 0 UNION ALL SELECT body, 9, 'City', 1 FROM b),
+  f AS (SELECT *, row_number() OVER (PARTITION BY body, lower(t) ORDER BY ord, i) AS n FROM t) SELECT body, string_agg(t, ',' ORDER BY ord, i) AS terms FROM f WHERE n = 1 GROUP BY body""")
+def keyword_terms(spark, d):
+    lists = spark.createDataFrame([(["bolt", "gear"], ["Works", "Metal"]), (["red", "ring"], ["Colour", "metal"])], "keywords array<string>, terms array<string>").coalesce(1)
+    out = terms.keyword_terms(table(spark, d, "part").select(F.col("p_name").alias("body")), lists, ["City"])
+    return out.select("body", F.array_join("terms", ",").alias("terms"))
+
+
+@query("""SELECT c_custkey AS id, CASE WHEN c_custkey % 6 = 0 THEN 'fixed ' || c_custkey WHEN c_nationkey = 3 THEN 'third' ELSE c_mktsegment END AS speaker FROM customer""")
+def speaker_corrections(spark, d):
+    c = table(spark, d, "customer")
+    rows = c.select(F.col("c_custkey").alias("id"), F.concat_ws("|", F.when(F.col("c_nationkey") == 3, "N3"), F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment"))).alias("speaker"))
+    by_id = c.filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("id"), F.lit(None).cast("string").alias("speaker"), F.concat(F.lit("fixed "), F.col("c_custkey").cast("string")).alias("corrected"), F.when(F.col("c_custkey") % 2 == 0, "high").otherwise("low").alias("confidence"), F.lit(1).alias("ord"))
+    by_name = spark.createDataFrame([(None, "N3", "second", "high", 1), (None, "N3", "third", "high", 2)], "id long, speaker string, corrected string, confidence string, ord int")
+    return terms.apply_corrections(rows, by_id.unionByName(by_name))
+
+
+@query("""SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY abs(o_orderkey % 11 - 5), o_orderkey DESC) AS n FROM orders) WHERE n = 1""")
+def best_of_retries(spark, d):
+    o = table(spark, d, "orders").select("o_custkey", "o_orderkey", F.abs(F.col("o_orderkey") % 11 - 5).alias("distance"))
+    return terms.better_candidate(o, "o_custkey", "distance", "o_orderkey").select("o_custkey", "o_orderkey")
+
+
+@query("""SELECT o_orderkey AS custom_id, 'b' || l_linenumber AS body FROM orders JOIN (SELECT l_orderkey, min(l_linenumber) AS l_linenumber FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) ON l_orderkey = o_orderkey WHERE o_orderstatus <> 'P'""")
+def batch_outputs(spark, d):
+    li = table(spark, d, "lineitem").filter("l_returnflag = 'A'").groupBy(F.col("l_orderkey").alias("custom_id")).agg(F.min("l_linenumber").alias("n"))
+    rows = li.select("custom_id", F.struct(F.lit(200).alias("status_code"), F.concat(F.lit("b"), F.col("n").cast("string")).alias("body")).alias("response"))
+    bad = rows.withColumn("custom_id", F.col("custom_id") + 10_000_000).unionByName(rows.withColumn("response", F.struct(F.lit(500).alias("status_code"), F.lit("no").alias("body"))))
+    parts = table(spark, d, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("custom_id"))
+    return terms.batch_results(rows.unionByName(bad), parts)
+
+
+@query("""SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
+def ordered_text(spark, d):
+    return terms.ordered_text(table(spark, d, "conversations"), ["conv_id"], "turn", "text", "\n")
+
+
+@query("""SELECT o_orderkey AS meeting_key, o_custkey % 4 AS part, count(*) AS segments, count(DISTINCT l_returnflag) AS speakers, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS labels FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
+def part_counts(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 4).alias("part"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("label")).join(o, "l_orderkey")
+    out = terms.part_counts(rows.withColumnRenamed("l_orderkey", "meeting_key"))
+    return out.withColumn("labels", F.array_join("labels", ","))
+
+
+@query("SELECT page_id, 'https://v.example/' || page_id || '/clip?u=' || length(url) AS link FROM pages")
+def url_templates(spark, d):
+    return table(spark, d, "pages").select("page_id", terms.address("https://v.example/{id}/clip?u={n}", id=F.col("page_id"), n=F.length("url")).alias("link"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, max(CASE WHEN l_quantity > 0 THEN l_quantity * 1500000 + l_linenumber * 3000000 END) AS micro FROM lineitem GROUP BY ALL""")
+def token_costs(spark, d):
+    paid = costs.token_cost(F.col("l_quantity"), F.col("l_linenumber"), F.lit(None).cast("int"), F.lit(0), 1_500_000.0, 3_000_000.0, 0.0) * 1_000_000
+    return table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.max(paid).alias("micro"))
