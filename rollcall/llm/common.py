@@ -18,9 +18,10 @@ def scratch_dir(spark: SparkSession) -> str:
 
     Only where the session names none (tests on one machine) is a temporary folder made.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    folder, present = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()
+    if folder and not present:
+        spark.sparkContext.setCheckpointDir(folder)
+    folder = folder or present
     if not folder:
         folder = tempfile.mkdtemp(prefix="rollcall-")
         spark.sparkContext.setCheckpointDir(folder)

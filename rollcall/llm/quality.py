@@ -16,9 +16,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.words import mix, slices
+from rollcall.llm.words import hash_words, mix, slices, split_words
 
-FEATURES = ("log_size", "letters", "upper", "digits", "marks", "symbols", "bangs", "word_size", "closed", "opened", "long_runs", "repeated")
+FEATURES = ("log_size", "letters", "upper", "digits", "marks", "symbols", "bangs", "word_size", "closed", "opened", "long_runs", "repeated", "echoes")
 N = len(FEATURES)
 
 # classes of bytes: letters (all bytes of non-ASCII characters are taken as such), capitals, digits, marks of prose, others
@@ -58,7 +58,13 @@ def line_features(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.nd
     same[2:] = (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
     runs = np.add.reduceat(same.astype(np.int32), at[:-1]) / size
     _, inverse, times = np.unique(mix(_line_hash(data, at)) ^ mix(doc.astype(np.uint64) + np.uint64(1)), return_inverse=True, return_counts=True)
-    x = np.stack([np.log1p(size) / 4, letters, upper, digits * 4, marks * 8, symbols * 8, bangs * 8, np.minimum(size / words, 40) / 8, np.isin(last, [46, 33, 63, 58, 34]), (first >= 65) & (first < 91), runs * 8, np.minimum(times[inverse] - 1, 5) / 2], 1)
+    spoken, n = split_words(pa.chunked_array([flat]))
+    word, line = hash_words(spoken), np.repeat(np.arange(len(n)), n)
+    echo = np.zeros(len(word), bool)  # a word that is one of the two before it
+    for k in (1, 2):
+        echo[k:] |= (word[k:] == word[:-k]) & (line[k:] == line[:-k])
+    echoes = np.bincount(line, echo, len(n)) / np.maximum(n, 1)
+    x = np.stack([np.log1p(size) / 4, letters, upper, digits * 4, marks * 8, symbols * 8, bangs * 8, np.minimum(size / words, 40) / 8, np.isin(last, [46, 33, 63, 58, 34]), (first >= 65) & (first < 91), runs * 8, np.minimum(times[inverse] - 1, 5) / 2, echoes * 4], 1)
     return x, size, count
 
 
@@ -117,7 +123,7 @@ class Crf:
         return good, (joint / joint.sum((1, 2), keepdims=True)).sum(0)
 
 
-def fit_crf(x: np.ndarray, count: np.ndarray, label: np.ndarray, rounds: int = 300, rate: float = 0.1, l2: float = 1e-3) -> Crf:
+def fit_crf(x: np.ndarray, count: np.ndarray, label: np.ndarray, rounds: int = 200, rate: float = 0.1, l2: float = 1e-3) -> Crf:
     """Maximum conditional likelihood by Adam; the lines of a text all carry the text's label."""
     z, has = with_neighbours(x, count), count > 0
     y = np.repeat(label[has].astype(float), count[has])
