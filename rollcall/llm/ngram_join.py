@@ -193,10 +193,10 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance:
     members = stash(cluster.select(F.col("id").alias("doc_id"), F.col("component").alias("cluster")).join(reps.drop("bands"), "doc_id"))
     sizes = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n_grams").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
-    sizes = stash(sizes.select("cluster", blocks.alias("blocks")))
-    placed = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    units = sizes.agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0] or 0
-    work = max(1, int(members.count() // 300 + units // 300))
+    sizes = stash(sizes.select("cluster", "docs", blocks.alias("blocks")))
+    placed = members.join(sizes.drop("docs"), "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    # a document goes to as many units as its cluster has blocks; a task's group is some 300 of these rows
+    work = max(1, (sizes.agg(F.sum(F.col("docs") * F.col("blocks"))).first()[0] or 0) // 300)
 
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
     full = stash(placed).join(texts, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

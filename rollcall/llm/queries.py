@@ -124,6 +124,17 @@ ORACLE_SQL: dict[str, str] = {
         CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY score, v.vec_id) AS INTEGER) AS rank
       FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0) WHERE rank <= 10
     """,
+    "op2_ngram_join": """
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    g AS (SELECT DISTINCT doc_id, sha256(array_to_string(w[s:s + 4], ' ')) AS h FROM w, unnest(range(1, greatest(len(w) - 3, 2))) t(s) WHERE len(w) > 0),
+    n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM g x JOIN g y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY ALL),
+    near AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE k / (x.n + y.n - k) >= 0.8),
+    reach(a, b) AS (SELECT a, b FROM near UNION SELECT r.a, s.b FROM reach r JOIN near s ON r.b = s.a)
+    SELECT d.doc_id, coalesce(l, 0) AS n_links, least(d.doc_id, coalesce(m, d.doc_id)) AS group_id, group_id = d.doc_id AS kept
+    FROM documents d LEFT JOIN (SELECT a, count(*) AS l FROM near GROUP BY a) q ON q.a = d.doc_id
+      LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) r ON r.a = d.doc_id
+    """,
     "op7_vector_dedup": """
     WITH RECURSIVE near AS (
       SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
