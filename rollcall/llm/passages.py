@@ -115,6 +115,11 @@ class SuffixAutomaton:
         return out
 
 
+def joined(words: pa.Array, count: np.ndarray) -> pa.Array:
+    """The words of each text, of which it has ``count``, with one space between two."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)], pa.int32()), words), " ")
+
+
 def _marks(ids: DataFrame) -> np.ndarray:
     """A bit for each doc_id modulo FILTER_BITS: a set of documents that may hold more than it should,
     never less, and has the same size however many there are."""
@@ -199,7 +204,8 @@ def _first_places(docs: DataFrame, several: DataFrame, width: int) -> DataFrame:
             hi = lo + at % 32 + width - 1
             # of repeated rows of a document with other texts, those that lack the place are left out
             fits = hi <= begin[doc] + count[doc]
-            words = pa.array([" ".join(flat.slice(a, b - a).to_pylist()) for a, b in zip(lo[fits].tolist(), hi[fits].tolist(), strict=True)], pa.string())
+            size = (hi - lo)[fits]
+            words = joined(flat.take(pa.array(np.arange(size.sum()) + np.repeat(lo[fits] - (np.cumsum(size) - size), size))), size)
             keep = pa.array(fits)
             ids = piece.column("doc_id").to_numpy()[doc[fits]]
             yield pa.RecordBatch.from_arrays([rows.field("mini").filter(keep), rows.field("content").filter(keep), pa.array(ids), rows.field("at").filter(keep), rows.field("part").filter(keep), rows.field("parts").filter(keep), words], ["mini", "content", "doc_id", "at", "part", "parts", "words"])
@@ -251,45 +257,40 @@ def remove_repeats(docs: DataFrame, width: int = 20, carry: tuple[str, ...] = ()
     rows = docs.select("doc_id", "text", F.struct(*carry).alias("rest") if carry else F.lit(0).alias("rest"))
     kind, rest = rows.schema["doc_id"].dataType.simpleString(), rows.schema["rest"].dataType.simpleString()
 
-    def joined(words: pa.Array) -> str:
-        return " ".join(words.to_pylist())
-
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts without a repeat are finished here; only the others are sent to their spans."""
         for piece in slices(batches):
             hit = _marked(marks, piece.column("doc_id"))
             flat, count = split_words(piece.column("text"))
-            end = np.cumsum(count).tolist()
             only = lambda mask: piece.column("text").take(pa.array(np.arange(len(mask)), mask=~mask))  # noqa: B023, E731
             if original:
                 done = only(~hit)
             else:
-                done = pa.chunked_array([pa.array([None if h else joined(flat.slice(e - c, c)) for h, c, e in zip(hit.tolist(), count.tolist(), end, strict=True)], pa.string())])
+                done = joined(flat.filter(pa.array(np.repeat(~hit, count))), np.where(hit, 0, count)).take(pa.array(np.arange(len(hit)), mask=hit))
             out = pa.table([piece.column("doc_id"), piece.column("rest"), pa.array(count), done, only(hit), pa.array(hit)], names=["doc_id", "rest", "n_words", "kept_text", "text", "hit"])
             yield from out.to_batches()
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            texts = piece.column("text")
-            flat, count = split_words(texts)
-            end, removed, kept = np.cumsum(count), [], []
-            columns = (piece.column(c).to_pylist() for c in ("spans", "hit", "kept_text"))
-            for k, (span, hit, done) in enumerate(zip(*columns, strict=True)):
-                cover = np.zeros(count[k] + 1, np.int64)
-                for s in (span or ()) if hit else ():
-                    for t in range(s["bits"].bit_length()):
-                        if s["bits"] >> t & 1 and s["start"] + t + width <= count[k]:
-                            cover[s["start"] + t] += 1
-                            cover[s["start"] + t + width] -= 1
-                keep = np.cumsum(cover[:-1]) == 0
-                removed.append(int(count[k] - keep.sum()))
-                if not hit:
-                    kept.append(done)
-                elif original and not removed[-1]:
-                    kept.append(texts[k].as_py())
-                else:
-                    kept.append(joined(flat.slice(end[k] - count[k], count[k]).filter(pa.array(keep))))
-            out = pa.table([piece.column("doc_id"), piece.column("rest"), piece.column("n_words"), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "rest", "n_words", "n_removed", "kept_text"])
+            flat, count = split_words(piece.column("text"))
+            begin, hit = np.cumsum(count) - count, piece.column("hit").to_numpy()
+            span = piece.column("spans").combine_chunks()
+            span = span if isinstance(span, pa.ListArray) else pa.concat_arrays(span.chunks)
+            doc = np.repeat(np.arange(len(count)), pc.fill_null(pc.list_value_length(span), 0).to_numpy(zero_copy_only=False))
+            start, bits = span.flatten().field("start").to_numpy(), span.flatten().field("bits").to_numpy()
+            cover = np.zeros(len(flat) + 1, np.int64)
+            for t in range(min(width, 31)):
+                gone = (bits >> t & 1 > 0) & (start + t + width <= count[doc])
+                at = (begin[doc] + start + t)[gone]
+                cover += np.bincount(at, minlength=len(cover)) - np.bincount(at + width, minlength=len(cover))
+            keep = np.cumsum(cover[:-1]) == 0
+            kept = np.diff(np.r_[0, np.cumsum(keep)][np.r_[0, np.cumsum(count)]])
+            removed = count - kept
+            texts = joined(flat.filter(pa.array(keep)), kept)
+            texts = texts.take(pa.array(np.arange(len(hit)), mask=~hit | (original & (removed == 0))))
+            whole = piece.column("text").take(pa.array(np.arange(len(hit)), mask=~hit | (not original) | (removed > 0)))
+            kept = pc.coalesce(piece.column("kept_text"), texts, whole)
+            out = pa.table([piece.column("doc_id"), piece.column("rest"), piece.column("n_words"), pa.array(removed, pa.int64()), kept], names=["doc_id", "rest", "n_words", "n_removed", "kept_text"])
             yield from out.to_batches()
 
     first = rows.mapInArrow(plain, f"doc_id {kind}, rest {rest}, n_words long, kept_text string, text string, hit boolean")
