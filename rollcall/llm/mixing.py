@@ -7,6 +7,7 @@ expected tokens of the domains come as near to their targets as the bounds on ra
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass
 
@@ -82,16 +83,19 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, max_rows: int = 4000, ma
     return Domains(tuple(names), tuple(count[d] / total for d in names), tuple(r["w"] for r in best), rates)
 
 
+def _bounded(rate: Column, low: float, high: float) -> Column:
+    return F.greatest(rate if math.isinf(high) else F.least(rate, F.lit(high)), F.lit(low))
+
+
 def _rate(df: DataFrame, p: str, out: str, steps: list[list[float]], low: float, high: float) -> DataFrame:
     """``df`` with ``out``: a document's rate after these gradient steps, projected after each."""
     rate = F.lit(min(max(1.0, low), high))
     for g in steps:
-        move = sum((F.col(p)[i] * x for i, x in enumerate(g)), F.lit(0.0))
-        rate = F.greatest(F.least(rate - move, F.lit(high)), F.lit(low))
+        rate = _bounded(rate - sum((F.col(p)[i] * x for i, x in enumerate(g)), F.lit(0.0)), low, high)
     return df.withColumn(out, rate)
 
 
-def fit_rates(points: DataFrame, targets: list[float], low: float, high: float, rounds: int = 25, tolerance: float = 1e-3) -> list[list[float]]:
+def fit_rates(points: DataFrame, targets: list[float], low: float, high: float, rounds: int = 200, tolerance: float = 1e-3) -> list[list[float]]:
     """Gradient steps for ``points`` (p array<double>, t tokens), to be taken by ``_rate``.
 
     Minimises sum over domains of (tokens - target)^2 / present tokens. In the metric that weighs a
@@ -99,6 +103,9 @@ def fit_rates(points: DataFrame, targets: list[float], low: float, high: float,
     misses, so equal posteriors share a rate: the table is summed by posteriors first, and the driver
     sees only one sum for each domain and round. Targets are scaled to the least total that gives
     every present domain a rate of at least 1 (``low`` >= 1), or to the present total (``low`` < 1).
+    Documents of several domains may keep a domain above its target at that total; with no ``high``
+    the total then grows for as long as that brings the shares nearer. Wanted and reached shares are
+    logged, as a warning where they differ by more than a hundredth of the wanted.
     """
     d = len(targets)
     sums = lambda df, r: df.agg(*[F.sum(F.col("t") * F.col("p")[k] * r).alias(f"s{k}") for k in range(d)]).first()
@@ -110,23 +117,36 @@ def fit_rates(points: DataFrame, targets: list[float], low: float, high: float,
     weight = [w / sum(targets) for w in targets]
     scale = max([s / w for s, w in zip(share, weight, strict=True) if w > 0], default=1.0) if low >= 1 else 1.0
     goal = [w * scale for w in weight]
+    miss = lambda got: [(g - b) / s if s > 0 else 0.0 for g, b, s in zip(got, goal, share, strict=True)]
     steps: list[list[float]] = []
+    best, got = None, share  # what the shares miss at the total before, and the steps that lead there
     rated = points.withColumn("r", F.lit(min(max(1.0, low), high)))
     for k in range(rounds):
         got = [x / total for x in sums(rated, F.col("r"))]
-        steps.append([(g - b) / s if s > 0 else 0.0 for g, b, s in zip(got, goal, share, strict=True)])
-        still = k and max(abs(a - b) for a, b in zip(steps[-1], steps[-2], strict=True)) < tolerance
-        if still or max(map(abs, steps[-1])) < tolerance:
+        steps.append(miss(got))
+        if max(map(abs, steps[-1])) < tolerance:
             break
-        move = sum((F.col("p")[i] * g for i, g in enumerate(steps[-1])), F.lit(0.0))
-        rated = cut(rated.withColumn("r", F.greatest(F.least(F.col("r") - move, F.lit(high)), F.lit(low))))
+        if k and max(abs(a - b) for a, b in zip(steps[-1], steps[-2], strict=True)) < tolerance:
+            off = max(abs(g / sum(got) - w) for g, w in zip(got, weight, strict=True))
+            if best and off > 0.9 * best[0]:
+                _, steps, got = best
+                break
+            over = max((g / b for g, b in zip(got, goal, strict=True) if b > 0), default=1.0)
+            if low < 1 or not math.isinf(high) or over < 1 + tolerance:
+                break
+            best, goal = (off, list(steps), got), [b * over for b in goal]
+            steps[-1] = miss(got)
+        rated = cut(rated.withColumn("r", _bounded(F.col("r") - sum((F.col("p")[i] * g for i, g in enumerate(steps[-1])), F.lit(0.0)), low, high)))
+    ends = [(round(w, 4), round(g / sum(got), 4)) for w, g in zip(weight, got, strict=True)]
+    level = logging.WARNING if any(abs(g - w) > 0.01 * w for w, g in ends) else logging.INFO
+    logging.getLogger(__name__).log(level, "shares of the domains, wanted and reached: %s", ends)
     return steps
 
 
-def plan_mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low: float = 1.0, high: float = 4.0) -> DataFrame:
+def plan_mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low: float = 1.0, high: float = math.inf) -> DataFrame:
     """doc_id, text_tokens, posteriors (map by domain), rate, copies for every row of ``docs``.
 
-    Rates are between ``low`` and ``high``; ``copies`` is the rate's whole part, plus one with the
+    Rates are between ``low`` and ``high``, by default without a ceiling; ``copies`` is the rate's whole part, plus one with the
     probability of the rest, decided by a hash of doc_id. With ``low`` at least 1 no document goes.
     Domains without a target aim at 0. Null and empty texts have 0 tokens and the posteriors of a text without
     cues. Without labels or tokens every rate is 1 (or the nearest bound). Repeated rows each get the
@@ -141,6 +161,22 @@ def plan_mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], lo
     return own.select("doc_id", F.col("t").alias("text_tokens"), as_map.alias("posteriors"), "rate", "copies")
 
 
+def shares(plan: DataFrame, targets: dict[str, float]) -> dict[str, dict[str, float]]:
+    """Of each domain its wanted share of the tokens, and those at present, by rates and by copies.
+
+    ``plan`` is what ``plan_mix`` gives. A domain with a target of which there are no documents has 0.
+    """
+    each = plan.select("text_tokens", "rate", "copies", F.explode("posteriors").alias("domain", "p"))
+    own = F.col("p") * F.col("text_tokens")
+    got = {r["domain"]: r for r in each.groupBy("domain").agg(F.sum(own).alias("present"), F.sum(own * F.col("rate")).alias("reached"), F.sum(own * F.col("copies")).alias("dealt")).collect()}
+    out = {d: {"wanted": targets.get(d, 0.0) / sum(targets.values())} for d in sorted({*got, *targets})}
+    for x in ("present", "reached", "dealt"):
+        total = sum(r[x] for r in got.values())
+        for d in out:
+            out[d][x] = got[d][x] / total if d in got and total else 0.0
+    return out
+
+
 def _rated(df: DataFrame, seen: DataFrame, model: Domains | None, targets: dict[str, float], low: float, high: float) -> DataFrame:
     """``df`` (doc_id, p) with rate and copies; rates are fitted on ``seen`` (p, t)."""
     steps = []
@@ -153,7 +189,7 @@ def _rated(df: DataFrame, seen: DataFrame, model: Domains | None, targets: dict[
     return df.withColumn("copies", (whole + (chance < F.col("rate") - whole).cast("int")).cast("int"))
 
 
-def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low: float = 1.0, high: float = 4.0) -> DataFrame:
+def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low: float = 1.0, high: float = math.inf) -> DataFrame:
     """The rows of ``docs``, each as often as ``plan_mix`` says, with the same columns."""
     model = learn_domains(docs, labelled)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))

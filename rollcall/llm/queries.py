@@ -71,7 +71,7 @@ def language_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.plan_mix(table(spark, sf_dir, "documents"), language_labels(spark, sf_dir), TARGETS)
+    return mixing.plan_mix(table(spark, sf_dir, "documents"), language_labels(spark, sf_dir), TARGETS, low=0.0)
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

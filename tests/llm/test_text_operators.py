@@ -281,6 +281,33 @@ def test_mixing_reaches_targets(spark):
     assert mixed.columns == docs.columns and mixed.count() == int(out.copies.sum())
 
 
+@pytest.mark.parametrize("low", [0.0, 1.0])
+def test_mixing_reaches_targets_of_rare_languages(spark, low):
+    """97/1/1/1 %: rare languages need far more than four copies."""
+    said = {"en": "the and of", "fr": "le et des", "de": "der und von", "es": "el y los"}
+    langs = ["en"] * 970 + ["fr", "de", "es"] * 10
+    docs = spark.createDataFrame([(i, f"{said[x]} x{i} y z", x) for i, x in enumerate(langs)], "doc_id long, text string, lang string")
+    labelled = docs.select("doc_id", F.col("lang").alias("domain"))
+    targets = {"en": 0.55, "fr": 0.15, "de": 0.15, "es": 0.15}
+    plan = mixing.plan_mix(docs, labelled, targets, low=low).cache()
+    got = mixing.shares(plan, targets)
+    for d, w in targets.items():
+        assert got[d]["wanted"] == pytest.approx(w) and got[d]["reached"] == pytest.approx(w, abs=0.002) and got[d]["dealt"] == pytest.approx(w, abs=0.03)
+    out = plan.toPandas()
+    assert out.rate.max() > 10 and out.rate.min() >= low and (low < 1 or out.copies.min() == 1)
+    if low < 1:  # the total stays
+        assert (out.rate * out.text_tokens).sum() == pytest.approx(out.text_tokens.sum(), rel=0.01)
+    langs = mixing.mix_documents(docs, labelled, targets, low=low).groupBy("lang").count().toPandas().set_index("lang")["count"]
+    assert all(langs[d] / langs.sum() == pytest.approx(w, abs=0.03) for d, w in targets.items())
+
+
+def test_mixing_stops_where_targets_cannot_be_reached(spark):
+    points = spark.createDataFrame([([0.7, 0.3], 10.0)], "p array<double>, t double")
+    steps = mixing.fit_rates(points, [0.5, 0.5], 1.0, float("inf"))
+    rate = mixing._rate(points, "p", "r", steps, 1.0, float("inf")).first().r
+    assert 1 <= rate < 2 and len(steps) < 50
+
+
 def test_mixing_odd_rows(spark, odd):
     labelled = spark.createDataFrame([(5, "a"), (8, "b"), (9, None), (None, "b")], "doc_id long, domain string")
     out = mixing.plan_mix(odd, labelled, {"a": 0.5, "b": 0.5})
