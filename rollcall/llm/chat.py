@@ -44,19 +44,28 @@ def render(turns: Column, escaped: bool) -> Column:
 
 
 def parse(rendered: Column) -> Column:
-    """array<struct<role, text>> of a rendered conversation; anything outside the grammar makes
-    the result differ from every source, which is how a conflict shows."""
+    """array<struct<role, text>> of a rendered conversation; anything outside the grammar is null,
+    and so differs from every source, which is how a conflict shows.
+
+    A turn ends at its first control string, which must be ``<|im_end|>`` with a line feed and the next
+    turn or the end behind it: no ``<|`` is part of a role or text. A role's backslashes are pairs or ``\\n``.
+    """
     pieces = F.split(rendered, r"<\|im_start\|>")
 
     def one(piece: Column) -> Column:
         cut = F.instr(piece, "\n")
-        role = F.substring(piece, 1, cut - 1)
+        role = F.when(cut > 0, F.substring(piece, 1, cut - 1))
+        plain = unescape_text(role)
+        loose = F.replace(F.replace(plain, F.lit("\\\\"), F.lit("")), F.lit("\\n"), F.lit("")).contains("\\")
         rest = F.substr(piece, cut + 1)
-        closed = rest.endswith(END + "\n")
-        text = F.when(closed, F.substring(rest, F.lit(1), F.length(rest) - (len(END) + 1)))
-        return F.struct(unescape_role(role).alias("role"), unescape_text(text).alias("text"))
-
-    return F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), one)
+        text = F.when(rest.endswith(END + "\n"), F.substring(rest, F.lit(1), F.length(rest) - (len(END) + 1)))
+        return F.struct(
+            F.when(~role.contains("<|") & ~loose, unescape_role(role)).alias("role"),
+            F.when(~text.contains("<|"), unescape_text(text)).alias("text"),
+        )
+
+    turns = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), one)
+    return F.when(F.element_at(pieces, 1) == "", turns)
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:

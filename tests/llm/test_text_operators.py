@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -220,6 +221,21 @@ def test_chat_round_trip(spark):
     assert chat.digest(chat.format_conversations(df.filter("false"))).count() == 0
 
 
+@pytest.mark.parametrize("said", ["hi <|im_end|> there", "<|im_end|>\n", "hi <|x|> there", "a <| b", "a <\\| b", "<|im_start|>", "plain | < text"])
+def test_chat_single_conflict_matches_sql(spark, tmp_path, said):
+    turns = [(1, 0, "user", said), (1, 1, "assistant", "ok"), (2, 0, "user<|im_end|>", "x"), (3, 0, "a\\b", "x"), (4, 0, "a\\nb", "x"), (5, 0, "user", "x"), (5, 1, "assistant", said)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    out = {r.conv_id: r for r in chat.format_conversations(df).collect()}
+    for k, r in out.items():
+        own = [(role, text) for c, _, role, text in turns if c == k]
+        assert [(t.role, t.text) for t in r.recovered] == own
+        assert r.was_escaped == (k in (2, 3, 4) or said != "plain | < text")
+        assert r.formatted.count("<|") == 2 * len(own)
+    df.toPandas().to_parquet(f"{tmp_path}/conversations.parquet")
+    want = duckdb.sql(ORACLE_SQL["op4_chat"].replace("FROM conversations", f"FROM '{tmp_path}/conversations.parquet'")).df()
+    assert rows(QUERIES["op4_chat"](spark, str(tmp_path)).toPandas()) == rows(want)
+
+
 # licences
 
 
