@@ -1,7 +1,7 @@
 """Licence scans by sentence rules, in DataFrame functions only.
 
 A text is cut into sentences, each is normalised, known sentences become identifiers, and the
-sequence of identifiers is held against ordered licence rules.
+sequence of identifiers is held against ordered licence rules. A sentence may be wrapped over lines.
 """
 
 from __future__ import annotations
@@ -70,13 +70,20 @@ RULES = (
 CUES = "licen[cs]e|permission|copyright|software|redistribut|reserved"
 
 
+#: The known sentences within a normalised piece: whole lines of it, the longest first.
+FINDER = "(?<![^\n])(" + "|".join(x.replace(" ", "[ \n]") for x in sorted(SENTENCES, key=len, reverse=True)) + ")(?![^\n])"
+
+
 def sentences(text: Column) -> Column:
-    """Sentences of a text: cut at line ends, after ``.;:!?`` before white space or the end."""
-    return F.split(text, r"[\r\n]+|[.;:!?](?=\s|$)")
+    """Pieces of a text: cut after ``.;:!?`` before white space or the end, and at lines without
+    letters and digits. A piece may be a sentence wrapped over lines, with titles before it."""
+    return F.split(text, r"[.;:!?](?=\s|$)|(?:\r\n?+|\n)[^\p{L}\p{N}\r\n]*(?=[\r\n])")
 
 
-def normalise(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def normalise(piece: Column) -> Column:
+    """Lower-case words of a piece, with one space or line feed between them."""
+    words = F.regexp_replace(F.lower(piece), r"[^a-z0-9\r\n]+", " ")
+    return F.trim(F.regexp_replace(words, r" ?[\r\n][ \r\n]*", "\n"))
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
@@ -88,9 +95,10 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     cued = F.col("text").rlike(f"(?i){CUES}")
-    # only sentences that hold a cue are normalised
+    # only pieces that hold a cue are normalised
     told = F.filter(sentences(F.col("text")), lambda s: s.rlike(f"(?i){CUES}"))
-    ids = F.array_compact(F.transform(told, lambda s: F.element_at(known, normalise(s))))
+    found = F.flatten(F.transform(told, lambda s: F.regexp_extract_all(normalise(s), F.lit(FINDER), F.lit(1))))
+    ids = F.transform(found, lambda s: F.element_at(known, F.replace(s, F.lit("\n"), F.lit(" "))))
     out = docs.select("doc_id", F.when(cued, F.array_join(ids, " ")).otherwise("").alias("sentence_ids"))
     found, names = {}, []
     for name, family, rule in RULES:

@@ -248,6 +248,42 @@ def test_licenses(spark, odd):
     assert licenses.scan_licenses(empty(spark)).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2024 A. Nother
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE.
+"""
+UNLICENSE = "This is free and unencumbered software released\ninto the public domain.\n\nAnyone is free to copy.\n"
+
+
+def licenses_of(spark, texts):
+    out = licenses.scan_licenses(documents(spark, texts)).orderBy("doc_id").collect()
+    return [(r.sentence_ids, r.licenses) for r in out]
+
+
+def test_licenses_in_wrapped_texts(spark):
+    whole = "mit.title mit.grant mit.notice_kept mit.warranty"
+    dense = MIT.replace("\n\n", "\n").removeprefix("MIT License\n")  # the copyright line runs into the grant
+    comment = "".join(f" * {x}\n" for x in MIT.split("\n"))
+    windows = MIT.replace("\n", "\r\n")
+    got = licenses_of(spark, [MIT, dense, comment, windows, UNLICENSE, "MIT\nLicense to\nkill", "The\nMIT License\n(MIT)"])
+    assert got == [(whole, "MIT"), (whole.removeprefix("mit.title "), "MIT"), (whole, "MIT"), (whole, "MIT"), ("unlicense.grant", "Unlicense"), ("", ""), ("mit.title", "MIT")]
+
+
 # shards
 
 
