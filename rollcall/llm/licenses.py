@@ -42,6 +42,18 @@ SENTENCES = {
     "all rights reserved": "reserved",
 }
 
+# Sentences as the cutter yields them from the published texts, where SENTENCES has another form.
+PUBLISHED = {
+    "this program is free software": "gpl.free",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3.grant",
+    "gnu general public license version 3 29 june 2007": "gpl3.title",
+    "gnu lesser general public license version 3 29 june 2007": "lgpl3.title",
+    "apache license version 2 0 january 2004 http www apache org licenses": "apache2.title",
+    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "ccbysa4.notice",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd.warranty",
+}
+KNOWN = SENTENCES | PUBLISHED
+
 # Rules in the order in which they are tried. A rule holds if its identifiers occur in
 # this order, with anything between; a rule hides the later rules of the same family.
 RULES = (
@@ -71,7 +83,7 @@ CUES = "licen[cs]e|permission|copyright|software|redistribut|reserved"
 
 
 #: The known sentences within a normalised piece: whole lines of it, the longest first.
-FINDER = "(?<![^\n])(" + "|".join(x.replace(" ", "[ \n]") for x in sorted(SENTENCES, key=len, reverse=True)) + ")(?![^\n])"
+FINDER = "(?<![^\n])(" + "|".join(x.replace(" ", "[ \n]") for x in sorted(KNOWN, key=len, reverse=True)) + ")(?![^\n])"
 
 
 def sentences(text: Column) -> Column:
@@ -93,7 +105,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     One row per row of ``docs`` (doc_id, text; other columns are ignored, repeated rows stay). Texts
     that are null, empty or without a known sentence have empty strings and 0. Whole texts are read.
     """
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
     cued = F.col("text").rlike(f"(?i){CUES}")
     # only pieces that hold a cue are normalised
     told = F.filter(sentences(F.col("text")), lambda s: s.rlike(f"(?i){CUES}"))

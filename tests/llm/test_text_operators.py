@@ -284,6 +284,56 @@ def test_licenses_in_wrapped_texts(spark):
     assert got == [(whole, "MIT"), (whole.removeprefix("mit.title "), "MIT"), (whole, "MIT"), (whole, "MIT"), ("unlicense.grant", "Unlicense"), ("", ""), ("mit.title", "MIT")]
 
 
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+"""
+BSD = """Copyright (c) 2024, A. Nother
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+RESERVED = "LicenseRef-all-rights-reserved"
+
+
+@pytest.mark.parametrize("form", ["wrapped", "one line"])
+def test_license_rules_with_published_texts(spark, form):
+    two = "\n\n".join(x for x in BSD.split("\n\n") if not x.startswith("3."))
+    texts = [GPL, GPL.replace("This program", "Foo").replace("software:", "software;"), BSD, two, APACHE, MIT, UNLICENSE]
+    if form == "one line":
+        texts = ["\n\n".join(" ".join(p.split()) for p in t.split("\n\n")) for t in texts]
+    want = ["GPL-3.0-or-later"] * 2 + [f"BSD-3-Clause,{RESERVED}", f"BSD-2-Clause,{RESERVED}", "Apache-2.0", "MIT", "Unlicense"]
+    got = licenses_of(spark, texts)
+    if form == "one line":  # the copyright line before it is part of the sentence
+        want = [x.removesuffix(f",{RESERVED}") for x in want]
+    assert [x for _, x in got] == want
+    assert got[0][0] == "gpl.free gpl3.grant" and got[2][0].endswith("bsd.grant bsd.endorse bsd.warranty")
+    if form == "wrapped":
+        titles = ["GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nx", "GNU LESSER GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\nx", "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/\n\nx"]
+        cc = [f"This work is licensed under a Creative Commons\nAttribution{x} 4.0 International License." for x in ("", "-NonCommercial", "-ShareAlike")]
+        assert [x for _, x in licenses_of(spark, titles + cc)] == ["GPL-3.0-only", "LGPL-3.0-only", "Apache-2.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0"]
+
+
 # shards
 
 
