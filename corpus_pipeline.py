@@ -39,7 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2048 tokens."""
-    return packing.pack_documents(docs, byte_bpe(), size=2048)
+    return packing.pack_documents(docs, byte_bpe(added=True), size=2048)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -28,18 +30,21 @@ class ByteBpe:
 
     The vocabulary's word pattern always ends a word before a single space between two other
     characters, so such texts are cut there, each distinct chunk is encoded once, and ids are gathered;
-    texts with any other white space around a space are encoded whole.
+    texts with any other white space around a space are encoded whole, and so are those that hold a
+    token of ``added`` (token: id), which stands for its id; without ``added`` such a token is text.
     """
 
     PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
     ODD = r"(^|[\s\p{Z}\x{85}\x{1c}-\x{1f}]) | ([\s\p{Z}\x{85}\x{1c}-\x{1f}]|$)"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("byte-bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.added = added or {}
+        codec = tiktoken.Encoding("byte-bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
+        self.encode = partial(codec.encode, allowed_special="all") if self.added else codec.encode_ordinary
         self.known: dict[str, np.ndarray] = {}
 
     def chunk(self, text: str) -> np.ndarray:
@@ -52,7 +57,10 @@ class ByteBpe:
 
     def batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
-        odd = pc.match_substring_regex(texts, self.ODD).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.ODD)
+        for token in self.added:
+            odd = pc.or_(odd, pc.match_substring(texts, token))
+        odd = odd.to_numpy(zero_copy_only=False)
         parts = pc.split_pattern(pc.if_else(pa.array(odd), "", texts), " ")
         count = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = parts.flatten()
@@ -76,6 +84,15 @@ class ByteBpe:
                 yield np.concatenate([np.array(self.encode(head), np.uint32), ids[bounds[k] : bounds[k + 1]]])
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer file, with their ids."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t[x] for t in tokens for x in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"added tokens that match by more than their text: {path}")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 @dataclass
 class Window:
     used: int = 0

@@ -15,14 +15,16 @@ GOOD = 0.7
 TARGETS = {"en": 0.55, "fr": 0.15, "de": 0.15, "es": 0.15}
 
 
-def byte_bpe(path: str | None = None) -> Callable[[], packing.ByteBpe]:
+def byte_bpe(path: str | None = None, added: bool = False) -> Callable[[], packing.ByteBpe]:
     """Makes the encoder inside a task. The vocabulary file is found on each machine by ``path``, or
-    where the installed package of public tokenizers has it."""
+    where the installed package of public tokenizers has it. With ``added`` the added tokens of its
+    tokenizer file stand for their ids, as that tokenizer has it; without they are text."""
 
     def make() -> packing.ByteBpe:
         import public_tokenizers
 
-        return packing.ByteBpe(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+        tokens = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")) if added else None
+        return packing.ByteBpe(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), tokens)
 
     return make
 
@@ -75,7 +77,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe(), size=2048)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe(added=True), size=2048)
 
 
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:

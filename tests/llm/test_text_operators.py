@@ -435,6 +435,20 @@ def test_encoder_equals_tokenizers():
     assert got == [reference.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_encoder_knows_added_tokens(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 2, f"a{end}b", f" {end}  b\n{end}", f"x  {end}", "no token <|endof text|>", "", f"été {end}中 {end} 1"]
+    want = [reference.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in byte_bpe(added=True)().batch(pa.array(texts))] == want and want[0] == [64, 220, 50256, 275]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op9_packing"](spark, str(tmp_path)).collect()}
+    assert [got[i].doc_tokens for i in range(len(texts))] == [len(x) + 1 for x in want]
+
+
 def check_packing(out, docs, size=2048):
     import public_tokenizers
     from tokenizers import Tokenizer
