@@ -65,7 +65,7 @@ def facets(rows: DataFrame, values: str) -> DataFrame:
 
 def neighbours(rows: DataFrame, group: str, order: str, value: str) -> DataFrame:
     by = W.partitionBy(group).orderBy(order)
-    return rows.withColumn("previous", F.lag(value).over(by)).withColumn("next", F.lead(value).over(by)).withColumn("id", F.lpad(F.row_number().over(by).cast("string"), 3, "0"))
+    return rows.withColumn("previous", F.lag(value).over(by)).withColumn("next", F.lead(value).over(by)).withColumn("id", F.format_string("%03d", F.row_number().over(by)))
 
 
 def selected(rows: DataFrame, tags: str, wanted: list[str]) -> DataFrame:

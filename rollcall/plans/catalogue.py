@@ -105,7 +105,7 @@ def same_speaker_run(spark, d):
   SELECT user_id, event_id, 'SPK_' || lpad(CAST(dense_rank() OVER (PARTITION BY user_id ORDER BY f) - 1 AS VARCHAR), 2, '0') AS label FROM m""")
 def first_appearance_labels(spark, d):
     rows = sequence.first_appearance(table(spark, d, "events").select("user_id", "event_id", "event_type"), "user_id", "event_type", ["event_id"])
-    return rows.select("user_id", "event_id", F.concat(F.lit("SPK_"), F.lpad(F.col("number").cast("string"), 2, "0")).alias("label"))
+    return rows.select("user_id", "event_id", F.format_string("SPK_%02d", "number").alias("label"))
 
 
 @query("SELECT user_id, event_id, value FROM (SELECT *, max(value) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM events) WHERE m IS NULL OR value > m")
@@ -329,7 +329,7 @@ def verification_candidates(spark, d):
     rows = utterances(spark, d).join(F.broadcast(known), "label", "left_anti").withColumn("cut", F.substring("text", 1, 40))
     intro = F.when(F.lower("text").contains("and"), F.col("idx"))
     out = rows.groupBy("conv_id", F.col("label").alias("speaker")).agg(F.min("idx").alias("first_index"), F.count("*").alias("n"), F.coalesce(F.max_by("cut", intro), F.min_by("cut", "idx")).alias("snippet"))
-    return out.withColumn("id", F.concat(F.lit("v"), F.lpad(F.row_number().over(W.partitionBy("conv_id").orderBy("first_index")).cast("string"), 3, "0")))
+    return out.withColumn("id", F.format_string("v%03d", F.row_number().over(W.partitionBy("conv_id").orderBy("first_index"))))
 
 
 @query("""SELECT user_id, string_agg(event_type || ':' || n, ' ' ORDER BY r) AS top FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, f) AS r

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from rollcall import model_io
 from rollcall.operators import costs, documents, fuzzy, intervals, registry, sequence
+from rollcall.plans import catalogue
 from rollcall.sources import readers, writers
 from rollcall.streaming import incremental
 
@@ -167,3 +168,14 @@ def test_model_boundary(spark):
     assert {tuple(r) for r in model_io.call_model(req, model_io.echo_backend, "key string, reply string").collect()} == {("a", "HI"), ("b", "YO")}
     parts = spark.createDataFrame([("m", 2, 10.0, "_part2", [("x", 1.25, 2.5, "speaker_7"), (" ", 1.0, 2.0, "s"), ("y", 3.0, 3.0, "s")])], "meeting_key string, part int, offset double, suffix string, segments array<struct<text string, start double, end double, speaker_id string>>")
     assert [tuple(r)[2:] for r in model_io.segments(parts).collect()] == [(11.25, 12.5, "x", "speaker_7_part2")]
+
+
+def test_numbers_wider_than_their_pad_stay_whole(spark, tmp_path):
+    n = 1005
+    events = spark.range(n).selectExpr("1L as user_id", "id as event_id", "concat('t', id) as event_type")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(n).selectExpr("1L as conv_id", "id as turn", "concat('r', id) as role", "'x and y' as text").write.parquet(f"{tmp_path}/conversations.parquet")
+    ids = lambda name, col: [r[col] for r in catalogue.QUERIES[name](spark, str(tmp_path)).orderBy(F.length(col), col).collect()]
+    assert ids("first_appearance_labels", "label") == [f"SPK_{i:02d}" for i in range(n)]
+    assert ids("prev_next", "id") == [f"{i:03d}" for i in range(1, n + 1)]
+    assert ids("verification_candidates", "id") == [f"v{i:03d}" for i in range(1, n + 1)]
