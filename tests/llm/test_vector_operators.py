@@ -76,9 +76,42 @@ def test_links_against_brute_force(spark, vectors, monkeypatch, block):
 
 def test_traversal_visits_every_cell_in_reach():
     rng = np.random.default_rng(7)
-    a, b = rng.random(9), rng.random(9)
-    a[0] = b[0] = 0
-    got = vector_dedup.traverse(a, b, 0.8)
-    want = {(i, j) for i in range(9) for j in range(9) if a[i] + b[j] <= 0.8}
-    sums = [a[i] + b[j] for i, j in got]
-    assert set(got) == want and len(got) == len(want) and sums == sorted(sums)
+    a, b = rng.random((20, 9)), rng.random((20, 9))
+    own_a, own_b = rng.integers(0, 9, 20), rng.integers(0, 9, 20)
+    a[np.arange(20), own_a] = b[np.arange(20), own_b] = 0
+    vector, code, prefix, sequence = vector_dedup.traverse(a, b, 0.8)
+    got = [(v, i, j) for v, i, n in zip(vector, code, prefix, strict=True) for j in sequence[v, :n]]
+    want = {(v, i, j) for v in range(20) for i in range(9) for j in range(9) if a[v, i] + b[v, j] <= 0.8}
+    assert set(got) == want and len(got) == len(want)
+    vector, code, count, second = vector_dedup.visits(own_a, own_b, a, b, 0.8)
+    at = np.repeat(np.arange(len(vector)), count)
+    ahead = {(v, i, j) for v, i, j in want if (i, j) >= (own_a[v], own_b[v])}
+    assert set(zip(vector[at], code[at], second, strict=True)) == ahead
+
+
+def test_links_of_one_id_with_several_vectors(spark):
+    """Rows that share a vec_id with other vectors or labels are vectors of their own."""
+    a, b = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    rows = [(1, a, 0), (1, b, 0), (2, b, 0), (3, a, 1), (3, a, 0), (4, [1.0, 0.001, 0.0, 0.0], 1)]
+    got = [(r.vec_id, r.n_links, r.component_id, r.kept) for r in vector_dedup.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()]
+    assert sorted(got) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (3, 1, 3, True), (4, 1, 3, False)]
+
+
+def test_links_at_the_threshold_are_decided_on_the_originals(spark):
+    x = [3.0, 4.0, 0.0, 0.0]  # cosine with the first axis is exactly 0.6
+    rows = [(1, [1.0, 0.0, 0.0, 0.0], 0), (2, x, 0), (3, [2.9999, 4.0, 0.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert {r.vec_id: r.n_links for r in vector_dedup.link_vectors(df, threshold=0.6).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_copies_of_a_vector_in_the_index_stay_few():
+    """The codes that a vector is sent to, and the rows that it meets, grow far slower than the table."""
+    met = []
+    for n in (4000, 16000):
+        x = vector_dedup.unit(np.random.default_rng(n).normal(size=(n, 64)))
+        books = [vector_dedup.codebook(y[:2000], int(np.sqrt(n))) for y in (x[:, :32], x[:, 32:])]
+        (a, far_a), (b, far_b) = (vector_dedup.least_squares_away(y, c) for y, c in zip((x[:, :32], x[:, 32:]), books, strict=True))
+        size = np.bincount(a * 1000 + b, minlength=10**6)
+        vector, code, count, second = vector_dedup.visits(a[:500], b[:500], far_a[:500], far_b[:500], 0.04)
+        met.append((len(vector) / 500, size[np.repeat(code, count) * 1000 + second].sum() / 500))
+    assert met[0][0] < 20 and met[1][0] < 1.6 * met[0][0] and met[1][1] < 2 * met[0][1]
