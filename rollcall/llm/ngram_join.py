@@ -1,8 +1,10 @@
 """Similarity join of documents on the Jaccard index of their word n-grams.
 
-Bands of MinHash values bring candidates together. Inside a block of candidates MinHash values are
-compared a few at a time; a pair is dropped once the posterior probability that it reaches the
-threshold is below a tolerance, and every pair that is left is verified on its whole n-gram sets.
+Documents that share a band of MinHash values meet in a bucket. There MinHash values are compared a few at
+a time; a pair is dropped once the posterior probability that it reaches the threshold is below a
+tolerance, and every pair that is left is verified on its whole n-gram sets. A pair belongs to the first
+band that it shares, so it is met once, and a document's text is sent only to buckets where a pair of
+its own is left to verify.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ HASHES = BANDS * BAND_ROWS
 _RNG = np.random.Generator(np.random.PCG64(5))
 _A = _RNG.integers(0, 2**64, HASHES, np.uint64) | np.uint64(1)
 _B = _RNG.integers(0, 2**64, HASHES, np.uint64)
-#: A block has at most about so many documents and n-grams; a larger cluster is several blocks.
+#: A block has at most about so many documents and n-grams; a larger bucket is several blocks.
 BLOCK_DOCS, BLOCK_GRAMS = 256, 400_000
 
 
@@ -118,25 +120,48 @@ def local_roots(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         root = new
 
 
-def link_block(ids: np.ndarray, side: np.ndarray, copies: np.ndarray, sigs: np.ndarray, sets: list[np.ndarray], within: bool, threshold: float, plan: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """(root id, links) of each document of one block pair: links are to documents of the other side,
-    or, ``within`` one block, of the same; a linked text counts with all its copies."""
-    if within:
-        p, q = np.triu_indices(len(ids), 1)
-    else:
-        a, b = np.flatnonzero(~side), np.flatnonzero(side)
-        p, q = np.repeat(a, len(b)), np.tile(b, len(a))
-    p, q = surviving_pairs(sigs, sigs, p, q, plan)
-    size = np.array([len(s) for s in sets])
-    both = common_grams(sets, p, q)
-    linked = both / np.maximum(size[p] + size[q] - both, 1) >= threshold
-    p, q = p[linked], q[linked]
-    links = np.bincount(p, copies[q], len(ids)) + np.bincount(q, copies[p], len(ids))
-    return ids[local_roots(len(ids), p, q)], links.astype(np.int64)
+def block_pairs(sigs: np.ndarray, side: np.ndarray, within: bool, band: int, plan: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of one bucket's block pair that comparison leaves, some rows of the first block at a
+    time. Pairs are across the blocks, or, ``within`` one block, inside it; those that share a band before
+    ``band`` belong to that band's bucket."""
+    a = np.arange(len(sigs)) if within else np.flatnonzero(~side)
+    b = a if within else np.flatnonzero(side)
+    for lo in range(0, len(a), max(1, 200_000 // max(1, len(b)))):
+        rows = a[lo : lo + max(1, 200_000 // max(1, len(b)))]
+        p, q = np.repeat(rows, len(b)), np.tile(b, len(rows))
+        if within:
+            p, q = p[p < q], q[p < q]
+        p, q = surviving_pairs(sigs, sigs, p, q, plan)
+        for k in range(band):
+            other = (sigs[p, k * BAND_ROWS : (k + 1) * BAND_ROWS] != sigs[q, k * BAND_ROWS : (k + 1) * BAND_ROWS]).any(1)
+            p, q = p[other], q[other]
+        yield p, q
+
+
+def link_block(pairs: Iterator[tuple[np.ndarray, np.ndarray]], copies: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest position reached, links) of each document of a unit; a linked text counts with all its copies."""
+    size, links = np.array([len(s) for s in sets]), np.zeros(len(sets), np.int64)
+    ps, qs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for p, q in pairs:
+        if not len(p):
+            continue
+        both = common_grams(sets, p, q)
+        linked = both / np.maximum(size[p] + size[q] - both, 1) >= threshold
+        p, q = p[linked], q[linked]
+        np.add.at(links, p, copies[q])
+        np.add.at(links, q, copies[p])
+        root = local_roots(len(sets), p, q)
+        ps.append(np.flatnonzero(root != np.arange(len(sets))))
+        qs.append(root[ps[-1]])
+    return local_roots(len(sets), np.concatenate(ps), np.concatenate(qs)), links
+
+
+def _stack(signatures: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(signatures), np.uint32).reshape(-1, HASHES)
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, c1, c2 (hash of the n-gram set), n_grams, signature, bands of each row, by scanning only.
+    """doc_id, h (hash of the text), c1, c2 (of the n-gram set), n_grams, signature, bands of each row, by scanning only.
 
     c1, c2 and bands are null for rows without a word or without doc_id; they link with nothing."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -158,86 +183,105 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 sig.append(own.tobytes())
                 bands.append(band_keys(own))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(size, pa.int64()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "c1", "c2", "n_grams", "signature", "bands"],
+                [ids, piece.column("h").combine_chunks(), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(size, pa.int64()), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "h", "c1", "c2", "n_grams", "signature", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, c1 long, c2 long, n_grams long, signature binary, bands array<long>")
-
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(scan, f"doc_id {kind}, h long, c1 long, c2 long, n_grams long, signature binary, bands array<long>")
 
-def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float = 1e-6) -> DataFrame:
-    """doc_id, group_id, n_links, kept for every row of ``docs`` (doc_id, text; others are ignored).
-
-    Two documents are linked if the Jaccard index of their sets of ``n``-word sequences is at least
-    ``threshold``; a text of fewer words counts as one sequence. ``n_links`` is the number of other rows
-    linked directly, ``group_id`` the smallest doc_id reachable by links, ``kept`` whether it is the row's own.
-    Texts that are null, empty or blank, and rows without doc_id, link with nothing and are kept. Repeated
-    rows are copies of each other. An empty table gives an empty result.
 
-    Equal n-gram sets are one class, and only one document of a class goes on. Documents that share a
-    band of MinHash values form clusters; a cluster is cut into blocks, every pair of blocks of a
-    cluster is one unit of work, and a unit gives back one row for each document, never pairs. So a large cluster
-    spreads over many tasks, nothing is capped, and links inside a cluster are all found.
-    """
+def decide(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float = 1e-6) -> DataFrame:
+    """What ``jaccard_join`` gives, with ``h`` (hash of the row's own text), c1 and c2 (of its n-gram set, null
+    without words or doc_id), so that rows of one doc_id with different texts can be told apart."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
     plan = least_matches(threshold, tolerance)
     seen = stash(signatures(docs, n))
-    classes = stash(seen.filter("c1 is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
-    reps = seen.join(classes.select(F.col("rep").alias("doc_id"), "copies", F.col("c1").alias("r1"), F.col("c2").alias("r2")), "doc_id")
-    reps = stash(reps.filter("c1 = r1 and c2 = r2").dropDuplicates(["doc_id"]).select("doc_id", "copies", "n_grams", "signature", "bands"))
-
-    rows = reps.select("doc_id", F.explode("bands").alias("band"))
-    first = rows.groupBy("band").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("band", "first")
-    shared = rows.join(stash(first), "band").filter("doc_id <> first").select("doc_id", "first").distinct()
-    cluster = stash(connected_components(shared, "doc_id", "first"))
-
-    members = stash(cluster.select(F.col("id").alias("doc_id"), F.col("component").alias("cluster")).join(reps.drop("bands"), "doc_id"))
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n_grams").alias("grams"))
-    blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
-    sizes = stash(sizes.select("cluster", "docs", blocks.alias("blocks")))
-    placed = members.join(sizes.drop("docs"), "cluster").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    # a document goes to as many units as its cluster has blocks; a task's group is some 300 of these rows
-    work = max(1, (sizes.agg(F.sum(F.col("docs") * F.col("blocks"))).first()[0] or 0) // 300)
-
-    texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    full = stash(placed).join(texts, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    full = full.select(
-        "doc_id", "cluster", "copies", "signature", "text", "block",
-        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-    )
-    full = full.withColumn("unit", F.pmod(F.xxhash64("cluster", "low", "high"), F.lit(work)))
+    classes = stash(seen.filter("c1 is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.any_value("n_grams").alias("n_grams")))
+
+    # one row of each class goes on; equal rows of its smallest doc_id are interchangeable
+    chosen = seen.join(classes.select("c1", "c2", F.col("rep").alias("doc_id"), "copies"), ["c1", "c2", "doc_id"]).dropDuplicates(["c1", "c2"])
+    reps = stash(chosen.select("c1", "c2", "doc_id", "h", "copies", "n_grams", "signature", "bands"))
+    rows = reps.select("c1", "c2", "n_grams", F.posexplode("bands").alias("band", "bucket"))
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams")).filter("n > 1")
+    sizes = stash(sizes.select("bucket", "n", F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int").alias("blocks")))
+    met = rows.join(sizes, "bucket").withColumn("block", F.pmod("c2", "blocks").cast("int"))
+    work = max(1, (sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) // 2000)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    met = met.select("c1", "c2", "band", "bucket", "block", other).join(reps.select("c1", "c2", "doc_id", "signature"), ["c1", "c2"])
+    met = met.select("c1", "c2", "doc_id", "signature", "band", "bucket", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    met = met.withColumn("unit", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(work)))
+
+    def parts(frame: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+        for (_, low, high), own in frame.groupby(["bucket", "low", "high"], sort=False):
+            own = own.sort_values(["doc_id", "c1", "c2"])
+            yield own, block_pairs(_stack(own["signature"]), (own["block"] == high).to_numpy(), low == high, int(own["band"].iloc[0]), plan)
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        """The documents of each block pair that have a pair left."""
+        out = []
+        for own, pairs in parts(frame):
+            left = np.zeros(len(own), bool)
+            for p, q in pairs:
+                left[p] = left[q] = True
+            out.append(own.loc[left, ["c1", "c2", "band", "bucket", "block", "low", "high"]])
+        return pd.concat(out)
+
+    place = "c1 long, c2 long, band int, bucket long, block int, low int, high int"
+    left = stash(met.groupBy("unit").applyInPandas(compare, place))
+
+    work = max(1, left.count() // 300)
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).filter("doc_id is not null")
+    wanted = left.join(reps.drop("bands", "n_grams"), ["c1", "c2"])
+    full = wanted.join(texts, ["doc_id", "h"]).withColumn("unit", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(work)))
 
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        frame = frame.drop_duplicates(["cluster", "low", "high", "doc_id"])
-        for (_, low, high), own in frame.groupby(["cluster", "low", "high"], sort=False):
-            ids = own["doc_id"].to_numpy()
-            order = np.argsort(ids)
-            own, ids = own.iloc[order], ids[order]
-            sigs = np.stack([np.frombuffer(s, np.uint32) for s in own["signature"]])
+        for own, pairs in parts(frame.drop_duplicates(["bucket", "low", "high", "c1", "c2"])):
             sets = list(gram_sets(pa.chunked_array([pa.array(own["text"], pa.string())]), n))
-            side = (own["block"] == high).to_numpy()
-            root, links = link_block(ids, side, own["copies"].to_numpy(), sigs, sets, low == high, threshold, plan)
-            keep = links > 0
-            out.append(pd.DataFrame({"doc_id": ids[keep], "root": root[keep], "links": links[keep]}))
-        return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "root": [], "links": []})
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    linked = stash(full.groupBy("unit").applyInPandas(verify, f"doc_id {kind}, root {kind}, links long"))
-    groups = connected_components(linked.select("doc_id", "root"), "doc_id", "root")
-    links = linked.groupBy("doc_id").agg(F.sum("links").alias("links"))
-    decided = classes.join(links.withColumnRenamed("doc_id", "rep"), "rep", "left").join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    decided = stash(decided.select("c1", "c2", F.coalesce("component", "rep").alias("group_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    out = seen.select("doc_id", "c1", "c2").join(decided, ["c1", "c2"], "left")
+            root, links = link_block(pairs, own["copies"].to_numpy(), sets, threshold)
+            key = own[["doc_id", "c1", "c2"]].reset_index(drop=True)
+            both = pd.concat([key, key.iloc[root].add_prefix("to_").reset_index(drop=True)], axis=1).assign(links=links)
+            out.append(both[links > 0])
+        return pd.concat(out)
+
+    linked = stash(full.groupBy("unit").applyInPandas(verify, f"doc_id {kind}, c1 long, c2 long, to_doc_id {kind}, to_c1 long, to_c2 long, links long"))
+    to = F.struct(F.col("to_doc_id").alias("doc_id"), F.col("to_c1").alias("c1"), F.col("to_c2").alias("c2"))
+    groups = connected_components(linked.select(F.struct("doc_id", "c1", "c2").alias("node"), to.alias("to")), "node", "to").select("id.c1", "id.c2", "component")
+    links = linked.groupBy("c1", "c2").agg(F.sum("links").alias("links"))
+    decided = classes.join(links, ["c1", "c2"], "left").join(groups, ["c1", "c2"], "left")
+    first = F.coalesce("component", F.struct(F.col("rep").alias("doc_id"), "c1", "c2"))
+    decided = decided.select("c1", "c2", first.alias("first"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    decided = stash(decided.select("c1", "c2", "n_links", F.col("first.doc_id").alias("group_id"), ((F.col("first.c1") == F.col("c1")) & (F.col("first.c2") == F.col("c2"))).alias("top")))
+    out = seen.select("doc_id", "h", "c1", "c2").join(decided, ["c1", "c2"], "left")
     return out.select(
-        "doc_id",
+        "doc_id", "h", "c1", "c2",
         F.coalesce("group_id", "doc_id").alias("group_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce(F.col("doc_id") == F.coalesce("group_id", "doc_id"), F.lit(True)).alias("kept"),
-    )
+        F.coalesce(F.col("top") & (F.col("doc_id") == F.col("group_id")), F.lit(True)).alias("kept"),
+    )
+
+
+def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float = 1e-6) -> DataFrame:
+    """doc_id, group_id, n_links, kept for every row of ``docs`` (doc_id, text; others are ignored).
+
+    Two documents are linked if the Jaccard index of their sets of ``n``-word sequences is at least
+    ``threshold``; a text of fewer words counts as one sequence. ``n_links`` is the number of other rows
+    linked directly, ``group_id`` the smallest doc_id reachable by links, ``kept`` whether it is the row's own.
+    Texts that are null, empty or blank, and rows without doc_id, link with nothing and are kept. Repeated
+    rows are copies of each other; rows of one doc_id with different texts are documents of their own, and of
+    those that are linked one is kept. An empty table gives an empty result.
+
+    Equal n-gram sets are one class, and only one document of a class goes on. A bucket of a band with many
+    documents is cut into blocks, every pair of blocks is a group of its own, and a group gives back one row
+    for each document, never pairs. So a large bucket spreads over many tasks, and nothing is capped.
+    """
+    return decide(docs, n, threshold, tolerance).select("doc_id", "group_id", "n_links", "kept")
 
 
 def keep_one(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``jaccard_join`` keeps, with their columns; of repeated rows, one."""
-    kept = decided.filter("kept and doc_id is not null").select("doc_id").distinct()
-    own = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return own.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    """The rows of ``docs`` that ``decide`` keeps, with their columns; of repeated rows and of texts of one
+    doc_id with equal n-grams, one."""
+    words = F.coalesce("c1", "h")
+    kept = decided.filter("kept and doc_id is not null").groupBy("doc_id", words.alias("w"), "c2").agg(F.min("h").alias("_h")).select("doc_id", "_h")
+    own = docs.withColumn("_h", F.xxhash64("text")).join(kept, ["doc_id", "_h"], "left_semi").dropDuplicates(["doc_id", "_h"])
+    return own.select(*docs.columns).unionByName(docs.filter("doc_id is null").select(*docs.columns))

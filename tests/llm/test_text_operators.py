@@ -78,7 +78,7 @@ def test_ngram_join_against_brute_force(spark, monkeypatch):
 
 
 def test_ngram_join_odd_rows(spark, odd):
-    decided = ngram_join.jaccard_join(odd)
+    decided = ngram_join.decide(odd)
     got = decided.collect()
     assert len(got) == odd.count()
     by = {r.doc_id: r for r in got}
@@ -91,6 +91,41 @@ def test_ngram_join_odd_rows(spark, odd):
     assert ngram_join.jaccard_join(empty(spark)).count() == 0
 
 
+def test_ngram_join_tells_texts_of_one_id_apart(spark):
+    base = [f"w{i}" for i in range(80)]
+    near, other = " ".join([*base[:79], "end"]), " ".join(f"v{i}" for i in range(50))
+    docs = documents(spark, [" ".join(base)]).unionByName(documents(spark, [other, near, " "])).unionByName(documents(spark, [near + " ", None], 7))
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") < 7, F.lit(0)).otherwise(F.col("doc_id")).cast("long"))
+    decided = ngram_join.decide(docs)
+    assert sorted((r.doc_id, r.group_id, r.n_links) for r in decided.collect()) == [(0, 0, 0), (0, 0, 0), (0, 0, 2), (0, 0, 2), (7, 0, 2), (8, 8, 0)]
+    kept = sorted((r.doc_id, r.text or "") for r in ngram_join.keep_one(docs, decided).collect())
+    # the other text and the blank one stay, and one of the three near copies
+    assert len(kept) == 4 and (0, other) in kept and (0, " ") in kept and (8, "") in kept
+    assert sum(t in (" ".join(base), near) for _, t in kept) == 1
+
+
+def test_ngram_join_of_a_chain_compares_few_pairs(spark, monkeypatch):
+    """Texts that share bands with their neighbours in a chain, but are not similar to most of it: what
+    is compared grows with the chain's length, not with its square."""
+    rng = np.random.default_rng(9)
+    words = [f"w{x}" for x in rng.integers(0, 10**6, 6000)]
+    texts = [" ".join(words[i * 20 : i * 20 + 200]) for i in range(280)]  # neighbours at 0.82, next ones at 0.67
+    links = brute_links(texts)
+    assert {len(x) for x in links} == {1, 2}
+    met = spark.sparkContext.accumulator(0)
+    plain = ngram_join.surviving_pairs
+
+    def counted(sig_a, sig_b, p, q, plan):
+        met.add(len(p))
+        return plain(sig_a, sig_b, p, q, plan)
+
+    monkeypatch.setattr(ngram_join, "surviving_pairs", counted)
+    got = {r.doc_id: r for r in ngram_join.jaccard_join(documents(spark, texts)).collect()}
+    assert [got[i].n_links for i in range(280)] == [len(x) for x in links]
+    assert {r.group_id for r in got.values()} == {0}
+    assert 0 < met.value < 280 * 60  # all pairs of the chain, twice, would be 78,120
+
+
 def test_posterior_table():
     plan = dict(ngram_join.least_matches(0.8, 1e-6))
     assert plan[ngram_join.HASHES] <= 0.8 * ngram_join.HASHES
