@@ -24,7 +24,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return ngram_join.keep_one(docs, ngram_join.jaccard_join(docs, n=5, threshold=0.8))
+    return ngram_join.keep_one(docs, ngram_join.decide(docs, n=5, threshold=0.8))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
