@@ -2,22 +2,27 @@
 
 A graph is a few flat arrays: for each layer the nodes and, for each node, a fixed number of neighbour
 positions. Layers are built from the top, nodes are inserted in batches, and a whole batch of searches
-goes through a layer in step, so that the work is numpy's. Shards' results are merged by distance.
+goes through a layer in step, so that the work is numpy's. Graphs are stored once; queries are sent to them
+in bounded blocks, and the shards' results are merged by distance.
 """
 
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from rollcall.llm.common import stash
-from rollcall.llm.vectors import common_length, matrix, usable
+from rollcall.llm.vectors import common_length, flat_matrix, usable
 
 
 @dataclass
@@ -187,7 +192,11 @@ class Hnsw:
         return out
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = 8192, links: int = 16, build_beam: int = 64, beam: int = 128) -> DataFrame:
+#: A shard has at least so many rows where there are enough; fewer make poor use of a graph.
+LEAST_ROWS = 8192
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = 131_072, links: int = 16, build_beam: int = 64, beam: int = 128, block_rows: int = 16_384) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance) of the ``k`` nearest rows of ``vectors``
     (vec_id, embedding) to each row of ``queries`` (the same columns); others are ignored.
 
@@ -196,35 +205,54 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int
     repeat a vec_id the smallest vector counts. Ties go to the smaller vec_id; with fewer candidates than
     ``k`` all are returned. Empty tables give an empty result.
 
-    Rows are dealt evenly over shards of about ``shard_rows``; a task holds one shard's graph, and
-    searches it for a block of queries. So a task's size is bounded, and a lost one is made again.
+    Rows are dealt evenly over shards: as many as the cluster has cores, as long as a shard has LEAST_ROWS
+    rows, and more if one would have over ``shard_rows`` (some 90 MB of graph at 64 dimensions). A task builds
+    the graph of one shard. Queries go to the graphs in blocks of at most ``block_rows``, which bounds what is
+    broadcast; a block's tasks read each graph once, where it lies, and no graph is shuffled or copied.
+    A shard of at most ``beam`` different vectors is scanned, as its beam would hold them all.
     """
+    spark = vectors.sparkSession
     kind = vectors.schema["vec_id"].dataType.simpleString()
     rows = vectors.select("vec_id", "embedding").filter(usable("embedding") & F.col("vec_id").isNotNull())
     dim = common_length(rows, "embedding")
     rows = rows.filter(F.size("embedding") == dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    shards = max(1, -(-rows.count() // shard_rows))
+    n = rows.count()
+    shards = max(1, -(-n // shard_rows), min(spark.sparkContext.defaultParallelism, n // LEAST_ROWS))
     asked = queries.select("vec_id", "embedding").filter(usable("embedding") & F.col("vec_id").isNotNull() & (F.size("embedding") == dim))
     asked = stash(asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding")))
-    blocks = max(1, -(-asked.count() // 4096))
-
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        graph = Hnsw(frame["vec_id"].to_numpy(), matrix(frame["embedding"], dim), links, build_beam)
-        return pd.DataFrame({"shard": frame["shard"].iloc[:1], "graph": [graph.flat()]})
-
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    index = stash(dealt.groupBy("shard").applyInPandas(build, "shard int, graph binary"))
-
-    def search(graphs: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(graphs) and len(frame):
-            graph = Hnsw.read(graphs["graph"].iloc[0])
-            found = graph.search(frame["vec_id"].to_numpy(), matrix(frame["embedding"], dim), k, beam)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
-
-    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).select("*", every)
-    held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(search, f"query_id {kind}, vec_id {kind}, score double")
+    blocks = max(1, -(-asked.count() // (block_rows // 2)))  # a hash fills blocks unevenly
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if parts:
+            whole = pa.Table.from_batches(parts)
+            graph = Hnsw(whole.column("vec_id").to_numpy(), flat_matrix(whole.column("embedding"), dim), links, build_beam)
+            yield pa.RecordBatch.from_arrays([pa.array([graph.flat()], pa.large_binary()).cast(pa.binary())], ["graph"])
+
+    dealt = rows.repartitionById(shards, F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    index = stash(dealt.mapInArrow(build, "graph binary"))
+
+    found = [spark.createDataFrame([], f"query_id {kind}, vec_id {kind}, score double")]
+    for block in range(blocks):
+        own = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).toArrow()
+        if own.num_rows:
+            sent = spark.sparkContext.broadcast((own.column("vec_id").to_numpy(), flat_matrix(own.column("embedding"), dim)))
+            found.append(stash(_search(index, sent, k, beam, kind)))
+            sent.destroy()
     best = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    every = reduce(DataFrame.unionByName, found)
+    return every.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _search(index: DataFrame, asked: Broadcast, k: int, beam: int, kind: str) -> DataFrame:
+    """The ``k`` nearest of each broadcast query in every graph."""
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, queries = asked.value
+        for frame in frames:
+            for data in frame["graph"]:
+                graph = Hnsw.read(data)
+                for lo in range(0, len(ids), 1024):
+                    yield pd.DataFrame(graph.search(ids[lo : lo + 1024], queries[lo : lo + 1024], k, beam), columns=["query_id", "vec_id", "score"])
+
+    return index.mapInPandas(search, f"query_id {kind}, vec_id {kind}, score double")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +24,9 @@ def common_length(vectors: DataFrame, vector: str) -> int:
 def matrix(column, dim: int) -> np.ndarray:
     """Vectors of a pandas column, in double precision."""
     return np.array([np.asarray(x, np.float64) for x in column]).reshape(-1, dim)
+
+
+def flat_matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Vectors of an Arrow column without nulls, in double precision."""
+    parts = [c.flatten().to_numpy(zero_copy_only=False).astype(np.float64) for c in column.chunks]
+    return (np.concatenate(parts) if parts else np.zeros(0)).reshape(-1, dim)

@@ -37,6 +37,20 @@ def test_nearest_recall(spark, vectors):
     assert got.query_id.nunique() == queries.count() and hit / total >= 0.9
 
 
+def test_nearest_recall_as_the_query_asks(spark, monkeypatch):
+    """64 dimensions without any structure and the query's own parameters; several shards, several blocks."""
+    monkeypatch.setattr(ann, "LEAST_ROWS", 2500)
+    x = np.random.default_rng(8).normal(size=(8000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = ann.nearest(df, df.filter("vec_id % 100 = 0"), k=10, block_rows=64).toPandas()
+    hit = 0
+    for q, g in got.groupby("query_id"):
+        d = ((x.astype(float) - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hit += len(set(np.argsort(d)[:10]) & set(g.vec_id))
+    assert len(got) == 800 and hit / 800 >= 0.95
+
+
 def test_nearest_odd_rows(spark, vectors):
     df, x = vectors
     got = ann.nearest(df, df.filter("vec_id in (0, 600, 1003, 2000)"), k=5).toPandas()
