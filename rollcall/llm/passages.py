@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import drop_stash, stash
 from rollcall.llm.words import gram_hashes, hash_words, mix, slices, sliding_argmin, split_words
 
-#: Words of a minimiser. Reference texts in a shard. Bits of a set of documents (4 MB at any size).
-MINIMISER, SHARD_TEXTS, FILTER_BITS = 5, 4000, 1 << 25
+#: Words of a minimiser. Reference texts in a shard.
+MINIMISER, SHARD_TEXTS = 5, 4000
+#: A stretch's windows are bits of an int, and its length has 5 bits beside its place.
+LEAST_WIDTH, MOST_WIDTH = MINIMISER, MINIMISER + 30
 
 
 def stretches(words: np.ndarray, count: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
@@ -120,22 +122,6 @@ def joined(words: pa.Array, count: np.ndarray) -> pa.Array:
     return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)], pa.int32()), words), " ")
 
 
-def _marks(ids: DataFrame) -> np.ndarray:
-    """A bit for each doc_id modulo FILTER_BITS: a set of documents that may hold more than it should,
-    never less, and has the same size however many there are."""
-    bit = F.pmod(F.col("doc_id"), F.lit(FILTER_BITS))
-    rows = ids.select(F.floor(bit / 32768).cast("int").alias("k"), (bit % 32768).alias("p")).groupBy("k").agg(F.bitmap_construct_agg("p").alias("b")).collect()
-    out = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
-    for r in rows:
-        out[r["k"]] = np.frombuffer(r["b"], np.uint8)
-    return out.ravel()
-
-
-def _marked(marks: np.ndarray, ids: pa.ChunkedArray) -> np.ndarray:
-    bit = pc.fill_null(ids, 0).to_numpy() % FILTER_BITS
-    return ((marks[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool) & ids.is_valid().to_numpy()
-
-
 def _scan(docs: DataFrame, width: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -179,15 +165,7 @@ def first_windows(docs: DataFrame, width: int) -> DataFrame:
 
 def _first_places(docs: DataFrame, several: DataFrame, width: int) -> DataFrame:
     """mini, content, docs, starts: for each window of a reference text, its first document and place."""
-    marks = _marks(several)
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches):
-            piece = piece.filter(pa.array(_marked(marks, piece.column("doc_id"))))
-            yield from piece.to_batches()
-
     own = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    own = own.mapInArrow(fetch, "doc_id long, text string")
     wanted = several.groupBy("doc_id").agg(F.collect_list(F.struct("mini", "content", "at", "part", "parts")).alias("wanted"))
     units = "mini long, content long, doc_id long, at long, part int, parts int, words string"
 
@@ -250,30 +228,18 @@ def remove_repeats(docs: DataFrame, width: int = 20, carry: tuple[str, ...] = ()
     starts earlier: in a smaller doc_id, or earlier in the same document. Windows are judged on the input.
     Null, empty and short texts lose nothing; a null text has no words. Rows without doc_id lose nothing and
     nothing is removed on their account. Repeated rows are one document, which does not precede itself.
-    Other columns are ignored, and an empty table gives an empty result.
+    Other columns are ignored, and an empty table gives an empty result. ``width`` is from LEAST_WIDTH to MOST_WIDTH.
     """
+    if not LEAST_WIDTH <= width <= MOST_WIDTH:
+        raise ValueError(f"width must be from {LEAST_WIDTH} to {MOST_WIDTH}: {width}")
     spans = first_windows(docs, width)
-    marks = _marks(spans)
     rows = docs.select("doc_id", "text", F.struct(*carry).alias("rest") if carry else F.lit(0).alias("rest"))
     kind, rest = rows.schema["doc_id"].dataType.simpleString(), rows.schema["rest"].dataType.simpleString()
 
-    def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Texts without a repeat are finished here; only the others are sent to their spans."""
-        for piece in slices(batches):
-            hit = _marked(marks, piece.column("doc_id"))
-            flat, count = split_words(piece.column("text"))
-            only = lambda mask: piece.column("text").take(pa.array(np.arange(len(mask)), mask=~mask))  # noqa: B023, E731
-            if original:
-                done = only(~hit)
-            else:
-                done = joined(flat.filter(pa.array(np.repeat(~hit, count))), np.where(hit, 0, count)).take(pa.array(np.arange(len(hit)), mask=hit))
-            out = pa.table([piece.column("doc_id"), piece.column("rest"), pa.array(count), done, only(hit), pa.array(hit)], names=["doc_id", "rest", "n_words", "kept_text", "text", "hit"])
-            yield from out.to_batches()
-
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             flat, count = split_words(piece.column("text"))
-            begin, hit = np.cumsum(count) - count, piece.column("hit").to_numpy()
+            begin = np.cumsum(count) - count
             span = piece.column("spans").combine_chunks()
             span = span if isinstance(span, pa.ListArray) else pa.concat_arrays(span.chunks)
             doc = np.repeat(np.arange(len(count)), pc.fill_null(pc.list_value_length(span), 0).to_numpy(zero_copy_only=False))
@@ -286,15 +252,16 @@ def remove_repeats(docs: DataFrame, width: int = 20, carry: tuple[str, ...] = ()
             keep = np.cumsum(cover[:-1]) == 0
             kept = np.diff(np.r_[0, np.cumsum(keep)][np.r_[0, np.cumsum(count)]])
             removed = count - kept
-            texts = joined(flat.filter(pa.array(keep)), kept)
-            texts = texts.take(pa.array(np.arange(len(hit)), mask=~hit | (original & (removed == 0))))
-            whole = piece.column("text").take(pa.array(np.arange(len(hit)), mask=~hit | (not original) | (removed > 0)))
-            kept = pc.coalesce(piece.column("kept_text"), texts, whole)
-            out = pa.table([piece.column("doc_id"), piece.column("rest"), piece.column("n_words"), pa.array(removed, pa.int64()), kept], names=["doc_id", "rest", "n_words", "n_removed", "kept_text"])
+            whole = (removed == 0) if original else np.zeros(len(count), bool)
+            words = np.repeat(~whole, count)
+            texts = joined(flat.filter(pa.array(keep & words)), np.where(whole, 0, kept))
+            if original:
+                texts = pc.if_else(pa.array(whole), piece.column("text"), texts)
+            out = pa.table([piece.column("doc_id"), piece.column("rest"), pa.array(count), pa.array(removed, pa.int64()), texts], names=["doc_id", "rest", "n_words", "n_removed", "kept_text"])
             yield from out.to_batches()
 
-    first = rows.mapInArrow(plain, f"doc_id {kind}, rest {rest}, n_words long, kept_text string, text string, hit boolean")
-    both = first.join(spans, "doc_id", "left").select("doc_id", "rest", "n_words", "kept_text", "text", "hit", "spans")
+    # whether the spans are few enough to be broadcast is left to Spark's own size check
+    both = rows.join(spans, "doc_id", "left").select("doc_id", "rest", "text", "spans")
     out = both.mapInArrow(cut_out, f"doc_id {kind}, rest {rest}, n_words long, n_removed long, kept_text string")
     return out.select("doc_id", *(["rest"] if carry else []), "n_words", "n_removed", "kept_text")
 

@@ -185,6 +185,21 @@ def test_passages_odd_rows(spark, odd):
     assert passages.remove_repeats(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("width", [5, 31, 35])
+def test_passages_of_other_widths(spark, width):
+    rng = np.random.default_rng(width)
+    shared = [f"s{i}" for i in range(60)]
+    texts = [" ".join([f"r{x}" for x in rng.integers(0, 10**6, 9)] + shared[int(rng.integers(0, 9)) :]) for _ in range(25)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in passages.remove_repeats(documents(spark, texts), width=width).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_passages(texts, width)
+
+
+def test_passages_refuse_widths_that_they_cannot_hold(spark, odd):
+    for width in (4, 36):
+        with pytest.raises(ValueError, match="width"):
+            passages.remove_repeats(odd, width=width)
+
+
 def test_automaton_knows_first_places():
     m = passages.SuffixAutomaton()
     m.add(list("abcabx"), 100)
