@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,42 +18,65 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
-    Only where the session names none (tests on one machine) is a temporary folder made.
+    Only where the session names none and runs on one machine (tests) is a temporary folder made; on a
+    cluster that is an error, as executors could not see each other's files.
     """
     folder, present = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.getCheckpointDir()
     if folder and not present:
         spark.sparkContext.setCheckpointDir(folder)
     folder = folder or present
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="rollcall-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: for small tables inside iterations; Spark removes it once unused."""
+    """Reliable checkpoint: for small tables inside iterations. Spark removes it once unused if
+    spark.cleaner.referenceTracking.cleanCheckpoints is set, else it goes with the folder."""
     scratch_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+_stashes: list[str] = []
+
+
 def stash(df: DataFrame) -> DataFrame:
     """Write a table that several later steps read to the shared folder, and read it back.
 
     Unlike a checkpoint it is columnar and compressed, so readers prune columns. Such tables stay
-    below ``<checkpoint dir>/rollcall-stash`` until the folder is purged with the job.
+    below ``<checkpoint dir>/rollcall-stash`` until ``stashes_removed`` or the purge of the folder.
     """
     path = f"{scratch_dir(df.sparkSession)}/rollcall-stash/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stashes.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def stashes_removed(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables stashed within, once what was made of them has been written."""
+    before = len(_stashes)
+    try:
+        yield
+    finally:
+        for path in _stashes[before:]:
+            delete_folder(spark, path)
+        del _stashes[before:]
+
+
 def drop_stash(*tables: DataFrame) -> None:
     """Delete stashed tables that no later step reads."""
     for df in tables:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
         for name in df.inputFiles()[:1]:
-            folder = jvm.org.apache.hadoop.fs.Path(name).getParent()
-            folder.getFileSystem(conf).delete(folder, True)
+            delete_folder(df.sparkSession, name.rsplit("/", 1)[0])
 
 
 def connected_components(edges: DataFrame, a: str = "u", b: str = "v") -> DataFrame:

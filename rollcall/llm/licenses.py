@@ -40,14 +40,36 @@ SENTENCES = {
     "this software is provided by the copyright holders and contributors as is and any express or implied warranties are disclaimed": "bsd.warranty",
     "this is free and unencumbered software released into the public domain": "unlicense.grant",
     "all rights reserved": "reserved",
+    "this program is free software": "gpl.free",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl.terms",
+    "either version 2 of the license or at your option any later version": "v2.later",
+    "either version 3 of the license or at your option any later version": "v3.later",
+    "gnu general public license version 2": "gpl2.title",
+    "licensed under the gnu general public license version 2": "gpl2.notice",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3.grant",
+    "gnu affero general public license version 3": "agpl3.title",
+    "this library is free software": "lgpl.free",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl.terms",
+    "either version 2 1 of the license or at your option any later version": "v21.later",
+    "gnu lesser general public license version 2 1": "lgpl21.title",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl2.notice",
+    "mozilla public license version 2 0": "mpl2.title",
+    "isc license": "isc.title",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc.grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc.grant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc.warranty",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "cc0.notice",
+    "cc0 1 0 universal": "cc0.title",
 }
 
 # Sentences as the cutter yields them from the published texts, where SENTENCES has another form.
 PUBLISHED = {
-    "this program is free software": "gpl.free",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3.grant",
     "gnu general public license version 3 29 june 2007": "gpl3.title",
     "gnu lesser general public license version 3 29 june 2007": "lgpl3.title",
+    "gnu general public license version 2 june 1991": "gpl2.title",
+    "gnu affero general public license version 3 19 november 2007": "agpl3.title",
+    "gnu lesser general public license version 2 1 february 1999": "lgpl21.title",
     "apache license version 2 0 january 2004 http www apache org licenses": "apache2.title",
     "this work is licensed under a creative commons attribution sharealike 4 0 international license": "ccbysa4.notice",
     "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd.warranty",
@@ -65,9 +87,25 @@ RULES = (
     ("Apache-2.0", "apache", ("apache2.notice",)),
     ("Apache-2.0", "apache", ("apache2.title",)),
     ("GPL-3.0-or-later", "gpl", ("gpl3.grant",)),
+    ("GPL-3.0-or-later", "gpl", ("gpl.terms", "v3.later")),
+    ("GPL-2.0-or-later", "gpl", ("gpl.terms", "v2.later")),
     ("GPL-3.0-only", "gpl", ("gpl3.notice",)),
+    ("GPL-2.0-only", "gpl", ("gpl2.notice",)),
     ("GPL-3.0-only", "gpl", ("gpl3.title",)),
+    ("GPL-2.0-only", "gpl", ("gpl2.title",)),
+    ("AGPL-3.0-or-later", "agpl", ("agpl3.grant",)),
+    ("AGPL-3.0-only", "agpl", ("agpl3.title",)),
+    ("LGPL-2.1-or-later", "lgpl", ("lgpl.terms", "v21.later")),
+    ("LGPL-3.0-or-later", "lgpl", ("lgpl.terms", "v3.later")),
     ("LGPL-3.0-only", "lgpl", ("lgpl3.title",)),
+    ("LGPL-2.1-only", "lgpl", ("lgpl21.title",)),
+    ("MPL-2.0", "mpl", ("mpl2.notice",)),
+    ("MPL-2.0", "mpl", ("mpl2.title",)),
+    ("ISC", "isc", ("isc.grant", "isc.warranty")),
+    ("ISC", "isc", ("isc.grant",)),
+    ("ISC", "isc", ("isc.title",)),
+    ("CC0-1.0", "cc", ("cc0.notice",)),
+    ("CC0-1.0", "cc", ("cc0.title",)),
     ("CC-BY-NC-4.0", "cc", ("ccbync4.notice",)),
     ("CC-BY-SA-4.0", "cc", ("ccbysa4.notice",)),
     ("CC-BY-4.0", "cc", ("ccby4.notice",)),
@@ -79,7 +117,7 @@ RULES = (
 )
 
 #: Every known sentence holds one of these, so a text without any has no known sentence.
-CUES = "licen[cs]e|permission|copyright|software|redistribut|reserved"
+CUES = "licen[cs]e|permission|copyright|software|redistribut|reserved|cc0"
 
 
 #: The known sentences within a normalised piece: whole lines of it, the longest first.

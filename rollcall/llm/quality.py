@@ -150,22 +150,24 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes
     return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
 
 
-def learn_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_bytes: int = 100_000) -> Crf | None:
+def learn_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 4000, max_bytes: int = 100_000, max_lines: int = 400) -> Crf | None:
     """The field learnt from a bounded sample; None without any labelled line.
 
     ``labels`` has doc_id and quality (0 or 1; nulls are left out, of several for a document the
-    smallest counts). Features are made in the tasks; the driver fits on at most max_rows documents.
+    smallest counts). Features are made in the tasks; the driver fits on at most ``max_rows`` documents of
+    at most ``max_bytes`` and ``max_lines`` non-blank lines (13 floats each), so on some 80 MB at most.
+    Labels are of documents, and a document's lines all carry its label.
     """
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
             x, size, count = line_features(piece.column("text"))
             end = np.cumsum(count)
-            rows = [x[e - c : e].astype(np.float32).tobytes() for c, e in zip(count, end, strict=True)]
+            rows = [x[e - c : e].astype(np.float32).tobytes() if c <= max_lines else None for c, e in zip(count, end, strict=True)]
             yield pa.RecordBatch.from_arrays([piece.column("doc_id").combine_chunks(), pc.cast(piece.column("y"), pa.int32()).combine_chunks(), pa.array(rows, pa.binary())], ["doc_id", "y", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = training_sample(docs, labels, max_rows, max_bytes).mapInArrow(features, f"doc_id {kind}, y int, x binary").collect()
+    rows = training_sample(docs, labels, max_rows, max_bytes).mapInArrow(features, f"doc_id {kind}, y int, x binary").filter("x is not null").collect()
     rows = sorted(rows, key=lambda r: r["doc_id"])
     xs = [np.frombuffer(r["x"], np.float32).reshape(-1, N).astype(float) for r in rows]
     if not sum(map(len, xs)):

@@ -135,15 +135,16 @@ def shard_documents(docs: DataFrame, n: int = 8) -> DataFrame:
     group. Law: bytes. Repeated rows stay, each with a slot of its own.
     """
     raw = F.coalesce(F.col("text"), F.lit(""))
+    # literals stand in front: behind the text a hash would follow from that of the text alone
     narrow = stash(
         docs.select(
             F.col("doc_id"),
             (F.octet_length(raw) + 1).cast("long").alias("size"),
             F.crc32(raw.cast("binary")).alias("text_crc32"),
             F.xxhash64(raw).alias("g1"),
-            F.xxhash64(raw, F.lit(1)).alias("g2"),
+            F.xxhash64(F.lit(1), raw).alias("g2"),
             F.log(F.octet_length(raw) + 1.0).alias("d_size"),
-            (F.pmod(F.xxhash64(raw, F.lit(2)), F.lit(1 << 20))).alias("d_text"),
+            (F.pmod(F.xxhash64(F.lit(2), raw), F.lit(1 << 20))).alias("d_text"),
             F.pmod(F.xxhash64("source"), F.lit(1024)).alias("d_source"),
             F.pmod(F.xxhash64("lang"), F.lit(1024)).alias("d_lang"),
         )

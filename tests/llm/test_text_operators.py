@@ -1,6 +1,7 @@
 """Operators on texts against brute force, and with odd rows."""
 
 import hashlib
+import os
 import re
 import zlib
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import chat, licenses, mixing, ngram_join, packing, passages, quality, sharding
+from rollcall.llm import chat, common, licenses, mixing, ngram_join, packing, passages, quality, sharding
 from rollcall.llm.queries import ORACLE_SQL, QUERIES, byte_bpe
 from tests.compare import duck, rows
 
@@ -387,6 +388,26 @@ def test_license_rules_with_published_texts(spark, form):
 # shards
 
 
+#: Notices and titles as published, one for each further rule.
+NOTICES = {
+    "GPL-2.0-or-later": "    This program is free software; you can redistribute it and/or modify\n    it under the terms of the GNU General Public License as published by\n    the Free Software Foundation; either version 2 of the License, or\n    (at your option) any later version.\n",
+    "GPL-3.0-or-later": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 3 of the License, or\n(at your option) any later version.\n",
+    "GPL-2.0-only": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.\n",
+    "AGPL-3.0-or-later": "    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU Affero General Public License as published\n    by the Free Software Foundation, either version 3 of the License, or\n    (at your option) any later version.\n",
+    "AGPL-3.0-only": "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n",
+    "LGPL-2.1-or-later": "    This library is free software; you can redistribute it and/or\n    modify it under the terms of the GNU Lesser General Public\n    License as published by the Free Software Foundation; either\n    version 2.1 of the License, or (at your option) any later version.\n",
+    "LGPL-2.1-only": "                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n",
+    "MPL-2.0": "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.\n",
+    "ISC": "ISC License\n\nCopyright (c) 2024, A. Nother\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.\n",
+    "CC0-1.0": "Creative Commons Legal Code\n\nCC0 1.0 Universal\n\nTo the extent possible under law, the author(s) have dedicated all copyright\nand related and neighboring rights to this software to the public domain\nworldwide. This software is distributed without any warranty.\n",
+}
+
+
+def test_license_notices_as_published(spark):
+    got = licenses_of(spark, list(NOTICES.values()))
+    assert [found for _, found in got] == list(NOTICES)
+
+
 def test_shards(spark, odd):
     rng = np.random.default_rng(4)
     texts = ["t" * int(n) + str(i % 150) for i, n in enumerate(rng.integers(1, 4000, 400))] + ["copy me"] * 40
@@ -405,6 +426,45 @@ def test_shards(spark, odd):
 # mixing
 
 
+def brute_shards(points, dims, n):
+    """Leaf of each point (weight, coordinates): boxes are cut along their widest dimension at the weight
+    nearest to the goal, without bins or passes."""
+    shard = np.zeros(len(points), int)
+
+    def split(rows, first, leaves):
+        if leaves == 1:
+            shard[rows] = first
+            return
+        w = points["w"].to_numpy()[rows].astype(float)
+        at = {d: points[d].to_numpy()[rows] / sharding.SPAN for d in dims}
+        wide = max(dims, key=lambda d: ((w * at[d] ** 2).sum() / w.sum() - ((w * at[d]).sum() / w.sum()) ** 2, -dims.index(d)))
+        order = rows[np.argsort(points[wide].to_numpy()[rows])]
+        goal, total, left = w.sum() * (leaves // 2) / leaves, 0.0, len(order)
+        for k, r in enumerate(order):
+            more = points["w"].iloc[r]
+            if total + more >= goal:
+                left = k + 1 if total + more - goal < goal - total else k
+                break
+            total += more
+        split(order[:left], first, leaves // 2)
+        split(order[left:], first + leaves // 2, leaves - leaves // 2)
+
+    split(np.arange(len(points)), 0, n)
+    return shard
+
+
+@pytest.mark.parametrize("n", [2, 5, 8])
+def test_shard_cuts_against_brute_force(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, int(s), float(a), int(b)) for i, (s, a, b) in enumerate(zip(rng.integers(1, 500, 300), rng.normal(size=300), rng.integers(0, 6, 300), strict=True))]
+    df = spark.createDataFrame(rows, "g long, size long, a double, b long")
+    got = sharding.kd_shards(df, ["g"], "size", ["a", "b"], n, tolerance=0.0).orderBy("g").toPandas()
+    at = df.withColumn("h2", F.xxhash64("g", F.lit(77)))
+    lo, hi = df.agg(F.min("a"), F.max("a")).first()
+    points = at.select(F.col("size").alias("w"), sharding._coordinate(F.col("a"), lo, hi).alias("a"), sharding._coordinate(F.col("b").cast("double"), 0.0, 5.0).alias("b")).orderBy("g").toPandas()
+    assert got["shard"].tolist() == brute_shards(points, ["a", "b"], n).tolist()
+
+
 def test_mixing_reaches_targets(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -541,8 +601,79 @@ def test_pack_stream_bounds():
     assert hashlib.md5(b"".join(p[2].tobytes() for _, w in out for p in w.pieces)).hexdigest()
 
 
+def stage(name):
+    import corpus_pipeline
+
+    return dict(corpus_pipeline.STAGES)[name]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
-    out = corpus_pipeline.run(spark, FOLDER).toPandas()
-    assert len(corpus_pipeline.STAGES) == 5 and len(out) and (out.groupby("sequence_id").length.sum() <= 2048).all()
+    folder = f"{common.scratch_dir(spark)}/rollcall-pipeline"
+    out = corpus_pipeline.run(spark, FOLDER)
+    assert len(corpus_pipeline.STAGES) == 5
+    got = out.toPandas()
+    assert len(got) and (got.groupby("sequence_id").length.sum() <= 2048).all()
+    # only the last stage's table is left of the run
+    assert [os.listdir(f"{folder}/{x}") for x in os.listdir(folder)] == [["4"]]
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").cache()
+    pdf = docs.orderBy("doc_id").toPandas()
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").filter(~quality.held_out())
+    scores = quality.text_scores(pa.chunked_array([pa.array(pdf.text, pa.string())]), quality.learn_quality(docs, labels))
+    good = stage("quality classifier")(spark, docs, FOLDER)
+    assert good.columns == docs.columns and sorted(r.doc_id for r in good.collect()) == pdf.doc_id[scores >= 0.7].tolist()
+
+    root = groups(brute_links(pdf.text))
+    one = stage("n-gram Jaccard join")(spark, docs, FOLDER)
+    assert one.columns == docs.columns and sorted(r.doc_id for r in one.collect()) == [d for k, d in enumerate(pdf.doc_id) if root[k] == k]
+
+    cut = stage("substring dedup")(spark, docs, FOLDER).orderBy("doc_id").toPandas()
+    want = brute_passages(pdf.text)
+    assert cut.columns.tolist() == docs.columns and [t.split() for t in cut.text] == [w[2].split() for w in want]
+    assert all(a == b for a, b, w in zip(cut.text, pdf.text, want, strict=True) if not w[1])
+
+    mixed = stage("mixing sources to target weights")(spark, docs, FOLDER)
+    times = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    from rollcall.llm.queries import TARGETS, language_labels
+
+    plan = mixing.plan_mix(docs, language_labels(spark, FOLDER), TARGETS)
+    assert mixed.columns == docs.columns and times == {r.doc_id: r.copies for r in plan.collect()} and min(times.values()) >= 1
+
+    packed = stage("packing")(spark, docs, FOLDER).toPandas()
+    check_packing(packed, dict(zip(pdf.doc_id, pdf.text, strict=True)))
+
+
+def test_pipeline_stages_with_odd_rows(spark, odd):
+    """Nulls, empty and long texts, repeated rows, no rows, and columns named as the stages name their own."""
+    import corpus_pipeline
+
+    clash = odd.withColumns({c: F.lit("mine") for c in ("_h", "h", "row", "rest", "k", "p", "rate", "copies", "spans", "kept", "y", "x", "domain")})
+    for docs in (clash, clash.filter("false")):
+        for name, own in corpus_pipeline.STAGES:
+            out = own(spark, docs, FOLDER)
+            if name != "packing":
+                assert out.columns == docs.columns
+                assert {r._h for r in out.collect()} <= {"mine"}
+            docs = spark.createDataFrame(out.collect(), out.schema) if name != "packing" else docs
+        assert out.agg(F.coalesce(F.max("length"), F.lit(0))).first()[0] <= 2048
+
+
+def test_no_folder_of_one_machine_on_a_cluster(monkeypatch):
+    class Elsewhere:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Elsewhere()
+
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.scratch_dir(Session())
