@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rollcall.llm import mixing, ngram_join, packing, passages, quality
-from rollcall.llm.common import scratch_dir, table
+from rollcall.llm.common import delete_folder, scratch_dir, stashes_removed, table
 from rollcall.llm.queries import GOOD, TARGETS, byte_bpe, language_labels
 
 
@@ -55,10 +55,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``, with a Parquet table between each two."""
+    """All stages over the documents of ``sf_dir``, with a Parquet table between each two.
+
+    A stage's own tables go once its result is written, and that goes once the next stage has read it.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{scratch_dir(spark)}/rollcall-pipeline/{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        with stashes_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            delete_folder(spark, f"{folder}/{k - 1}")
     return docs
