@@ -120,36 +120,44 @@ def local_roots(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         root = new
 
 
-def block_pairs(sigs: np.ndarray, side: np.ndarray, within: bool, band: int, plan: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The pairs of one bucket's block pair that comparison leaves, some rows of the first block at a
-    time. Pairs are across the blocks, or, ``within`` one block, inside it; those that share a band before
-    ``band`` belong to that band's bucket."""
-    a = np.arange(len(sigs)) if within else np.flatnonzero(~side)
-    b = a if within else np.flatnonzero(side)
-    for lo in range(0, len(a), max(1, 200_000 // max(1, len(b)))):
-        rows = a[lo : lo + max(1, 200_000 // max(1, len(b)))]
-        p, q = np.repeat(rows, len(b)), np.tile(b, len(rows))
-        if within:
-            p, q = p[p < q], q[p < q]
-        p, q = surviving_pairs(sigs, sigs, p, q, plan)
-        for k in range(band):
-            other = (sigs[p, k * BAND_ROWS : (k + 1) * BAND_ROWS] != sigs[q, k * BAND_ROWS : (k + 1) * BAND_ROWS]).any(1)
+#: Pairs of signatures compared at once.
+PAIRS = 200_000
+
+
+def block_pairs(sigs: np.ndarray, start: np.ndarray, side: np.ndarray, within: np.ndarray, band: np.ndarray, plan: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs that comparison leaves, PAIRS or so at a time. Rows lie in groups, one for each pair of blocks
+    of a bucket, that begin at ``start``; pairs are inside a group, of rows of different ``side`` unless it
+    is one block ``within`` itself. Pairs that share a band before the row's belong to that band's bucket."""
+    end = np.repeat(np.r_[start[1:], len(sigs)], np.diff(np.r_[start, len(sigs)]))
+    after = end - np.arange(len(sigs)) - 1  # rows of the group behind each row
+    total, lo = np.cumsum(after), 0
+    while lo < len(sigs):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS, "right")))
+        p = np.repeat(np.arange(lo, hi), after[lo:hi])
+        q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(after[lo:hi]) - after[lo:hi], after[lo:hi])
+        cross = within[p] | (side[p] != side[q])
+        p, q = surviving_pairs(sigs, sigs, p[cross], q[cross], plan)
+        for k in range(int(band[p].max(initial=0))):
+            other = (band[p] <= k) | (sigs[p, k * BAND_ROWS : (k + 1) * BAND_ROWS] != sigs[q, k * BAND_ROWS : (k + 1) * BAND_ROWS]).any(1)
             p, q = p[other], q[other]
         yield p, q
+        lo = hi
 
 
-def link_block(pairs: Iterator[tuple[np.ndarray, np.ndarray]], copies: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def link_block(pairs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], copies: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(smallest position reached, links) of each document of a unit; a linked text counts with all its copies."""
     size, links = np.array([len(s) for s in sets]), np.zeros(len(sets), np.int64)
     ps, qs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for p, q in pairs:
-        if not len(p):
-            continue
-        both = common_grams(sets, p, q)
+    for p, q, start in pairs:
+        # pairs come in the order of their groups, and a group's texts are counted together
+        cuts = np.flatnonzero(np.diff(np.searchsorted(start, p, "right"), prepend=-1))
+        both = np.zeros(len(p), np.int64)
+        for lo, hi in zip(cuts, np.r_[cuts[1:], len(p)], strict=True):
+            base, top = int(p[lo]), int(q[lo:hi].max()) + 1
+            both[lo:hi] = common_grams(sets[base:top], p[lo:hi] - base, q[lo:hi] - base)
         linked = both / np.maximum(size[p] + size[q] - both, 1) >= threshold
         p, q = p[linked], q[linked]
-        np.add.at(links, p, copies[q])
-        np.add.at(links, q, copies[p])
+        links += np.bincount(p, copies[q], len(sets)).astype(np.int64) + np.bincount(q, copies[p], len(sets)).astype(np.int64)
         root = local_roots(len(sets), p, q)
         ps.append(np.flatnonzero(root != np.arange(len(sets))))
         qs.append(root[ps[-1]])
@@ -211,20 +219,21 @@ def decide(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float
     met = met.select("c1", "c2", "doc_id", "signature", "band", "bucket", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     met = met.withColumn("unit", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(work)))
 
-    def parts(frame: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, Iterator[tuple[np.ndarray, np.ndarray]]]]:
-        for (_, low, high), own in frame.groupby(["bucket", "low", "high"], sort=False):
-            own = own.sort_values(["doc_id", "c1", "c2"])
-            yield own, block_pairs(_stack(own["signature"]), (own["block"] == high).to_numpy(), low == high, int(own["band"].iloc[0]), plan)
+    def ordered(frame: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+        """The rows by group and id, where groups begin, and the pairs that are left."""
+        frame = frame.sort_values(["bucket", "low", "high", "doc_id", "c1", "c2"]).reset_index(drop=True)
+        key = frame[["bucket", "low", "high"]].to_numpy()
+        start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
+        low, high, block, band = (frame[c].to_numpy() for c in ("low", "high", "block", "band"))
+        return frame, start, block_pairs(_stack(frame["signature"]), start, block == high, low == high, band, plan)
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         """The documents of each block pair that have a pair left."""
-        out = []
-        for own, pairs in parts(frame):
-            left = np.zeros(len(own), bool)
-            for p, q in pairs:
-                left[p] = left[q] = True
-            out.append(own.loc[left, ["c1", "c2", "band", "bucket", "block", "low", "high"]])
-        return pd.concat(out)
+        own, _, pairs = ordered(frame)
+        left = np.zeros(len(own), bool)
+        for p, q in pairs:
+            left[p] = left[q] = True
+        return own.loc[left, ["c1", "c2", "band", "bucket", "block", "low", "high"]]
 
     place = "c1 long, c2 long, band int, bucket long, block int, low int, high int"
     left = stash(met.groupBy("unit").applyInPandas(compare, place))
@@ -235,14 +244,12 @@ def decide(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float
     full = wanted.join(texts, ["doc_id", "h"]).withColumn("unit", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(work)))
 
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for own, pairs in parts(frame.drop_duplicates(["bucket", "low", "high", "c1", "c2"])):
-            sets = list(gram_sets(pa.chunked_array([pa.array(own["text"], pa.string())]), n))
-            root, links = link_block(pairs, own["copies"].to_numpy(), sets, threshold)
-            key = own[["doc_id", "c1", "c2"]].reset_index(drop=True)
-            both = pd.concat([key, key.iloc[root].add_prefix("to_").reset_index(drop=True)], axis=1).assign(links=links)
-            out.append(both[links > 0])
-        return pd.concat(out)
+        own, start, pairs = ordered(frame.drop_duplicates(["bucket", "low", "high", "c1", "c2"]))
+        sets = list(gram_sets(pa.chunked_array([pa.array(own["text"], pa.string())]), n))
+        root, links = link_block(((p, q, start) for p, q in pairs), own["copies"].to_numpy(), sets, threshold)
+        key = own[["doc_id", "c1", "c2"]]
+        both = pd.concat([key, key.iloc[root].add_prefix("to_").reset_index(drop=True)], axis=1).assign(links=links)
+        return both[links > 0]
 
     linked = stash(full.groupBy("unit").applyInPandas(verify, f"doc_id {kind}, c1 long, c2 long, to_doc_id {kind}, to_c1 long, to_c2 long, links long"))
     to = F.struct(F.col("to_doc_id").alias("doc_id"), F.col("to_c1").alias("c1"), F.col("to_c2").alias("c2"))
@@ -282,6 +289,7 @@ def keep_one(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``decide`` keeps, with their columns; of repeated rows and of texts of one
     doc_id with equal n-grams, one."""
     words = F.coalesce("c1", "h")
-    kept = decided.filter("kept and doc_id is not null").groupBy("doc_id", words.alias("w"), "c2").agg(F.min("h").alias("_h")).select("doc_id", "_h")
-    own = docs.withColumn("_h", F.xxhash64("text")).join(kept, ["doc_id", "_h"], "left_semi").dropDuplicates(["doc_id", "_h"])
-    return own.select(*docs.columns).unionByName(docs.filter("doc_id is null").select(*docs.columns))
+    kept = decided.filter("kept and doc_id is not null").groupBy("doc_id", words.alias("w"), "c2").agg(F.min("h").alias("h")).select("doc_id", "h")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct("*").alias("row"))
+    own = rows.join(kept, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
+    return own.unionByName(rows.filter("doc_id is null")).select("row.*")
