@@ -22,7 +22,7 @@ def _day():
 def pending_matrix(df: DataFrame, floor: str, limit: int) -> str:
     rows = df.filter("viebit_filename is not null and event_date is not null")
     rows = registry.pending(rows, floor, TODO, _day()).orderBy(_day(), "meeting_key").limit(limit)
-    return writers.matrix(rows, "meeting_key")
+    return writers.matrix(rows, "meeting_key", limit=limit)
 
 
 def status(df: DataFrame, limit: int) -> DataFrame:

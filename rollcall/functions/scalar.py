@@ -145,16 +145,24 @@ def params_hash(**params: Column) -> Column:
 
 
 def reply_text(body: Column) -> Column:
-    """Text of a model's reply: a tool call's arguments, else a list of parts or plain content."""
+    """Text of a model's reply: a tool call's arguments, else a list of text parts, bare strings among them, or
+    plain content. A refusal and a reply without text are null; ``refusal`` tells them apart."""
     message = "$.choices[0].message"
-    parts = F.from_json(F.get_json_object(body, f"{message}.content"), "array<struct<text string>>")
+    content = F.get_json_object(body, f"{message}.content")
+    part = lambda p: F.when(p.rlike(r"^\s*\{"), F.when(F.coalesce(F.get_json_object(p, "$.type"), F.lit("text")) == "text", F.get_json_object(p, "$.text"))).otherwise(p)
+    parts = F.transform(F.from_json(content, "array<string>"), part)
+    plain = F.when(content.rlike(r"^\s*\["), F.array_join(F.array_compact(parts), "")).otherwise(content)
     return F.coalesce(
         blank_to_null(F.get_json_object(body, f"{message}.tool_calls[0].function.arguments")),
-        blank_to_null(F.array_join(F.transform(parts, lambda p: p.text), "")),
-        blank_to_null(F.get_json_object(body, f"{message}.content")),
+        F.when(refusal(body).isNull(), blank_to_null(plain)),
     )
 
 
+def refusal(body: Column) -> Column:
+    """Why the model gave no reply; null if it gave one."""
+    return blank_to_null(F.get_json_object(body, "$.choices[0].message.refusal"))
+
+
 def cached_tokens(usage: Column) -> Column:
     paths = ("$.prompt_tokens_details.cached_tokens", "$.cached_tokens", "$.cached_content_token_count")
     return F.coalesce(*[F.get_json_object(usage, p).try_cast("long") for p in paths], F.lit(0))

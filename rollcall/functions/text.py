@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,19 +61,26 @@ def time_slug(c: Column) -> Column:
     return F.when(c.rlike(pattern), F.concat(F.lpad(hour, 2, "0"), minute, F.lit("-"), F.lower(half))).otherwise(slug(c))
 
 
-# Units after which a split number is a decimal.
-NUMERIC_UNITS = "%|(?:percent|billion|million|thousand|trillion|bn|mm?)\\b"
+# Units after which a split number is a decimal, and the places where one is split.
+NUMERIC_UNITS = r"(?:%|(?:percent|billion|million|thousand|trillion|bn|mm?)\b)"
+SPLIT_DECIMALS = (r"(\d)\s+\.(\d)", rf"(?i)(\d)\.\s+(\d+\s*{NUMERIC_UNITS})", r"(\d)\.\s+(\d+\.\d)")
 
 
-def repair_decimals(c: Column, passes: int = 4) -> Column:
-    """Rejoins decimals that speech recognition split ('$1. 5 billion'). A pass mends one more link of
-    a chain; text that is settled passes through unchanged."""
+def repair_decimals(c: Column) -> Column:
+    """Rejoins decimals that speech recognition split ('$1. 5 billion'), until no split one is left. A
+    link that is mended can show the next one of its chain of digits and points, so the text is gone over
+    as often as its longest chain has points; texts without a chain are not searched again."""
+
+    def mend(text: Column, _: Column) -> Column:
+        for pattern in SPLIT_DECIMALS:
+            text = F.regexp_replace(text, pattern, "$1.$2")
+        return text
+
     text = F.coalesce(c, F.lit(""))
-    for _ in range(passes):
-        text = F.regexp_replace(text, r"(\d)\s+\.(\d)", "$1.$2")
-        text = F.regexp_replace(text, rf"(?i)(\d)\.\s+(\d+\s*(?:{NUMERIC_UNITS}))", "$1.$2")
-        text = F.regexp_replace(text, r"(\d)\.\s+(\d+\.\d)", "$1.$2")
-    return F.trim(F.regexp_replace(text, r"[ \t]+", " "))
+    chains = F.regexp_extract_all(text, F.lit(r"(\d+(?:\s*\.\s*\d+)+)"))
+    links = F.coalesce(F.array_max(F.transform(chains, lambda x: F.length(x) - F.length(F.replace(x, F.lit("."), F.lit(""))))), F.lit(0))
+    mended = F.when(links > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(links, F.lit(1))), text, mend)).otherwise(text)
+    return F.trim(F.regexp_replace(mended, r"[ \t]+", " "))
 
 
 def join_tokens(tokens: Column) -> Column:
@@ -101,7 +109,7 @@ def name_key(c: Column) -> Column:
 
 
 # Name suffixes that do not tell people apart.
-NAME_SUFFIXES = ("jr", "sr", "ii", "iii", "iv", "phd", "md", "esq")
+NAME_SUFFIXES = ("jr", "sr", "ii", "iii", "iv")
 
 
 def name_tokens(c: Column) -> Column:
@@ -124,17 +132,26 @@ def sound_code(c: Column) -> Column:
     return F.when(letters == "", F.lit("")).otherwise(F.rpad(F.concat(F.upper(F.substring(letters, 1, 1)), tail), 4, "0"))
 
 
+# Words that an organisation follows, and those that a speaker's name follows.
+ROLE_PLACES = r"(?i)\b(?:from|with|at|representing|on behalf of)\s+([^.;:]{3,100})"
+ROLE_TITLES = r"(?i)\b(?:director|president|chair|commissioner|counsel|attorney)\s+(?:of|for|at)\s+([^.;:]{3,100})"
+INTRODUCTIONS = {
+    "named": r"MY NAME IS\s+[A-Z]",
+    "two words": r"I(?:'M| AM)\s+[A-Z][A-Z'.-]+\s+[A-Z][A-Z'.-]+",
+    "place": r"(?:FROM|REPRESENTING|ON BEHALF OF)\s+[A-Z]",
+}
+INTRODUCED = r"\b(?:MY NAME IS\s+|(?:HI|HELLO|GOOD MORNING|THANK YOU)\.?\s+I'M\s+)([A-Z][A-Z'.-]*(?:\s+[A-Z][A-Z'.-]*){0,4})"
+
+
 def role_hint(speaker: Column, text: Column) -> Column:
     """Organisation named after words like 'from' or 'director of', else what follows ' - '."""
-    first = F.regexp_extract(text, r"(?i)\b(?:from|with|at|representing|on behalf of)\s+([^.;:]{3,100})", 1)
-    second = F.regexp_extract(text, r"(?i)\b(?:director|president|chair|commissioner|counsel|attorney)\s+(?:of|for|at)\s+([^.;:]{3,100})", 1)
+    told = [blank_to_null(clean_text(F.regexp_extract(text, pattern, 1))) for pattern in (ROLE_PLACES, ROLE_TITLES)]
     tail = F.when(F.contains(speaker, F.lit(" - ")), F.regexp_replace(speaker, "^.*? - ", "")).otherwise("")
-    return F.substring(F.coalesce(blank_to_null(clean_text(first)), blank_to_null(clean_text(second)), tail), 1, 120)
+    return F.substring(F.coalesce(*told, tail), 1, 120)
 
 
 def is_introduction(text: Column) -> Column:
-    up = F.upper(text)
-    return up.rlike(r"\bMY NAME IS\s+[A-Z]") | up.rlike(r"\bI(?:'M| AM)\s+[A-Z][A-Z'.-]+\s+[A-Z][A-Z'.-]+") | up.rlike(r"\b(?:FROM|REPRESENTING|ON BEHALF OF)\s+[A-Z]")
+    return F.upper(text).rlike(r"\b(?:" + "|".join(INTRODUCTIONS.values()) + ")")
 
 
 def mentions_name(text: Column, name: Column) -> Column:
@@ -144,10 +161,49 @@ def mentions_name(text: Column, name: Column) -> Column:
     return F.coalesce(F.array_contains(words(text), last), F.lit(False))
 
 
-def introduced_name(text: Column) -> Column:
-    """Two to four words after 'my name is' or 'I am', capitalised; null if there is none."""
-    found = F.regexp_extract(F.upper(text), r"\b(?:MY NAME IS|I AM|I'M)\s+((?:[A-Z][A-Z'.-]*\s+){1,3}[A-Z][A-Z'-]*)", 1)
-    return blank_to_null(F.initcap(clean_text(found)))
+def introduced_names(text: Column, stop_words: tuple[str, ...] = ()) -> Column:
+    """Names that speakers of the text give for themselves, capitalised, in order: up to four words before
+    the first stop word (upper case), none of fewer than two."""
+
+    def name(found: Column) -> Column:
+        words = F.transform(F.split(found, r"\s+"), lambda w: F.replace(F.regexp_replace(w, "^['.-]+|['.-]+$", ""), F.lit("'"), F.lit("")))
+        stop = F.array_position(F.transform(words, lambda w: w.isin(*stop_words) if stop_words else F.lit(False)), True)
+        kept = F.slice(words, F.lit(1), F.least(F.when(stop > 0, stop - 1).otherwise(F.size(words)), F.lit(4)).cast("int"))
+        return F.when(F.size(kept) >= 2, F.initcap(F.array_join(kept, " ")))
+
+    return F.array_compact(F.transform(F.regexp_extract_all(F.upper(text), F.lit(INTRODUCED), F.lit(1)), name))
+
+
+# Lines of a transcript's title pages that are no names, and words of organisations.
+NO_NAME_LINES = ("world wide dictation", "phone:", "www.", "start:", "recess:")
+NO_PERSON_WORDS = ("committee", "council", "city of", "held at", "transcript")
+NO_ORG_WORDS = ("transcript of", "city of new york", "held at")
+ORG_WORDS = (
+    "administration", "agency", "alliance", "association", "authority", "board", "bureau", "charities", "coalition", "commission",
+    "committee", "council", "department", "foundation", "hospital", "initiative", "office", "plans", "project", "services",
+)
+
+
+def _has_any(c: Column, words: tuple[str, ...]) -> Column:
+    low = F.lower(c)
+    return F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w))
+
+
+def name_lines(text: Column) -> Column:
+    """Lines of a title page without line numbers, blanks and contact details."""
+    lines = F.transform(F.split(text, r"\r\n|[\n\r]"), lambda x: F.regexp_replace(F.regexp_replace(F.regexp_replace(x, r"^\s*\d+\s+", ""), r"\s+", " "), "^[ -]+|[ -]+$", ""))
+    return F.filter(lines, lambda x: (F.length(x) >= 3) & ~_has_any(x, NO_NAME_LINES))
+
+
+def is_person_name(line: Column) -> Column:
+    """Two to five capitalised words, also with Jr. at the end, in mixed case and without an office's words."""
+    shape = line.rlike(r"^[A-Z][A-Za-z'.-]+(?:\s+[A-Z][A-Za-z'.-]+|,\s*Jr\.?|\s+Jr\.?)+$")
+    return F.coalesce(shape & (F.upper(line) != line) & F.size(name_tokens(line)).between(2, 5) & ~_has_any(line, NO_PERSON_WORDS), F.lit(False))
+
+
+def is_org_line(line: Column) -> Column:
+    """Two to twelve words, one of which tells an organisation."""
+    return F.coalesce(_has_any(line, ORG_WORDS) & ~_has_any(line, NO_ORG_WORDS) & F.size(name_tokens(line)).between(2, 12), F.lit(False))
 
 
 # Words for the numbers of agenda items.
@@ -213,10 +269,25 @@ def links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit('href="([^"]*)"'))
 
 
+#: Character of each entity name of HTML 4, and the apostrophe's.
+ENTITIES = {**{k: chr(v) for k, v in name2codepoint.items()}, "apos": "'"}
+
+
 def unescape_html(c: Column) -> Column:
-    for code, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(code), F.lit(char))
-    return c
+    """Entities by name, decimal and hexadecimal number become their characters; anything else stays. What
+    an entity gives is not read again, so '&amp;lt;' becomes '&lt;'."""
+    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def one(piece: Column) -> Column:
+        code = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,9});", 1)
+        number = F.when(code.rlike("^#[0-9]"), F.substring(code, 2, 7)).when(code.rlike("^#[xX]"), F.conv(F.substring(code, 3, 6), 16, 10)).try_cast("long")
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        char = F.coalesce(F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")), F.element_at(known, code))
+        return F.when(char.isNotNull(), F.concat(char, F.substr(piece, F.length(code) + 2))).otherwise(F.concat(F.lit("&"), piece))
+
+    pieces = F.split(c, "&")
+    rest = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), one)
+    return F.when(F.contains(c, F.lit("&")), F.concat(F.element_at(pieces, 1), F.array_join(rest, ""))).otherwise(c)
 
 
 def base64_url(c: Column) -> Column:
@@ -237,6 +308,25 @@ def room_prefix(name: Column) -> Column:
     return F.regexp_replace(file_stem(name), r"_\d{6}-\d{6}.*$", "")
 
 
+# The council's name, and the places and bodies that mean it.
+COUNCIL_BODY = "New York City Council"
+COUNCIL_PLACES = ("council chambers", "committee room", "city hall", "250 broadway")
+COUNCIL_NAMES = r"(?i)^(?:(?:new york )?city council|committee on .*|subcommittee on .*)$"
+
+
+def site_body(location: Column, *names: Column) -> Column:
+    """The body that a meeting is shown under: the council for its rooms and committees and where no name is
+    given, else the first name given."""
+    body = F.coalesce(blank_to_null(F.trim(first_present(*names))), F.lit(COUNCIL_BODY))
+    return F.when(_has_any(F.coalesce(location, F.lit("")), COUNCIL_PLACES) | body.rlike(COUNCIL_NAMES), F.lit(COUNCIL_BODY)).otherwise(body)
+
+
+def meeting_title(kind: Column, *names: Column) -> Column:
+    body = F.coalesce(blank_to_null(F.trim(first_present(*names))), F.lit("Meeting"))
+    stated = F.contains(F.lower(body), F.lit("stated")) | (F.lower(body) == "city council") | F.coalesce(kind == "STATED_MEETING", F.lit(False))
+    return F.when(stated, F.lit("Stated Meeting")).otherwise(body)
+
+
 def transcript_line(index: Column, clock: Column, speaker: Column, text: Column) -> Column:
     return F.format_string("[%d] [%s] %s: %s", index.cast("long"), clock, speaker, clean_text(text))
 

@@ -41,6 +41,9 @@ def token_cost(prompt: Column, output: Column, reasoning: Column, cached: Column
 
 
 def price_of(models: DataFrame, prices: DataFrame) -> DataFrame:
-    """``models`` (model) with the price row (prefix, ...) whose prefix is longest."""
-    both = models.join(F.broadcast(prices), F.col("model").startswith(F.col("prefix")), "left")
-    return both.groupBy("model").agg(F.max_by(F.struct(*prices.columns), F.length("prefix")).alias("p")).select("model", "p.*")
+    """``models`` (model) with the price row (prefix, ...) whose prefix is longest; joined by the equality of
+    prefixes, of which a model has as many as characters."""
+    each = models.select("model").distinct()
+    heads = each.select("model", F.explode(F.transform(F.sequence(F.lit(0), F.length("model")), lambda n: F.substr("model", F.lit(1), n))).alias("prefix"))
+    found = heads.join(prices, "prefix").groupBy("model").agg(F.max_by(F.struct(*prices.columns), F.length("prefix")).alias("p"))
+    return each.join(found, "model", "left").select("model", "p.*")

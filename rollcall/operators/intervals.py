@@ -67,6 +67,16 @@ def override_ranges(rows: DataFrame, ranges: DataFrame, group: str, width: int =
     return rows.join(last, [group, "idx"], "left")
 
 
+def fill_ranges(rows: DataFrame, ranges: DataFrame, group: str, value: str, width: int = 64) -> DataFrame:
+    """``rows`` (group, idx, value): where the value is null or UNKNOWN, that of the first range (group, ord, low,
+    high, value) over idx that has a known one; if all over it are UNKNOWN, that."""
+    spread = ranges.filter("low <= high").select(group, "ord", "low", "high", F.col("value").alias("_new"), _buckets(F.col("low"), F.col("high"), width).alias("bucket"))
+    hit = rows.select(group, "idx", F.floor(F.col("idx") / width).cast("long").alias("bucket")).join(spread, [group, "bucket"]).filter("idx between low and high")
+    first = hit.groupBy(group, "idx").agg(F.min_by("_new", F.struct(F.col("_new").eqNullSafe("UNKNOWN"), "ord")).alias("_new"))
+    open_ = F.col(value).isNull() | (F.col(value) == "UNKNOWN")
+    return rows.join(first, [group, "idx"], "left").withColumn(value, F.when(open_ & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col(value))).drop("_new")
+
+
 def first_within(events: DataFrame, candidates: DataFrame, group: str, tolerance: float) -> DataFrame:
     """(event, candidate): for each event (group, event, t) the candidate (group, candidate, t) that comes
     first in scan order of those at most ``tolerance`` away; not the nearest."""

@@ -50,6 +50,44 @@ def first_of_each(rows: DataFrame, key: list[str], order: list[str]) -> DataFram
     return rows.withColumn("_n", F.row_number().over(W.partitionBy(*key).orderBy(*order))).filter("_n = 1").drop("_n")
 
 
+def label_evidence(rows: DataFrame, group: str, label: str) -> DataFrame:
+    """For each label of a group (idx, t0, t1 in ms): n, ms, first_idx, last_idx, and its share of the group's time
+    in hundredths of a per cent."""
+    took = F.greatest(F.col("t1") - F.col("t0"), F.lit(0))
+    out = rows.groupBy(group, label).agg(F.count("*").alias("n"), F.sum(took).cast("long").alias("ms"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"))
+    return out.withColumn("share_bp", F.floor(F.col("ms") * 10000 / F.nullif(F.sum("ms").over(W.partitionBy(group)), F.lit(0))).cast("long"))
+
+
+def top_values(rows: DataFrame, group: str, value: str, order: str, most: int = 3) -> DataFrame:
+    """The ``most`` commonest values of each group with n and rank; of equally common ones those that come first."""
+    n = rows.groupBy(group, value).agg(F.count("*").alias("n"), F.min(order).alias("_first"))
+    rank = F.row_number().over(W.partitionBy(group).orderBy(F.desc("n"), "_first"))
+    return n.withColumn("rank", rank).filter(F.col("rank") <= most).drop("_first")
+
+
+def named_labels(rows: DataFrame, known: DataFrame, label: str, name: str = "UNKNOWN", confidence: float = 0.35) -> DataFrame:
+    """``rows`` with the speaker and confidence of their label in ``known`` (label, name, c); others are ``name``."""
+    out = rows.join(known.withColumnRenamed("label", label), label, "left")
+    return out.withColumn("speaker", F.coalesce("name", F.lit(name))).withColumn("confidence", F.coalesce("c", F.lit(confidence))).drop("name", "c")
+
+
+def verification_candidates(rows: DataFrame, known: DataFrame, group: str, label: str, snippet: str, telling: Column) -> DataFrame:
+    """Labels of ``rows`` (group, idx) that are not ``known`` (label), each with its number of rows, its first row, an id
+    in the order of first rows, and a snippet: that of its last ``telling`` row, else of its first."""
+    out = rows.join(known, label, "left_anti").groupBy(group, F.col(label).alias("speaker")).agg(
+        F.min("idx").alias("first_index"), F.count("*").alias("n"), F.coalesce(F.max_by(snippet, F.when(telling, F.col("idx"))), F.min_by(snippet, "idx")).alias("snippet")
+    )
+    return out.withColumn("id", F.format_string("v%03d", F.row_number().over(W.partitionBy(group).orderBy("first_index"))))
+
+
+def silence_split(rows: DataFrame, group: str, at: str, order: list[str]) -> DataFrame:
+    """split: the middle of the pause between two rows that is nearest to the middle of the group."""
+    by = W.partitionBy(group)
+    middle = (F.col(at) + F.lead(at).over(by.orderBy(*order))) / 2
+    gaps = rows.select(group, middle.alias("mid"), ((F.min(at).over(by) + F.max(at).over(by)) / 2).alias("target")).filter("mid is not null")
+    return gaps.groupBy(group).agg(F.min_by("mid", F.struct(F.abs(F.col("mid") - F.col("target")), "mid")).alias("split"))
+
+
 def changes(rows: DataFrame, group: str, label: str) -> DataFrame:
     by = W.partitionBy(group).orderBy("idx")
     return rows.withColumn("starts_run", ~F.col(label).eqNullSafe(F.lag(label).over(by))).withColumn("ends_run", ~F.col(label).eqNullSafe(F.lead(label).over(by)))
@@ -67,6 +105,30 @@ def run_ahead(rows: DataFrame, group: str, label: str, value: str, limit: int =
     return rows.withColumn("run", F.transform(F.slice("_ahead", F.lit(1), F.when(stop > 0, stop - 1).otherwise(F.size("_ahead"))), lambda x: x["value"])).drop("_ahead")
 
 
+def sample_indices(interesting: Column, n: Column, most: int = 4, take: int = 8) -> Column:
+    """Up to ``take`` of the indices 0 to n - 1, in order: the first ``most`` interesting ones, the first and the
+    last, evenly spaced ones, and then from the start what is missing."""
+    every = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)).cast("int"))
+    wanted = F.concat(F.slice(interesting, 1, most).cast("array<int>"), F.array(F.lit(0), F.greatest(n - 1, F.lit(0)).cast("int")), evenly_spaced(n, take), every)
+    return F.when(n > 0, F.array_sort(F.slice(F.array_distinct(wanted), 1, take))).otherwise(F.array().cast("array<int>"))
+
+
+def other_speaker_near(rows: DataFrame, group: str, label: str, reach: int = 2) -> Column:
+    """Whether one of the ``reach`` rows before or after has another label."""
+    near = F.collect_set(F.coalesce(F.col(label), F.lit(""))).over(W.partitionBy(group).orderBy("idx").rowsBetween(-reach, reach))
+    return F.size(near) > 1
+
+
+def last_end(rows: DataFrame, group: str) -> DataFrame:
+    """Latest end of each group's rows (t0, t1); a row without an end counts by its start, else as 0."""
+    return rows.groupBy(group).agg(F.greatest(F.max(F.coalesce(F.nullif("t1", F.lit(0)), F.nullif("t0", F.lit(0)), F.lit(0)).cast("double")), F.lit(0.0)).alias("last_end"))
+
+
+def merge_parts(segments: DataFrame, group: str) -> DataFrame:
+    """Segments (group, part, ord, t0, t1) of all parts numbered by time; ties stay in the order of parts."""
+    return segments.withColumn("idx", F.row_number().over(W.partitionBy(group).orderBy("t0", "t1", "part", "ord")) - 1)
+
+
 def evenly_spaced(n: Column, take: int) -> Column:
     """Up to ``take`` indices from 0 to n - 1, evenly spaced, half to even."""
     spread = F.transform(F.sequence(F.lit(0), F.lit(take - 1)), lambda i: F.bround(i * (n - 1) / F.lit(float(take - 1))).cast("int"))
@@ -89,11 +151,13 @@ def fixed_chunks(rows: DataFrame, group: list[str], order: list[str], size: int)
     return rows.withColumn("chunk", F.floor((F.row_number().over(W.partitionBy(*group).orderBy(*order)) - 1) / size).cast("int"))
 
 
-def split_votes(chapters: DataFrame, items: DataFrame, group: str) -> DataFrame:
+def split_votes(chapters: DataFrame, items: DataFrame, group: str, width: float = 600.0) -> DataFrame:
     """Vote chapters (group, idx, kind, start, end) with at least two items (group, t) from start - 3 to the
     end become one row per item, up to the next item or the end; other chapters stay."""
-    votes = chapters.filter(F.col("kind").isin("VOTE", "VOICE_VOTE"))
-    inside = votes.join(items.select(group, "t"), group).filter("t >= start - 3 and t < end")
+    votes = chapters.filter(F.col("kind").isin("VOTE", "VOICE_VOTE") & (F.col("end") > F.col("start") - 3))
+    spread = votes.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("start") - 3) / width).cast("long"), F.floor(F.col("end") / width).cast("long"))))
+    at = items.select(group, "t", F.floor(F.col("t") / width).cast("long").alias("bucket"))
+    inside = spread.join(at, [group, "bucket"]).filter("t >= start - 3 and t < end")
     by = W.partitionBy(group, "idx")
     inside = inside.withColumn("n", F.count("*").over(by)).filter("n >= 2").withColumn("next", F.lead("t").over(by.orderBy("t")))
     parts = inside.select(group, "idx", F.lit("VOICE_VOTE").alias("kind"), F.col("t").alias("start"), F.greatest(F.col("t") + 1, F.coalesce("next", "end")).alias("end"))
@@ -162,6 +226,26 @@ def drop_rollup(rows: DataFrame, group: str, look_back: int = 8) -> DataFrame:
     return fold(rows, [group], ["idx"], "idx long, text string", step)
 
 
+def rollup_dropped(text: Column, look_back: int = 8) -> Column:
+    """The lines of a text as an array, without those that are among the last ``look_back`` lines kept. The
+    lines of a text come in one row, so nothing is shuffled."""
+
+    @F.pandas_udf("array<string>")
+    def keep(texts: pd.Series) -> pd.Series:
+        def lines(text: str | None) -> list[str] | None:
+            if text is None:
+                return None
+            kept: list[str] = []
+            for line in text.split("\n"):
+                if line not in kept[-look_back:]:
+                    kept.append(line)
+            return kept
+
+        return texts.map(lines)
+
+    return keep(text)
+
+
 def fold_turns(rows: DataFrame, group: str, gap: float = 18, most: int = 280) -> DataFrame:
     """Caption rows (group, idx, t0, text) as turns: a new one at the first row, at '>>', more than
     ``gap`` after the turn's start, or once the turn has more than ``most`` characters."""

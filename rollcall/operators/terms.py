@@ -13,11 +13,17 @@ def keyword_terms(bodies: DataFrame, lists: DataFrame, common: list[str]) -> Dat
     """``bodies`` (body) with the terms of every list (keywords array, terms array) that has a keyword
     contained in the body's name, then the common ones; each term once, letter case aside.
 
-    ``lists`` is a small dimension; bodies are made distinct before they meet it.
+    Bodies are made distinct, cut into their substrings of at most the longest keyword's length, and joined to
+    the keywords by equality.
     """
     names = bodies.select("body").distinct()
-    hit = F.exists("keywords", lambda k: F.contains(F.lower("body"), F.lower(k)))
-    found = names.join(F.broadcast(lists.withColumn("ord", F.monotonically_increasing_id())), hit, "left")
+    keys = lists.withColumn("ord", F.monotonically_increasing_id()).select("ord", "terms", F.explode("keywords").alias("k")).withColumn("k", F.lower("k"))
+    longest = keys.agg(F.max(F.length("k"))).first()[0] or 0
+    low, size = F.lower("body"), F.length("body")
+    starts = lambda width: F.transform(F.sequence(F.lit(1), F.greatest(size - width + 1, F.lit(1))), lambda at: F.substr(low, at, width))
+    pieces = F.array_distinct(F.concat(F.array(F.lit("")), F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.greatest(size, F.lit(1)), F.lit(max(longest, 1)))), starts))))
+    hits = names.select("body", F.explode(pieces).alias("k")).join(keys, "k").select("body", "ord", "terms").distinct()
+    found = names.join(hits, "body", "left")
     per = found.groupBy("body").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.when(F.col("terms").isNotNull(), F.struct("ord", "terms")))), lambda x: x["terms"])).alias("own"))
     every = F.concat("own", F.lit(common).cast("array<string>"))
     once = F.filter(F.transform(every, lambda t, i: F.struct(clean_text(t).alias("t"), F.array_position(F.transform(every, lambda u: F.lower(clean_text(u))), F.lower(clean_text(t))).alias("first"), (i + 1).alias("at"))), lambda x: (x["first"] == x["at"]) & (x["t"] != ""))
@@ -52,7 +58,7 @@ def better_candidate(candidates: DataFrame, key: str, distance: str, attempt: st
 
 
 def part_counts(segments: DataFrame) -> DataFrame:
-    """segments, labels and their first-seen list for each part."""
+    """segments, number of labels and their sorted list for each part."""
     return segments.groupBy("meeting_key", "part").agg(F.count("*").alias("segments"), F.count_distinct("label").alias("speakers"), F.array_sort(F.collect_set("label")).alias("labels"))
 
 
@@ -75,3 +81,15 @@ def address(template: str, **parts: Column) -> Column:
         name, _, rest = rest.partition("}")
         out += [F.lit(head), parts[name].cast("string")]
     return F.concat(*out, F.lit(rest))
+
+
+def retained_terms(terms: DataFrame, key: Column, limit: int | None = None) -> DataFrame:
+    """``terms`` (term, source, ord) of which each key stays once, where it comes first, and ``limit`` of them in
+    all. A limited list is short by its purpose, so ranking it is one task's work over distinct terms."""
+    once = terms.withColumn("_key", key).filter("_key <> ''").groupBy("_key").agg(F.min_by(F.struct("term", "source", "ord"), "ord").alias("t")).select("t.*")
+    return once if limit is None else once.orderBy("ord").limit(limit)
+
+
+def source_counts(retained: DataFrame) -> DataFrame:
+    """How many of the terms that stayed each source gave."""
+    return retained.groupBy("source").agg(F.count("*").alias("n"))

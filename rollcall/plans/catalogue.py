@@ -73,12 +73,7 @@ def normalize_utterances(spark, d):
   CAST(sum(greatest(t1 - t0, 0)) AS BIGINT) * 10000 // CAST(sum(sum(greatest(t1 - t0, 0))) OVER (PARTITION BY conv_id) AS BIGINT) AS share_bp, min(idx) AS first_idx, max(idx) AS last_idx
   FROM norm WHERE text <> '' GROUP BY conv_id, label""")
 def label_evidence(spark, d):
-    rows = normalize_utterances(spark, d)
-    out = rows.groupBy("conv_id", "label").agg(
-        F.count("*").alias("n"), F.sum(F.greatest(F.col("t1") - F.col("t0"), F.lit(0))).cast("long").alias("ms"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx")
-    )
-    total = F.sum("ms").over(W.partitionBy("conv_id"))
-    return out.withColumn("share_bp", F.floor(F.col("ms") * 10000 / F.nullif(total, F.lit(0))).cast("long"))
+    return sequence.label_evidence(normalize_utterances(spark, d), "conv_id", "label")
 
 
 @query("""SELECT conv_id, turn AS idx, role IS DISTINCT FROM lag(role) OVER w AS starts_run, role IS DISTINCT FROM lead(role) OVER w AS ends_run
@@ -166,10 +161,9 @@ def ranges_from_starts(spark, d):
   k AS (SELECT doc_id, list_reduce(list_transform(ls, lambda x: [x]), lambda a, x: CASE WHEN list_contains(a[-8:], x[1]) THEN a ELSE list_concat(a, x) END) AS kept FROM a)
   SELECT doc_id, CAST(len(kept) AS BIGINT) AS n, md5(array_to_string(kept, chr(10))) AS digest FROM k""")
 def caption_dedupe8(spark, d):
-    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("idx", "text"))
-    kept = sequence.drop_rollup(lines.withColumn("idx", F.col("idx").cast("long")), "doc_id", 8)
-    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "text"))), lambda x: x["text"]), "\n")
-    return kept.groupBy("doc_id").agg(F.count("*").alias("n"), F.md5(whole).alias("digest"))
+    kept = sequence.rollup_dropped(F.col("text"), 8)
+    docs = table(spark, d, "documents").filter("text is not null").withColumn("kept", kept)
+    return docs.select("doc_id", F.size("kept").cast("long").alias("n"), F.md5(F.array_join("kept", "\n")).alias("digest"))
 
 
 @query(f"""WITH {UTTERANCES}, c AS (SELECT conv_id, idx, t0 / 1000 AS t, array_to_string(regexp_extract_all(text, '[^\\s]+'), ' ') AS x FROM u),
@@ -254,9 +248,7 @@ def marker_pairs(spark, d):
 @query(f"""WITH {SECONDS}, g AS (SELECT user_id, (sec + lead(sec) OVER (PARTITION BY user_id ORDER BY sec, event_id)) / 2 AS mid, (min(sec) OVER (PARTITION BY user_id) + max(sec) OVER (PARTITION BY user_id)) / 2 AS target FROM e)
   SELECT user_id, arg_min(mid, abs(mid - target) * 1e9 + mid / 1e9) AS split FROM g WHERE mid IS NOT NULL GROUP BY user_id""")
 def silence_split(spark, d):
-    by = W.partitionBy("user_id")
-    e = seconds(spark, d).select("user_id", ((F.col("sec") + F.lead("sec").over(by.orderBy("sec", "event_id"))) / 2).alias("mid"), ((F.min("sec").over(by) + F.max("sec").over(by)) / 2).alias("target"))
-    return e.filter("mid is not null").groupBy("user_id").agg(F.min_by("mid", F.struct(F.abs(F.col("mid") - F.col("target")), "mid")).alias("split"))
+    return sequence.silence_split(seconds(spark, d), "user_id", "sec", ["sec", "event_id"])
 
 
 @query(f"""WITH {SECONDS}, c AS (SELECT user_id, event_id AS idx, CASE WHEN value > 20 THEN 'VOTE' ELSE 'REMARKS' END AS kind, sec AS start, sec + 172800 AS stop FROM e WHERE event_type = 'purchase'),
@@ -277,8 +269,8 @@ def vote_split(spark, d):
   LEFT JOIN (VALUES ('R', 'Returned', 0.9), ('A', 'Accepted', 0.65)) m(label, name, c) ON l_returnflag = m.label GROUP BY ALL""")
 def label_join_unknown(spark, d):
     known = spark.createDataFrame([("R", "Returned", 0.9), ("A", "Accepted", 0.65)], "label string, name string, c double")
-    rows = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("label"), "l_linenumber").join(F.broadcast(known), "label", "left")
-    return rows.groupBy(F.coalesce("name", F.lit("UNKNOWN")).alias("speaker"), F.coalesce("c", F.lit(0.35)).alias("confidence")).agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("total"))
+    rows = sequence.named_labels(table(spark, d, "lineitem").select(F.col("l_returnflag").alias("label"), "l_linenumber"), known, "label")
+    return rows.groupBy("speaker", "confidence").agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("total"))
 
 
 _CODE = "rpad(upper(t[1:1]) || replace({0}[2:], '0', ''), 4, '0')"
@@ -326,19 +318,16 @@ def org_fuzzy(spark, d):
    coalesce(arg_max(left(text, 40), turn) FILTER (text ILIKE '%and%'), arg_min(left(text, 40), turn)) AS snippet FROM conversations WHERE role <> 'system' GROUP BY conv_id, role""")
 def verification_candidates(spark, d):
     known = spark.createDataFrame([("system",)], "label string")
-    rows = utterances(spark, d).join(F.broadcast(known), "label", "left_anti").withColumn("cut", F.substring("text", 1, 40))
-    intro = F.when(F.lower("text").contains("and"), F.col("idx"))
-    out = rows.groupBy("conv_id", F.col("label").alias("speaker")).agg(F.min("idx").alias("first_index"), F.count("*").alias("n"), F.coalesce(F.max_by("cut", intro), F.min_by("cut", "idx")).alias("snippet"))
-    return out.withColumn("id", F.format_string("v%03d", F.row_number().over(W.partitionBy("conv_id").orderBy("first_index"))))
+    rows = utterances(spark, d).withColumn("cut", F.substring("text", 1, 40))
+    return sequence.verification_candidates(rows, known, "conv_id", "label", "cut", F.lower("text").contains("and"))
 
 
 @query("""SELECT user_id, string_agg(event_type || ':' || n, ' ' ORDER BY r) AS top FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, f) AS r
    FROM (SELECT user_id, event_type, count(*) AS n, min(event_id) AS f FROM events GROUP BY ALL)) WHERE r <= 3 GROUP BY user_id""")
 def top3_histogram(spark, d):
-    n = table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first"))
-    n = n.withColumn("r", F.row_number().over(W.partitionBy("user_id").orderBy(F.desc("n"), "first"))).filter("r <= 3")
-    cell = F.concat_ws(":", "event_type", "n")
-    return n.groupBy("user_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r", cell.alias("c")))), lambda x: x["c"]), " ").alias("top"))
+    n = sequence.top_values(table(spark, d, "events"), "user_id", "event_type", "event_id")
+    cells = F.sort_array(F.collect_list(F.struct("rank", F.concat_ws(":", "event_type", "n").alias("c"))))
+    return n.groupBy("user_id").agg(F.array_join(F.transform(cells, lambda x: x["c"]), " ").alias("top"))
 
 
 # Registry
@@ -502,15 +491,15 @@ def slug_dedupe(spark, d):
 
 
 _REPAIR = "x"
-for _ in range(4):
+for _ in range(11):
     for _pattern in (r"(\d)\s+\.(\d)", r"(?i)(\d)\.\s+(\d+\s*(?:%|(?:percent|billion|million|thousand|trillion|bn|mm?)\b))", r"(\d)\.\s+(\d+\.\d)"):
         _REPAIR = f"regexp_replace({_REPAIR}, '{_pattern}', '\\1.\\2', 'g')"
 
 
-@query(f"SELECT p_partkey, trim(regexp_replace({_REPAIR}, '[ \\t]+', ' ', 'g')) AS repaired FROM (SELECT p_partkey, '$' || p_size || '. ' || p_partkey % 10 || '. 5 billion in 2012. ' || p_size || ' members, 12 .8 percent' AS x FROM part)")
+@query(f"SELECT p_partkey, trim(regexp_replace({_REPAIR}, '[ \\t]+', ' ', 'g')) AS repaired FROM (SELECT p_partkey, '$' || p_size || '. ' || p_partkey % 10 || '. 5 billion in 2012. ' || p_size || ' members, 12 .8 percent, 1. 2. 3. 4. 5. 6. 7. 8. 9. 5 billion' AS x FROM part)")
 def decimal_repair(spark, d):
     p = F.col("p_size").cast("string")
-    odd = F.concat(F.lit("$"), p, F.lit(". "), (F.col("p_partkey") % 10).cast("string"), F.lit(". 5 billion in 2012. "), p, F.lit(" members, 12 .8 percent"))
+    odd = F.concat(F.lit("$"), p, F.lit(". "), (F.col("p_partkey") % 10).cast("string"), F.lit(". 5 billion in 2012. "), p, F.lit(" members, 12 .8 percent, 1. 2. 3. 4. 5. 6. 7. 8. 9. 5 billion"))
     return table(spark, d, "part").select("p_partkey", text.repair_decimals(odd).alias("repaired"))
 
 
@@ -720,3 +709,111 @@ def url_templates(spark, d):
 def token_costs(spark, d):
     paid = costs.token_cost(F.col("l_quantity"), F.col("l_linenumber"), F.lit(None).cast("int"), F.lit(0), 1_500_000.0, 3_000_000.0, 0.0) * 1_000_000
     return table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.max(paid).alias("micro"))
+
+
+# Functions and operators that need no table of their own
+
+
+@query("""SELECT p_partkey, coalesce(nullif(regexp_replace(regexp_replace(p_name || ' (' || p_brand || ')', '[^A-Za-z0-9._-]+', '-', 'g'), '^-+|-+$', '', 'g'), ''), 'meeting') AS key,
+  coalesce(nullif(CASE WHEN p_size % 2 = 0 THEN '' ELSE p_brand END, ''), p_name) AS present, regexp_replace(upper(trim(p_brand || ' - x')), '[\\s-]+', '_', 'g') AS token FROM part""")
+def keys_and_tokens(spark, d):
+    odd = F.when(F.col("p_size") % 2 == 0, "").otherwise(F.col("p_brand"))
+    name = F.concat("p_name", F.lit(" ("), "p_brand", F.lit(")"))
+    return table(spark, d, "part").select("p_partkey", text.safe_key(name).alias("key"), text.first_present(odd, F.col("p_name")).alias("present"), text.type_token(F.concat("p_brand", F.lit(" - x"))).alias("token"))
+
+
+@query("""WITH s AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Council Member ' || c_name WHEN 1 THEN 'Member of the Public - Dr. ' || c_name WHEN 2 THEN ' unk ' ELSE 'Council Staff -  Mx ' || c_name END AS x FROM customer),
+  c AS (SELECT *, trim(regexp_replace(replace(x, 'Council Member ', ''), '\\s+', ' ', 'g')) AS c,
+    trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '^Member of the Public - ', ''), '^Council Staff - *', ''), '^(Dr|Mr|Ms|Mrs|Mx)[.]? +', ''), '\\s+', ' ', 'g')) AS b FROM s)
+  SELECT c_custkey, CASE WHEN c = '' OR upper(c) IN ('UNKNOWN', 'UNK') THEN 'UNKNOWN' ELSE c END AS speaker, b AS base, array_to_string(regexp_extract_all(lower(b), '[a-z]+'), ' ') AS key FROM c""")
+def speaker_names(spark, d):
+    c = table(spark, d, "customer")
+    kind = F.col("c_custkey") % 4
+    x = F.when(kind == 0, F.concat(F.lit("Council Member "), "c_name")).when(kind == 1, F.concat(F.lit("Member of the Public - Dr. "), "c_name")).when(kind == 2, F.lit(" unk ")).otherwise(F.concat(F.lit("Council Staff -  Mx "), "c_name"))
+    return c.select("c_custkey", text.clean_speaker(x).alias("speaker"), text.speaker_base_name(x).alias("base"), text.name_key(x).alias("key"))
+
+
+@query("""WITH t AS (SELECT page_id, 'https://h/p/ROOM-' || (page_id % 7) || '_250423-10' || lpad(CAST(page_id % 60 AS VARCHAR), 2, '0') || '21.mp4?key=abc&x=1' AS u FROM pages)
+  SELECT page_id, regexp_replace(u, 'key=[^&]*', 'key=[redacted]') AS safe, 'ROOM-' || (page_id % 7) || '_250423-10' || lpad(CAST(page_id % 60 AS VARCHAR), 2, '0') || '21' AS stem, 'ROOM-' || (page_id % 7) AS room FROM t""")
+def recording_names(spark, d):
+    minute = F.lpad((F.col("page_id") % 60).cast("string"), 2, "0")
+    url = F.concat(F.lit("https://h/p/ROOM-"), (F.col("page_id") % 7).cast("string"), F.lit("_250423-10"), minute, F.lit("21.mp4?key=abc&x=1"))
+    return table(spark, d, "pages").select("page_id", text.redact_key(url).alias("safe"), text.file_stem(url).alias("stem"), text.room_prefix(url).alias("room"))
+
+
+@query("""SELECT o_orderkey, o_orderkey % 90000 AS seconds, (o_orderkey % 90000) // 3600 || ':' || lpad(CAST((o_orderkey % 90000 % 3600) // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0') AS clock,
+  CAST(o_orderkey % 90000 AS DOUBLE) AS back FROM (SELECT o_orderkey * 37 AS o_orderkey FROM orders)""")
+def clock_round_trip(spark, d):
+    o = table(spark, d, "orders").select((F.col("o_orderkey") * 37).alias("o_orderkey"))
+    o = o.withColumn("seconds", F.col("o_orderkey") % 90000).withColumn("clock", timeparse.seconds_to_clock(F.col("seconds")))
+    return o.withColumn("back", timeparse.clock_to_seconds(F.col("clock")))
+
+
+@query("""SELECT page_id, '<a title="' || page_id || chr(39) || 's & co">/x?é—&nope;' AS text, '&lt;' AS once FROM pages""")
+def html_entities(spark, d):
+    coded = F.concat(F.lit("&lt;a title&#61;&quot;"), F.col("page_id").cast("string"), F.lit("&apos;s &amp; co&#34;&gt;&#x2F;x?&eacute;&#8212;&nope;"))
+    return table(spark, d, "pages").select("page_id", text.unescape_html(coded).alias("text"), text.unescape_html(F.lit("&amp;lt;")).alias("once"))
+
+
+@query("""WITH b AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'Committee on Land' WHEN 1 THEN 'City Council' WHEN 2 THEN '' WHEN 3 THEN 'Parks Board' ELSE 'Stated Forum' END AS body, CASE WHEN page_id % 3 = 0 THEN 'City Hall, 1st floor' END AS place FROM pages)
+  SELECT page_id, CASE WHEN place IS NOT NULL OR body IN ('Committee on Land', 'City Council', '') THEN 'New York City Council' ELSE body END AS body,
+    CASE WHEN body IN ('City Council', 'Stated Forum') THEN 'Stated Meeting' WHEN body = '' THEN 'Meeting' ELSE body END AS title FROM b""")
+def site_bodies(spark, d):
+    kind = F.col("page_id") % 5
+    body = F.when(kind == 0, "Committee on Land").when(kind == 1, "City Council").when(kind == 2, "").when(kind == 3, "Parks Board").otherwise("Stated Forum")
+    place = F.when(F.col("page_id") % 3 == 0, "City Hall, 1st floor")
+    return table(spark, d, "pages").select("page_id", text.site_body(place, body).alias("body"), text.meeting_title(F.lit("HEARING"), body).alias("title"))
+
+
+@query(f"WITH {SECONDS} SELECT user_id, max(CASE WHEN event_type = 'view' THEN sec + 5 ELSE sec END) AS last_end FROM e GROUP BY user_id")
+def last_ends(spark, d):
+    rows = seconds(spark, d).select("user_id", F.col("sec").alias("t0"), F.when(F.col("event_type") == "view", F.col("sec") + 5).alias("t1"))
+    return sequence.last_end(rows, "user_id")
+
+
+@query(f"""WITH {SECONDS} SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY sec, sec + floor(value), event_id % 3, event_id) - 1 AS idx FROM e""")
+def merged_parts(spark, d):
+    e = seconds(spark, d).select("user_id", "event_id", (F.col("event_id") % 3).alias("part"), F.col("event_id").alias("ord"), F.col("sec").alias("t0"), (F.col("sec") + F.floor("value")).alias("t1"))
+    return sequence.merge_parts(e, "user_id").select("user_id", "event_id", F.col("idx").cast("long").alias("idx"))
+
+
+@query("""SELECT conv_id, turn AS idx, len(list_distinct(list(role) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))) > 1 AS near FROM conversations""")
+def other_speakers_near(spark, d):
+    rows = utterances(spark, d)
+    return rows.select("conv_id", "idx", sequence.other_speaker_near(rows, "conv_id", "label").alias("near"))
+
+
+@query("""WITH n AS (SELECT user_id, count(*) AS n FROM events GROUP BY user_id),
+  i AS (SELECT user_id, n, list_filter([3, 5, 8, 13, 21], lambda k: k < n) AS f FROM n),
+  w AS (SELECT user_id, list_concat(list_concat(f[1:4], [0, n - 1]), list_concat(list_transform(range(least(n, 8)), lambda k: CASE WHEN n <= 8 THEN k ELSE CAST(round_even(k * (n - 1) / 7.0, 0) AS BIGINT) END), range(n))) AS ks FROM i),
+  o AS (SELECT user_id, unnest(ks) AS k, generate_subscripts(ks, 1) AS pos FROM w), d AS (SELECT user_id, k, row_number() OVER (PARTITION BY user_id ORDER BY min(pos)) AS r FROM o GROUP BY user_id, k)
+  SELECT user_id, string_agg(CAST(k AS VARCHAR), ',' ORDER BY k) AS picks FROM d WHERE r <= 8 GROUP BY user_id""")
+def sampled_indices(spark, d):
+    n = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n"))
+    telling = F.filter(F.array(*[F.lit(k) for k in (3, 5, 8, 13, 21)]), lambda k: k < F.col("n"))
+    return n.select("user_id", joined(sequence.sample_indices(telling, F.col("n"))).alias("picks"))
+
+
+@query("""WITH o(ord, low, high, value) AS (VALUES (1, 0, 1, 'UNKNOWN'), (2, 1, 3, 'B'), (3, 2, 90, 'C')), u AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN NULL WHEN role = 'system' THEN 'UNKNOWN' ELSE role END AS label FROM conversations),
+  h AS (SELECT conv_id, turn, arg_min(value, CASE value WHEN 'UNKNOWN' THEN 100 ELSE 0 END + ord) AS v FROM conversations JOIN o ON turn BETWEEN low AND high GROUP BY ALL)
+  SELECT conv_id, turn AS idx, CASE WHEN label IS NULL OR label = 'UNKNOWN' THEN coalesce(v, label) ELSE label END AS label FROM u LEFT JOIN h USING (conv_id, turn)""")
+def range_fill(spark, d):
+    rows = utterances(spark, d).select("conv_id", "idx", F.when(F.col("label") == "system", "UNKNOWN").when(F.col("label") != "user", F.col("label")).alias("label"))
+    ranges = spark.createDataFrame([(1, 0, 1, "UNKNOWN"), (2, 1, 3, "B"), (3, 2, 90, "C")], "ord int, low long, high long, value string")
+    own = rows.select("conv_id").distinct().crossJoin(F.broadcast(ranges))  # three constant rows
+    return intervals.fill_ranges(rows, own, "conv_id", "label").select("conv_id", "idx", "label")
+
+
+@query("""WITH t AS (SELECT p_brand AS source, p_name AS term, p_partkey AS ord FROM part), k AS (SELECT source, row_number() OVER (PARTITION BY lower(replace(term, 'l', '')) ORDER BY ord) AS n FROM t)
+  SELECT source, count(*) AS n FROM k WHERE n = 1 GROUP BY source""")
+def retained_term_sources(spark, d):
+    rows = table(spark, d, "part").select(F.col("p_brand").alias("source"), F.col("p_name").alias("term"), F.col("p_partkey").alias("ord"))
+    return terms.source_counts(terms.retained_terms(rows, F.lower(F.replace("term", F.lit("l"), F.lit("")))))
+
+
+@query("""WITH i AS (SELECT l_orderkey AS event_id, l_linenumber AS ord, CASE WHEN l_returnflag <> 'N' THEN CAST(l_quantity AS INTEGER) END AS seq, l_partkey AS item FROM lineitem)
+  SELECT event_id, item FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY seq NULLS LAST, ord, item) AS n FROM i) WHERE n = 1""")
+def first_agenda_items(spark, d):
+    seq = F.when(F.col("l_returnflag") != "N", F.col("l_quantity").cast("int"))
+    items = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("event_id"), F.struct("l_linenumber", "l_partkey").alias("ord"), seq.alias("seq"), F.col("l_partkey").alias("item"))
+    return readers.first_items(items, sequence="seq").select("event_id", "item")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -87,27 +88,33 @@ def recording_links(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn("recordings", F.array_distinct(F.filter(names, lambda n: n != "")))
 
 
-class Page(InputPartition):
-    def __init__(self, skip: int) -> None:
-        self.skip = skip
+class Pages(InputPartition):
+    def __init__(self, first: int, step: int) -> None:
+        self.first, self.step = first, step
 
 
 class PagedReader(DataSourceReader):
-    """Reads a paged collection, one partition for each page.
-
-    ``fetch(filter, order, top, skip)`` gives a page's rows; the filter and the order are the server's."""
+    """Reads a paged collection to its end: every partition takes each ``partitions``-th page and goes on until
+    a page is short. ``fetch(filter, order, top, skip)`` gives a page's rows; the filter and the order are the
+    server's. With several partitions the order must tell all rows apart, or pages may overlap."""
 
     def __init__(self, schema, fetch, options: dict) -> None:
         self.schema, self.fetch = schema, fetch
-        self.size, self.pages = int(options.get("pageSize", 1000)), int(options.get("pages", 1))
+        self.size, self.parts = int(options.get("pageSize", 1000)), int(options.get("partitions", 1))
         self.where, self.order = options.get("where", ""), options.get("orderBy", "")
 
-    def partitions(self) -> list[Page]:
-        return [Page(k * self.size) for k in range(self.pages)]
+    def partitions(self) -> list[Pages]:
+        return [Pages(k, self.parts) for k in range(self.parts)]
 
-    def read(self, partition: Page) -> Iterator[tuple]:
-        for row in self.fetch(self.where, self.order, self.size, partition.skip):
-            yield tuple(row.get(f.name) for f in self.schema.fields)
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        page = partition.first
+        while True:
+            rows = list(self.fetch(self.where, self.order, self.size, page * self.size))
+            for row in rows:
+                yield tuple(row.get(f.name) for f in self.schema.fields)
+            if len(rows) < self.size:
+                return
+            page += partition.step
 
 
 def paged_source(name: str, schema: str, fetch) -> type[DataSource]:
@@ -128,8 +135,31 @@ def paged_source(name: str, schema: str, fetch) -> type[DataSource]:
 
 
 def modified_since(cursor: str) -> str:
-    return f"EventLastModifiedUtc ge datetime'{cursor}'"
+    return f"EventLastModifiedUtc gt datetime'{cursor}'"
 
 
 def date_window(start: str, end: str) -> str:
     return f"EventDate ge datetime'{start}' and EventDate lt datetime'{end}'"
+
+
+ITEM = "EventItemId long, EventItemAgendaSequence int, EventItemMatterName string, EventItemTitle string"
+
+
+def agenda_items(events: DataFrame, fetch: Callable[[int], list[dict]], key: str = "event_id", schema: str = ITEM) -> DataFrame:
+    """The agenda items of each event (key), one row each, with ``ord``, the place that the source gives them.
+    ``fetch(event)`` gives an event's items; it is called in the tasks, once for an event."""
+    names = [c.strip().split()[0] for c in schema.split(",")]
+    kind = events.schema[key].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(event, k, *[item.get(n) for n in names]) for event in frame[key].tolist() for k, item in enumerate(fetch(event))]
+            yield pd.DataFrame(rows, columns=[key, "ord", *names], dtype=object)
+
+    return events.select(key).distinct().mapInPandas(run, f"{key} {kind}, ord int, {schema}")
+
+
+def first_items(items: DataFrame, key: str = "event_id", sequence: str = "EventItemAgendaSequence") -> DataFrame:
+    """Each event's first item by its sequence; those without one come last, ties in the source's order."""
+    at = F.struct(F.col(sequence).isNull(), F.col(sequence), F.col("ord"))
+    return items.groupBy(key).agg(F.min_by(F.struct(*[c for c in items.columns if c != key]), at).alias("_i")).select(key, "_i.*")

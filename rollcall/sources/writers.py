@@ -21,9 +21,11 @@ def document_files(documents: DataFrame, folder: str) -> None:
     versioned.select("slug", "version", "value").write.mode("overwrite").partitionBy("slug", "version").text(folder)
 
 
-def matrix(df: DataFrame, *columns: str) -> str:
-    """A compact JSON array for a fan-out. Meant for selections already limited to one batch of work."""
-    row = df.select(F.to_json(F.sort_array(F.collect_list(F.struct(*columns)))).alias("m")).first()
+def matrix(df: DataFrame, *columns: str, limit: int = 256) -> str:
+    """A compact JSON array for a fan-out of at most ``limit`` rows; more are an error, not cut off."""
+    row = df.limit(limit + 1).agg(F.count("*").alias("n"), F.to_json(F.sort_array(F.collect_list(F.struct(*columns)))).alias("m")).first()
+    if row["n"] > limit:
+        raise ValueError(f"more than {limit} rows for a matrix")
     return row["m"]
 
 

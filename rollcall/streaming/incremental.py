@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,28 +43,69 @@ def from_sources(sources: dict[str, Callable[[], DataFrame]], warn: Callable[[st
     return out
 
 
-def merge_stream(spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], max_files: int = 1000) -> None:
+def merge_stream(spark: SparkSession, folder: str, schema: str, target: str, checkpoint: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], key: str = "meeting_key", parts: int = 64, max_files: int = 1000) -> None:
     """Merges files that arrived since the last run into a table, once each.
 
-    ``merge(present, batch)`` must be idempotent. A batch writes the table's next version beside the present
-    one, named by the batch, so a repeated batch writes the same version again.
+    The table lies in ``parts`` parts by a hash of ``key``, which never changes for a table. A batch writes the
+    next version of the parts that its keys touch and leaves the others; of a part the last two versions
+    are kept, so a batch that is repeated reads what it read before and writes the same version again.
+    ``merge(present, batch)`` must give rows of the keys of both, and be idempotent. A new checkpoint goes on
+    behind the versions that are there.
     """
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    base = _first_version(spark, target, checkpoint)
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).json(folder)
 
     def apply(batch: DataFrame, number: int) -> None:
-        before = f"{target}/version={number - 1}"
-        present = spark.read.parquet(before) if number and exists(spark, before) else None
-        merge(present, batch).write.mode("overwrite").parquet(f"{target}/version={number}")
+        touched = {r["part"] for r in batch.select(part.alias("part")).distinct().collect()}  # at most ``parts``
+        if not touched:
+            return
+        own = [(v, k, path) for v, k, path in _versions(spark, target) if k in touched and v < base + number]
+        last = {k: (v, path) for v, k, path in sorted(own)}
+        present = spark.read.parquet(*[path for _, path in last.values()]) if last else None
+        merged = merge(present, batch).withColumn("part", part)
+        merged.write.mode("overwrite").partitionBy("part").parquet(f"{target}/version={base + number}")
+        for v, k, path in own:
+            if v < last[k][0]:
+                _delete(spark, path)
 
     rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at, fs = _fs(spark, path)
+    fs.delete(at, True)
+
+
+def _versions(spark: SparkSession, target: str) -> list[tuple[int, int, str]]:
+    """(version, part, path) of every part that is there."""
+    at, fs = _fs(spark, f"{target}/version=*/part=*")
+    out = []
+    for status in fs.globStatus(at) or []:
+        path = status.getPath()
+        out.append((int(path.getParent().getName().split("=")[1]), int(path.getName().split("=")[1]), path.toString()))
+    return out
+
+
+def _first_version(spark: SparkSession, target: str, checkpoint: str) -> int:
+    """Version of a checkpoint's first batch: written down when the checkpoint is new."""
+    note = f"{target}/_streams/{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+    if exists(spark, checkpoint) and exists(spark, note):
+        return int(spark.read.text(note).first()[0])
+    first = 1 + max((v for v, _, _ in _versions(spark, target)), default=-1)
+    spark.createDataFrame([(str(first),)], "value string").coalesce(1).write.mode("overwrite").text(note)
+    return first
+
+
 def latest_version(spark: SparkSession, target: str) -> DataFrame | None:
-    if not exists(spark, f"{target}/version=*"):
-        return None
-    fs = spark._jvm.org.apache.hadoop.fs.Path(target)
-    names = [s.getPath().getName() for s in fs.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(fs)]
-    return spark.read.parquet(f"{target}/version={max(int(n.split('=')[1]) for n in names if n.startswith('version='))}")
+    """The table: the last version of each of its parts; null before the first batch."""
+    last = {k: path for _, k, path in sorted(_versions(spark, target))}
+    return spark.read.parquet(*last.values()) if last else None
 
 
 def remaining(inputs: DataFrame, finished: DataFrame, key: str, version: str) -> DataFrame:

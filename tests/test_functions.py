@@ -75,6 +75,22 @@ CASES = [
     (lambda: scalar.cached_tokens(F.lit('{"prompt_tokens_details":{"cached_tokens":7}}')), 7),
     (lambda: scalar.milliseconds(F.lit("1500")), 1.5),
     (lambda: scalar.token_estimate(F.lit(""), 4), 1),
+    (lambda: text.repair_decimals(F.lit("1. 2. 3. 4. 5. 6. 7. 8. 9. 5 billion")), "1.2.3.4.5.6.7.8.9.5 billion"),
+    (lambda: text.repair_decimals(F.lit("In 2012. 5 people. 3. 5 percent")), "In 2012. 5 people. 3.5 percent"),
+    (lambda: text.unescape_html(F.lit("a &amp;lt; &#x1F600; &#0; &#xD800; &x &hellip;")), "a &lt; \U0001f600 &#0; &#xD800; &x \u2026"),
+    (lambda: text.unescape_html(F.lit(None).cast("string")), None),
+    (lambda: text.name_tokens(F.lit("Ana Lee PhD Jr")), ["ana", "lee", "phd"]),
+    (lambda: text.introduced_names(F.lit("Hello I'm Ana O'Lee and so on. My name is Cy Ray from Queens"), ("AND", "FROM")), ["Ana Olee", "Cy Ray"]),
+    (lambda: text.name_lines(F.lit("12  Ana Lee -\n x\nWWW.site\n3 Office of Parks\n")), ["Ana Lee", "Office of Parks"]),
+    (lambda: text.is_person_name(F.lit("Ana B. Lee, Jr.")), True),
+    (lambda: text.is_person_name(F.lit("ANA LEE")), False),
+    (lambda: text.is_person_name(F.lit("City of Trees")), False),
+    (lambda: text.is_org_line(F.lit("Office of Parks")), True),
+    (lambda: text.is_org_line(F.lit("Transcript of the Council")), False),
+    (lambda: scalar.reply_text(F.lit('{"choices":[{"message":{"refusal":"no","content":"x"}}]}')), None),
+    (lambda: scalar.refusal(F.lit('{"choices":[{"message":{"refusal":"no"}}]}')), "no"),
+    (lambda: scalar.reply_text(F.lit('{"choices":[{"message":{"content":["a",{"type":"image"},{"type":"text","text":"b"}]}}]}')), "ab"),
+    (lambda: scalar.reply_text(F.lit('{"choices":[{"message":{"content":"(1) is cited"}}]}')), "(1) is cited"),
 ]
 
 

@@ -118,10 +118,46 @@ def test_paged_source(spark):
         return [{"id": i, "name": f"{where}{i}"} for i in range(skip, min(skip + top, 25))]
 
     spark.dataSource.register(readers.paged_source("pages_of_events", "id long, name string", fetch))
-    df = spark.read.format("pages_of_events").option("pageSize", 10).option("pages", 3).option("where", "e").load()
+    df = spark.read.format("pages_of_events").option("pageSize", 10).option("partitions", 3).option("where", "e").load()
     assert df.count() == 25 and df.rdd.getNumPartitions() == 3
 
 
+def test_paged_source_reads_to_the_end(spark):
+    def fetch(where, order, top, skip):
+        return [{"id": i, "name": where} for i in range(skip, min(skip + top, int(where)))]
+
+    spark.dataSource.register(readers.paged_source("all_pages", "id long, name string", fetch))
+    for n in (0, 1000, 2500):
+        for parts in (1, 4):
+            df = spark.read.format("all_pages").option("where", str(n)).option("partitions", parts).load()
+            assert sorted(r.id for r in df.collect()) == list(range(n))
+    assert readers.modified_since("2025-01-01").startswith("EventLastModifiedUtc gt ")
+
+
+def test_agenda_items(spark):
+    def fetch(event):
+        first = [{"EventItemId": 1, "EventItemTitle": "a"}, {"EventItemId": 2, "EventItemAgendaSequence": 7}, {"EventItemId": 3, "EventItemAgendaSequence": 7}]
+        return {1: first, 2: [], 3: [{"EventItemId": 9, "EventItemTitle": "b"}]}[event]
+
+    items = readers.agenda_items(spark.createDataFrame([(1,), (2,), (3,), (1,)], "event_id long"), fetch)
+    assert items.count() == 4
+    assert {(r.event_id, r.EventItemId) for r in readers.first_items(items).collect()} == {(1, 2), (3, 9)}
+
+
+def test_rollup_in_place(spark):
+    texts = [None, "", "a\na\nb\na", "\n".join("abcdefghia")]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    got = [r.kept for r in df.select("k", sequence.rollup_dropped(F.col("text")).alias("kept")).orderBy("k").collect()]
+    assert got == [None, [""], ["a", "b"], list("abcdefghia")]
+
+
+def test_matrix_refuses_more_than_its_limit(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="more than 2"):
+        writers.matrix(spark.range(3), "id", limit=2)
+
+
 def test_documents(spark, tmp_path):
     chapter = lambda i, s: {"id": f"{i:03d}", "slug": s, "type": "REMARKS", "title": s, "summary": "", "start_sec": 0.0, "end_sec": 1.0, "utterances": []}
     rows = [{"slug": "a", "body": "City & Co", "title": "t", "topic": None, "date": "2025-01-02", "time": "01:00 PM", "duration_sec": 9.0, "video": {"url": "u", "poster": "p"}, "summary": ["s"], "tags": ["VOTE"], "chapters": [chapter(1, "x"), chapter(2, "y")]}]
@@ -151,6 +187,14 @@ def test_stream_merge_is_idempotent(spark, tmp_path):
     assert run() == {"a": "pending"}
     (tmp_path / "in" / "2.json").write_text('{"meeting_key":"a","status":"done"}\n{"meeting_key":"b","status":"done"}\n')
     assert run() == {"a": "done", "b": "done"} == run()
+    # a batch leaves the parts of other keys where they are, and a new checkpoint goes on behind what is there
+    (tmp_path / "in" / "3.json").write_text('{"meeting_key":"b","status":"late"}\n')
+    assert run() == {"a": "done", "b": "late"}
+    versions = lambda: {v: {k for w, k, _ in incremental._versions(spark, str(tmp_path / "t")) if w == v} for v in range(9)}
+    assert len(versions()[2]) == 1
+    incremental.merge_stream(spark, str(tmp_path / "in"), schema, str(tmp_path / "t"), str(tmp_path / "new"), merge)
+    assert {r.meeting_key for r in incremental.latest_version(spark, str(tmp_path / "t")).collect()} == {"a", "b"}
+    assert versions()[3] and not versions()[0]
 
 
 def test_cursor(spark):
