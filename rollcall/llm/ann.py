@@ -32,9 +32,9 @@ class Layer:
     near: np.ndarray  # flat neighbour array, -1 where there are fewer
 
 
-def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances of each row of ``a`` (n, d) to its own candidates ``b`` (n, m, d)."""
-    return np.maximum((a * a).sum(-1)[:, None] + (b * b).sum(-1) - 2 * np.einsum("nd,nmd->nm", a, b), 0)
+def squared(a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Squared distances of each row of ``a`` (n, d) to its own candidates ``b`` (n, m, d) of squared lengths ``sizes``."""
+    return np.maximum((a * a).sum(-1)[:, None] + sizes - 2 * np.matmul(b, a[:, :, None])[:, :, 0], 0)
 
 
 def diverse(vectors: np.ndarray, cand: np.ndarray, dist: np.ndarray, keep: int) -> np.ndarray:
@@ -46,11 +46,12 @@ def diverse(vectors: np.ndarray, cand: np.ndarray, dist: np.ndarray, keep: int)
     sq = (v * v).sum(-1)
     between = sq[:, :, None] + sq[:, None, :] - 2 * v @ v.transpose(0, 2, 1)
     n, m = cand.shape
-    closest, chosen = np.full((n, m), np.inf), np.zeros((n, m), bool)
+    closest, chosen = np.full((n, m), np.inf, between.dtype), np.zeros((n, m), bool)
     for j in range(m):
         take = (dist[:, j] < closest[:, j]) & np.isfinite(dist[:, j]) & (chosen.sum(1) < keep)
         chosen[:, j] = take
-        closest = np.where(take[:, None], np.minimum(closest, between[:, :, j]), closest)
+        rows = np.flatnonzero(take)
+        closest[rows] = np.minimum(closest[rows], between[rows, j])
     rank = np.where(np.isfinite(dist), np.arange(m) + np.where(chosen, 0, m), 3 * m)
     best = np.argsort(rank, 1, kind="stable")[:, :keep]
     out = np.take_along_axis(cand, best, 1)
@@ -59,12 +60,16 @@ def diverse(vectors: np.ndarray, cand: np.ndarray, dist: np.ndarray, keep: int)
 
 
 class Hnsw:
-    """Graph over distinct vectors, and the ids of each vector's rows."""
+    """Graph over distinct vectors, and the ids of each vector's rows.
+
+    Vectors stay in the precision of their column, which is enough to walk the graph by; scores are computed
+    from them in double precision."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, links: int, beam: int) -> None:
         order = np.argsort(ids, kind="stable")
         self.vectors, which = np.unique(vectors[order], axis=0, return_inverse=True)
         which = which.ravel()
+        self.sizes = (self.vectors * self.vectors).sum(1)
         by = np.argsort(which, kind="stable")
         self.ids, self.begin = ids[order][by], np.searchsorted(which[by], np.arange(len(self.vectors) + 1))
         n = len(self.vectors)
@@ -74,6 +79,9 @@ class Hnsw:
         for k in range(int(level.max()), -1, -1):
             self._build(rng.permutation(np.flatnonzero(level >= k)), links * (2 if k == 0 else 1), beam)
 
+    def _far(self, queries: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        return squared(queries, self.vectors[nodes], self.sizes[nodes])
+
     def _build(self, nodes: np.ndarray, degree: int, beam: int) -> None:
         if self.layers:  # nodes of the layer above come first
             nodes = nodes[np.argsort(self.layers[-1].row[nodes] < 0, kind="stable")]
@@ -84,7 +92,7 @@ class Hnsw:
         while done < len(nodes):
             new = nodes[done : done + min(max(64, done), 256)]
             v = self.vectors[new]
-            mates = squared(v, np.broadcast_to(v, (len(new), *v.shape)))
+            mates = np.maximum(self.sizes[new][:, None] + self.sizes[new] - 2 * v @ v.T, 0)
             np.fill_diagonal(mates, np.inf)
             near = np.argsort(mates, 1)[:, : min(len(new), degree if done else 2 * degree)]
             cand, dist = new[near], np.take_along_axis(mates, near, 1)
@@ -112,7 +120,7 @@ class Hnsw:
             old = layer.near[layer.row[t]]
             more[(more[:, :, None] == old[:, None, :]).any(2)] = -1
             cand = np.concatenate([old, more], 1)
-            dist = np.where(cand >= 0, squared(self.vectors[t], self.vectors[np.maximum(cand, 0)]), np.inf)
+            dist = np.where(cand >= 0, self._far(self.vectors[t], np.maximum(cand, 0)), np.inf)
             layer.near[layer.row[t]] = diverse(self.vectors, cand, dist, old.shape[1])
 
     def _descend(self, queries: np.ndarray, layers: list[Layer]) -> np.ndarray:
@@ -137,7 +145,7 @@ class Hnsw:
             fresh[:, 1:][fresh[:, 1:] == fresh[:, :-1]] = -1
             seen[rows[:, None], fresh] = True
             seen[:, -1] = False
-            d = np.where(fresh >= 0, squared(queries[rows], self.vectors[np.maximum(fresh, 0)]), np.inf)
+            d = np.where(fresh >= 0, self._far(queries[rows], np.maximum(fresh, 0)), np.inf)
             all_ids, all_d = np.concatenate([ids[rows], fresh], 1), np.concatenate([dist[rows], d], 1)
             all_open = np.concatenate([open_[rows], fresh >= 0], 1)
             best = np.argsort(all_d, 1, kind="stable")[:, :beam]
@@ -161,7 +169,7 @@ class Hnsw:
     def read(cls, data: bytes) -> Hnsw:
         graph = cls.__new__(cls)
         graph.vectors, graph.ids, graph.begin, *rest = pickle.loads(data)
-        graph.layers = []
+        graph.layers, graph.sizes = [], (graph.vectors * graph.vectors).sum(1)
         for nodes, near in zip(rest[::2], rest[1::2], strict=True):
             row = np.full(len(graph.vectors), -1)
             row[nodes] = np.arange(len(nodes))
@@ -172,16 +180,16 @@ class Hnsw:
         """(query id, id, distance) of the ``k`` nearest other rows of each query."""
         out = []
         for lo in range(0, len(queries), 256):
-            q = queries[lo : lo + 256]
+            q = queries[lo : lo + 256].astype(self.vectors.dtype)
             if len(self.vectors) <= beam:
                 found = np.broadcast_to(np.arange(len(self.vectors)), (len(q), len(self.vectors)))
             else:
                 upper = self.layers[:-1]
                 entry = self._descend(q, upper) if upper else np.full((len(q), 1), self.layers[-1].nodes[0])
                 found, _ = self._walk(q, entry, self.layers[-1], beam)
-            for own, v, nodes in zip(query_ids[lo : lo + 256], q, found, strict=True):
+            for own, v, nodes in zip(query_ids[lo : lo + 256], queries[lo : lo + 256].astype(np.float64), found, strict=True):
                 nodes = nodes[nodes >= 0]
-                far = np.sqrt(((self.vectors[nodes] - v) ** 2).sum(1))  # exactly, on the original vectors
+                far = np.sqrt(((self.vectors[nodes].astype(np.float64) - v) ** 2).sum(1))  # exactly, on the original vectors
                 best = []
                 for i in np.lexsort((self.ids[self.begin[nodes]], far)):
                     if len(best) >= k and far[i] > best[k - 1][2]:

@@ -27,6 +27,6 @@ def matrix(column, dim: int) -> np.ndarray:
 
 
 def flat_matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    """Vectors of an Arrow column without nulls, in double precision."""
-    parts = [c.flatten().to_numpy(zero_copy_only=False).astype(np.float64) for c in column.chunks]
+    """Vectors of an Arrow column without nulls, in the column's own precision."""
+    parts = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]
     return (np.concatenate(parts) if parts else np.zeros(0)).reshape(-1, dim)
