@@ -241,7 +241,9 @@ def decide(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float
     work = max(1, left.count() // 300)
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).filter("doc_id is not null")
     wanted = left.join(reps.drop("bands", "n_grams"), ["c1", "c2"])
-    full = wanted.join(texts, ["doc_id", "h"]).withColumn("unit", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(work)))
+    # few documents have a pair left: where their ids pass Spark's size check, other texts are not shuffled at all
+    ids = stash(left.select("c1", "c2").distinct().join(reps.select("c1", "c2", "doc_id", "h"), ["c1", "c2"]).select("doc_id", "h"))
+    full = texts.join(ids, ["doc_id", "h"], "left_semi").join(wanted, ["doc_id", "h"]).withColumn("unit", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(work)))
 
     def verify(frame: pd.DataFrame) -> pd.DataFrame:
         own, start, pairs = ordered(frame.drop_duplicates(["bucket", "low", "high", "c1", "c2"]))
