@@ -8,12 +8,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.functions.text import blank_to_null
+from rollcall.functions.text import blank_to_null, repair_decimals
 
 
 def round_seconds(c: Column) -> Column:
-    """Three decimals, half up; null counts as 0."""
-    return F.round(F.coalesce(c.cast("double"), F.lit(0.0)), 3)
+    """Three decimals of the number as it is stored, which need not be the one that is shown: 1.0005 is stored
+    a little lower and gives 1.0. Ties go to the even digit; null counts as 0.
+
+    The number is split in two parts short enough that 2000 times each is exact, so its distance from the
+    middle between two results has the right sign.
+    """
+    x = F.coalesce(c.cast("double"), F.lit(0.0))
+    below = F.floor(x * 1000).cast("double")
+    head = x.cast("float").cast("double")
+    beyond = (head * 2000 - (below * 2 + 1)) + (x - head) * 2000
+    up = (beyond > 0) | ((beyond == 0) & (below % 2 != 0))
+    return F.when(F.isnan(x) | (F.abs(x) > 1e12), x).otherwise((below + F.when(up, 1.0).otherwise(0.0)) / 1000)
 
 
 # Scores of confidence words.
@@ -118,10 +128,38 @@ def event_topic(matter: Column, title: Column, body: Column) -> Column:
 # JSON and hashes
 
 
-def json_object(text: Column, schema: T.DataType | str) -> Column:
-    """A JSON reply, also inside a code fence; null if it cannot be read."""
+def json_text(text: Column) -> Column:
+    """The JSON of a reply: without a code fence; where that cannot be read, from its first brace or bracket to
+    the last one, without commas before closing ones, if that can be read."""
     plain = F.regexp_replace(F.trim(text), r"^```(?:json)?\s*|\s*```$", "")
-    return F.from_json(plain, schema, {"mode": "PERMISSIVE"})
+    inner = F.regexp_replace(F.regexp_extract(plain, r"(?s)([{\[].*[}\]])", 1), r",(\s*[}\]])", "$1")
+    bad = F.try_parse_json(plain).isNull() & F.try_parse_json(blank_to_null(inner)).isNotNull()
+    return F.when(bad, inner).otherwise(plain)
+
+
+def json_object(text: Column, schema: T.DataType | str) -> Column:
+    """A JSON reply, also inside a code fence or other words; null if it cannot be read."""
+    return F.from_json(json_text(text), schema, {"mode": "PERMISSIVE"})
+
+
+def usable(text: Column, items: str, may_be_empty: bool = False, **wanted: str) -> Column:
+    """Whether an artifact can stand for its stage's work: JSON that can be read whole, with a list in ``items``
+    (not empty unless it may be) and the wanted values of other fields."""
+    listed = F.from_json(F.get_json_object(text, f"$.{items}"), "array<string>")
+    good = F.try_parse_json(blank_to_null(text)).isNotNull() & (F.size(listed) >= (0 if may_be_empty else 1))
+    for name, value in wanted.items():
+        good = good & (F.get_json_object(text, f"$.{name}") == value)
+    return F.coalesce(good, F.lit(False))
+
+
+def compact_grounding(text: Column, most: int = 40) -> Column:
+    """What is kept of a model's search record: its queries that are not blank, title and address of its first
+    ``most`` web sources, and the number of each in all."""
+    r = F.from_json(text, "struct<webSearchQueries: array<string>, groundingChunks: array<struct<web: struct<title: string, uri: string>>>>")
+    none = F.array().cast("array<string>")
+    queries = F.filter(F.coalesce(r["webSearchQueries"], none), lambda q: F.trim(q) != "")
+    web = F.array_compact(F.transform(F.coalesce(r["groundingChunks"], F.array().cast("array<struct<web:struct<title:string,uri:string>>>")), lambda x: x["web"]))
+    return F.struct(queries.alias("queries"), F.size(queries).alias("n_queries"), F.slice(web, 1, most).alias("sources"), F.size(web).alias("n_sources"))
 
 
 def json_first(text: Column, *paths: str) -> Column:
@@ -171,3 +209,9 @@ def cached_tokens(usage: Column) -> Column:
 def default_list(values: Column, fallback: Column) -> Column:
     """The list, or the fallback where it is null or empty."""
     return F.when(F.size(F.coalesce(values, F.array().cast("array<string>"))) > 0, values).otherwise(fallback)
+
+
+def summary_lines(derived: Column, given: Column) -> Column:
+    """Lines of the derived summary, else of the given one, else one that says that there is none yet."""
+    lines = default_list(default_list(derived, given), F.array(F.lit("Summary pending.")))
+    return F.transform(lines, repair_decimals)

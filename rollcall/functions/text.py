@@ -328,7 +328,18 @@ def meeting_title(kind: Column, *names: Column) -> Column:
 
 
 def transcript_line(index: Column, clock: Column, speaker: Column, text: Column) -> Column:
-    return F.format_string("[%d] [%s] %s: %s", index.cast("long"), clock, speaker, clean_text(text))
+    """A row of a transcript; a row without a speaker is anybody's."""
+    return F.format_string("[%d] [%s] %s: %s", index.cast("long"), clock, F.coalesce(blank_to_null(speaker), F.lit("Speaker")), clean_text(text))
+
+
+def span_line(index: Column, start: Column, end: Column, label: Column, text: Column) -> Column:
+    """A row with both its clocks, and its label where it has one."""
+    named = F.when(blank_to_null(label).isNotNull(), F.concat(F.lit(" "), label, F.lit(":"))).otherwise("")
+    return F.format_string("[%d] %s-%s:%s %s", index.cast("long"), start, end, named, F.coalesce(text, F.lit("")))
+
+
+def caption_line(clock: Column, text: Column) -> Column:
+    return F.format_string("[%s] %s", clock, F.coalesce(text, F.lit("")))
 
 
 def styled_speaker(original: Column, name: Column) -> Column:

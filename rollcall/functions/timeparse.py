@@ -63,3 +63,8 @@ def minutes_apart(a: Column, b: Column) -> Column:
 def registry_time(c: Column) -> Column:
     """ISO time stamp of the registry, UTC if it names no zone; null if it cannot be read."""
     return F.try_to_timestamp(F.replace(F.trim(c), F.lit("Z"), F.lit("+00:00")))
+
+
+def iso_stamp(at: Column) -> Column:
+    """A moment as ISO text in UTC without fractions of a second, as the registry's columns hold it."""
+    return F.date_format(F.to_utc_timestamp(at.cast("timestamp"), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")

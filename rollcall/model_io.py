@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.functions.scalar import round_seconds
+from rollcall.functions.text import blank_to_null, clean_text, join_tokens, source_label
+from rollcall.operators.sequence import fold_words
+
 Backend = Callable[[pd.DataFrame], list[dict]]
 
 
@@ -36,10 +40,58 @@ def segments(responses: DataFrame, unit: float = 1.0) -> DataFrame:
     """Canonical segments of vendors' responses (meeting_key, part, offset, suffix, segments array<struct<
     text, start, end, speaker_id>>): shifted by the part's offset, labels by its suffix; blank and empty
     ones go. ``unit``: the length of a vendor's time unit in seconds."""
-    flat = responses.select("meeting_key", "part", "offset", "suffix", F.posexplode("segments").alias("ord", "s"))
-    flat = flat.filter((F.trim("s.text") != "") & (F.col("s.end") > F.col("s.start")))
-    shift = lambda c: F.round(F.col(c) * unit + F.col("offset"), 3)
-    return flat.select("meeting_key", "part", shift("s.start").alias("t0"), shift("s.end").alias("t1"), F.trim("s.text").alias("text"), F.concat("s.speaker_id", "suffix").alias("label"))
+    flat = responses.select("meeting_key", "part", "offset", "suffix", F.explode("segments").alias("s"))
+    return _shifted(flat.select("meeting_key", "part", "offset", "suffix", (F.col("s.start") * unit).alias("t0"), (F.col("s.end") * unit).alias("t1"), F.col("s.text").alias("text"), F.col("s.speaker_id").alias("speaker")))
+
+
+def _shifted(rows: DataFrame) -> DataFrame:
+    good = rows.filter((clean_text(F.col("text")) != "") & (F.col("t1") > F.col("t0")))
+    label = F.concat(F.coalesce(source_label(F.col("speaker")), F.lit("UNKNOWN")), F.coalesce("suffix", F.lit("")))
+    shift = lambda c: round_seconds(F.col(c) + F.col("offset"))
+    out = good.select("meeting_key", "part", shift("t0").alias("t0"), shift("t1").alias("t1"), clean_text(F.col("text")).alias("text"), label.alias("label"))
+    return out.filter("t1 > t0")
+
+
+_TIMES = "text: string, start: string, end: string, start_time: string, end_time: string, speaker_id: string, speaker: string, speaker_label: string"
+_WORD = f"struct<{_TIMES}, word: string, type: string>"
+_ITEM = f"struct<{_TIMES}, transcript: string, words: array<{_WORD}>>"
+
+
+def vendor_segments(replies: DataFrame, items: str, unit: float = 1.0, by_words: bool = False) -> DataFrame:
+    """Canonical segments of the replies (meeting_key, part, offset, suffix, body) of a service whose JSON lists
+    them under ``items``: segments or sentences in seconds, utterances in thousandths (``unit``).
+
+    An item has its text, times and speaker under any of the usual names; one without times takes those of its
+    first and last word, one without a text its words. With ``by_words`` items are cut anew at the pauses of
+    their words. A reply without a usable item is made from its words; blank and empty segments go.
+    """
+    key = ["meeting_key", "part", "offset", "suffix"]
+    body = F.from_json("body", f"struct<{items}: array<{_ITEM}>, words: array<{_WORD}>>")
+    read = replies.select(*key, body.alias("b"))
+    at = lambda x, name: F.coalesce(x[name], x[f"{name}_time"]).try_cast("double") * unit
+    who = lambda x: F.coalesce(source_label(x["speaker_id"], x["speaker"], x["speaker_label"]), F.lit("UNKNOWN"))
+    said = lambda w: clean_text(F.coalesce(blank_to_null(w["text"]), w["word"]))
+    sound = lambda w: (said(w) != "") & ~F.lower(F.coalesce(w["type"], F.lit("word"))).eqNullSafe("spacing") & (at(w, "end") > at(w, "start"))
+
+    item = F.col("i")
+    rows = read.select(*key, F.posexplode(f"b.{items}").alias("item", "i")).filter("i is not null")
+    rows = rows.withColumn("_w", F.filter(F.coalesce(item["words"], F.array().cast(f"array<{_WORD}>")), sound)).withColumn("_n", F.size("_w"))
+    first, last = F.get("_w", F.lit(0)), F.get("_w", F.col("_n") - 1)
+    text = F.coalesce(blank_to_null(clean_text(F.coalesce(blank_to_null(item["text"]), item["transcript"]))), join_tokens(F.transform("_w", said)))
+    whole = rows.select(*key, F.coalesce(at(item, "start"), at(first, "start")).alias("t0"), F.coalesce(at(item, "end"), at(last, "end")).alias("t1"), text.alias("text"), who(item).alias("speaker"))
+    whole = whole.filter((F.col("text") != "") & (F.col("t1") > F.col("t0")))
+
+    def cut(words: DataFrame) -> DataFrame:
+        made = fold_words(words, [*key, "item"])
+        return made.select(*key, "t0", "t1", join_tokens(F.split("text", " ")).alias("text"), "speaker")
+
+    timed = lambda w: (at(w, "start").alias("t0"), at(w, "end").alias("t1"), said(w).alias("word"))
+    if by_words:
+        own = rows.select(*key, "item", who(item).alias("speaker"), F.posexplode("_w").alias("idx", "w"))
+        parted = cut(own.select(*key, "item", "idx", "speaker", *timed(F.col("w"))))
+        whole = parted.unionByName(whole.join(parted.select("meeting_key", "part").distinct(), ["meeting_key", "part"], "left_anti"))
+    loose = read.join(whole.select("meeting_key", "part").distinct(), ["meeting_key", "part"], "left_anti").select(*key, F.posexplode("b.words").alias("idx", "w")).filter(sound(F.col("w")))
+    return _shifted(whole.unionByName(cut(loose.select(*key, F.lit(0).alias("item"), "idx", who(F.col("w")).alias("speaker"), *timed(F.col("w"))))))
 
 
 def echo_backend(frame: pd.DataFrame) -> list[dict]:

@@ -51,6 +51,14 @@ def routes(documents: DataFrame) -> DataFrame:
     return flat.withColumn("path", F.concat_ws("/", F.lit("/meetings"), "body_slug", "slug", "chapter_slug"))
 
 
+def by_path(manifest: DataFrame, paths: DataFrame) -> DataFrame:
+    """Rows of the manifest that paths (path) ask for, with or without a slash at the end, or as the address of
+    the row's picture (/og/chapter in place of /meetings, .png at the end)."""
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("path", "/+$", ""), r"^/og/chapter/", "/meetings/"), r"\.png$", "")
+    asked = paths.select(F.col("path").alias("asked"), bare.alias("path"))
+    return asked.join(manifest, "path")
+
+
 def chapter(documents: DataFrame, slug: str, chapter_slug: str) -> DataFrame:
     """One chapter with its position and its neighbours' slugs."""
     flat = documents.filter(F.col("slug") == slug).select("slug", F.col("chapters"), F.posexplode("chapters").alias("chapter_index", "chapter"))

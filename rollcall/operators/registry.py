@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
+from rollcall.functions.text import blank_to_null
+from rollcall.functions.timeparse import registry_time
+
 STAGES = ("discover", "fetch", "prepare", "transcribe", "diarize", "name_speakers", "chapterize")
 STATUS = tuple(f"{s}_status" for s in STAGES)
 MAX_ATTEMPTS = 5
@@ -190,3 +193,40 @@ def changed(old: DataFrame, new: DataFrame, key: str, *columns: str) -> DataFram
     o, n = old.alias("o"), new.alias("n")
     same = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"o.{c}").cast("string"), F.lit("")) == F.coalesce(F.col(f"n.{c}").cast("string"), F.lit("")) for c in columns])
     return n.join(o, F.col(f"o.{key}") == F.col(f"n.{key}"), "left").filter(F.col(f"o.{key}").isNull() | ~same).select("n.*")
+
+
+def stamp(df: DataFrame, chosen: Column, at: Column, column: str = "updated_at") -> DataFrame:
+    """Chosen rows marked with the moment of their change; others keep theirs."""
+    return df.withColumn(column, F.when(chosen, at).otherwise(F.col(column)))
+
+
+def retract(results: DataFrame, reset_rows: DataFrame, key: str) -> DataFrame:
+    """Stored results without those of rows that were reset, so that the next merge does not bring them back."""
+    return results.join(reset_rows.select(key).distinct(), key, "left_anti")
+
+
+def stale_unmatched(df: DataFrame, floor: str, now: Column, days: int = 7) -> DataFrame:
+    """Recordings on or after the floor that have had no event for more than ``days``; rows whose moment cannot
+    be read are not among them. ``now`` is given, so that a rerun counts the same rows."""
+    published, found = blank_to_null(F.col("viebit_pub_date")), F.col("discovered_at")
+    day = F.coalesce(F.substring("viebit_pub_date", 1, 10), F.substring("discovered_at", 1, 10))
+    since = registry_time(F.coalesce(published, found))
+    alone = F.col("viebit_filename").isNotNull() & F.col("legistar_event_id").isNull()
+    return df.filter(alone & (day >= floor) & (since < now - F.expr(f"INTERVAL {int(days)} DAYS")))
+
+
+def backfill_topics(df: DataFrame, topics: DataFrame, limit: int = 60, key: str = "meeting_key") -> DataFrame:
+    """``df`` with the topics (key, topic) of the first ``limit`` rows, by key, that have both identifiers and no
+    topic: '' for a stated meeting and for a row whose items have none; a row not in ``topics`` could not be
+    read and stays open. The limit is how much one run takes on; the next run goes on from there."""
+    both = F.col("legistar_event_id").isNotNull() & F.col("viebit_filename").isNotNull() & F.col("event_topic").isNull()
+    chosen = df.filter(both).select(key).orderBy(key).limit(limit).withColumn("_chosen", F.lit(True))
+    out = df.join(chosen, key, "left").join(topics.select(key, F.coalesce("topic", F.lit("")).alias("_topic")), key, "left")
+    found = F.when(F.col("meeting_type") == "STATED_MEETING", F.lit("")).otherwise(F.col("_topic"))
+    return out.withColumn("event_topic", F.when(F.col("_chosen"), found).otherwise(F.col("event_topic"))).select(*df.columns)
+
+
+def poll_outcome(status: Column, waited: Column, budget: float) -> Column:
+    """done, failed, waiting, or pending: a job that outlasts the budget is no failure and takes no attempt."""
+    failed = status.isin("FAILED", "TIMEOUT_EXCEEDED", "CANCELLED")
+    return F.when(status == "SUCCESS", "done").when(failed, "failed").when(waited >= budget, "pending").otherwise("waiting")

@@ -269,7 +269,7 @@ def fold_turns(rows: DataFrame, group: str, gap: float = 18, most: int = 280) ->
     return fold(rows, [group], ["idx"], "t_sec double, text string", step)
 
 
-def fold_words(rows: DataFrame, group: str) -> DataFrame:
+def fold_words(rows: DataFrame, group: str | list[str]) -> DataFrame:
     """Words (group, idx, speaker, t0, t1, word) as segments: closed before a word of another speaker,
     after a pause of more than 1.2 s, at 12 s or 35 words; and after a closing mark once it has 4 words and 1 s."""
 
@@ -290,7 +290,7 @@ def fold_words(rows: DataFrame, group: str) -> DataFrame:
         if now:
             yield close()
 
-    return fold(rows, [group], ["idx"], "t0 double, t1 double, speaker string, words int, text string", step)
+    return fold(rows, [group] if isinstance(group, str) else group, ["idx"], "t0 double, t1 double, speaker string, words int, text string", step)
 
 
 def budget_chunks(rows: DataFrame, group: str, size: str, budget: int, overlap: int) -> DataFrame:

@@ -83,6 +83,13 @@ def address(template: str, **parts: Column) -> Column:
     return F.concat(*out, F.lit(rest))
 
 
+def prompt(rows: DataFrame, group: list[str], order: str, line: Column, template: str) -> DataFrame:
+    """A request for each group: the template with {lines}, the group's lines in order, and {names} of the group's
+    columns. Its size is the group's; larger groups are cut with ``sequence.budget_chunks`` first."""
+    lined = ordered_text(rows.withColumn("_line", line), group, order, "_line", "\n")
+    return lined.withColumn("prompt", address(template, lines=F.col("text"), **{g: F.col(g) for g in group})).drop("text")
+
+
 def retained_terms(terms: DataFrame, key: Column, limit: int | None = None) -> DataFrame:
     """``terms`` (term, source, ord) of which each key stays once, where it comes first, and ``limit`` of them in
     all. A limited list is short by its purpose, so ranking it is one task's work over distinct terms."""

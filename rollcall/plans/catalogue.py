@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from rollcall import model_io
 from rollcall.functions import scalar, text, timeparse
 from rollcall.operators import costs, documents, fuzzy, intervals, registry, sequence, terms
-from rollcall.sources import readers
+from rollcall.sources import readers, writers
 from rollcall.sources.readers import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -817,3 +818,187 @@ def first_agenda_items(spark, d):
     seq = F.when(F.col("l_returnflag") != "N", F.col("l_quantity").cast("int"))
     items = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("event_id"), F.struct("l_linenumber", "l_partkey").alias("ord"), seq.alias("seq"), F.col("l_partkey").alias("item"))
     return readers.first_items(items, sequence="seq").select("event_id", "item")
+
+
+# Functions of one column, over whole tables
+
+
+@query("""WITH x AS (SELECT p_partkey, p_name || ' & ' || p_brand || ' d' || chr(39) || 'été' AS t FROM part)
+  SELECT p_partkey, trim(regexp_replace(lower(t), '[^a-z0-9]+', '-', 'g'), '-') AS plain, trim(substr(trim(regexp_replace(lower(t), '[^a-z0-9]+', '-', 'g'), '-'), 1, 12), '-') AS short,
+    trim(regexp_replace(replace(replace(replace(lower(t), 'é', 'e'), '&', ' and '), chr(39), ''), '[^a-z0-9]+', '-', 'g'), '-') AS site,
+    lpad(CAST(1 + p_partkey % 12 AS VARCHAR), 2, '0') || lpad(CAST(p_partkey % 60 AS VARCHAR), 2, '0') || '-pm' AS at FROM x""")
+def slugs(spark, d):
+    name = F.concat("p_name", F.lit(" & "), "p_brand", F.lit(" d'été"))
+    clock = F.format_string(" %d:%02d PM", 1 + F.col("p_partkey") % 12, F.col("p_partkey") % 60)
+    return table(spark, d, "part").select("p_partkey", text.slug(name).alias("plain"), text.slug(name, 12).alias("short"), text.site_slug(name).alias("site"), text.time_slug(clock).alias("at"))
+
+
+@query("""SELECT conv_id, turn, regexp_replace(trim(regexp_replace(text, ' +', ' ', 'g')), ' +([,.;:!?%)\\]])', '\\1', 'g') || ', (' || role || ')' || chr(39) || 's' AS text FROM conversations WHERE NOT regexp_matches(text, '[^\\x20-\\x7E]|[(\\[] | ' || chr(39))""")
+def joined_tokens(spark, d):
+    c = table(spark, d, "conversations").filter(~F.col("text").rlike(r"[^\x20-\x7E]|[(\[] | '"))
+    tokens = F.concat(F.split("text", " "), F.array(F.lit(","), F.lit("("), F.lit(" "), F.col("role"), F.lit(")"), F.lit("'s")))
+    return c.select("conv_id", "turn", text.join_tokens(tokens).alias("text"))
+
+
+@query("""WITH x AS (SELECT o_orderkey, o_orderdate AS moment, o_orderkey * 37 % 20000 AS s FROM orders)
+  SELECT o_orderkey, CASE WHEN s >= 3600 THEN printf('%d:%02d:%02d', s // 3600, s % 3600 // 60, s % 60) ELSE printf('%d:%02d', s // 60, s % 60) END AS clock,
+    CASE WHEN (s + 30) // 60 < 60 THEN ((s + 30) // 60) || ' min' ELSE ((s + 30) // 3600) || 'h ' || ((s + 30) // 60 % 60) || 'm' END AS lasts, strftime(moment, '%b %-d, %Y') AS day, strftime(moment, '%Y-%m-%dT%H:%M:%SZ') AS stamp FROM x""")
+def display_times(spark, d):
+    o = table(spark, d, "orders").withColumn("s", F.col("o_orderkey") * 37 % 20000)
+    at = F.col("o_orderdate").cast("timestamp")
+    return o.select("o_orderkey", timeparse.display_clock(F.col("s") + 0.4).alias("clock"), timeparse.display_duration(F.col("s")).alias("lasts"), timeparse.display_date(at).alias("day"), timeparse.iso_stamp(at).alias("stamp"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'soon' ELSE strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S+00:00') END AS mailed, date_trunc('second', ts) AS recorded FROM events""")
+def source_times(spark, d):
+    e = table(spark, d, "events").withColumn("at", F.date_trunc("second", F.col("ts").cast("timestamp")))
+    mail = F.when(F.col("event_id") % 4 == 0, "soon").otherwise(F.date_format("at", "EEE, d MMM yyyy HH:mm:ss 'GMT'"))
+    name = F.concat(F.lit("ROOM_"), F.date_format("at", "yyMMdd-HHmmss"), F.when(F.col("event_id") % 2 == 0, "fix.mp4").otherwise(".mp4"))
+    return e.select("event_id", timeparse.mail_date(mail).alias("mailed"), timeparse.recording_time(name).cast("timestamp_ntz").alias("recorded"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN c_mktsegment || ' Works' WHEN 1 THEN c_mktsegment || ' Board' ELSE c_name END AS role, c_custkey % 3 <> 2 AS introduces, c_custkey % 3 = 0 AS mentions FROM customer""")
+def speaker_hints(spark, d):
+    kind = F.col("c_custkey") % 3
+    said = F.when(kind == 0, F.concat(F.lit("My name is Ana Lee from "), "c_mktsegment", F.lit(" Works. Thanks"))).when(kind == 1, F.concat(F.lit("I am Cy Ray, director of "), "c_mktsegment", F.lit(" Board; hello"))).otherwise("hello all")
+    return table(spark, d, "customer").select("c_custkey", text.role_hint(F.concat(F.lit("Public - "), "c_name"), said).alias("role"), text.is_introduction(said).alias("introduces"), text.mentions_name(said, F.lit("Ana Lee")).alias("mentions"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Introduction 12' WHEN 1 THEN 'LU ' || p_size || 'A' END AS label, CASE p_partkey % 3 WHEN 0 THEN 'the ' || p_name WHEN 1 THEN p_name ELSE 'Nothing on ' || p_name END AS topic FROM part""")
+def agenda_texts(spark, d):
+    kind = F.col("p_partkey") % 3
+    said = F.when(kind == 0, F.concat(F.lit("Intro twelve calls on the "), "p_name", F.lit("."))).when(kind == 1, F.concat(F.lit("LU "), F.col("p_size").cast("string"), F.lit("a: "), "p_name")).otherwise(F.concat(F.lit("Nothing on "), "p_name"))
+    return table(spark, d, "part").select("p_partkey", text.agenda_label(said).alias("label"), text.agenda_topic(said).alias("topic"))
+
+
+@query("""SELECT s_suppkey, k AS ord, ['Ana B. ' || s_suppkey || ' Lee, Jr.', 'Ana B ' || s_suppkey || ' Lee, Jr', 'Ana ' || s_suppkey || ' Lee, Jr.', 'Ana ' || s_suppkey || ' Lee'][k + 1] AS variant, replace(['Ana B. ' || s_suppkey || ' Lee Jr.', 'Ana B ' || s_suppkey || ' Lee Jr', 'Ana ' || s_suppkey || ' Lee Jr.', 'Ana ' || s_suppkey || ' Lee'][k + 1], ' ', '-') AS term FROM supplier, (SELECT unnest([0, 1, 2, 3]) AS k)""")
+def name_spellings(spark, d):
+    names = table(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("Ana B. "), F.col("s_suppkey").cast("string"), F.lit(" Lee, Jr.")).alias("name"))
+    out = terms.expand_names(names.select("name"), 4)
+    key = F.regexp_extract("name", "([0-9]+)", 1).cast("long")
+    return out.select(key.alias("s_suppkey"), F.col("ord").cast("int").alias("ord"), "variant", text.bias_term(F.col("variant")).alias("term"))
+
+
+@query("""SELECT p_partkey, CASE WHEN length(p_name) > 10 THEN rtrim(substr(p_name, 1, 9)) || '…' ELSE p_name END AS clip, rpad(CASE WHEN length(p_name) > 14 THEN rtrim(substr(p_name, 1, 13)) || '…' ELSE p_name END, 14, ' ') AS cell,
+  CASE p_partkey % 3 WHEN 0 THEN replace(trim(p_name), ' ', '_') WHEN 1 THEN p_brand END AS source, 'Council Staff - ' || p_name AS styled, CASE WHEN p_partkey % 2 = 0 THEN 'Member of the Public - ' || p_name ELSE p_name END AS mapped FROM part""")
+def labels_shown(spark, d):
+    kind, name = F.col("p_partkey") % 3, F.col("p_name")
+    source = text.source_label(F.lit("unknown"), F.when(kind == 0, name).otherwise(" "), F.when(kind == 1, F.col("p_brand")))
+    mapped = text.mapped_speaker(name, F.when(F.col("p_partkey") % 2 == 0, "Public witness").otherwise("chair"))
+    return table(spark, d, "part").select("p_partkey", text.clip(name, 10).alias("clip"), text.fixed_width(name, 14).alias("cell"), source.alias("source"), text.styled_speaker(F.lit("council staff - An Le"), name).alias("styled"), mapped.alias("mapped"))
+
+
+@query(f"""WITH {UTTERANCES}, x AS (SELECT conv_id, idx, label, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text, CAST(t0 AS BIGINT) // 1000 AS s FROM u), c AS (SELECT *, printf('%d:%02d:%02d', s // 3600, s % 3600 // 60, s % 60) AS k FROM x)
+  SELECT conv_id, idx, '[' || idx || '] [' || k || '] ' || CASE WHEN idx % 3 = 0 THEN 'Speaker' ELSE label END || ': ' || text AS line, '[' || idx || '] ' || k || '-' || k || ':' || CASE WHEN idx % 3 = 0 THEN '' ELSE ' ' || label || ':' END || ' ' || text AS span, '[' || k || '] ' || text AS caption FROM c""")
+def transcript_lines(spark, d):
+    rows = utterances(spark, d).withColumn("text", text.clean_text(F.col("text"))).withColumn("who", F.when(F.col("idx") % 3 != 0, F.col("label")))
+    idx, clock, who, said = F.col("idx"), timeparse.seconds_to_clock(F.col("t0") / 1000), F.col("who"), F.col("text")
+    return rows.select("conv_id", "idx", text.transcript_line(idx, clock, who, said).alias("line"), text.span_line(idx, clock, clock, who, said).alias("span"), text.caption_line(clock, said).alias("caption"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CAST(printf('%.3f', l_extendedprice * l_tax / 7) AS DOUBLE) AS seconds, CAST(printf('%.3f', l_linenumber + (l_partkey % 2000) / 2000.0) AS DOUBLE) AS middle FROM lineitem""")
+def rounded_seconds(spark, d):
+    li = table(spark, d, "lineitem")
+    middle = F.col("l_linenumber") + (F.col("l_partkey") % 2000) / F.lit(2000.0)
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", scalar.round_seconds(F.col("l_extendedprice") * F.col("l_tax") / 7).alias("seconds"), scalar.round_seconds(middle).alias("middle"))
+
+
+@query("""WITH x AS (SELECT p_partkey, p_size * 600 AS s FROM part), f AS (SELECT *, round_even(20 * (s / 3600), 0) AS h, round_even(30 * (s / 3600), 0) AS m FROM x)
+  SELECT f.p_partkey, CAST(CASE WHEN f.p_partkey % 2 = 0 THEN greatest(12, h) WHEN s >= 3600 THEN greatest(35, m) ELSE 0 END AS INTEGER) AS least_chapters, greatest(1, length(p_name) // 4) AS tokens, s / 3600 * 0.5 AS cost, CASE WHEN f.p_partkey % 5 = 0 THEN NULL ELSE p_size / 1000 END AS sec FROM f JOIN part USING (p_partkey)""")
+def estimates(spark, d):
+    s = F.col("p_size") * 600
+    kind = F.when(F.col("p_partkey") % 2 == 0, "HEARING").otherwise("STATED_MEETING")
+    given = F.when(F.col("p_partkey") % 5 == 0, "soon").otherwise(F.col("p_size").cast("string"))
+    cost = scalar.within_budget(scalar.vendor_cost(s, F.lit(0.5)), 1e6)
+    return table(spark, d, "part").select("p_partkey", scalar.chapter_floor(kind, s).alias("least_chapters"), scalar.token_estimate(F.col("p_name"), 4).alias("tokens"), cost.alias("cost"), scalar.milliseconds(given).alias("sec"))
+
+
+@query("""SELECT user_id, event_id, CASE event_type WHEN 'view' THEN 'VOICE_VOTE' WHEN 'click' THEN 'TESTIMONY' ELSE 'REMARKS' END AS kind, CASE WHEN event_id % 2 = 0 THEN 'HEARING' ELSE '' END AS tags, CASE WHEN event_type = 'view' THEN 'HEARING,VOTE' ELSE 'HEARING' END AS inferred FROM events""")
+def coerced_types(spark, d):
+    kind = scalar.chapter_type(F.when(F.col("event_type") == "view", " voice vote").when(F.col("event_type") == "click", "Testimony").otherwise(F.col("event_type")))
+    tags = scalar.known_tags(F.array(F.lit("SONG"), F.when(F.col("event_id") % 2 == 0, "HEARING").otherwise("X")))
+    return table(spark, d, "events").select("user_id", "event_id", kind.alias("kind"), F.array_join(tags, ",").alias("tags"), F.array_join(scalar.tags_from_chapters(F.array(kind), F.lit("HEARING")), ",").alias("inferred"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || ' ' || p_type WHEN 1 THEN 'matter of ' || p_brand END AS topic FROM part""")
+def topics(spark, d):
+    kind = F.col("p_partkey") % 4
+    title = F.when(kind == 0, F.concat(F.lit(" "), "p_name", F.lit("\r\n"), "p_type", F.lit("."))).when(kind == 2, "Roll call of all").otherwise(F.concat(F.lit("Body "), "p_name"))
+    matter = F.when(kind == 1, F.concat(F.lit("matter of "), "p_brand"))
+    return table(spark, d, "part").select("p_partkey", scalar.event_topic(matter, title, F.concat(F.lit("body "), "p_name")).alias("topic"))
+
+
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_type WHEN 1 THEN 'b' || user_id WHEN 2 THEN 'x' || event_id END AS reply, CASE WHEN event_id % 4 = 3 THEN 'no' END AS refused, CAST(CASE WHEN event_id % 4 = 0 THEN user_id ELSE 0 END AS BIGINT) AS cached FROM events""")
+def model_replies(spark, d):
+    e = table(spark, d, "events").withColumn("k", F.col("event_id") % 4)
+    word = lambda c: F.col(c).cast("string")
+    message = F.when(F.col("k") == 0, F.concat(F.lit('{"content":"'), "event_type", F.lit('"}'))).when(F.col("k") == 1, F.concat(F.lit('{"content":[{"text":"b"},{"type":"image"},"'), word("user_id"), F.lit('"]}')))
+    message = message.when(F.col("k") == 2, F.concat(F.lit('{"content":"y","tool_calls":[{"function":{"arguments":"x'), word("event_id"), F.lit('"}}]}'))).otherwise('{"refusal":"no","content":"z"}')
+    body = F.concat(F.lit('{"choices":[{"message":'), message, F.lit("}]}"))
+    usage = F.when(F.col("k") == 0, F.concat(F.lit('{"prompt_tokens_details":{"cached_tokens":'), word("user_id"), F.lit("}}"))).otherwise("{}")
+    return e.select("event_id", scalar.reply_text(body).alias("reply"), scalar.refusal(body).alias("refused"), scalar.cached_tokens(usage).alias("cached"))
+
+
+@query("""SELECT page_id, CAST(page_id AS VARCHAR) AS a, page_id % 3 = 1 AS usable, page_id AS n_sources, least(page_id, 2) AS kept FROM pages WHERE page_id < 500""")
+def tolerant_json(spark, d):
+    """The key of a reply in a fence, among words or with commas too many; what can stand for a stage's work."""
+    p = table(spark, d, "pages").filter("page_id < 500").withColumn("id", F.col("page_id").cast("string"))
+    shape = F.col("page_id") % 3
+    reply = F.when(shape == 0, F.concat(F.lit('```json\n{"a": '), "id", F.lit("}\n```"))).when(shape == 1, F.concat(F.lit('{"a": '), "id", F.lit("}"))).otherwise(F.concat(F.lit('Here: {"a": '), "id", F.lit(", } so")))
+    stored = F.when(shape == 0, '{"chapters": []}').when(shape == 1, '{"chapters": [{"t": 1}]}').otherwise('{"chapters": [1]')
+    chunk = F.transform(F.sequence(F.lit(0), F.col("page_id")), lambda i: F.when(i == 0, "{}").otherwise('{"web":{"title":"t","uri":"u"}}'))
+    found = scalar.compact_grounding(F.concat(F.lit('{"groundingChunks":['), F.array_join(chunk, ","), F.lit("]}")), 2)
+    return p.select("page_id", scalar.json_object(reply, "a string")["a"].alias("a"), scalar.usable(stored, "chapters").alias("usable"), found["n_sources"].cast("long").alias("n_sources"), F.size(found["sources"]).cast("long").alias("kept"))
+
+
+# Registry upkeep
+
+
+@query("""SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 AND r <= 40 THEN CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN c_mktsegment WHEN 2 THEN '' END END AS topic
+  FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey % 3 ORDER BY c_custkey) AS r FROM customer)""")
+def topic_backfill(spark, d):
+    c = table(spark, d, "customer")
+    rows = c.select(F.col("c_custkey").alias("meeting_key"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey")).alias("legistar_event_id"), F.lit("f").alias("viebit_filename"), F.lit(None).cast("string").alias("event_topic"), F.when(F.col("c_custkey") % 4 == 0, "STATED_MEETING").otherwise("HEARING").alias("meeting_type"))
+    found = c.filter("c_custkey % 4 in (1, 2)").select(F.col("c_custkey").alias("meeting_key"), F.when(F.col("c_custkey") % 4 == 1, F.col("c_mktsegment")).alias("topic"))
+    return registry.backfill_topics(rows, found, 40).select(F.col("meeting_key").alias("k"), F.col("event_topic").alias("topic"))
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0 AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1998-06-24'""")
+def stale_recordings(spark, d):
+    o = table(spark, d, "orders")
+    at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    rows = o.select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, "f").alias("viebit_filename"), F.lit(None).cast("long").alias("legistar_event_id"), F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.substring(at, 1, 10), F.lit(" soon"))).when(F.col("o_orderkey") % 2 == 0, F.concat(at, F.lit("Z"))).alias("viebit_pub_date"), at.alias("discovered_at"))
+    return registry.stale_unmatched(rows, "1995-01-01", F.lit("1998-07-01 00:00:00").cast("timestamp")).select("o_orderkey")
+
+
+@query("SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_custkey % 5 = 0) GROUP BY 1")
+def retracted_results(spark, d):
+    gone = table(spark, d, "orders").filter("o_custkey % 5 = 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    return registry.retract(table(spark, d, "lineitem"), gone, "l_orderkey").groupBy("l_orderkey").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_custkey % 4 = 0 THEN 'failed' WHEN o_custkey % 100 >= 60 THEN 'pending' ELSE 'waiting' END AS outcome FROM orders""")
+def poll_outcomes(spark, d):
+    status = F.when(F.col("o_orderstatus") == "F", "SUCCESS").when(F.col("o_custkey") % 4 == 0, "CANCELLED").otherwise("RUNNING")
+    return table(spark, d, "orders").select("o_orderkey", registry.poll_outcome(status, F.col("o_custkey") % 100, 60.0).alias("outcome"))
+
+
+@query("""SELECT conv_id, 'Meeting ' || conv_id || chr(10) || string_agg('[' || turn || '] ' || role, chr(10) ORDER BY turn) || chr(10) || 'Name them.' AS prompt FROM conversations GROUP BY conv_id""")
+def prompts(spark, d):
+    line = F.format_string("[%d] %s", "turn", "role")
+    return terms.prompt(table(spark, d, "conversations"), ["conv_id"], "turn", line, "Meeting {conv_id}\n{lines}\nName them.")
+
+
+@query("""SELECT o_orderkey, '{"at":{"a":' || o_custkey || ',"b":null},"key":' || o_orderkey || ',"status":"' || o_orderstatus || '"}' AS value FROM orders""")
+def row_snapshots(spark, d):
+    rows = table(spark, d, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("key"), F.struct(F.lit(None).cast("string").alias("b"), F.col("o_custkey").alias("a")).alias("at"))
+    return rows.select(F.col("key").alias("o_orderkey"), writers.json_document(rows, pretty=False).alias("value"))
+
+
+@query(f"""WITH {SECONDS} SELECT event_id AS meeting_key, CAST(event_id % 3 AS INTEGER) AS part, CAST(10.0 + event_id % 50 AS DOUBLE) AS t0, CAST(12.5 + event_id % 50 AS DOUBLE) AS t1, 'said ' || event_type AS text, CASE WHEN event_id % 2 = 0 THEN 'speaker_' || (user_id % 5) ELSE 'UNKNOWN' END || '_part' AS label FROM e""")
+def vendor_records(spark, d):
+    e = table(spark, d, "events").withColumn("at", (F.col("event_id") % 50) * 1000)
+    who = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("speaker "), (F.col("user_id") % 5).cast("string"))).otherwise("unk")
+    body = F.format_string('{"utterances":[{"text":" said  %s","start":%d,"end":%d,"speaker":"%s"},{"text":"","start":1,"end":2},{"text":"x","start":5,"end":5}]}', "event_type", F.col("at"), F.col("at") + 2500, who)
+    replies = e.select(F.col("event_id").alias("meeting_key"), (F.col("event_id") % 3).cast("int").alias("part"), F.lit(10.0).alias("offset"), F.lit("_part").alias("suffix"), body.alias("body"))
+    return model_io.vendor_segments(replies, "utterances", 0.001)

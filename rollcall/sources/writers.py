@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall.operators.documents import with_version
 
@@ -12,11 +13,33 @@ def json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def document_files(documents: DataFrame, folder: str) -> None:
+def sorted_fields(c: Column, kind: T.DataType) -> Column:
+    """The value with the fields of all its structs in the order of their names."""
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[sorted_fields(c[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)])
+        return F.when(c.isNotNull(), inner)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: sorted_fields(x, kind.elementType))
+    return c
+
+
+def json_document(df: DataFrame, pretty: bool = True) -> Column:
+    """A row as JSON text with sorted names; null fields are written, lines are indented if ``pretty``."""
+    parts = [sorted_fields(F.col(f.name), f.dataType).alias(f.name) for f in sorted(df.schema.fields, key=lambda f: f.name)]
+    return F.to_json(F.struct(*parts), {"pretty": str(pretty).lower(), "ignoreNullFields": "false"})
+
+
+def snapshots(df: DataFrame, key: str) -> DataFrame:
+    """The registry's rows as documents: the key and the row's JSON text."""
+    return df.select(F.col(key), json_document(df).alias("value"))
+
+
+def document_files(documents: DataFrame, folder: str, pretty: bool = False) -> None:
     """Documents as JSON text under a folder for each slug and version, so that a changed document
     gets a place of its own and an unchanged one is written where it was."""
     content = [c for c in documents.columns if c != "slug"]
-    text = documents.withColumn("value", F.to_json(F.struct("slug", *content)))
+    plain = F.to_json(F.struct("slug", *content))
+    text = documents.withColumn("value", json_document(documents) if pretty else plain)
     versioned = with_version(text, "slug", "value")
     versioned.select("slug", "version", "value").write.mode("overwrite").partitionBy("slug", "version").text(folder)
 

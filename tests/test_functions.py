@@ -78,6 +78,24 @@ CASES = [
     (lambda: text.repair_decimals(F.lit("1. 2. 3. 4. 5. 6. 7. 8. 9. 5 billion")), "1.2.3.4.5.6.7.8.9.5 billion"),
     (lambda: text.repair_decimals(F.lit("In 2012. 5 people. 3. 5 percent")), "In 2012. 5 people. 3.5 percent"),
     (lambda: text.unescape_html(F.lit("a &amp;lt; &#x1F600; &#0; &#xD800; &x &hellip;")), "a &lt; \U0001f600 &#0; &#xD800; &x \u2026"),
+    (lambda: scalar.round_seconds(F.lit(1.0005)), 1.0),
+    (lambda: scalar.round_seconds(F.lit(0.0625)), 0.062),
+    (lambda: scalar.round_seconds(F.lit(None).cast("double")), 0.0),
+    (lambda: scalar.json_text(F.lit('So: {"a": [1, 2,],} end')), '{"a": [1, 2]}'),
+    (lambda: scalar.json_text(F.lit("no json")), "no json"),
+    (lambda: scalar.json_text(F.lit(None).cast("string")), None),
+    (lambda: scalar.usable(F.lit('{"segments": [], "backend": "x"}'), "segments", may_be_empty=True, backend="x"), True),
+    (lambda: scalar.usable(F.lit('{"segments": [], "backend": "x"}'), "segments", may_be_empty=True, backend="y"), False),
+    (lambda: scalar.usable(F.lit('{"segments": [1'), "segments"), False),
+    (lambda: scalar.usable(F.lit(""), "segments"), False),
+    (lambda: scalar.usable(F.lit(None).cast("string"), "segments"), False),
+    (lambda: scalar.compact_grounding(F.lit('{"webSearchQueries":["a"," "],"groundingChunks":[{"web":{"title":"t"}},{"x":1}]}'))["n_sources"], 1),
+    (lambda: scalar.compact_grounding(F.lit("{}"))["n_queries"], 0),
+    (lambda: scalar.summary_lines(F.array().cast("array<string>"), F.lit(None).cast("array<string>")), ["Summary pending."]),
+    (lambda: scalar.summary_lines(F.array(F.lit("$1. 5 billion")), F.array(F.lit("x"))), ["$1.5 billion"]),
+    (lambda: text.span_line(F.lit(3), F.lit("0:00:01"), F.lit("0:00:02"), F.lit(None).cast("string"), F.lit("hi")), "[3] 0:00:01-0:00:02: hi"),
+    (lambda: text.transcript_line(F.lit(3), F.lit("0:00:01"), F.lit(""), F.lit("hi")), "[3] [0:00:01] Speaker: hi"),
+    (lambda: timeparse.iso_stamp(F.lit("2025-04-23 10:00:00.7").cast("timestamp")), "2025-04-23T10:00:00Z"),
     (lambda: text.unescape_html(F.lit(None).cast("string")), None),
     (lambda: text.name_tokens(F.lit("Ana Lee PhD Jr")), ["ana", "lee", "phd"]),
     (lambda: text.introduced_names(F.lit("Hello I'm Ana O'Lee and so on. My name is Cy Ray from Queens"), ("AND", "FROM")), ["Ana Olee", "Cy Ray"]),
@@ -102,3 +120,12 @@ def test_case(spark, k):
 
 def test_backoff():
     assert [scalar.backoff(k) for k in (0, 3, 9)] == [10, 80, 300] and scalar.backoff(0, retry_after=42) == 42
+
+
+def test_rounding_is_that_of_the_stored_number(spark):
+    import random
+
+    rng = random.Random(5)
+    xs = [rng.uniform(-1e5, 1e5) for _ in range(2000)] + [k / 2000 for k in range(-4001, 40001, 2)] + [k / 10000 + 0.0005 for k in range(3000)] + [(2 * k + 1) / 16 for k in range(500)]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", scalar.round_seconds(F.col("x")).alias("r")).collect()
+    assert [r.x for r in got if r.r != round(r.x, 3)] == []

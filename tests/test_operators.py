@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rollcall import model_io
-from rollcall.operators import costs, documents, fuzzy, intervals, registry, sequence
+from rollcall.operators import costs, documents, fuzzy, intervals, registry, sequence, terms
 from rollcall.plans import catalogue
 from rollcall.sources import readers, writers
 from rollcall.streaming import incremental
@@ -223,3 +223,61 @@ def test_numbers_wider_than_their_pad_stay_whole(spark, tmp_path):
     assert ids("first_appearance_labels", "label") == [f"SPK_{i:02d}" for i in range(n)]
     assert ids("prev_next", "id") == [f"{i:03d}" for i in range(1, n + 1)]
     assert ids("verification_candidates", "id") == [f"v{i:03d}" for i in range(1, n + 1)]
+
+
+REPLY = "meeting_key string, part int, offset double, suffix string, body string"
+
+
+def vendor(spark, items, body, **options):
+    replies = spark.createDataFrame([("m", 2, 10.0, "_part2", body)], REPLY)
+    return [tuple(r)[2:] for r in model_io.vendor_segments(replies, items, **options).orderBy("t0").collect()]
+
+
+def test_vendor_segments_under_other_names_and_times_of_their_words(spark):
+    body = '{"segments":[{"transcript":"one  two","start_time":"1.5","end":2,"speaker":"sp 1"},{"start":null,"words":[{"text":"a","start":3,"end":3.5},{"type":"spacing","text":" ","start":3.5,"end":3.6},{"word":"b","start":3.6,"end":4}]},{"text":"x","start":5,"end":5},{"text":" ","start":6,"end":7}]}'
+    assert vendor(spark, "segments", body) == [(11.5, 12.0, "one two", "sp_1_part2"), (13.0, 14.0, "a b", "UNKNOWN_part2")]
+    assert vendor(spark, "sentences", '{"sentences":[{"text":"hi","start":0,"end":1.0005}]}') == [(10.0, round(11.0005, 3), "hi", "UNKNOWN_part2")]
+
+
+def test_vendor_replies_without_items_are_made_of_words(spark):
+    words = '"words":[{"text":"Hello","start":0,"end":400,"speaker":"A"},{"text":",","start":400,"end":500,"speaker":"A"},{"text":"you","start":600,"end":900,"speaker":"B"}]'
+    want = [(10.0, 10.5, "Hello,", "A_part2"), (10.6, 10.9, "you", "B_part2")]
+    assert vendor(spark, "utterances", "{" + words + "}", unit=0.001) == want
+    assert vendor(spark, "utterances", '{"utterances":[{"text":"","start":1,"end":2}],' + words + "}", unit=0.001) == want
+    assert vendor(spark, "utterances", "not json", unit=0.001) == []
+
+
+def test_vendor_utterances_cut_at_the_pauses_of_their_words(spark):
+    body = '{"utterances":[{"text":"a b","start":0,"end":5000,"speaker":"A","words":[{"text":"a","start":0,"end":400,"speaker":"Z"},{"text":"b","start":4000,"end":5000}]}]}'
+    assert vendor(spark, "utterances", body, unit=0.001, by_words=True) == [(10.0, 10.4, "a", "A_part2"), (14.0, 15.0, "b", "A_part2")]
+    assert vendor(spark, "utterances", '{"utterances":[{"text":"a b","start":0,"end":5000,"speaker":"A"}]}', unit=0.001, by_words=True) == [(10.0, 15.0, "a b", "A_part2")]
+
+
+def test_paths_in_three_forms(spark):
+    manifest = spark.createDataFrame([("/meetings/b/m/c", 1)], "path string, n int")
+    paths = spark.createDataFrame([(x,) for x in ("/meetings/b/m/c", "/meetings/b/m/c/", "/og/chapter/b/m/c.png", "/meetings/b/m", None)], "path string")
+    assert sorted(r.asked for r in documents.by_path(manifest, paths).collect()) == ["/meetings/b/m/c", "/meetings/b/m/c/", "/og/chapter/b/m/c.png"]
+
+
+def test_stamp_and_stale_rows(spark):
+    rows = spark.createDataFrame([("a", "f", None, "", "2025-01-01T00:00:00Z"), ("b", "f", 3, None, "2025-01-01"), ("c", "f", None, "soon", "2025-01-01"), ("d", None, None, None, None), ("e", "f", None, "2025-01-20", None)], "k string, viebit_filename string, legistar_event_id long, viebit_pub_date string, discovered_at string")
+    now = F.lit("2025-01-22 00:00:00").cast("timestamp")
+    # an empty date is earlier than any floor, as it is where the registry compares texts
+    assert [r.k for r in registry.stale_unmatched(rows, "", now).collect()] == ["a"]
+    assert registry.stale_unmatched(rows, "2025-01-01", now).count() == 0
+    stamped = registry.stamp(rows.withColumn("updated_at", F.lit("old")), F.col("k") == "a", F.lit("new")).collect()
+    assert [r.updated_at for r in stamped] == ["new", "old", "old", "old", "old"]
+
+
+def test_documents_sorted_and_indented(spark, tmp_path):
+    docs = spark.createDataFrame([("s", None, [(2, 1)])], "slug string, body string, chapters array<struct<z int, a int>>")
+    value = writers.snapshots(docs, "slug").first()["value"]
+    assert value.index('"body"') < value.index('"chapters"') < value.index('"a"') < value.index('"z"') < value.index('"slug"') and "\n" in value
+    writers.document_files(docs, f"{tmp_path}/d", pretty=True)
+    back = spark.read.text(f"{tmp_path}/d", wholetext=True).first()["value"]
+    assert back.strip() == value
+
+
+def test_prompt_of_a_group(spark):
+    rows = spark.createDataFrame([("m", 1, "b"), ("m", 0, "a")], "m string, i int, t string")
+    assert terms.prompt(rows, ["m"], "i", F.col("t"), "{m}: {lines}!").first()["prompt"] == "m: a\nb!"
