@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once inside a task; a longer single text is one piece of its own.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 2 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.Table]:
