@@ -1,7 +1,8 @@
 """Joins of intervals and points in time.
 
 Every join has an equality on the group and on time buckets, so it is a hash or merge join and never
-compares all rows of a group; a pair that meets in several buckets is counted once.
+compares all rows of a group; a pair that meets in several buckets is counted once. Long intervals lie in
+coarser buckets, so that none becomes more than a few hundred rows.
 """
 
 from __future__ import annotations
@@ -10,33 +11,72 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+#: Levels of buckets, each STEP times as wide as the one before.
+LEVELS, STEP = 3, 256
 
-def _buckets(low: Column, high: Column, width: float) -> Column:
-    return F.explode(F.sequence(F.floor(low / width).cast("long"), F.floor(high / width).cast("long")))
+
+def _cover(low: Column, high: Column, width: float, level: int) -> Column:
+    return F.sequence(F.floor(low / (width * STEP**level)).cast("long"), F.floor(high / (width * STEP**level)).cast("long"))
+
+
+def _length(low: Column, high: Column, width: float, level: int) -> Column:
+    return F.floor(high / (width * STEP**level)) - F.floor(low / (width * STEP**level))
+
+
+def buckets(low: Column, high: Column, width: float, first: bool) -> Column:
+    """One row for each bucket (level, at, side) in which the interval of one side (``first`` or not) of a join
+    may meet one of the other side. ``low`` is not above ``high``; an interval of nulls has no bucket.
+
+    An interval's level is the first at which it lies in at most STEP buckets (or the last). Two intervals meet at the
+    higher of their levels: under side 0 if that is the level of the first one, else under side 1.
+    """
+    long_ = [_length(low, high, width, k) >= STEP for k in range(LEVELS - 1)]
+    own = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        own = F.when(~long_[k], k).otherwise(own)
+    keys = []
+    for k in range(LEVELS):
+        at = lambda side, k=k: F.transform(_cover(low, high, width, k), lambda b: F.struct(F.lit(k).alias("level"), b.alias("at"), F.lit(side).alias("side")))
+        none = F.array().cast("array<struct<level:int,at:bigint,side:int>>")
+        if first:
+            keys.append(F.when(own == k, at(0)).when(own < k, at(1)).otherwise(none))
+        else:
+            keys.append(F.when(own == k, F.concat(at(0), at(1)) if k else at(0)).when(own < k, at(0)).otherwise(none))
+    return F.explode(F.concat(*keys))
 
 
 def max_overlap(rows: DataFrame, turns: DataFrame, group: str, width: float = 60.0) -> DataFrame:
     """``rows`` (group, idx, t0, t1) with the label of the turn (group, ord, start, end, label) that
     overlaps it longest; then the longer turn, then the earlier ``ord``. Only rows with an overlap."""
-    left = rows.select(group, "idx", "t0", "t1", _buckets(F.col("t0"), F.col("t1"), width).alias("bucket"))
-    right = turns.select(group, "ord", "start", "end", "label", _buckets(F.col("start"), F.col("end"), width).alias("bucket"))
+    left = rows.filter("t0 <= t1").select(group, "idx", "t0", "t1", buckets(F.col("t0"), F.col("t1"), width, True).alias("bucket"))
+    right = turns.filter("start <= end").select(group, "ord", "start", "end", "label", buckets(F.col("start"), F.col("end"), width, False).alias("bucket"))
     both = left.join(right, [group, "bucket"]).filter("t0 < end and t1 > start")
     shared = F.least("t1", "end") - F.greatest("t0", "start")
     best = F.max_by("label", F.struct(shared, F.col("end") - F.col("start"), -F.col("ord")))
     return both.groupBy(group, "idx").agg(best.alias("label"))
 
 
-def nearest_midpoint(rows: DataFrame, turns: DataFrame, group: str) -> DataFrame:
+def nearest_midpoint(rows: DataFrame, turns: DataFrame, group: str, width: float = 600.0) -> DataFrame:
     """(group, idx, label) of the turn whose midpoint is nearest to the row's; ties go to the earlier
-    ``ord``. The nearest before and after are looked up in one sweep over both tables by time."""
+    ``ord``. The nearest before and after are looked up in sweeps over both tables, each over one stretch
+    of ``width`` of a group; what lies in other stretches is carried over, one row for each stretch."""
     points = turns.groupBy(group, ((F.col("start") + F.col("end")) / 2).alias("mid")).agg(F.min(F.struct("ord", "label")).alias("turn"))
     points = points.select(group, "mid", F.lit(None).cast("long").alias("idx"), F.struct("mid", "turn").alias("here"))
     asked = rows.select(group, ((F.col("t0") + F.col("t1")) / 2).alias("mid"), F.col("idx").cast("long").alias("idx"), F.lit(None).cast(points.schema["here"].dataType).alias("here"))
-    by = W.partitionBy(group).orderBy("mid", F.col("idx").isNotNull(), "idx")
-    swept = points.unionByName(asked).withColumn("before", F.last("here", ignorenulls=True).over(by.rowsBetween(W.unboundedPreceding, 0)))
-    swept = swept.withColumn("after", F.first("here", ignorenulls=True).over(by.rowsBetween(0, W.unboundedFollowing))).filter("idx is not null")
+    swept = points.unionByName(asked).withColumn("stretch", F.floor(F.col("mid") / width))
+
+    known = F.when(F.col("here").isNotNull(), F.col("mid"))
+    carried = swept.groupBy(group, "stretch").agg(F.max_by("here", known).alias("last"), F.min_by("here", known).alias("first"))
+    up, down = (W.partitionBy(group).orderBy(o).rowsBetween(W.unboundedPreceding, -1) for o in (F.asc("stretch"), F.desc("stretch")))
+    carried = carried.select(group, "stretch", F.last("last", ignorenulls=True).over(up).alias("earlier"), F.last("first", ignorenulls=True).over(down).alias("later"))
+
+    # the way down runs in descending order: a frame that is open behind would be read again for every row
+    up, down = (W.partitionBy(group, "stretch").orderBy(o, F.col("idx").isNotNull(), "idx").rowsBetween(W.unboundedPreceding, 0) for o in (F.asc("mid"), F.desc("mid")))
+    swept = swept.withColumn("before", F.last("here", ignorenulls=True).over(up)).withColumn("after", F.last("here", ignorenulls=True).over(down))
+    found = swept.filter("idx is not null").join(carried, [group, "stretch"])
+    found = found.select(group, "idx", "mid", F.coalesce("before", "earlier").alias("before"), F.coalesce("after", "later").alias("after"))
     far = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(c)["mid"] - F.col("mid")).alias("d"), F.col(c)["turn"].alias("turn")))
-    return swept.select(group, "idx", F.least(far("before"), far("after"))["turn"]["label"].alias("label")).filter("label is not null")
+    return found.select(group, "idx", F.least(far("before"), far("after"))["turn"]["label"].alias("label")).filter("label is not null")
 
 
 def assign_labels(rows: DataFrame, turns: DataFrame, group: str, width: float = 60.0) -> DataFrame:
@@ -52,8 +92,8 @@ def assign_labels(rows: DataFrame, turns: DataFrame, group: str, width: float =
 def contain(spans: DataFrame, points: DataFrame, group: str, keep: list[str], width: float = 600.0) -> DataFrame:
     """``spans`` (group, span, start, end) with ``points``: their rows (group, t, keep...) in
     start <= t < end, in order. Spans may overlap or leave gaps; those without points keep none."""
-    left = spans.filter("start < end").select(group, "span", "start", "end", _buckets(F.col("start"), F.col("end"), width).alias("bucket"))
-    right = points.select(group, F.floor(F.col("t") / width).cast("long").alias("bucket"), "t", *keep)
+    left = spans.filter("start < end").select(group, "span", "start", "end", buckets(F.col("start"), F.col("end"), width, True).alias("bucket"))
+    right = points.select(group, buckets(F.col("t"), F.col("t"), width, False).alias("bucket"), "t", *keep)
     inside = left.join(right, [group, "bucket"]).filter("start <= t and t < end")
     nested = inside.groupBy(group, "span").agg(F.sort_array(F.collect_list(F.struct("t", *keep))).alias("points"))
     return spans.join(nested, [group, "span"], "left")
@@ -61,8 +101,8 @@ def contain(spans: DataFrame, points: DataFrame, group: str, keep: list[str], wi
 
 def override_ranges(rows: DataFrame, ranges: DataFrame, group: str, width: int = 64) -> DataFrame:
     """``rows`` (group, idx) with ``value`` of the last range (group, ord, low, high, value) over idx."""
-    spread = ranges.select(group, "ord", "low", "high", "value", _buckets(F.col("low"), F.col("high"), width).alias("bucket"))
-    hit = rows.select(group, "idx", F.floor(F.col("idx") / width).cast("long").alias("bucket")).join(spread, [group, "bucket"])
+    spread = ranges.filter("low <= high").select(group, "ord", "low", "high", "value", buckets(F.col("low"), F.col("high"), width, False).alias("bucket"))
+    hit = rows.select(group, "idx", buckets(F.col("idx"), F.col("idx"), width, True).alias("bucket")).join(spread, [group, "bucket"])
     last = hit.filter("idx between low and high").groupBy(group, "idx").agg(F.max_by("value", "ord").alias("value"))
     return rows.join(last, [group, "idx"], "left")
 
@@ -70,8 +110,8 @@ def override_ranges(rows: DataFrame, ranges: DataFrame, group: str, width: int =
 def fill_ranges(rows: DataFrame, ranges: DataFrame, group: str, value: str, width: int = 64) -> DataFrame:
     """``rows`` (group, idx, value): where the value is null or UNKNOWN, that of the first range (group, ord, low,
     high, value) over idx that has a known one; if all over it are UNKNOWN, that."""
-    spread = ranges.filter("low <= high").select(group, "ord", "low", "high", F.col("value").alias("_new"), _buckets(F.col("low"), F.col("high"), width).alias("bucket"))
-    hit = rows.select(group, "idx", F.floor(F.col("idx") / width).cast("long").alias("bucket")).join(spread, [group, "bucket"]).filter("idx between low and high")
+    spread = ranges.filter("low <= high").select(group, "ord", "low", "high", F.col("value").alias("_new"), buckets(F.col("low"), F.col("high"), width, False).alias("bucket"))
+    hit = rows.select(group, "idx", buckets(F.col("idx"), F.col("idx"), width, True).alias("bucket")).join(spread, [group, "bucket"]).filter("idx between low and high")
     first = hit.groupBy(group, "idx").agg(F.min_by("_new", F.struct(F.col("_new").eqNullSafe("UNKNOWN"), "ord")).alias("_new"))
     open_ = F.col(value).isNull() | (F.col(value) == "UNKNOWN")
     return rows.join(first, [group, "idx"], "left").withColumn(value, F.when(open_ & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col(value))).drop("_new")
@@ -80,7 +120,7 @@ def fill_ranges(rows: DataFrame, ranges: DataFrame, group: str, value: str, widt
 def first_within(events: DataFrame, candidates: DataFrame, group: str, tolerance: float) -> DataFrame:
     """(event, candidate): for each event (group, event, t) the candidate (group, candidate, t) that comes
     first in scan order of those at most ``tolerance`` away; not the nearest."""
-    left = events.select(group, "event", F.col("t").alias("et"), _buckets(F.col("t") - tolerance, F.col("t") + tolerance, tolerance).alias("bucket"))
+    left = events.select(group, "event", F.col("t").alias("et"), F.explode(_cover(F.col("t") - tolerance, F.col("t") + tolerance, tolerance, 0)).alias("bucket"))
     right = candidates.select(group, "candidate", F.col("t").alias("ct"), F.floor(F.col("t") / tolerance).cast("long").alias("bucket"))
     both = left.join(right, [group, "bucket"]).filter(F.abs(F.col("et") - F.col("ct")) <= tolerance)
     return both.groupBy("event").agg(F.min("candidate").alias("candidate"))

@@ -16,6 +16,42 @@ def test_labels_by_overlap_then_midpoint(spark):
     assert [r.label for r in got] == ["A", "B", "C"]
 
 
+def test_interval_joins_equal_brute_force_at_all_lengths(spark):
+    import random
+
+    rng = random.Random(3)
+    length = lambda: rng.choice([0.0, 0.004, 0.2, 3.0, 40.0, 2000.0]) * rng.random()
+    rows = [("m", i, t, t + length()) for i, t in enumerate(rng.uniform(-50, 50) for _ in range(120))]
+    turns = [("m", i, t, t + length(), f"L{i}") for i, t in enumerate(rng.uniform(-50, 50) for _ in range(120))]
+    left = spark.createDataFrame(rows, "m string, idx long, t0 double, t1 double")
+    right = spark.createDataFrame(turns, "m string, ord long, start double, end double, label string")
+
+    best = {}
+    for _, i, a, b in rows:
+        shared = [((min(b, e) - max(a, s)), e - s, -k, x) for _, k, s, e, x in turns if a < e and b > s]
+        if shared:
+            best[i] = max(shared)[3]
+    assert {r.idx: r.label for r in intervals.max_overlap(left, right, "m", 0.01).collect()} == best
+
+    near = {i: min((abs((s + e) / 2 - (a + b) / 2), k, x) for _, k, s, e, x in turns)[2] for _, i, a, b in rows}
+    for width in (0.5, 5000.0):
+        assert {r.idx: r.label for r in intervals.nearest_midpoint(left, right, "m", width).collect()} == near
+
+    points = left.selectExpr("m", "t0 as t", "idx")
+    spans = right.selectExpr("m", "ord as span", "start", "end")
+    got = {r.span: sorted(p.idx for p in r.points or []) for r in intervals.contain(spans, points, "m", ["idx"], 0.01).collect()}
+    assert got == {k: sorted(i for _, i, a, _ in rows if s <= a < e) for _, k, s, e, _ in turns}
+
+    ranges = [("m", k, int(s * 9), int(e * 9), x) for _, k, s, e, x in turns] + [("m", 900, 7, 3, "none")]
+    over = spark.createDataFrame(ranges, "m string, ord long, low long, high long, value string")
+    items = spark.range(-400, 400, 7).selectExpr("'m' as m", "id as idx")
+    got = {r.idx: r.value for r in intervals.override_ranges(items, over, "m", 1).collect()}
+    assert got == {i: max([(k, v) for _, k, a, b, v in ranges if a <= i <= b], default=(0, None))[1] for i in range(-400, 400, 7)}
+    # an interval over all time is at most some hundreds of rows
+    wide = spark.createDataFrame([("m", 0, 0.0, 4e9)], "m string, idx long, t0 double, t1 double")
+    assert wide.select(intervals.buckets(wide.t0, wide.t1, 60.0, True)).count() < 1100
+
+
 def test_dense_labels(spark):
     rows = spark.createDataFrame([("m", 2.0, "x"), ("m", 1.0, "y"), ("m", 3.0, "y")], "m string, start double, raw string")
     got = sequence.first_appearance(rows, "m", "raw", ["start"]).orderBy("start").collect()
