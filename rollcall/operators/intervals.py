@@ -7,7 +7,7 @@ coarser buckets, so that none becomes more than a few hundred rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -15,42 +15,42 @@ from pyspark.sql import Window as W
 LEVELS, STEP = 3, 256
 
 
-def _cover(low: Column, high: Column, width: float, level: int) -> Column:
-    return F.sequence(F.floor(low / (width * STEP**level)).cast("long"), F.floor(high / (width * STEP**level)).cast("long"))
+#: Where rows of the two sides of a join meet.
+BUCKET = ["level", "at", "side"]
 
 
-def _length(low: Column, high: Column, width: float, level: int) -> Column:
-    return F.floor(high / (width * STEP**level)) - F.floor(low / (width * STEP**level))
-
-
-def buckets(low: Column, high: Column, width: float, first: bool) -> Column:
-    """One row for each bucket (level, at, side) in which the interval of one side (``first`` or not) of a join
-    may meet one of the other side. ``low`` is not above ``high``; an interval of nulls has no bucket.
+def bucketed(rows: DataFrame, low: str, high: str, width: float, first: bool) -> DataFrame:
+    """``rows``, each once for every bucket (BUCKET) in which its interval may meet one of the other side of a join;
+    one side is ``first``. Points have one column as both ends. Intervals of nulls or that end before they start
+    have no bucket.
 
     An interval's level is the first at which it lies in at most STEP buckets (or the last). Two intervals meet at the
     higher of their levels: under side 0 if that is the level of the first one, else under side 1.
     """
-    long_ = [_length(low, high, width, k) >= STEP for k in range(LEVELS - 1)]
+    index = lambda c, w: F.floor(F.col(c) / w).cast("long")
+    rows = rows.filter(F.col(low) <= F.col(high))
+    if low == high:
+        rows = rows.withColumn("level", F.explode(F.array(*map(F.lit, range(LEVELS)))))
+        rows = rows.withColumn("at", index(low, width * F.pow(F.lit(float(STEP)), "level")))
+        return rows.withColumn("side", F.when(F.col("level") > 0, int(first)).otherwise(0))
     own = F.lit(LEVELS - 1)
     for k in reversed(range(LEVELS - 1)):
-        own = F.when(~long_[k], k).otherwise(own)
-    keys = []
-    for k in range(LEVELS):
-        at = lambda side, k=k: F.transform(_cover(low, high, width, k), lambda b: F.struct(F.lit(k).alias("level"), b.alias("at"), F.lit(side).alias("side")))
-        none = F.array().cast("array<struct<level:int,at:bigint,side:int>>")
-        if first:
-            keys.append(F.when(own == k, at(0)).when(own < k, at(1)).otherwise(none))
-        else:
-            keys.append(F.when(own == k, F.concat(at(0), at(1)) if k else at(0)).when(own < k, at(0)).otherwise(none))
-    return F.explode(F.concat(*keys))
+        own = F.when(index(high, width * STEP**k) - index(low, width * STEP**k) < STEP, k).otherwise(own)
+    wide = width * F.pow(F.lit(float(STEP)), "level")
+    rows = rows.withColumn("_own", own).withColumn("level", F.explode(F.sequence("_own", F.lit(LEVELS - 1))))
+    rows = rows.withColumn("at", F.explode(F.sequence(index(low, wide), index(high, wide))))
+    coarser = F.col("level") > F.col("_own")
+    if first:
+        return rows.withColumn("side", coarser.cast("int")).drop("_own")
+    return rows.withColumn("side", F.explode(F.when(coarser | (F.col("level") == 0), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1))))).drop("_own")
 
 
 def max_overlap(rows: DataFrame, turns: DataFrame, group: str, width: float = 60.0) -> DataFrame:
     """``rows`` (group, idx, t0, t1) with the label of the turn (group, ord, start, end, label) that
     overlaps it longest; then the longer turn, then the earlier ``ord``. Only rows with an overlap."""
-    left = rows.filter("t0 <= t1").select(group, "idx", "t0", "t1", buckets(F.col("t0"), F.col("t1"), width, True).alias("bucket"))
-    right = turns.filter("start <= end").select(group, "ord", "start", "end", "label", buckets(F.col("start"), F.col("end"), width, False).alias("bucket"))
-    both = left.join(right, [group, "bucket"]).filter("t0 < end and t1 > start")
+    left = bucketed(rows.select(group, "idx", "t0", "t1"), "t0", "t1", width, True)
+    right = bucketed(turns.select(group, "ord", "start", "end", "label"), "start", "end", width, False)
+    both = left.join(right, [group, *BUCKET]).filter("t0 < end and t1 > start")
     shared = F.least("t1", "end") - F.greatest("t0", "start")
     best = F.max_by("label", F.struct(shared, F.col("end") - F.col("start"), -F.col("ord")))
     return both.groupBy(group, "idx").agg(best.alias("label"))
@@ -92,17 +92,17 @@ def assign_labels(rows: DataFrame, turns: DataFrame, group: str, width: float =
 def contain(spans: DataFrame, points: DataFrame, group: str, keep: list[str], width: float = 600.0) -> DataFrame:
     """``spans`` (group, span, start, end) with ``points``: their rows (group, t, keep...) in
     start <= t < end, in order. Spans may overlap or leave gaps; those without points keep none."""
-    left = spans.filter("start < end").select(group, "span", "start", "end", buckets(F.col("start"), F.col("end"), width, True).alias("bucket"))
-    right = points.select(group, buckets(F.col("t"), F.col("t"), width, False).alias("bucket"), "t", *keep)
-    inside = left.join(right, [group, "bucket"]).filter("start <= t and t < end")
+    left = bucketed(spans.filter("start < end").select(group, "span", "start", "end"), "start", "end", width, True)
+    right = bucketed(points.select(group, "t", *keep), "t", "t", width, False)
+    inside = left.join(right, [group, *BUCKET]).filter("start <= t and t < end")
     nested = inside.groupBy(group, "span").agg(F.sort_array(F.collect_list(F.struct("t", *keep))).alias("points"))
     return spans.join(nested, [group, "span"], "left")
 
 
 def override_ranges(rows: DataFrame, ranges: DataFrame, group: str, width: int = 64) -> DataFrame:
     """``rows`` (group, idx) with ``value`` of the last range (group, ord, low, high, value) over idx."""
-    spread = ranges.filter("low <= high").select(group, "ord", "low", "high", "value", buckets(F.col("low"), F.col("high"), width, False).alias("bucket"))
-    hit = rows.select(group, "idx", buckets(F.col("idx"), F.col("idx"), width, True).alias("bucket")).join(spread, [group, "bucket"])
+    spread = bucketed(ranges.select(group, "ord", "low", "high", "value"), "low", "high", width, False)
+    hit = bucketed(rows.select(group, "idx"), "idx", "idx", width, True).join(spread, [group, *BUCKET])
     last = hit.filter("idx between low and high").groupBy(group, "idx").agg(F.max_by("value", "ord").alias("value"))
     return rows.join(last, [group, "idx"], "left")
 
@@ -110,8 +110,8 @@ def override_ranges(rows: DataFrame, ranges: DataFrame, group: str, width: int =
 def fill_ranges(rows: DataFrame, ranges: DataFrame, group: str, value: str, width: int = 64) -> DataFrame:
     """``rows`` (group, idx, value): where the value is null or UNKNOWN, that of the first range (group, ord, low,
     high, value) over idx that has a known one; if all over it are UNKNOWN, that."""
-    spread = ranges.filter("low <= high").select(group, "ord", "low", "high", F.col("value").alias("_new"), buckets(F.col("low"), F.col("high"), width, False).alias("bucket"))
-    hit = rows.select(group, "idx", buckets(F.col("idx"), F.col("idx"), width, True).alias("bucket")).join(spread, [group, "bucket"]).filter("idx between low and high")
+    spread = bucketed(ranges.select(group, "ord", "low", "high", F.col("value").alias("_new")), "low", "high", width, False)
+    hit = bucketed(rows.select(group, "idx"), "idx", "idx", width, True).join(spread, [group, *BUCKET]).filter("idx between low and high")
     first = hit.groupBy(group, "idx").agg(F.min_by("_new", F.struct(F.col("_new").eqNullSafe("UNKNOWN"), "ord")).alias("_new"))
     open_ = F.col(value).isNull() | (F.col(value) == "UNKNOWN")
     return rows.join(first, [group, "idx"], "left").withColumn(value, F.when(open_ & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col(value))).drop("_new")
@@ -120,7 +120,7 @@ def fill_ranges(rows: DataFrame, ranges: DataFrame, group: str, value: str, widt
 def first_within(events: DataFrame, candidates: DataFrame, group: str, tolerance: float) -> DataFrame:
     """(event, candidate): for each event (group, event, t) the candidate (group, candidate, t) that comes
     first in scan order of those at most ``tolerance`` away; not the nearest."""
-    left = events.select(group, "event", F.col("t").alias("et"), F.explode(_cover(F.col("t") - tolerance, F.col("t") + tolerance, tolerance, 0)).alias("bucket"))
+    left = events.select(group, "event", F.col("t").alias("et"), F.explode(F.sequence(*(F.floor((F.col("t") + x) / tolerance).cast("long") for x in (-tolerance, tolerance)))).alias("bucket"))
     right = candidates.select(group, "candidate", F.col("t").alias("ct"), F.floor(F.col("t") / tolerance).cast("long").alias("bucket"))
     both = left.join(right, [group, "bucket"]).filter(F.abs(F.col("et") - F.col("ct")) <= tolerance)
     return both.groupBy("event").agg(F.min("candidate").alias("candidate"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from rollcall.functions.text import clean_text
-from rollcall.operators.intervals import buckets
+from rollcall.operators.intervals import BUCKET, bucketed
 
 
 def normalize_utterances(rows: DataFrame, group: str, gap: float, least: float) -> DataFrame:
@@ -156,9 +156,9 @@ def split_votes(chapters: DataFrame, items: DataFrame, group: str, width: float
     """Vote chapters (group, idx, kind, start, end) with at least two items (group, t) from start - 3 to the
     end become one row per item, up to the next item or the end; other chapters stay."""
     votes = chapters.filter(F.col("kind").isin("VOTE", "VOICE_VOTE") & (F.col("end") > F.col("start") - 3))
-    spread = votes.withColumn("bucket", buckets(F.col("start") - 3, F.col("end"), width, True))
-    at = items.select(group, "t", buckets(F.col("t"), F.col("t"), width, False).alias("bucket"))
-    inside = spread.join(at, [group, "bucket"]).filter("t >= start - 3 and t < end")
+    spread = bucketed(votes.withColumn("_low", F.col("start") - 3), "_low", "end", width, True)
+    at = bucketed(items.select(group, "t"), "t", "t", width, False)
+    inside = spread.join(at, [group, *BUCKET]).filter("t >= start - 3 and t < end")
     by = W.partitionBy(group, "idx")
     inside = inside.withColumn("n", F.count("*").over(by)).filter("n >= 2").withColumn("next", F.lead("t").over(by.orderBy("t")))
     parts = inside.select(group, "idx", F.lit("VOICE_VOTE").alias("kind"), F.col("t").alias("start"), F.greatest(F.col("t") + 1, F.coalesce("next", "end")).alias("end"))

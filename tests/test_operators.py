@@ -49,7 +49,7 @@ def test_interval_joins_equal_brute_force_at_all_lengths(spark):
     assert got == {i: max([(k, v) for _, k, a, b, v in ranges if a <= i <= b], default=(0, None))[1] for i in range(-400, 400, 7)}
     # an interval over all time is at most some hundreds of rows
     wide = spark.createDataFrame([("m", 0, 0.0, 4e9)], "m string, idx long, t0 double, t1 double")
-    assert wide.select(intervals.buckets(wide.t0, wide.t1, 60.0, True)).count() < 1100
+    assert intervals.bucketed(wide, "t0", "t1", 60.0, True).count() < 1100
 
 
 def test_dense_labels(spark):
