@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import ann, chat, licenses, mixing, ngram_join, packing, passages, quality, sharding, vector_dedup
+from rollcall.llm import ann, chat, filter_audit, licenses, mixing, multiset_hash, ngram_join, packing, passages, periodic, quality, sharding, vector_dedup
 from rollcall.llm.common import table
 
 #: Threshold of a document that is good; shares of the corpus that the languages shall have.
@@ -84,6 +84,34 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.digest(passages.remove_repeats(table(spark, sf_dir, "documents"), width=20))
 
 
+def op11_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.compare_edits(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def planted(text: Column, doc_id: Column) -> Column:
+    """The text of op13's contract: in a tenth of the documents, by the checksum of doc_id, the words from a
+    place on repeat with a period; both follow from the checksum and the number of words."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+    n = F.size(words)
+    at = F.pmod(g, n).cast("int")
+    period = (1 + F.floor((n - at) / (3 + g % 8))).cast("int")
+    turns = F.ceil((n - at) / period).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, at + 1, period), turns)), F.lit(1), n - at)
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), at), tail), " ")
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), changed).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic.detect_runs(docs.select("doc_id", planted(F.col("text"), F.col("doc_id")).alias("text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
     "op2_ngram_join": op2_ngram_join,
@@ -95,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_passages": op10_passages,
+    "op11_multiset_hash": op11_multiset_hash,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 
@@ -170,4 +201,65 @@ ORACLE_SQL: dict[str, str] = {
     FROM e GROUP BY conv_id
     """,
     "op5_licenses": _license_sql(),
+    "op11_multiset_hash": r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(t) AS n FROM documents),
+    e AS (SELECT doc_id, n, t, left(t, n - n // 4) || left(coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)), n // 4) AS e,
+            coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next FROM d),
+    v AS (SELECT doc_id, 0 AS v, t FROM e UNION ALL SELECT doc_id, 1, e FROM e),
+    p AS (SELECT doc_id, v, unnest(string_split(t, chr(10))) AS p FROM v),
+    s AS (SELECT doc_id, v, k, sum(('0x' || substr(sha256(p), 8 * k + 1, 8))::BIGINT) % 4294967296 AS s FROM p, range(8) r(k) GROUP BY ALL),
+    s1 AS (SELECT doc_id, v, string_agg(CAST(s AS BIGINT)::VARCHAR, ',' ORDER BY k) AS sums FROM s GROUP BY ALL),
+    w AS (SELECT doc_id, v, regexp_extract_all(p, '[^\x20\x09-\x0D]+') AS w FROM p),
+    h AS (SELECT doc_id, v, sha256(array_to_string(w[i:i + 2], ' ')) AS h FROM w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) t(i) WHERE len(w) > 0),
+    b AS (SELECT doc_id, v, k, sum(((instr('0123456789abcdef', substr(h, k // 4 + 1, 1)) - 1) >> (3 - k % 4)) & 1)::BIGINT AS m, count(*) AS n FROM h, range(64) r(k) GROUP BY ALL),
+    m AS (SELECT doc_id, v, any_value(n) AS n, list(m ORDER BY k) AS m FROM b GROUP BY ALL),
+    f AS (SELECT v.doc_id, v.v, sums, coalesce(m.n, 0) AS pieces, coalesce(m.m, [0 FOR x IN range(64)]) AS m, [2 * x - coalesce(m.n, 0) FOR x IN coalesce(m.m, [0 FOR x IN range(64)])] AS u,
+            sums || ';' || pieces || ';' || array_to_string(coalesce(m.m, [0 FOR x IN range(64)]), ',') AS text
+          FROM v JOIN s1 USING (doc_id, v) LEFT JOIN m USING (doc_id, v)),
+    c AS (SELECT e.doc_id, e.n AS n_chars, sha256(e.e) AS edited_sha256, a.text AS fingerprint, b.text AS edited_fingerprint,
+            a.sums = b.sums AS same1, a.sums = c.sums AS same2, list_sum([x * x FOR x IN a.u]) AS aa, list_sum([x * x FOR x IN b.u]) AS bb, list_sum([x * x FOR x IN c.u]) AS cc,
+            list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(a.u, b.u)]) AS ab, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(a.u, c.u)]) AS ac
+          FROM e JOIN f a ON a.doc_id = e.doc_id AND a.v = 0 JOIN f b ON b.doc_id = e.doc_id AND b.v = 1 JOIN f c ON c.doc_id = e.next AND c.v = 0)
+    SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+      CASE WHEN same1 THEN 1.0::DOUBLE WHEN aa + bb = 0 THEN 0.0 ELSE greatest(1 - ab::DOUBLE / (aa + bb)::DOUBLE, 0.0) END AS near_edited,
+      CASE WHEN same2 THEN 1.0::DOUBLE WHEN aa + cc = 0 THEN 0.0 ELSE greatest(1 - ac::DOUBLE / (aa + cc)::DOUBLE, 0.0) END AS near_next
+    FROM c
+    """,
+    "op12_filter_audit": r"""
+    WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    said AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    fails AS (
+      SELECT part, list_filter([CASE WHEN len(w) < 50 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' END,
+                CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' END, CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+                CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END], lambda x: x IS NOT NULL) AS f, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+      FROM w LEFT JOIN said USING (doc_id)),
+    c AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY ALL),
+    l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    o AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s AS (SELECT o, k AS step, o[k] AS letter, string_split(o[1:k - 1], '') AS before FROM o, range(1, 6) r(k)),
+    r AS (SELECT part, o, step, letter,
+            sum(n * (NOT list_has_any(f, before) AND NOT list_contains(f, letter))::INT) AS kept, sum(n * (NOT list_has_any(f, before) AND list_contains(f, letter))::INT) AS removed,
+            sum(n * (list_has_any(f, before) AND list_contains(f, letter))::INT) AS redundant, sum(n * (f = [letter])::INT) AS unique_fails,
+            sum(good * (NOT list_has_any(f, before) AND list_contains(f, letter))::INT) AS good_lost, sum(toxic * (NOT list_has_any(f, before) AND list_contains(f, letter))::INT) AS toxic_lost
+          FROM c, s GROUP BY ALL)
+    SELECT part, o AS filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+      good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM r
+    """,
+    "op13_periodic_runs": r"""
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    c AS (SELECT doc_id, w, len(w) AS n,
+            xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN string_split(doc_id::VARCHAR, '')])),
+              lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS h FROM w),
+    g AS (SELECT *, h // 10 AS g FROM c),
+    a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a, CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM g),
+    e AS (SELECT doc_id, i, w[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word, n FROM a, unnest(range(n)) t(i)),
+    k AS (SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM e x JOIN e y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    f AS (SELECT doc_id, q, min(i) AS s, max(i) + 1 + q AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp FROM k) GROUP BY doc_id, q, grp HAVING count(*) + q >= greatest(6, 4 * q)),
+    r AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM f y WHERE y.doc_id = f.doc_id AND y.q < f.q AND y.s <= f.s AND y.e >= f.e)),
+    t AS (SELECT doc_id, count(*) AS n_runs, max(struct_pack(l := e - s, s := -s, q := -q)) AS b, string_agg(concat_ws(',', s, e - s, q) || chr(10), '' ORDER BY s, q) AS t FROM r GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, e)) AS i FROM r),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM e ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT w.doc_id, coalesce(n_runs, 0) AS n_runs, -b.s AS start, b.l AS length, -b.q AS period, 1000 * b.l // -b.q AS exponent_milli, sha256(coalesce(t.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+    FROM w LEFT JOIN t USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
 }
