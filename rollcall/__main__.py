@@ -11,7 +11,7 @@ from rollcall.functions.text import fixed_width
 from rollcall.operators import registry
 from rollcall.sources import readers, writers
 
-TODO = ["fetch_status", "prepare_status", "transcribe_status", "diarize_status", "name_speakers_status", "chapterize_status"]
+TODO = list(registry.DONE)
 READY = ["transcribe_status", "name_speakers_status", "chapterize_status"]
 
 
@@ -37,15 +37,15 @@ def ci_health(df: DataFrame, floor: str) -> DataFrame:
 
 
 def verify(df: DataFrame, results: DataFrame) -> DataFrame:
-    return registry.missing_results(df, results, "meeting_key", ("done", "skipped", "pending"))
+    return registry.missing_results(df, results, "meeting_key", ("complete", "pending", "failed"))
 
 
 def merge_results(df: DataFrame, results: DataFrame) -> DataFrame:
-    return registry.merge_results(df, results, "meeting_key", list(registry.STATUS), "process_attempts", "cost_usd")
+    return registry.merge_results(df, results, "meeting_key", TODO, "process_attempts", "cost_usd")
 
 
 def reset_meeting(df: DataFrame, key: str) -> DataFrame:
-    return registry.reset(df, F.col("meeting_key") == key, list(registry.STATUS), "process_attempts", "last_error")
+    return registry.reset(df, F.col("meeting_key") == key, TODO, "process_attempts", "last_error")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -34,7 +34,7 @@ def confidence(c: Column) -> Column:
     """A number clamped to [0, 1], a known word's score, else 0.5."""
     word, number = F.lower(F.trim(c.cast("string"))), c.cast("string").try_cast("double")
     known = F.create_map(*[F.lit(x) for pair in CONFIDENCE_WORDS.items() for x in pair])
-    clamped = F.when(number.isNotNull(), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)), 3))
+    clamped = F.when(number.isNotNull(), round_seconds(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number))))
     return F.coalesce(clamped, F.element_at(known, word), F.lit(0.5))
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,17 +35,26 @@ def slug(c: Column, cap: int | None = None) -> Column:
     return plain if cap is None else F.regexp_replace(F.substring(plain, 1, cap), "^-+|-+$", "")
 
 
-# Accented Latin letters and their base letter, by the compatibility decomposition.
-_LATIN = {
-    chr(i): unicodedata.normalize("NFKD", chr(i))[0]
-    for i in range(0xC0, 0x250)
-    if len(unicodedata.normalize("NFKD", chr(i))) > 1 and unicodedata.normalize("NFKD", chr(i))[0].isascii()
-}
+# What is ASCII in each other character's compatibility decomposition.
+_FOLDED = {chr(i): unicodedata.normalize("NFKD", chr(i)).encode("ascii", "ignore").decode() for i in range(0x80, 0x110000) if not 0xD800 <= i < 0xE000 and unicodedata.decomposition(chr(i))}
+_SINGLE = {c: x for c, x in _FOLDED.items() if len(x) == 1}
+_SEVERAL = {c: x for c, x in _FOLDED.items() if len(x) > 1}
+_WIDTH = max(map(len, _SEVERAL.values()))
 
 
 def ascii_fold(c: Column) -> Column:
-    """Accents of Latin letters removed, other characters outside ASCII dropped."""
-    plain = F.translate(c, "".join(_LATIN), "".join(_LATIN.values()))
+    """Letters without their accents, ligatures and other composed characters as the letters that they stand for,
+    other characters outside ASCII dropped: the ASCII of the compatibility decomposition."""
+    keys, values = F.lit("".join(_SEVERAL)), F.lit("".join(x.ljust(_WIDTH, "\0") for x in _SEVERAL.values()))
+
+    def spelt(char: Column) -> Column:
+        at = F.instr(keys, char)
+        return F.when((at > 0) & (F.length(char) > 0), F.translate(F.substr(values, (at - 1) * _WIDTH + 1, F.lit(_WIDTH)), "\0", "")).otherwise(char)
+
+    plain = F.translate(c, "".join(_SINGLE), "".join(_SINGLE.values()))
+    # few texts hold a character that stands for several; only they are taken apart
+    ranges = "".join(f"\\x{{{ord(c):x}}}" for c in _SEVERAL)
+    plain = F.when(plain.rlike(f"[{ranges}]"), F.array_join(F.transform(F.split(plain, ""), spelt), "")).otherwise(plain)
     return F.regexp_replace(plain, r"[^\x00-\x7F]", "")
 
 
@@ -63,7 +72,7 @@ def time_slug(c: Column) -> Column:
 
 # Units after which a split number is a decimal, and the places where one is split.
 NUMERIC_UNITS = r"(?:%|(?:percent|billion|million|thousand|trillion|bn|mm?)\b)"
-SPLIT_DECIMALS = (r"(\d)\s+\.(\d)", rf"(?i)(\d)\.\s+(\d+\s*{NUMERIC_UNITS})", r"(\d)\.\s+(\d+\.\d)")
+SPLIT_DECIMALS = (r"(?U)(\d)\s+\.(\d)", rf"(?iU)(\d)\.\s+(\d+\s*{NUMERIC_UNITS})", r"(?U)(\d)\.\s+(\d+\.\d)")
 
 
 def repair_decimals(c: Column) -> Column:
@@ -77,7 +86,7 @@ def repair_decimals(c: Column) -> Column:
         return text
 
     text = F.coalesce(c, F.lit(""))
-    chains = F.regexp_extract_all(text, F.lit(r"(\d+(?:\s*\.\s*\d+)+)"))
+    chains = F.regexp_extract_all(text, F.lit(r"((?U)\d+(?:\s*\.\s*\d+)+)"))
     links = F.coalesce(F.array_max(F.transform(chains, lambda x: F.length(x) - F.length(F.replace(x, F.lit("."), F.lit(""))))), F.lit(0))
     mended = F.when(links > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(links, F.lit(1))), text, mend)).otherwise(text)
     return F.trim(F.regexp_replace(mended, r"[ \t]+", " "))
@@ -140,7 +149,10 @@ INTRODUCTIONS = {
     "two words": r"I(?:'M| AM)\s+[A-Z][A-Z'.-]+\s+[A-Z][A-Z'.-]+",
     "place": r"(?:FROM|REPRESENTING|ON BEHALF OF)\s+[A-Z]",
 }
-INTRODUCED = r"\b(?:MY NAME IS\s+|(?:HI|HELLO|GOOD MORNING|THANK YOU)\.?\s+I'M\s+)([A-Z][A-Z'.-]*(?:\s+[A-Z][A-Z'.-]*){0,4})"
+INTRODUCED = (
+    r"\bMY NAME IS\s+([A-Z][A-Z'.-]*(?:\s+[A-Z][A-Z'.-]*){0,4})",
+    r"\b(?:HI|HELLO|GOOD MORNING|THANK YOU)\.?\s+I'M\s+([A-Z][A-Z'.-]*(?:\s+[A-Z][A-Z'.-]*){1,4})",
+)
 
 
 def role_hint(speaker: Column, text: Column) -> Column:
@@ -162,8 +174,8 @@ def mentions_name(text: Column, name: Column) -> Column:
 
 
 def introduced_names(text: Column, stop_words: tuple[str, ...] = ()) -> Column:
-    """Names that speakers of the text give for themselves, capitalised, in order: up to four words before
-    the first stop word (upper case), none of fewer than two."""
+    """Names that speakers of the text give for themselves, capitalised: those of the first form of words in
+    order, then those of the second. A name is up to four words before the first stop word (upper case), none of fewer than two."""
 
     def name(found: Column) -> Column:
         words = F.transform(F.split(found, r"\s+"), lambda w: F.replace(F.regexp_replace(w, "^['.-]+|['.-]+$", ""), F.lit("'"), F.lit("")))
@@ -171,7 +183,8 @@ def introduced_names(text: Column, stop_words: tuple[str, ...] = ()) -> Column:
         kept = F.slice(words, F.lit(1), F.least(F.when(stop > 0, stop - 1).otherwise(F.size(words)), F.lit(4)).cast("int"))
         return F.when(F.size(kept) >= 2, F.initcap(F.array_join(kept, " ")))
 
-    return F.array_compact(F.transform(F.regexp_extract_all(F.upper(text), F.lit(INTRODUCED), F.lit(1)), name))
+    found = F.concat(*[F.regexp_extract_all(F.upper(text), F.lit(form), F.lit(1)) for form in INTRODUCED])
+    return F.array_compact(F.transform(found, name))
 
 
 # Lines of a transcript's title pages that are no names, and words of organisations.
@@ -228,6 +241,17 @@ def agenda_topic(text: Column, cap: int = 12) -> Column:
     return F.when(F.size(words) > cap, short).otherwise(rest)
 
 
+def vote_title(text: Column) -> Column:
+    """Title of a voice vote on an agenda item; null where no item begins."""
+    item, topic = agenda_label(text), blank_to_null(agenda_topic(text))
+    return F.concat(F.lit("Voice Vote on "), item, F.coalesce(F.concat(F.lit(": "), topic), F.lit("")))
+
+
+def vote_summary(text: Column) -> Column:
+    item, topic = agenda_label(text), blank_to_null(agenda_topic(text))
+    return F.concat(F.lit("The Council took a voice vote on "), item, F.coalesce(F.concat(F.lit(", concerning "), topic), F.lit("")), F.lit(". The ayes had it and the item was adopted."))
+
+
 def type_token(c: Column) -> Column:
     return F.upper(F.regexp_replace(F.trim(c), r"[\s-]+", "_"))
 
@@ -269,21 +293,43 @@ def links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit('href="([^"]*)"'))
 
 
-#: Character of each entity name of HTML 4, and the apostrophe's.
-ENTITIES = {**{k: chr(v) for k, v in name2codepoint.items()}, "apos": "'"}
+#: Characters of each entity name of HTML 5; a name without a semicolon also stands at the start of a longer word.
+ENTITIES = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+OPEN_ENTITIES = sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
+#: What a number from 128 to 159 stands for: the character of code page 1252 at that place, where it has one.
+CODE_PAGE = "".join(bytes([i]).decode("cp1252", "replace").replace("\ufffd", chr(i)) for i in range(0x80, 0xA0))
 
 
 def unescape_html(c: Column) -> Column:
-    """Entities by name, decimal and hexadecimal number become their characters; anything else stays. What
-    an entity gives is not read again, so '&amp;lt;' becomes '&lt;'."""
-    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    """Entities by name, decimal and hexadecimal number become their characters, as HTML 5 has it: names with and some
+    without a semicolon, numbers up to the first other sign, and numbers that are no character by their substitute
+    or by nothing; anything else stays. What an entity gives is not read again, so '&amp;lt;' becomes '&lt;'."""
+    usual = {k: v for k, v in ENTITIES.items() if k in name2codepoint or k == "apos"}
+    table = lambda names: F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    known, rare, opened = table(usual), table({k: v for k, v in ENTITIES.items() if k not in usual}), table({k: html5[k] for k in OPEN_ENTITIES})
+    numeric, closed, begun = r"^(?:#([0-9]+)|#[xX]([0-9a-fA-F]+));?", "^([A-Za-z][A-Za-z0-9]*);", "^(" + "|".join(OPEN_ENTITIES) + ")"
 
     def one(piece: Column) -> Column:
-        code = F.regexp_extract(piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,9});", 1)
-        number = F.when(code.rlike("^#[0-9]"), F.substring(code, 2, 7)).when(code.rlike("^#[xX]"), F.conv(F.substring(code, 3, 6), 16, 10)).try_cast("long")
-        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        char = F.coalesce(F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")), F.element_at(known, code))
-        return F.when(char.isNotNull(), F.concat(char, F.substr(piece, F.length(code) + 2))).otherwise(F.concat(F.lit("&"), piece))
+        decimal, hexadecimal = F.regexp_extract(piece, numeric, 1), F.regexp_extract(piece, numeric, 2)
+        # leading zeros say nothing, and nine digits are more than any character has
+        short = F.substring(F.regexp_replace(F.when(decimal != "", decimal).otherwise(hexadecimal), "^0+(?=.)", ""), 1, 9)
+        number = F.when(decimal != "", short).otherwise(F.conv(short, 16, 10)).try_cast("long")
+        nothing = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127) | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(0xFFFE) == 0xFFFE)
+        char = (
+            F.when(number.between(128, 159), F.substr(F.lit(CODE_PAGE), (number - 127).cast("int"), F.lit(1)))
+            .when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), "\ufffd")
+            .when(nothing, "")
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        )
+        code = F.regexp_extract(piece, closed, 1)
+        named, start = F.coalesce(F.element_at(known, code), F.element_at(rare, code)), F.regexp_extract(piece, begun, 1)
+        after = lambda n: F.substr(piece, n + 1)
+        return (
+            F.when(piece.rlike(numeric), F.concat(char, F.regexp_replace(piece, numeric, "")))
+            .when((code != "") & named.isNotNull(), F.concat(named, after(F.length(code) + 1)))
+            .when(start != "", F.concat(F.element_at(opened, start), after(F.length(start))))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
 
     pieces = F.split(c, "&")
     rest = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), one)

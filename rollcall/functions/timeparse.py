@@ -35,11 +35,27 @@ def display_date(c: Column) -> Column:
     return F.date_format(c, "MMM d, yyyy")
 
 
+# Hours from Greenwich of the zones that mail names.
+MAIL_ZONES = {"UT": 0, "UTC": 0, "GMT": 0, "Z": 0, "AST": -4, "ADT": -3, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7}
+MAIL_DATE = r"^(?:[A-Za-z]+,?\s+|[A-Za-z]+,)?(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*\.?[\s-]+(\d{2}|\d{4}),?\s+(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\s+([+-]\d{4}|[A-Za-z]+).*)?$"
+
+
 def mail_date(c: Column) -> Column:
-    """An RFC 822 date as ISO text; what cannot be read stays as it is."""
-    plain = F.regexp_replace(F.regexp_replace(F.trim(c), r"^[A-Za-z]{3},\s*", ""), "(GMT|UT|Z)$", "+0000")
-    at = F.try_to_timestamp(plain, F.lit("d MMM yyyy HH:mm:ss Z"))
-    return F.coalesce(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssxxx"), c)
+    """An RFC 822 date as ISO text with the offset that it names, whatever the session's zone: zones by name or
+    number, years of two digits (from 69 on of the last century), with or without seconds. A date without a zone, with an unknown
+    one or with -0000 has no offset. What cannot be read stays as it is, trimmed."""
+    plain = F.trim(F.regexp_replace(c, r"^\s+|\s+$", ""))
+    day, month, year, hour, minute, second, zone = (F.regexp_extract(plain, MAIL_DATE, k) for k in range(1, 8))
+    number = year.try_cast("int")
+    full = F.when(F.length(year) == 4, number).otherwise(number + F.when(number > 68, 1900).otherwise(2000))
+    date = F.try_to_timestamp(F.format_string("%04d %s %s", full, F.initcap(month), F.lpad(day, 2, "0")), F.lit("yyyy MMM dd"))
+    fits = (hour.try_cast("int") < 24) & (minute.try_cast("int") < 60) & (F.coalesce(second.try_cast("int"), F.lit(0)) < 60)
+    hours = F.element_at(F.create_map(*[F.lit(x) for pair in MAIL_ZONES.items() for x in pair]), F.upper(zone))
+    named = F.when(hours.isNotNull(), F.format_string("%s%02d:00", F.when(hours < 0, "-").otherwise("+"), F.abs(hours)))
+    given = F.when(zone.rlike(r"^[+-]\d{4}$") & (zone != "-0000"), F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
+    time = F.concat_ws(":", F.lpad(hour, 2, "0"), minute, F.coalesce(F.nullif(second, F.lit("")), F.lit("00")))
+    read = F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("T"), time, F.coalesce(named, given, F.lit("")))
+    return F.coalesce(F.when(plain.rlike(MAIL_DATE) & fits, read), plain)
 
 
 def recording_time(name: Column) -> Column:

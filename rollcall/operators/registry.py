@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from rollcall.functions.text import blank_to_null
+from rollcall.functions.text import blank_to_null, safe_key
 from rollcall.functions.timeparse import registry_time
+from rollcall.operators.graph import components, cut
 
 STAGES = ("discover", "fetch", "prepare", "transcribe", "diarize", "name_speakers", "chapterize")
 STATUS = tuple(f"{s}_status" for s in STAGES)
@@ -29,7 +30,16 @@ REGISTRY = T.StructType(
     + [T.StructField(c, T.StringType()) for c in ("discovered_at", "fetched_at", "prepared_at", "created_at", "updated_at", "last_error")]
     + [T.StructField("process_attempts", T.LongType()), T.StructField("cost_usd", T.DoubleType())]
 )
-DEFAULTS = {s: "pending" if s in STATUS[:3] else "stubbed" for s in STATUS} | {"process_attempts": 0}
+# What a stage's column holds once the stage is done, and before anything was done.
+DONE = {
+    "fetch_status": "fetched", "prepare_status": "prepared", "transcribe_status": "transcribed",
+    "diarize_status": "diarized", "name_speakers_status": "named", "chapterize_status": "chapterized",
+}
+PRISTINE = {
+    "fetch_status": ("pending",), "prepare_status": ("pending",), "transcribe_status": ("pending", "stubbed"),
+    "diarize_status": ("pending", "stubbed"), "name_speakers_status": ("pending", "stubbed"), "chapterize_status": ("pending", "stubbed"),
+}
+DEFAULTS = {"discover_status": "discovered"} | {s: words[-1] for s, words in PRISTINE.items()} | {"process_attempts": 0}
 
 
 def evolve(df: DataFrame, schema: T.StructType = REGISTRY) -> DataFrame:
@@ -50,8 +60,13 @@ def one(df: DataFrame, key: str, value: object) -> DataFrame:
     return found.join(F.broadcast(found.agg(check.alias("_ok"))), how="inner").drop("_ok")
 
 
-def done(c: str | Column) -> Column:
-    return F.coalesce((F.col(c) if isinstance(c, str) else c) == "done", F.lit(False))
+def done(stage: str, value: Column | None = None) -> Column:
+    """Whether a stage is done, by its column or by a value of it; null is not."""
+    return F.coalesce((F.col(stage) if value is None else value) == DONE[stage], F.lit(False))
+
+
+def pristine(stage: str, value: Column | None = None) -> Column:
+    return F.coalesce((F.col(stage) if value is None else value).isin(*PRISTINE[stage]), F.lit(False))
 
 
 def candidates(df: DataFrame, previous: str | None, current: str | None, order: list[Column], limit: int | None = None) -> DataFrame:
@@ -84,9 +99,9 @@ def matrix_json(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(F.to_json(F.struct(*columns)).alias("item"))
 
 
-def merged_status(current: Column, incoming: Column) -> Column:
+def merged_status(stage: str, current: Column, incoming: Column) -> Column:
     """A done stage stays done; otherwise what comes in counts."""
-    return F.when(done(current) & ~done(incoming), current).otherwise(incoming)
+    return F.when(done(stage, current) & ~done(stage, incoming), current).otherwise(incoming)
 
 
 def merge_results(registry: DataFrame, results: DataFrame, key: str, stages: list[str], attempts: str, cost: str) -> DataFrame:
@@ -103,7 +118,7 @@ def merge_results(registry: DataFrame, results: DataFrame, key: str, stages: lis
     highest = F.max(F.when(F.col("_since").isNull() | (F.col("ord") >= F.col("_since")), F.col(attempts)))
     feed = feed.groupBy(key).agg(
         *[last(c) for c in plain],
-        *[F.when(F.max(done(s)), F.lit("done")).otherwise(F.max_by(s, "ord")).alias(s) for s in stages],
+        *[F.when(F.max(done(s)), F.lit(DONE[s])).otherwise(F.max_by(s, "ord")).alias(s) for s in stages],
         highest.alias("_attempts"),
         F.max("_since").isNotNull().alias("_reset"),
         F.max_by(cost, F.when(F.col(cost).isNotNull(), F.col("ord"))).alias("_cost"),
@@ -112,7 +127,7 @@ def merge_results(registry: DataFrame, results: DataFrame, key: str, stages: lis
     now, new = registry.alias("r"), feed.alias("f")
     hit = F.coalesce(F.col("f._hit"), F.lit(False))
     pick = {c: F.when(hit, F.col(f"f.{c}")).otherwise(F.col(f"r.{c}")) for c in plain} | {c: F.col(f"r.{c}") for c in kept}
-    pick |= {s: F.when(hit, merged_status(F.col(f"r.{s}"), F.col(f"f.{s}"))).otherwise(F.col(f"r.{s}")) for s in stages}
+    pick |= {s: F.when(hit, merged_status(s, F.col(f"r.{s}"), F.col(f"f.{s}"))).otherwise(F.col(f"r.{s}")) for s in stages}
     pick[attempts] = F.when(F.col("f._attempts").isNull(), F.col(f"r.{attempts}")).when(F.col("f._reset"), F.col("f._attempts")).otherwise(F.greatest(F.col("f._attempts"), F.col(f"r.{attempts}")))
     pick[cost] = F.coalesce(F.col("f._cost"), F.col(f"r.{cost}"))
     pick[key] = F.col(f"r.{key}")
@@ -137,15 +152,133 @@ def identify(incoming: DataFrame, registry: DataFrame, first: str, second: str,
     return out.drop("_a", "_b")
 
 
-def resolve_conflicts(pairs: DataFrame, stages: list[str], columns: list[str]) -> DataFrame:
-    """One row of each pair (a: by event, b: by recording): a survives if it is fully done and b
-    untouched, else b. Stages merge monotonously; other columns fill nulls of the survivor."""
-    a_done = reduce(lambda x, y: x & y, [done(F.col(f"a.{s}")) for s in stages])
-    b_done = reduce(lambda x, y: x | y, [done(F.col(f"b.{s}")) for s in stages])
-    keep_a = a_done & ~b_done
+def resolve_conflicts(pairs: DataFrame, stages: list[str], columns: list[str], key: str) -> DataFrame:
+    """One row of each pair (a: by event, b: by recording), and ``deleted``, the key of the other: a survives if all its stages
+    are done and all of b's are untouched, else b. A stage of the other counts unless the survivor's is done and the
+    other's is not; other columns fill nulls of the survivor."""
+    keep_a = reduce(lambda x, y: x & y, [done(s, F.col(f"a.{s}")) & pristine(s, F.col(f"b.{s}")) for s in stages])
     side = lambda c: (F.when(keep_a, F.col(f"a.{c}")).otherwise(F.col(f"b.{c}")), F.when(keep_a, F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")))
-    stage = lambda s: merged_status(side(s)[0], side(s)[1])
-    return pairs.select(keep_a.alias("kept_event_row"), *[(stage(c) if c in stages else F.coalesce(*side(c))).alias(c) for c in columns])
+    value = lambda c: side(c)[0] if c == key else merged_status(c, *side(c)) if c in stages else F.coalesce(*side(c))
+    return pairs.select(keep_a.alias("kept_event_row"), side(key)[1].alias("deleted"), *[value(c).alias(c) for c in columns])
+
+
+def meeting_key(filename: Column, event_id: Column) -> Column:
+    """The key of a new row: its recording's name, else its event's number; null without either."""
+    named = F.when(blank_to_null(filename).isNotNull(), safe_key(F.regexp_replace(filename, r"\.mp4$", "")))
+    return F.coalesce(named, F.concat(F.lit("event-"), event_id.cast("string")))
+
+
+EVENT, FILE, KEY = "legistar_event_id", "viebit_filename", "meeting_key"
+
+
+def _replay(rows: list[dict], columns: list[str]) -> list[dict]:
+    """The registry rows of one component after its incoming rows, in order. A row has ``_ord`` (None: it is in
+    the registry), ``_key`` (the key that a new row would get) and ``_now``."""
+    table = {r[KEY]: {c: r[c] for c in columns} for r in rows if r["_ord"] is None}
+    find = lambda c, v: next((r for r in table.values() if v not in (None, "") and r[c] == v), None)
+    for new in sorted((r for r in rows if r["_ord"] is not None), key=lambda r: r["_ord"]):
+        by_event, by_file = find(EVENT, new[EVENT]), find(FILE, new[FILE])
+        if by_event and by_file and by_event is not by_file:
+            stages = [s for s in DONE if s in columns]
+            event_stays = all(by_event[s] == DONE[s] and by_file[s] in PRISTINE[s] for s in stages)
+            row, other = (by_event, by_file) if event_stays else (by_file, by_event)
+            for c in columns:
+                if c in stages:
+                    row[c] = row[c] if row[c] == DONE[c] and other[c] != DONE[c] else other[c]
+                elif row[c] is None:
+                    row[c] = other[c]
+            del table[other[KEY]]
+        else:
+            row = by_event or by_file
+        if row is None:
+            row = {c: DEFAULTS.get(c) for c in columns}
+            row[KEY] = new["_key"]
+            row |= {c: new["_now"] for c in ("created_at", "discovered_at") if c in columns}
+            if row[KEY] in table:
+                raise ValueError(f"the key of a new row is taken: {row[KEY]}")
+            table[row[KEY]] = row
+            held: tuple[str, ...] = (KEY,)
+        else:
+            held = (KEY, "discovered_at") if row.get("discovered_at") else (KEY,)
+        row |= {c: new[c] for c in columns if c not in held and new[c] is not None}
+        row["updated_at"] = new["_now"]
+    return list(table.values())
+
+
+def upsert_batch(table: DataFrame, incoming: DataFrame, now: str, order: str = "ord") -> DataFrame:
+    """The registry (columns as in REGISTRY, or some of them) after rows found by discovery, as if each
+    were put in by itself in the order of ``order``, which must tell rows apart.
+
+    A row is that of its event's number and that of its recording's name. If those are two rows they become one
+    (see resolve_conflicts) and the other is deleted; if there is none, a row with defaults and a key of its own is made. Then
+    values of the incoming row count unless null; discovered_at stays. Rows without either identifier are left out.
+    A new row whose key is taken by one that it does not match is an error.
+
+    What an incoming row can touch are the connected parts of the identifiers of the batch and of the registry rows that
+    have them. Where a part is one row with all its identifiers, incoming rows of any number are
+    summed up by their last values; other parts are replayed, each by one task. The rest of the registry passes by.
+    """
+    columns = table.columns
+    rows = incoming.select(*[F.col(c).cast(table.schema[c].dataType).alias(c) for c in columns if c in incoming.columns], F.col(order).alias("_ord"))
+    rows = table.limit(0).withColumn("_ord", F.lit(None).cast(incoming.schema[order].dataType)).unionByName(rows, allowMissingColumns=True)
+    rows = rows.withColumns({FILE: blank_to_null(F.col(FILE)), "_key": F.coalesce(KEY, meeting_key(F.col(FILE), F.col(EVENT)))})
+    if "discover_status" in columns:
+        rows = rows.withColumn("discover_status", F.coalesce("discover_status", F.lit(DEFAULTS["discover_status"])))
+    rows = rows.filter(F.col(EVENT).isNotNull() | F.col(FILE).isNotNull())
+    key_node = lambda c: F.concat(F.lit("k:"), c)
+    keys = [table.filter(F.col(c).isNotNull()).select(F.col(c).alias(c), key_node(F.col(KEY)).alias(f"_{k}")) for c, k in ((EVENT, "e"), (FILE, "f"))]
+    rows = rows.join(keys[0], EVENT, "left").join(keys[1], FILE, "left")
+    rows = rows.withColumn("_e", F.coalesce("_e", F.concat(F.lit("e:"), F.col(EVENT).cast("string")))).withColumn("_f", F.coalesce("_f", F.concat(F.lit("f:"), FILE)))
+    fresh = ~F.coalesce(F.col("_e").startswith("k:") | F.col("_f").startswith("k:"), F.lit(False))
+    rows = cut(rows.withColumn("_own", F.coalesce("_e", "_f")).withColumn("_new", fresh))
+    ends = F.array(F.col("_f"), F.when(F.col("_new"), key_node(F.col("_key"))), F.col("_own"))
+    parts = components(rows.select("_own", F.explode(ends).alias("_end")), "_own", "_end")
+    rows = rows.join(parts.withColumnRenamed("node", "_own"), "_own")
+    known = parts.filter(F.col("node").startswith("k:")).select(F.substr("node", F.lit(3)).alias(KEY), "component")
+    touched = table.join(known, KEY)
+    # parts in which every incoming row means the same row, whatever the order
+    pair = F.struct(EVENT, FILE)
+    own = touched.groupBy("component").agg(F.count("*").alias("_rows"), F.count(EVENT).alias("_events"), F.count(FILE).alias("_files"))
+    alike = rows.groupBy("component").agg(F.min(pair).eqNullSafe(F.max(pair)).alias("_one"), F.min(F.col("_own").startswith("k:")).alias("_known"), F.min(F.coalesce(F.col("_f").startswith("k:"), F.lit(True))).alias("_filed"), F.max(~F.col("_new")).alias("_any"))
+    whole = (F.col("_events") == 1) & (F.col("_files") == 1) & F.col("_known") & F.col("_filed")
+    alone = (F.col("_rows") == 1) & ((F.col("_one") & F.col("_any")) | whole)
+    kinds = cut(alike.join(own, "component", "left").select("component", F.when(F.col("_rows").isNull(), F.col("_one")).otherwise(alone).alias("_plain")))
+    plain = _overlay(touched.join(kinds.filter("_plain"), "component").drop("_plain"), rows.join(kinds.filter("_plain"), "component"), columns, now)
+    tangled = touched.withColumns({"_ord": F.lit(None).cast(rows.schema["_ord"].dataType), "_key": F.lit(None).cast("string")}).unionByName(rows.select(*touched.columns, "_ord", "_key"))
+    tangled = tangled.join(kinds.filter("not _plain"), "component").withColumn("_now", F.lit(now))
+
+    def work(group):  # an Arrow table
+        import pyarrow as pa
+
+        return pa.Table.from_pylist(_replay(group.to_pylist(), columns), schema=pa.schema([group.schema.field(c) for c in columns]))
+
+    replayed = tangled.select("component", *columns, "_ord", "_key", "_now").groupBy("component").applyInArrow(work, table.schema)
+    rest = table.join(known.join(kinds, "component").select(KEY), KEY, "left_anti")
+    return rest.select(*columns).unionByName(plain).unionByName(replayed)
+
+
+def _overlay(present: DataFrame, rows: DataFrame, columns: list[str], now: str) -> DataFrame:
+    """Rows of ``present``, or new ones with defaults, under the last values other than null of each component."""
+    free = [c for c in columns if c not in (KEY, "updated_at", "created_at", "discovered_at")]
+    stamps = [c for c in ("created_at", "discovered_at") if c in columns]
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_ord"))).alias(c)
+    # a new row's stamps: the first row's, where it has them, else now; a later one overwrites all but discovered_at
+    first = {c: F.min_by(F.struct(c), "_ord")[c].alias(f"_{c}") for c in stamps}
+    found = [F.min_by("discovered_at", F.when(F.length("discovered_at") > 0, F.col("_ord"))).alias("_found")] if "discovered_at" in columns else []
+    said = rows.groupBy("component").agg(*[last(c) for c in [*free, *stamps]], *first.values(), *found, F.min_by("_key", "_ord").alias("_key"))
+    t, s = present.withColumn("_there", F.lit(True)).alias("t"), said.alias("s")
+    both = s.join(t, F.col("s.component") == F.col("t.component"), "left")
+    old = F.coalesce(F.col("t._there"), F.lit(False))
+    pick = {c: F.coalesce(F.col(f"s.{c}"), F.when(old, F.col(f"t.{c}")).otherwise(F.lit(DEFAULTS.get(c)).cast(present.schema[c].dataType))) for c in free}
+    pick[KEY] = F.coalesce(F.col(f"t.{KEY}"), F.col("s._key"))
+    if "created_at" in columns:
+        pick["created_at"] = F.coalesce("s.created_at", F.when(old, F.col("t.created_at")).otherwise(F.lit(now)))
+    if "discovered_at" in columns:
+        held = F.when(F.length("t.discovered_at") > 0, F.col("t.discovered_at"))
+        pick["discovered_at"] = F.when(old, F.coalesce(held, "s._found", "s.discovered_at", "t.discovered_at")).otherwise(F.coalesce("s._discovered_at", F.lit(now)))
+    if "updated_at" in columns:
+        pick["updated_at"] = F.lit(now)
+    return both.select(*[pick[c].alias(c) for c in columns])
 
 
 def missing_results(expected: DataFrame, results: DataFrame, key: str, good: tuple[str, ...]) -> DataFrame:

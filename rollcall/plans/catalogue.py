@@ -335,39 +335,38 @@ def top3_histogram(spark, d):
 
 
 def _orders(spark, d):
-    """orders as a registry: status F is a done stage; attempts by a rule of the key."""
+    """orders as a registry: of status F all stages are done, of P the first; attempts by a rule of the key."""
     o = table(spark, d, "orders")
-    state = lambda c: F.when(c, "done").otherwise("pending")
     return o.select(
         "o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.col("o_totalprice").alias("cost_usd"),
-        state(F.col("o_orderstatus") != "O").alias("fetch_status"), state(F.col("o_orderstatus") == "F").alias("chapterize_status"),
+        F.when(F.col("o_orderstatus") != "O", "fetched").otherwise("pending").alias("fetch_status"), F.when(F.col("o_orderstatus") == "F", "chapterized").otherwise("stubbed").alias("chapterize_status"),
         F.pmod(F.col("o_orderkey") * 7, F.lit(9)).alias("process_attempts"), "o_orderpriority",
     )
 
 
-REGISTRY = """reg AS (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_totalprice AS cost_usd, CASE WHEN o_orderstatus <> 'O' THEN 'done' ELSE 'pending' END AS fetch_status,
-  CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'pending' END AS chapterize_status, o_orderkey * 7 % 9 AS process_attempts, o_orderpriority FROM orders)"""
+REGISTRY = """reg AS (SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, o_totalprice AS cost_usd, CASE WHEN o_orderstatus <> 'O' THEN 'fetched' ELSE 'pending' END AS fetch_status,
+  CASE WHEN o_orderstatus = 'F' THEN 'chapterized' ELSE 'stubbed' END AS chapterize_status, o_orderkey * 7 % 9 AS process_attempts, o_orderpriority FROM orders)"""
 
 
-@query(f"WITH {REGISTRY} SELECT '{{\"key\":' || o_orderkey || ',\"day\":\"' || day || '\"}}' AS item FROM reg WHERE process_attempts < 5 AND day >= '1998-01-01' AND (fetch_status <> 'done' OR chapterize_status <> 'done')")
+@query(f"WITH {REGISTRY} SELECT '{{\"key\":' || o_orderkey || ',\"day\":\"' || day || '\"}}' AS item FROM reg WHERE process_attempts < 5 AND day >= '1998-01-01' AND (fetch_status <> 'fetched' OR chapterize_status <> 'chapterized')")
 def pending_matrix(spark, d):
     rows = registry.pending(_orders(spark, d), "1998-01-01", ["fetch_status", "chapterize_status"], F.col("day"))
     return registry.matrix_json(rows.withColumnRenamed("o_orderkey", "key"), "key", "day")
 
 
-@query(f"WITH {REGISTRY} SELECT o_orderkey, day FROM reg WHERE fetch_status = 'done' AND chapterize_status <> 'done' ORDER BY day, o_orderkey LIMIT 60")
+@query(f"WITH {REGISTRY} SELECT o_orderkey, day FROM reg WHERE fetch_status = 'fetched' AND chapterize_status <> 'chapterized' ORDER BY day, o_orderkey LIMIT 60")
 def stage_candidates(spark, d):
     rows = registry.candidates(_orders(spark, d), "fetch_status", "chapterize_status", [F.col("day"), F.col("o_orderkey")], 60)
     return rows.select("o_orderkey", "day")
 
 
-@query(f"WITH {REGISTRY} SELECT o_orderkey, c_name FROM reg LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 WHERE fetch_status = 'done' AND chapterize_status = 'done' AND c_name <> ''")
+@query(f"WITH {REGISTRY} SELECT o_orderkey, c_name FROM reg LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0 WHERE fetch_status = 'fetched' AND chapterize_status = 'chapterized' AND c_name <> ''")
 def publishable(spark, d):
     c = table(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     return registry.publishable(_orders(spark, d).join(c, "o_custkey", "left"), ["fetch_status", "chapterize_status"], "c_name").select("o_orderkey", "c_name")
 
 
-@query(f"""WITH {REGISTRY} SELECT count(*) FILTER (process_attempts >= 5 AND chapterize_status <> 'done') AS parked, max(day) AS newest, count(*) FILTER (fetch_status <> 'done' AND day < '1996-01-01') AS stale,
+@query(f"""WITH {REGISTRY} SELECT count(*) FILTER (process_attempts >= 5 AND chapterize_status <> 'chapterized') AS parked, max(day) AS newest, count(*) FILTER (fetch_status <> 'fetched' AND day < '1996-01-01') AS stale,
   (SELECT count(*) FROM events WHERE event_type = 'error' AND trim(props) <> '') AS errors FROM reg""")
 def ci_health(spark, d):
     rows = _orders(spark, d).withColumn("is_parked", (F.col("process_attempts") >= registry.MAX_ATTEMPTS) & ~registry.done("chapterize_status"))
@@ -377,8 +376,8 @@ def ci_health(spark, d):
 
 
 @query(f"""WITH {REGISTRY}, f AS (SELECT o_orderkey + 3 AS k, fetch_status AS fs, chapterize_status AS cs, CASE WHEN process_attempts = 8 THEN NULL ELSE process_attempts END AS pa, CASE WHEN o_custkey % 2 = 0 THEN cost_usd END AS cu, o_orderpriority AS pr FROM reg WHERE o_orderkey % 3 <> 1)
-  SELECT o_orderkey, CASE WHEN k IS NULL THEN o_orderpriority ELSE pr END AS o_orderpriority, CASE WHEN k IS NULL OR (fetch_status = 'done' AND fs <> 'done') THEN fetch_status ELSE fs END AS fetch_status,
-    CASE WHEN k IS NULL OR (chapterize_status = 'done' AND cs <> 'done') THEN chapterize_status ELSE cs END AS chapterize_status,
+  SELECT o_orderkey, CASE WHEN k IS NULL THEN o_orderpriority ELSE pr END AS o_orderpriority, CASE WHEN k IS NULL OR (fetch_status = 'fetched' AND fs <> 'fetched') THEN fetch_status ELSE fs END AS fetch_status,
+    CASE WHEN k IS NULL OR (chapterize_status = 'chapterized' AND cs <> 'chapterized') THEN chapterize_status ELSE cs END AS chapterize_status,
     CASE WHEN pa IS NULL THEN process_attempts WHEN pa = 0 THEN 0 ELSE greatest(pa, process_attempts) END AS process_attempts, coalesce(cu, cost_usd) AS cost_usd FROM reg LEFT JOIN f ON k = o_orderkey""")
 def monotone_merge(spark, d):
     reg = _orders(spark, d).select("o_orderkey", "o_orderpriority", "fetch_status", "chapterize_status", "process_attempts", "cost_usd", "o_custkey")
@@ -407,15 +406,57 @@ def dual_key_identity(spark, d):
     return registry.identify(incoming, first.unionByName(second), "first", "second", "key").select("s_suppkey", "found", "conflict")
 
 
-@query("""WITH p AS (SELECT o1.o_orderkey AS k, o1.o_orderstatus = 'F' AND o2.o_orderstatus <> 'F' AS keep, o1.o_orderstatus AS a, o2.o_orderstatus AS b, CASE WHEN o1.o_orderkey % 2 = 0 THEN o1.o_totalprice END AS pa, CASE WHEN o2.o_orderkey % 3 > 0 THEN o2.o_totalprice END AS pb
-   FROM orders o1 JOIN orders o2 ON o2.o_orderkey = o1.o_orderkey + 1)
-  SELECT k, keep AS kept_event_row, CASE WHEN a = 'F' OR b = 'F' THEN 'done' WHEN keep THEN b ELSE a END AS status, CASE WHEN keep THEN coalesce(pa, pb) ELSE coalesce(pb, pa) END AS price FROM p""")
+@query("""WITH o AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'chapterized' WHEN 'P' THEN 'failed' ELSE 'stubbed' END AS status, o_totalprice AS price FROM orders),
+  p AS (SELECT x.o_orderkey AS ka, y.o_orderkey AS kb, x.status = 'chapterized' AND y.status = 'stubbed' AS keep, x.status AS a, y.status AS b, CASE WHEN ka % 2 = 0 THEN x.price END AS pa, CASE WHEN kb % 3 > 0 THEN y.price END AS pb FROM o x JOIN o y ON y.o_orderkey = x.o_orderkey + 1)
+  SELECT keep AS kept_event_row, CASE WHEN keep THEN ka ELSE kb END AS o_orderkey, CASE WHEN keep THEN kb ELSE ka END AS deleted, CASE WHEN keep THEN a WHEN b = 'chapterized' THEN b ELSE a END AS chapterize_status,
+    CASE WHEN keep THEN coalesce(pa, pb) ELSE coalesce(pb, pa) END AS price FROM p""")
 def conflict_merge(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "done").otherwise(F.col("o_orderstatus")).alias("status"), F.col("o_totalprice").alias("price"))
+    status = F.when(F.col("o_orderstatus") == "F", "chapterized").when(F.col("o_orderstatus") == "P", "failed").otherwise("stubbed")
+    o = table(spark, d, "orders").select("o_orderkey", status.alias("chapterize_status"), F.col("o_totalprice").alias("price"))
     a = o.withColumn("k", F.col("o_orderkey")).withColumn("price", F.when(F.col("k") % 2 == 0, F.col("price")))
     b = o.withColumn("k", F.col("o_orderkey") - 1).withColumn("price", F.when(F.col("o_orderkey") % 3 > 0, F.col("price")))
     pairs = a.alias("a").join(b.alias("b"), F.col("a.k") == F.col("b.k"))
-    return registry.resolve_conflicts(pairs, ["status"], ["k", "status", "price"]).withColumn("k", F.when(F.col("kept_event_row"), F.col("k")).otherwise(F.col("k")))
+    return registry.resolve_conflicts(pairs, ["chapterize_status"], ["o_orderkey", "chapterize_status", "price"], "o_orderkey")
+
+
+@query("""WITH RECURSIVE o AS (SELECT o_orderkey AS k, o_orderkey % 4 AS m, o_totalprice AS cost, strftime(o_orderdate, '%Y-%m-%d') AS day, CASE o_orderstatus WHEN 'F' THEN 'chapterized' WHEN 'P' THEN 'failed' ELSE 'stubbed' END AS st, o_orderpriority AS pr FROM orders WHERE o_custkey % 10 <> 0),
+  reg AS (SELECT 'r' || k AS meeting_key, CASE WHEN m = 0 THEN k END AS event, CASE WHEN m = 1 THEN 'f' || k // 4 END AS file, day, cost, st FROM o WHERE m IN (0, 1)),
+  feed AS (SELECT k * 2 AS ord, k // 4 * 4 AS event, 'f' || k // 4 AS file, pr AS body, CASE WHEN k % 8 = 2 THEN day END AS day FROM o WHERE m = 2
+    UNION ALL SELECT k * 2 + 1, CASE WHEN k % 8 = 3 THEN k // 4 * 4 END, CASE WHEN k % 8 <> 3 THEN 'f' || k // 4 END, pr, NULL FROM o WHERE m = 3),
+  steps AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY ord) AS n FROM (SELECT *, coalesce(event // 4, CAST(substr(file, 2) AS BIGINT)) AS file_id FROM feed)),
+  start AS (SELECT g.id, list(struct_pack(meeting_key, event, file, day, cost, st, body := CAST(NULL AS VARCHAR)) ORDER BY meeting_key) FILTER (meeting_key IS NOT NULL) AS t
+    FROM (SELECT DISTINCT k // 4 AS id FROM o) g LEFT JOIN reg ON g.id = coalesce(event // 4, CAST(substr(file, 2) AS BIGINT)) GROUP BY g.id),
+  fold(id, n, t) AS (
+    SELECT id, 0, coalesce(t, []) FROM start
+    UNION ALL
+    SELECT id, s.n, CASE
+        WHEN a IS NOT NULL AND b IS NOT NULL AND a.meeting_key <> b.meeting_key AND a.st = 'chapterized' AND b.st = 'stubbed'
+          THEN [struct_pack(meeting_key := a.meeting_key, event := coalesce(s.event, a.event), file := coalesce(s.file, b.file), day := coalesce(s.day, a.day, b.day), cost := coalesce(a.cost, b.cost), st := a.st, body := s.body)]
+        WHEN a IS NOT NULL AND b IS NOT NULL AND a.meeting_key <> b.meeting_key
+          THEN [struct_pack(meeting_key := b.meeting_key, event := coalesce(s.event, b.event), file := coalesce(s.file, b.file), day := coalesce(s.day, b.day, a.day), cost := coalesce(b.cost, a.cost), st := CASE WHEN b.st = 'chapterized' THEN b.st ELSE a.st END, body := s.body)]
+        WHEN a IS NULL AND b IS NULL
+          THEN list_append(t, struct_pack(meeting_key := coalesce(s.file, 'event-' || s.event), event := s.event, file := s.file, day := s.day, cost := NULL, st := 'stubbed', body := s.body))
+        ELSE list_transform(t, lambda x: CASE WHEN x.meeting_key = coalesce(a.meeting_key, b.meeting_key)
+          THEN struct_pack(meeting_key := x.meeting_key, event := coalesce(s.event, x.event), file := coalesce(s.file, x.file), day := coalesce(s.day, x.day), cost := x.cost, st := x.st, body := s.body) ELSE x END) END
+    FROM (SELECT f.id, f.t, s, list_filter(f.t, lambda x: x.event = s.event)[1] AS a, list_filter(f.t, lambda x: x.file = s.file)[1] AS b FROM fold f JOIN steps s ON s.file_id = f.id AND s.n = f.n + 1)),
+  last AS (SELECT id, arg_max(t, n) AS t FROM fold GROUP BY id)
+  SELECT x.meeting_key AS meeting_key, x.event AS legistar_event_id, x.file AS viebit_filename, x.day AS event_date, x.cost AS cost_usd, x.st AS chapterize_status, x.body AS body_name FROM (SELECT unnest(t) AS x FROM last)""")
+def batch_upsert(spark, d):
+    """Of each four orders the first is a row known by its event, the second one known by its recording, the third
+    says that both are one, and the fourth brings news by one of the two identifiers; some of the four are missing."""
+    o = table(spark, d, "orders").filter("o_custkey % 10 <> 0").withColumn("g", F.floor(F.col("o_orderkey") / 4).cast("long")).withColumn("m", F.col("o_orderkey") % 4)
+    file, event, day = F.concat(F.lit("f"), F.col("g").cast("string")), F.col("g") * 4, F.date_format("o_orderdate", "yyyy-MM-dd")
+    status = F.when(F.col("o_orderstatus") == "F", "chapterized").when(F.col("o_orderstatus") == "P", "failed").otherwise("stubbed")
+    held = o.filter("m < 2").select(
+        F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("meeting_key"), F.when(F.col("m") == 0, event).alias("legistar_event_id"), F.when(F.col("m") == 1, file).alias("viebit_filename"),
+        day.alias("event_date"), F.col("o_totalprice").alias("cost_usd"), status.alias("chapterize_status"), F.lit(None).cast("string").alias("body_name"),
+    )
+    link, by_event = F.col("m") == 2, F.col("o_orderkey") % 8 == 3
+    feed = o.filter("m > 1").select(
+        F.col("o_orderkey").alias("ord"), F.when(link | by_event, event).alias("legistar_event_id"), F.when(link | ~by_event, file).alias("viebit_filename"),
+        F.col("o_orderpriority").alias("body_name"), F.when(F.col("o_orderkey") % 8 == 2, day).alias("event_date"),
+    )
+    return registry.upsert_batch(held, feed, "2025-05-01T00:00:00Z")
 
 
 @query("""WITH r AS (SELECT l_orderkey, max(l_linestatus) AS status FROM lineitem WHERE l_linenumber < 3 GROUP BY l_orderkey)
@@ -431,7 +472,7 @@ def reset_state(spark, d):
     return registry.reset(rows, F.col("o_custkey") % 5 == 0, ["chapterize_status"], "process_attempts", "last_error").select("o_orderkey", "chapterize_status", F.col("process_attempts").cast("long").alias("process_attempts"))
 
 
-@query(f"WITH {REGISTRY} SELECT o_orderkey, CASE WHEN fetch_status = 'done' AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 10) THEN 'pending' ELSE fetch_status END AS fetch_status FROM reg")
+@query(f"WITH {REGISTRY} SELECT o_orderkey, CASE WHEN fetch_status = 'fetched' AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 10) THEN 'pending' ELSE fetch_status END AS fetch_status FROM reg")
 def reconcile_artifacts(spark, d):
     files = table(spark, d, "lineitem").filter("l_quantity > 10").select(F.col("l_orderkey").alias("o_orderkey"))
     return registry.downgrade(_orders(spark, d).select("o_orderkey", "fetch_status"), files, "o_orderkey", "fetch_status")

@@ -17,10 +17,10 @@ def test_commands(spark, tmp_path, capsys):
     cli.main(["pending-matrix", "--registry", f"{tmp_path}/reg"])
     assert json.loads(capsys.readouterr().out) == [{"meeting_key": "a"}]
     (tmp_path / "res").mkdir()
-    (tmp_path / "res" / "1.json").write_text(json.dumps({"status": "done", "row": {"meeting_key": "a", "fetch_status": "done", "process_attempts": 1, "cost_usd": 0.24}}))
+    (tmp_path / "res" / "1.json").write_text(json.dumps({"status": "complete", "row": {"meeting_key": "a", "fetch_status": "fetched", "process_attempts": 1, "cost_usd": 0.24}}))
     cli.main(["merge-results", "--registry", f"{tmp_path}/reg", "--results", f"{tmp_path}/res", "--out", f"{tmp_path}/new"])
     new = {r.meeting_key: r for r in spark.read.parquet(f"{tmp_path}/new").collect()}
-    assert new["a"].fetch_status == "done" and new["a"].process_attempts == 1 and new["a"].cost_usd == 0.24 and new["b"].fetch_status == "pending"
+    assert new["a"].fetch_status == "fetched" and new["a"].process_attempts == 1 and new["a"].cost_usd == 0.24 and new["b"].fetch_status == "pending"
     cli.main(["reset-meeting", "--registry", f"{tmp_path}/new", "--key", "a", "--out", f"{tmp_path}/reset"])
     assert registry.one(spark.read.parquet(f"{tmp_path}/reset"), "meeting_key", "a").first().fetch_status == "pending"
     for command in ("status", "ci-health", "publishable"):

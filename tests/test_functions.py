@@ -77,7 +77,7 @@ CASES = [
     (lambda: scalar.token_estimate(F.lit(""), 4), 1),
     (lambda: text.repair_decimals(F.lit("1. 2. 3. 4. 5. 6. 7. 8. 9. 5 billion")), "1.2.3.4.5.6.7.8.9.5 billion"),
     (lambda: text.repair_decimals(F.lit("In 2012. 5 people. 3. 5 percent")), "In 2012. 5 people. 3.5 percent"),
-    (lambda: text.unescape_html(F.lit("a &amp;lt; &#x1F600; &#0; &#xD800; &x &hellip;")), "a &lt; \U0001f600 &#0; &#xD800; &x \u2026"),
+    (lambda: text.unescape_html(F.lit("a &amp;lt; &#x1F600; &#0; &#xD800; &x &hellip;")), "a &lt; \U0001f600 \ufffd \ufffd &x \u2026"),
     (lambda: scalar.round_seconds(F.lit(1.0005)), 1.0),
     (lambda: scalar.round_seconds(F.lit(0.0625)), 0.062),
     (lambda: scalar.round_seconds(F.lit(None).cast("double")), 0.0),
@@ -98,7 +98,7 @@ CASES = [
     (lambda: timeparse.iso_stamp(F.lit("2025-04-23 10:00:00.7").cast("timestamp")), "2025-04-23T10:00:00Z"),
     (lambda: text.unescape_html(F.lit(None).cast("string")), None),
     (lambda: text.name_tokens(F.lit("Ana Lee PhD Jr")), ["ana", "lee", "phd"]),
-    (lambda: text.introduced_names(F.lit("Hello I'm Ana O'Lee and so on. My name is Cy Ray from Queens"), ("AND", "FROM")), ["Ana Olee", "Cy Ray"]),
+    (lambda: text.introduced_names(F.lit("Hello I'm Ana O'Lee and so on. My name is Cy Ray from Queens"), ("AND", "FROM")), ["Cy Ray", "Ana Olee"]),
     (lambda: text.name_lines(F.lit("12  Ana Lee -\n x\nWWW.site\n3 Office of Parks\n")), ["Ana Lee", "Office of Parks"]),
     (lambda: text.is_person_name(F.lit("Ana B. Lee, Jr.")), True),
     (lambda: text.is_person_name(F.lit("ANA LEE")), False),

@@ -100,10 +100,10 @@ def test_fuzzy_blocking_loses_nothing(spark):
 
 
 def test_merge_never_regresses(spark):
-    reg = spark.createDataFrame([("a", "t", "done", "pending", 3, 0.5), ("b", "t", "pending", "done", 2, None)], "meeting_key string, topic string, s1 string, s2 string, process_attempts int, cost_usd double")
-    feed = spark.createDataFrame([("a", None, "pending", "done", 2, None, "r1"), ("b", "x", "error", "pending", 0, 1.0, "r2"), ("zz", "x", "done", "done", 1, 1.0, "r3")], "meeting_key string, topic string, s1 string, s2 string, process_attempts int, cost_usd double, ord string")
-    got = {r.meeting_key: tuple(r)[1:] for r in registry.merge_results(reg, feed, "meeting_key", ["s1", "s2"], "process_attempts", "cost_usd").collect()}
-    assert got == {"a": (None, "done", "done", 3, 0.5), "b": ("x", "error", "done", 0, 1.0)}
+    reg = spark.createDataFrame([("a", "t", "fetched", "pending", 3, 0.5), ("b", "t", "pending", "chapterized", 2, None)], "meeting_key string, topic string, fetch_status string, chapterize_status string, process_attempts int, cost_usd double")
+    feed = spark.createDataFrame([("a", None, "pending", "chapterized", 2, None, "r1"), ("b", "x", "error", "pending", 0, 1.0, "r2"), ("zz", "x", "fetched", "chapterized", 1, 1.0, "r3")], "meeting_key string, topic string, fetch_status string, chapterize_status string, process_attempts int, cost_usd double, ord string")
+    got = {r.meeting_key: tuple(r)[1:] for r in registry.merge_results(reg, feed, "meeting_key", ["fetch_status", "chapterize_status"], "process_attempts", "cost_usd").collect()}
+    assert got == {"a": (None, "fetched", "chapterized", 3, 0.5), "b": ("x", "error", "chapterized", 0, 1.0)}
 
 
 def test_schema_evolution_and_keys(spark):
