@@ -6,7 +6,6 @@ group in Python over that group's rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 
 import pandas as pd
@@ -16,6 +15,7 @@ from pyspark.sql import Window as W
 
 from rollcall.functions.text import clean_text
 from rollcall.operators.intervals import BUCKET, bucketed
+from rollcall.operators.segments import TurnFold, WordFold, fold_segments
 
 
 def normalize_utterances(rows: DataFrame, group: str, gap: float, least: float) -> DataFrame:
@@ -248,50 +248,13 @@ def rollup_dropped(text: Column, look_back: int = 8) -> Column:
 
 
 def fold_turns(rows: DataFrame, group: str, gap: float = 18, most: int = 280) -> DataFrame:
-    """Caption rows (group, idx, t0, text) as turns: a new one at the first row, at '>>', more than
-    ``gap`` after the turn's start, or once the turn has more than ``most`` characters."""
-
-    def step(frame: pd.DataFrame) -> Iterable[tuple]:
-        start, words = None, ""
-        for t, raw in zip(frame["t0"], frame["text"], strict=True):
-            raw = " ".join((raw or "").split())
-            text = re.sub(r"^>>\s*", "", raw)
-            if not text:
-                continue
-            if start is None or raw.startswith(">>") or t - start > gap or len(words) > most:
-                if start is not None:
-                    yield start, words
-                start, words = t, text
-            else:
-                words += " " + text
-        if start is not None:
-            yield start, words
-
-    return fold(rows, [group], ["idx"], "t_sec double, text string", step)
+    """Caption rows (group, idx, t0, text) as turns; see TurnFold."""
+    return fold_segments(rows, [group], "idx", TurnFold(gap, most))
 
 
 def fold_words(rows: DataFrame, group: str | list[str]) -> DataFrame:
-    """Words (group, idx, speaker, t0, t1, word) as segments: closed before a word of another speaker,
-    after a pause of more than 1.2 s, at 12 s or 35 words; and after a closing mark once it has 4 words and 1 s."""
-
-    def step(frame: pd.DataFrame) -> Iterable[tuple]:
-        now: list[tuple] = []
-
-        def close() -> tuple:
-            return now[0][1], now[-1][2], now[0][0], len(now), " ".join(w[3] for w in now)
-
-        for row in zip(frame["speaker"], frame["t0"], frame["t1"], frame["word"], strict=True):
-            if now and (row[0] != now[0][0] or row[1] - now[-1][2] > 1.2 or now[-1][2] - now[0][1] >= 12.0 or len(now) >= 35):
-                yield close()
-                now = []
-            now.append(row)
-            if len(now) >= 4 and row[2] - now[0][1] >= 1.0 and re.search(r"[.!?]$", row[3]):
-                yield close()
-                now = []
-        if now:
-            yield close()
-
-    return fold(rows, [group] if isinstance(group, str) else group, ["idx"], "t0 double, t1 double, speaker string, words int, text string", step)
+    """Words (group, idx, speaker, t0, t1, word) as segments; see WordFold."""
+    return fold_segments(rows, [group] if isinstance(group, str) else group, "idx", WordFold())
 
 
 def budget_chunks(rows: DataFrame, group: str, size: str, budget: int, overlap: int) -> DataFrame:

@@ -176,7 +176,16 @@ def turn_fold(spark, d):
     return sequence.fold_turns(utterances(spark, d).withColumn("t0", F.col("t0") / 1000), "conv_id")
 
 
-@query()
+@query(f"""WITH RECURSIVE {UTTERANCES}, w AS (SELECT conv_id, idx, label, t0, array_to_string(regexp_extract_all(text, '[^\\s]+'), ' ') AS x FROM u),
+  v AS (SELECT conv_id, label, idx * 1000000 + k - 1 AS o, t0 / 1000 + (k - 1) * 0.3::DOUBLE AS a, t0 / 1000 + (k - 1) * 0.3::DOUBLE + 0.25::DOUBLE AS b, word
+    FROM (SELECT conv_id, idx, label, t0, unnest(string_split(x, ' ')) AS word, generate_subscripts(string_split(x, ' '), 1) AS k FROM w)),
+  n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY o) AS i FROM v),
+  f AS (SELECT conv_id, i, i AS s, label, a AS sa, a, b, word, 1 AS c, word ~ '[.!?]$' AND false AS shut FROM n WHERE i = 1
+    UNION ALL
+    SELECT n.conv_id, n.i, CASE WHEN z THEN n.i ELSE f.s END, n.label, CASE WHEN z THEN n.a ELSE f.sa END, n.a, n.b, n.word, CASE WHEN z THEN 1 ELSE f.c + 1 END,
+      CASE WHEN z THEN 1 ELSE f.c + 1 END >= 4 AND n.b - CASE WHEN z THEN n.a ELSE f.sa END >= 1.0 AND regexp_matches(n.word, '[.!?]$')
+    FROM f JOIN n ON n.conv_id = f.conv_id AND n.i = f.i + 1, LATERAL (SELECT f.shut OR n.label <> f.label OR n.a - f.b > 1.2 OR f.b - f.sa >= 12.0 OR f.c >= 35 AS z))
+  SELECT conv_id, min(a) AS t0, max(b) AS t1, label AS speaker, count(*)::INTEGER AS words, string_agg(word, ' ' ORDER BY i) AS text FROM f GROUP BY conv_id, s, label""")
 def word_segments(spark, d):
     words = utterances(spark, d).select("conv_id", "idx", F.col("label").alias("speaker"), F.col("t0").alias("at"), F.posexplode(F.split(text.clean_text(F.col("text")), " ")).alias("k", "word"))
     words = words.select("conv_id", "speaker", "word", (F.col("idx") * 1_000_000 + F.col("k")).alias("idx"), (F.col("at") / 1000 + F.col("k") * 0.3).alias("t0"), (F.col("at") / 1000 + F.col("k") * 0.3 + 0.25).alias("t1"))

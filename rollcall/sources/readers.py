@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual
 
 from rollcall.functions.text import base64_url, clean_text, file_stem, links, unescape_html
 from rollcall.functions.timeparse import clock_to_seconds, mail_date
@@ -117,8 +119,103 @@ class PagedReader(DataSourceReader):
             page += partition.step
 
 
-def paged_source(name: str, schema: str, fetch) -> type[DataSource]:
-    """A data source class over a paged collection, for ``spark.dataSource.register``."""
+class PushingReader(PagedReader):
+    """A paged reader that hands conditions on single columns to the server, and leaves the others to Spark.
+
+    ``columns`` has the server's name of each column that it can filter. The pushed text goes before the
+    option ``where``, in the server's words (eq, gt, ge, lt, le, and).
+    """
+
+    WORDS = {EqualTo: "eq", GreaterThan: "gt", GreaterThanOrEqual: "ge", LessThan: "lt", LessThanOrEqual: "le"}
+
+    def __init__(self, schema, fetch, options: dict, columns: dict[str, str]) -> None:
+        super().__init__(schema, fetch, options)
+        self.columns = columns
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        said = []
+        for condition in filters:
+            text = self._text(condition)
+            if text:
+                said.append(text)
+            else:
+                yield condition
+        self.where = " and ".join([*said, *([f"({self.where})"] if self.where and said else [self.where] if self.where else [])])
+
+    def _text(self, condition: Filter) -> str | None:
+        path = getattr(condition, "attribute", ())
+        name = self.columns.get(path[0]) if len(path) == 1 else None
+        if name is None:
+            return None
+        if isinstance(condition, IsNotNull):
+            return f"{name} ne null"
+        if isinstance(condition, In):
+            each = [self._literal(v) for v in condition.value]
+            return "(" + " or ".join(f"{name} eq {v}" for v in each) + ")" if each and all(each) else None
+        word, value = self.WORDS.get(type(condition)), self._literal(getattr(condition, "value", None))
+        return f"{name} {word} {value}" if word and value else None
+
+    @staticmethod
+    def _literal(value: object) -> str | None:
+        if isinstance(value, bool):
+            return str(value).lower()
+        if isinstance(value, int):
+            return str(value)
+        if isinstance(value, datetime):
+            return f"datetime'{value:%Y-%m-%dT%H:%M:%S}'" if not value.microsecond and value.tzinfo is None else None
+        if isinstance(value, str):
+            quoted = value.replace("'", "''")
+            return f"datetime'{value}'" if re.fullmatch(r"\d{4}-\d\d-\d\d(T[\d:.]+)?", value) else f"'{quoted}'"
+        return None
+
+
+class CursorReader(DataSourceStreamReader):
+    """The rows of a paged collection as they change: the offset is the greatest time stamp seen, as text.
+
+    A batch holds the rows whose stamp lies behind the last offset and not behind the new one, so a batch that is
+    repeated after a failure reads the same rows, and the cursor in the checkpoint moves when its batch is committed. Rows of
+    one stamp come together; ``stamp`` is the server's name of it, ``field`` the row's.
+    """
+
+    def __init__(self, schema, fetch, options: dict, stamp: str, field: str) -> None:
+        self.schema, self.fetch, self.stamp, self.field = schema, fetch, stamp, field
+        self.size, self.start = int(options.get("pageSize", 1000)), options.get("start", "2025-04-01T00:00:00")
+
+    def initialOffset(self) -> dict:  # noqa: N802
+        self.at = self.start
+        return {"cursor": self.start}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        now = getattr(self, "at", self.start)
+        newest = list(self.fetch(self._after(now), f"{self.stamp} desc", 1, 0))
+        self.at = newest[0][self.field] if newest else now
+        return {"cursor": self.at}
+
+    def _after(self, cursor: str) -> str:
+        return f"{self.stamp} gt datetime'{cursor}'"
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self.at = max(getattr(self, "at", self.start), end["cursor"])
+        return [InputPartition((start["cursor"], end["cursor"]))]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        start, end = partition.value
+        page = PagedReader(self.schema, self.fetch, {"pageSize": self.size, "where": f"{self._after(start)} and {self.stamp} le datetime'{end}'", "orderBy": f"{self.stamp} asc"})
+        yield from page.read(Pages(0, 1))
+
+    def commit(self, end: dict) -> None:
+        pass
+
+    def stop(self) -> None:
+        pass
+
+
+def paged_source(name: str, schema: str, fetch, columns: dict[str, str] | None = None, stamp: str | None = None) -> type[DataSource]:
+    """A data source class over a paged collection, for ``spark.dataSource.register``.
+
+    With ``columns`` (the server's names of columns that it filters) conditions are pushed down, for which
+    spark.sql.python.filterPushdown.enabled must be set; with ``stamp``, one of these columns, it can be read as a stream.
+    """
 
     class Paged(DataSource):
         @classmethod
@@ -129,7 +226,12 @@ def paged_source(name: str, schema: str, fetch) -> type[DataSource]:
             return schema
 
         def reader(self, schema):
-            return PagedReader(schema, fetch, self.options)
+            return PushingReader(schema, fetch, self.options, columns) if columns else PagedReader(schema, fetch, self.options)
+
+        def streamReader(self, schema):  # noqa: N802
+            if not stamp:
+                raise ValueError(f"{name} has no time stamp to read on from")
+            return CursorReader(schema, fetch, self.options, (columns or {}).get(stamp, stamp), stamp)
 
     return Paged
 
