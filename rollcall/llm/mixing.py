@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import cut, stash
 
 
+#: Copies of one document that are made side by side.
+LOT = 16
+
+
 def _spaced(text: Column) -> Column:
     """The text with each run of white space as one space, and a space at either end."""
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s]+", " ")), F.lit(" "))
@@ -28,9 +32,19 @@ def tokens(text: Column) -> Column:
     return F.greatest(F.length(plain) - F.length(F.replace(plain, F.lit(" "), F.lit(""))) - 1, F.lit(0)).cast("long") - (F.length(plain) == 2).cast("long")
 
 
+def words(text: Column) -> Column:
+    """Words of a text in lower case, runs of letters, so that marks and digits do not count; '' may be among them."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
+
+
+#: Posteriors are multiples of 1 / GRAIN, so that many documents have the same.
+GRAIN = 1000
+
+
 @dataclass(frozen=True)
 class Domains:
-    """Bernoulli model: prior of each domain, and how often each cue word occurs in its documents."""
+    """Multinomial model over the cue words that a text has, each counted once: prior of each domain, and the smoothed share of
+    its cue words that each is. Words that a text has not say nothing, so short texts keep their few cues' word."""
 
     names: tuple[str, ...]
     priors: tuple[float, ...]
@@ -38,28 +52,30 @@ class Domains:
     rates: tuple[tuple[float, ...], ...]  # by cue, then domain
 
     def posteriors(self, df: DataFrame, text: str, out: str) -> DataFrame:
-        """``df`` with ``out``: array<double> in the order of ``names``, to 3 decimals.
+        """``df`` with ``out``: array<double> in the order of ``names``, in thousandths that sum to 1.
 
         Each step is a column of its own that later steps refer to, so a text is searched once.
         """
         each = range(len(self.names))
-        df = df.withColumn("_plain", _spaced(F.col(text)))
-        cue = [F.contains("_plain", F.lit(f" {w} ")).cast("long") * (1 << i) for i, w in enumerate(self.cues)]
-        df = df.withColumn("_cues", sum(cue, F.lit(0).cast("long")))
+        known = F.split(F.lit(" ".join(self.cues)), " ")
+        # a word that no domain is likelier to have says nothing, so logarithms are taken against the first domain
+        weights = [F.split(F.lit(" ".join(repr(math.log(r[k] / r[0])) for r in self.rates)), " ").cast("array<double>") for k in each]
+        adding = lambda table: lambda total, at: total + F.element_at(table, at)
+        df = df.withColumn("_at", F.transform(F.array_intersect(words(F.col(text)), known), lambda w: F.array_position(known, w).cast("int")))
         for k in each:
-            at = F.lit(math.log(self.priors[k]) + sum(math.log(1 - r[k]) for r in self.rates))
-            for i, r in enumerate(self.rates):
-                at = at + F.when(F.col("_cues").bitwiseAND(F.lit(1 << i)) != 0, F.lit(math.log(r[k] / (1 - r[k])))).otherwise(0.0)
-            df = df.withColumn(f"_log{k}", at)
+            start = F.lit(math.log(self.priors[k]))
+            df = df.withColumn(f"_log{k}", F.aggregate("_at", start, adding(weights[k])) if k and self.cues else start)
         df = df.withColumn("_top", F.greatest(*[F.col(f"_log{k}") for k in each], F.lit(-1e300)))
         df = df.withColumns({f"_exp{k}": F.exp(F.col(f"_log{k}") - F.col("_top")) for k in each})
         df = df.withColumn("_sum", sum((F.col(f"_exp{k}") for k in each), F.lit(0.0)))
-        df = df.withColumns({f"_p{k}": F.round(F.col(f"_exp{k}") / F.col("_sum"), 3) for k in each})
-        used = ["_plain", "_cues", "_top", "_sum", *[f"{x}{k}" for x in ("_log", "_exp", "_p") for k in each]]
+        # what is rounded is the sum of the first domains, so that the thousandths add up
+        sums = [F.lit(0.0), *[F.round(sum((F.col(f"_exp{j}") for j in range(k + 1)), F.lit(0.0)) / F.col("_sum") * GRAIN) for k in each]]
+        df = df.withColumns({f"_p{k}": (sums[k + 1] - sums[k]) / GRAIN for k in each})
+        used = ["_at", "_top", "_sum", *[f"{x}{k}" for x in ("_log", "_exp", "_p") for k in each]]
         return df.withColumn(out, F.array(*[F.col(f"_p{k}") for k in each])).drop(*used)
 
 
-def learn_domains(docs: DataFrame, labelled: DataFrame, max_rows: int = 4000, max_bytes: int = 100_000, cues: int = 24) -> Domains | None:
+def learn_domains(docs: DataFrame, labelled: DataFrame, max_rows: int = 4000, max_bytes: int = 100_000, cues: int = 300) -> Domains | None:
     """Learns from at most ``max_rows`` rows of ``labelled`` (doc_id, domain; the first by a hash of
     doc_id, and of several for a document the smallest domain) with texts of at most ``max_bytes``.
 
@@ -68,18 +84,19 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, max_rows: int = 4000, ma
     """
     chosen = labelled.filter("doc_id is not null and domain is not null").groupBy("doc_id").agg(F.min("domain").alias("_domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     sample = docs.select("doc_id", "text").filter(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), "doc_id")
-    words = cut(sample.select(F.col("_domain").cast("string").alias("d"), F.array_distinct(F.split(_spaced(F.col("text")), " ")).alias("words")))
-    count = {r["d"]: r["n"] for r in words.groupBy("d").agg(F.count("*").alias("n")).collect()}
+    seen = cut(sample.select(F.col("_domain").cast("string").alias("d"), F.array_remove(F.array_distinct(words(F.col("text"))), "").alias("words")))
+    count = {r["d"]: r["n"] for r in seen.groupBy("d").agg(F.count("*").alias("n")).collect()}
     if not count:
         return None
     names, total = sorted(count), sum(count.values())
-    each = words.select("d", F.explode("words").alias("w")).filter("w <> ''").groupBy("w").agg(F.count("*").alias("n"), *[F.count_if(F.col("d") == d).alias(f"n{k}") for k, d in enumerate(names)])
+    each = seen.select("d", F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"), *[F.count_if(F.col("d") == d).alias(f"n{k}") for k, d in enumerate(names)])
     told = F.lit(0.0)
     for k, d in enumerate(names):
         for here, of in ((F.col(f"n{k}"), F.col("n")), (count[d] - F.col(f"n{k}"), total - F.col("n"))):
             told = told + F.when(here > 0, here / total * F.log(here * total / (of * count[d]))).otherwise(0.0)
     best = each.orderBy(told.desc(), "w").limit(cues).collect()
-    rates = tuple(tuple((r[f"n{k}"] + 0.5) / (count[d] + 1.0) for k, d in enumerate(names)) for r in best)
+    sums = [sum(r[f"n{k}"] for r in best) + 0.5 * len(best) for k in range(len(names))]
+    rates = tuple(tuple((r[f"n{k}"] + 0.5) / sums[k] for k in range(len(names))) for r in best)
     return Domains(tuple(names), tuple(count[d] / total for d in names), tuple(r["w"] for r in best), rates)
 
 
@@ -136,7 +153,9 @@ def fit_rates(points: DataFrame, targets: list[float], low: float, high: float,
                 break
             best, goal = (off, list(steps), got), [b * over for b in goal]
             steps[-1] = miss(got)
-        rated = cut(rated.withColumn("r", _bounded(F.col("r") - sum((F.col("p")[i] * g for i, g in enumerate(steps[-1])), F.lit(0.0)), low, high)))
+        rated = rated.withColumn("r", _bounded(F.col("r") - sum((F.col("p")[i] * g for i, g in enumerate(steps[-1])), F.lit(0.0)), low, high))
+        if k % 10 == 9:  # so that the expression does not grow; in between it is taken once more
+            rated = cut(rated)
     ends = [(round(w, 4), round(g / sum(got), 4)) for w, g in zip(weight, got, strict=True)]
     level = logging.WARNING if any(abs(g - w) > 0.01 * w for w, g in ends) else logging.INFO
     logging.getLogger(__name__).log(level, "shares of the domains, wanted and reached: %s", ends)
@@ -149,14 +168,14 @@ def plan_mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], lo
     Rates are between ``low`` and ``high``, by default without a ceiling; ``copies`` is the rate's whole part, plus one with the
     probability of the rest, decided by a hash of doc_id. With ``low`` at least 1 no document goes.
     Domains without a target aim at 0. Null and empty texts have 0 tokens and the posteriors of a text without
-    cues. Without labels or tokens every rate is 1 (or the nearest bound). Repeated rows each get the
-    same rate.
+    cues, the priors. Without labels or tokens every rate is 1 (or the nearest bound). Repeated rows each get the
+    same rate. Whole texts are read, of any length; other columns are ignored, and an empty table gives an empty result.
     """
     model = learn_domains(docs, labelled)
     own = docs.select("doc_id", "text", tokens(F.col("text")).alias("t"))
     # written once: the fit reads it round after round, and later filters see a plain column
     own = stash((own.withColumn("p", F.array().cast("array<double>")) if model is None else model.posteriors(own, "text", "p")).drop("text"))
-    own = _rated(own, own, model, targets, low, high)
+    own, _ = _rated(own, own, model, targets, low, high)
     as_map = F.map_from_arrays(F.lit(list(model.names)), F.col("p")) if model else F.create_map().cast("map<string,double>")
     return own.select("doc_id", F.col("t").alias("text_tokens"), as_map.alias("posteriors"), "rate", "copies")
 
@@ -177,24 +196,30 @@ def shares(plan: DataFrame, targets: dict[str, float]) -> dict[str, dict[str, fl
     return out
 
 
-def _rated(df: DataFrame, seen: DataFrame, model: Domains | None, targets: dict[str, float], low: float, high: float) -> DataFrame:
-    """``df`` (doc_id, p) with rate and copies; rates are fitted on ``seen`` (p, t)."""
-    steps = []
+def _rated(df: DataFrame, seen: DataFrame, model: Domains | None, targets: dict[str, float], low: float, high: float) -> tuple[DataFrame, float]:
+    """``df`` (doc_id, p) with rate and copies, and the greatest rate; rates are fitted on ``seen`` (p, t)."""
+    steps, most = [], min(max(1.0, low), high)
     if model is not None:
-        points = seen.groupBy("p").agg(F.sum("t").cast("double").alias("t"))
-        steps = fit_rates(cut(points), [float(targets.get(d, 0.0)) for d in model.names], low, high)
+        points = cut(seen.groupBy("p").agg(F.sum("t").cast("double").alias("t")))
+        steps = fit_rates(points, [float(targets.get(d, 0.0)) for d in model.names], low, high)
+        most = _rate(points, "p", "r", steps, low, high).agg(F.max("r")).first()[0] or most
     df = _rate(df, "p", "rate", steps, low, high)
     chance = F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
     whole = F.floor("rate")
-    return df.withColumn("copies", (whole + (chance < F.col("rate") - whole).cast("int")).cast("int"))
+    return df.withColumn("copies", (whole + (chance < F.col("rate") - whole).cast("int")).cast("int")), most
 
 
 def mix_documents(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], low: float = 1.0, high: float = math.inf) -> DataFrame:
-    """The rows of ``docs``, each as often as ``plan_mix`` says, with the same columns."""
+    """The rows of ``docs``, each as often as ``plan_mix`` says, with the same columns. Where a document has more than
+    LOT copies, they are dealt over tasks in lots. Odd rows are treated as in ``plan_mix``."""
     model = learn_domains(docs, labelled)
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.col("text"))
     rows = rows.withColumn("p", F.array().cast("array<double>")) if model is None else model.posteriors(rows, "text", "p")
-    rows = _rated(rows, rows.select("p", tokens(F.col("text")).alias("t")), model, targets, low, high)
-    # the outer form keeps the optimizer from searching the texts once more for a filter of its own
-    times = F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies")))).alias("k")
-    return rows.select("row", times).filter("k is not null").select("row.*")
+    rows, most = _rated(rows, rows.select("p", tokens(F.col("text")).alias("t")), model, targets, low, high)
+    # copies of one document that are many come in lots, and the lots go to tasks of their own
+    lots = F.ceil(F.col("copies") / LOT).cast("int")
+    rows = rows.select("row", "copies", F.explode_outer(F.when(F.col("copies") > 0, F.sequence(F.lit(0), lots - 1))).alias("lot")).filter("lot is not null")
+    if most > LOT:
+        rows = rows.repartition(F.xxhash64("row.doc_id", "lot"))
+    size = F.least(F.lit(LOT), F.col("copies") - F.col("lot") * LOT)
+    return rows.select("row", F.explode(F.sequence(F.lit(1), size)).alias("k")).select("row.*")

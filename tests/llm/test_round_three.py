@@ -11,8 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import filter_audit, multiset_hash, periodic
-from rollcall.llm.queries import op13_periodic_runs, planted
+from rollcall.llm import filter_audit, mixing, multiset_hash, periodic
+from rollcall.llm.queries import TARGETS, language_labels, op13_periodic_runs, planted
 from tests.llm.test_text_operators import FOLDER, documents, empty, odd  # noqa: F401
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -267,3 +267,34 @@ def test_planted_runs_against_brute_force(spark):
     columns = ["n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
     got = {r.doc_id: tuple(r[c] for c in columns) for r in op13_periodic_runs(spark, FOLDER).collect()}
     assert all(got[i] == plain_digest(t) for i, t in want.items())
+
+
+# mixing: what the classifier is worth on rows that it has not learnt from
+
+
+def test_domains_of_unseen_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labelled = language_labels(spark, folder)
+    plan = mixing.plan_mix(docs, labelled, TARGETS).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    assert all(abs(sum(p.values()) - 1) < 1e-9 for p in plan.posteriors)
+    seen = {r.doc_id for r in labelled.collect()}
+    new = plan[~plan.doc_id.isin(seen) & (plan.text_tokens > 20)]
+    likeliest = new.posteriors.map(lambda p: max(p, key=p.get))
+    assert len(new) > 400 and (likeliest == new.lang).mean() > 0.97
+    # calibration: of a language the expected tokens are those that there are
+    for d in TARGETS:
+        expected = sum(p[d] * t for p, t in zip(new.posteriors, new.text_tokens, strict=True))
+        assert abs(expected - new.text_tokens[new.lang == d].sum()) < 0.01 * new.text_tokens.sum()
+    dealt = (plan.copies * plan.text_tokens).groupby(plan.lang).sum()
+    assert all(abs(dealt[d] / dealt.sum() - w) < 0.02 for d, w in TARGETS.items())
+
+
+def test_many_copies_are_dealt_over_tasks(spark):
+    said = {"en": "the and of", "fr": "le et des"}
+    docs = spark.createDataFrame([(i, said["fr" if i == 0 else "en"] + f" x{i}", "fr" if i == 0 else "en") for i in range(400)], "doc_id long, text string, lang string").coalesce(1)
+    labelled = docs.select("doc_id", F.col("lang").alias("domain"))
+    mixed = mixing.mix_documents(docs, labelled, {"en": 0.5, "fr": 0.5})
+    rare = mixed.filter("doc_id = 0")
+    assert 350 < rare.count() < 450 and rare.select(F.spark_partition_id()).distinct().count() > 1
+    assert mixed.filter("doc_id > 0").count() == 399
