@@ -294,7 +294,9 @@ def test_many_copies_are_dealt_over_tasks(spark):
     said = {"en": "the and of", "fr": "le et des"}
     docs = spark.createDataFrame([(i, said["fr" if i == 0 else "en"] + f" x{i}", "fr" if i == 0 else "en") for i in range(400)], "doc_id long, text string, lang string").coalesce(1)
     labelled = docs.select("doc_id", F.col("lang").alias("domain"))
-    mixed = mixing.mix_documents(docs, labelled, {"en": 0.5, "fr": 0.5})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one task
+    mixed = mixing.mix_documents(docs, labelled, {"en": 0.5, "fr": 0.5}).cache()
     rare = mixed.filter("doc_id = 0")
     assert 350 < rare.count() < 450 and rare.select(F.spark_partition_id()).distinct().count() > 1
     assert mixed.filter("doc_id > 0").count() == 399
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
