@@ -11,9 +11,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.llm import filter_audit, mixing, multiset_hash, periodic
+from rollcall.llm import filter_audit, licenses, mixing, multiset_hash, periodic
 from rollcall.llm.queries import TARGETS, language_labels, op13_periodic_runs, planted
-from tests.llm.test_text_operators import FOLDER, documents, empty, odd  # noqa: F401
+from tests.llm.test_text_operators import BSD, FOLDER, MIT, documents, empty, licenses_of, odd  # noqa: F401
 
 WORD = r"[^\x20\x09-\x0D]+"
 sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
@@ -300,3 +300,44 @@ def test_many_copies_are_dealt_over_tasks(spark):
     assert 350 < rare.count() < 450 and rare.select(F.spark_partition_id()).distinct().count() > 1
     assert mixed.filter("doc_id > 0").count() == 399
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+# licences: common wordings
+
+WORDINGS = {
+    "This project is distributed under the MIT license": "MIT",
+    "Code released under the MIT License - see LICENSE": "MIT",
+    "// SPDX-License-Identifier: MIT": "MIT",
+    "x = 1  # SPDX-License-Identifier: LGPL-2.1-or-later\ny = 2": "LGPL-2.1-or-later",
+    "# SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause)": "GPL-2.0-only,BSD-3-Clause",
+    "/* SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception */": "Apache-2.0",
+    "see http://www.apache.org/licenses/LICENSE-2.0 for more": "Apache-2.0",
+    "Dual licensed under the MIT License (https://opensource.org/licenses/MIT)": "MIT",
+    "\n".join("# " + x for x in MIT.split("\n\n")[2].split("\n")): "MIT",
+    BSD.replace("the copyright holder nor", "Google Inc. nor"): "BSD-3-Clause,LicenseRef-all-rights-reserved",
+    "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)": "BSL-1.0",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/": "EPL-2.0",
+    "Permission is granted to anyone to use this software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to the following restrictions:": "Zlib",
+    "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.": "0BSD",
+    "Released under the GNU GPL v3 or later": "GPL-3.0-or-later",
+    "Licensed under the WTFPL": "WTFPL",
+    "This Font Software is licensed under the SIL Open Font License, Version 1.1.": "OFL-1.1",
+    "Licensed under the EUPL, Version 1.2": "EUPL-1.2",
+    "Artistic License 2.0\n\nx": "Artistic-2.0",
+    "This work is licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0",
+    "MIT No Attribution\n\nCopyright": "MIT-0",
+    "It is not licensed under the MIT license.": "",
+    "the MIT license is nice": "",
+    "ask for permission under the stairs of apache": "",
+    "SPDX-License-Identifier: Unknown-1.0": "",
+}
+
+
+def test_common_wordings_of_licences(spark):
+    assert dict(zip(WORDINGS, [found for _, found in licenses_of(spark, list(WORDINGS))], strict=True)) == WORDINGS
+
+
+def test_every_rule_has_its_sentences():
+    known = {*licenses.KNOWN.values(), *(i for _, i in licenses.SLOTTED)}
+    assert {i for _, _, rule in licenses.RULES for i in rule} <= known
+    assert all(any(re.sub("[^a-z0-9]+", " ", c) in sentence for c in licenses.CUES) for sentence in licenses.KNOWN)
