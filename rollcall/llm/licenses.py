@@ -218,7 +218,7 @@ RULES = RULES + tuple(
 )
 
 #: Every known sentence holds one of these, so a text without any has no known sentence.
-CUES = ("licen", "permission", "copyright", "software", "redistribut", "reserved", "cc0", "spdx", "wtfpl", "eupl", "gpl", "bsd", "mozilla.org/mpl", "epl-", "publicdomain", "do what the fuck", "without any express", "no attribution")
+CUES = ("licen", "permission", "copyright", "software", "redistribut", "reserved", "cc0", "spdx", "wtfpl", "eupl", "gpl", "bsd", "mozilla.org/mpl", "epl-", "publicdomain", "do what the fuck", "without any express", "no attribution", "noderivatives")
 _CUED = "(?i)" + "|".join(c.replace(".", "[.]") for c in CUES)
 
 #: A marker stands for a sentence with slots; it has a sign that normalised text has not.
