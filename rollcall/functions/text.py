@@ -95,9 +95,9 @@ def repair_decimals(c: Column) -> Column:
 def join_tokens(tokens: Column) -> Column:
     """Word tokens as running text: no space before closing marks or after an opening bracket."""
     text = F.array_join(F.filter(tokens, lambda t: F.trim(t) != ""), " ")
-    text = F.regexp_replace(text, r"\s+([,.;:!?%)\]])", "$1")
-    text = F.regexp_replace(text, r"([(\[])\s+", "$1")
-    return F.trim(F.regexp_replace(text, r"\s+('\w)", "$1"))
+    text = F.regexp_replace(text, r"(?U)\s+([,.;:!?%)\]])", "$1")
+    text = F.regexp_replace(text, r"(?U)([(\[])\s+", "$1")
+    return F.trim(F.regexp_replace(text, r"(?U)\s+('[\p{L}\p{N}_])", "$1"))
 
 
 def clean_speaker(c: Column) -> Column:

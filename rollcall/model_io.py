@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rollcall.functions.scalar import round_seconds
 from rollcall.functions.text import blank_to_null, clean_text, join_tokens, source_label
 from rollcall.operators.sequence import fold_words
+from rollcall.sources.readers import exists
 
 Backend = Callable[[pd.DataFrame], list[dict]]
 
@@ -33,6 +34,38 @@ def only_missing(requests: DataFrame, responses: DataFrame, key: str, params: st
     return requests.join(responses.select(key, params), [key, params], "left_anti")
 
 
+def answered(requests: DataFrame, backend: Backend, schema: str, folder: str, key: str, params: str, lots: int = 16) -> DataFrame:
+    """The answers to all ``requests`` (key, params and what the backend reads), from a durable store where they are there.
+
+    The store holds answers by key and by the hash of their parameters and input; ``schema``, of what the backend gives, has
+    the key. Requests without an answer are asked in ``lots`` by a hash of the key, each of which is written when it is done: a run
+    that is stopped has lost one lot at most, the next takes up the rest, and a request whose hash has changed is asked anew.
+    """
+    spark = requests.sparkSession
+    others = sorted(c for c in requests.columns if c != key)
+    asked = requests.withColumn("_hash", F.sha2(F.to_json(F.struct(*[F.col(c) for c in others]), {"ignoreNullFields": "false"}), 256)).withColumn("_lot", F.pmod(F.xxhash64(key), F.lit(lots)).cast("int"))
+    kinds = {f.name: f.dataType.simpleString() for f in asked.schema}
+    stored = f"{schema}, _hash string, _lot int"
+    names = [c.strip().split()[0] for c in schema.split(",")]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for k in range(0, len(frame), 64):
+                part = frame.iloc[k : k + 64]
+                hashes = dict(zip(part[key], zip(part["_hash"], part["_lot"], strict=True), strict=True))
+                rows = backend(part.drop(columns=["_hash", "_lot"]))
+                yield pd.DataFrame([[*[r.get(n) for n in names], *hashes[r[key]]] for r in rows], columns=[*names, "_hash", "_lot"])
+
+    def there() -> DataFrame:
+        return spark.read.schema(stored).parquet(folder) if exists(spark, f"{folder}/_lot=*") else spark.createDataFrame([], stored)
+
+    for lot in range(lots):
+        missing = asked.filter(F.col("_lot") == lot).join(there().filter(F.col("_lot") == lot).select(key, "_hash"), [key, "_hash"], "left_anti")
+        missing.select(*kinds).mapInPandas(run, stored).write.mode("append").partitionBy("_lot").parquet(folder)
+    current = asked.select(key, "_hash")
+    return there().join(current, [key, "_hash"]).select(*names)
+
+
 SEGMENT = "meeting_key string, part int, t0 double, t1 double, text string, label string"
 
 

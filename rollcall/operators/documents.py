@@ -71,6 +71,40 @@ def facets(rows: DataFrame, values: str) -> DataFrame:
     return rows.select(F.explode(values).alias("value")).groupBy("value").agg(F.count("*").alias("n"))
 
 
+def label_facets(rows: DataFrame, label: str, collation: str = "UNICODE") -> DataFrame:
+    """(label, n, place): labels with a capital and how often each occurs, most frequent first, ties in the order of
+    the collation, in which accents and letter case count least. Labels are few, so one task orders them."""
+    each = rows.groupBy(F.initcap(label).alias("label")).agg(F.count("*").alias("n"))
+    place = F.row_number().over(W.orderBy(F.desc("n"), F.collate("label", collation), "label"))
+    return each.withColumn("place", place)
+
+
+def facet_parts(rows: DataFrame, part: str, value: str, who: str) -> DataFrame:
+    """What is kept of each part for facets: (part, value, n, sketch), the sketch of who is behind a value."""
+    return rows.groupBy(part, value).agg(F.count("*").alias("n"), F.hll_sketch_agg(F.col(who).cast("string")).alias("sketch"))
+
+
+def merged_facets(parts: DataFrame, value: str) -> DataFrame:
+    """(value, n, who) of all parts: counts summed up, sketches merged, which gives what one sketch of all rows gives."""
+    return parts.groupBy(value).agg(F.sum("n").alias("n"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("who"))
+
+
+def key_summary(rows: DataFrame, json: str, who: str) -> DataFrame:
+    """(key, n, n_<who>): how often each name of an object occurs, and with how many."""
+    each = rows.select(who, F.explode(F.json_object_keys(json)).alias("key"))
+    return each.groupBy("key").agg(F.count("*").alias("n"), F.count_distinct(who).alias(f"n_{who}"))
+
+
+def label_sets(rows: DataFrame, group: str, label: str, *most: Column) -> DataFrame:
+    """(group, labels, n) and the greatest of further columns: each group's different labels in order."""
+    return rows.groupBy(group).agg(F.array_sort(F.collect_set(label)).alias("labels"), F.count_distinct(label).alias("n"), *[F.max(c).alias(f"most{k}") for k, c in enumerate(most)])
+
+
+def cube_counts(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows for each combination of values, each of them also left out (null)."""
+    return rows.cube(*columns).agg(F.count("*").alias("n"))
+
+
 def neighbours(rows: DataFrame, group: str, order: str, value: str) -> DataFrame:
     by = W.partitionBy(group).orderBy(order)
     return rows.withColumn("previous", F.lag(value).over(by)).withColumn("next", F.lead(value).over(by)).withColumn("id", F.format_string("%03d", F.row_number().over(by)))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rollcall.functions.text import clean_text
+from rollcall.functions.text import clean_text, introduced_names
+from rollcall.functions.timeparse import seconds_to_clock
 from rollcall.operators.intervals import BUCKET, bucketed
 from rollcall.operators.segments import TurnFold, WordFold, fold_segments
 
@@ -196,6 +197,31 @@ def pair_markers(rows: DataFrame, group: str, kind: str, at: str, last: str) ->
     return rows.select(group, F.col(at).alias("start"), F.when(F.col("_kind") == "end", F.col("_at")).otherwise(F.coalesce("_at", F.col(last))).alias("end"))
 
 
+# Words that tell that somebody is introduced, and those that tell a panel.
+HINT_WORDS = ("MY NAME IS", "I'M ", "I AM ", "CALL THE", "PANEL", "FROM THE", "GO TO ZOOM")
+PANEL_WORDS = ("CALL THE", "PANEL", "GO TO ZOOM")
+
+
+def speaker_hints(rows: DataFrame, group: str, stop_words: tuple[str, ...] = (), most: int = 160) -> DataFrame:
+    """(group, place, hint): lines that tell where a speaker of the rows (group, idx, t0, text) may be named, or a panel
+    introduced. A row with such words is read with the three rows behind it; a name, or the beginning of a panel's words, counts
+    where it comes first, and the first ``most`` of a group are kept, as a prompt has room for so many."""
+    by = W.partitionBy(group).orderBy("idx")
+    said = F.coalesce("text", F.lit(""))
+    # a row behind the last one adds nothing, not even a space
+    window = F.concat_ws(" ", said, *[F.lead(said, k).over(by) for k in (1, 2, 3)])
+    has = lambda c, words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(F.upper(c), w))
+    near = rows.select(group, "idx", "t0", said.alias("_said"), window.alias("_window")).filter(has(F.col("_said"), HINT_WORDS))
+    near = near.withColumn("_names", introduced_names(F.col("_window"), stop_words))
+    name = F.transform("_names", lambda n: F.struct(F.lower(n).alias("key"), F.concat(F.lit("possible named speaker "), n).alias("what")))
+    panel = F.when(has(F.col("_said"), PANEL_WORDS), F.array(F.struct(F.lower(F.substring("_window", 1, 120)).alias("key"), F.lit("possible panel introduction").alias("what"))))
+    each = near.select(group, "idx", "t0", "_window", F.posexplode(F.when(F.size("_names") > 0, name).otherwise(panel)).alias("_k", "_h"))
+    first = F.row_number().over(W.partitionBy(group, "_h.key").orderBy("idx", "_k"))
+    each = each.withColumn("_first", first).filter("_first = 1").withColumn("place", F.row_number().over(W.partitionBy(group).orderBy("idx", "_k"))).filter(F.col("place") <= most)
+    line = F.format_string("[%d] %s: %s | %s", F.col("idx").cast("long"), seconds_to_clock(F.col("t0")), F.col("_h.what"), F.substring("_window", 1, 220))
+    return each.select(group, "place", line.alias("hint"))
+
+
 # Folds
 
 

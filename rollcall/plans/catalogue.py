@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from rollcall import model_io
-from rollcall.functions import scalar, text, timeparse
+from rollcall.functions import json_repair, scalar, text, timeparse
 from rollcall.operators import costs, documents, fuzzy, intervals, registry, sequence, terms
 from rollcall.sources import readers, writers
 from rollcall.sources.readers import table
+from rollcall.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -610,14 +611,13 @@ def usage_map_sum(spark, d):
     return costs.sum_maps(rows, ["user_id"], "usage")
 
 
-@query("""SELECT l_orderkey, CAST(sum(CAST(l_quantity AS BIGINT) * CASE l_linestatus WHEN 'F' THEN 180000 ELSE 90000 END + CAST(round(l_tax * 100) AS BIGINT) * 10000) AS BIGINT) AS micro_usd, count(*) AS parts,
+@query("""SELECT l_orderkey, CAST(sum(CAST(round(round(l_quantity * 60 / 3600 * CASE l_linestatus WHEN 'F' THEN 0.18::DOUBLE ELSE 0.09::DOUBLE END + l_tax, 6) * 1000000) AS BIGINT)) AS BIGINT) AS micro_usd, count(*) AS parts,
   CASE WHEN count(*) = count(CASE WHEN l_discount > 0.01 THEN 1 END) THEN CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS BIGINT) END AS all_or_null FROM lineitem GROUP BY l_orderkey""")
 def meeting_cost(spark, d):
     li = table(spark, d, "lineitem")
-    rate = F.round(costs.hour_rate(F.when(F.col("l_linestatus") == "F", "sync").otherwise("batch")) * 1_000_000).cast("long")
-    micro = F.col("l_quantity").cast("long") * rate + F.round(F.col("l_tax") * 100).cast("long") * 10000
+    cost = costs.meeting_cost(F.col("l_quantity").cast("double") * 60, F.when(F.col("l_linestatus") == "F", "sync").otherwise("batch"), F.col("l_tax").cast("double"))
     some = F.when(F.col("l_discount") > 0.01, F.round(F.col("l_discount") * 100).cast("long"))
-    return li.groupBy("l_orderkey").agg(F.sum(micro).alias("micro_usd"), F.count("*").alias("parts"), costs.total_if_all(some).alias("all_or_null"))
+    return li.groupBy("l_orderkey").agg(F.sum(F.round(cost * 1_000_000).cast("long")).alias("micro_usd"), F.count("*").alias("parts"), costs.total_if_all(some).alias("all_or_null"))
 
 
 @query("SELECT value, count(*) AS n FROM (SELECT unnest([lang, source, CASE WHEN n_chars > 3000 THEN 'LONG' ELSE 'SHORT' END]) AS value FROM documents) GROUP BY value")
@@ -626,9 +626,16 @@ def tag_facets(spark, d):
     return documents.facets(table(spark, d, "documents").select(F.array("lang", "source", size).alias("tags")), "tags")
 
 
-@query("SELECT upper(event_type[1:1]) || event_type[2:] AS label, count(*) AS n FROM events GROUP BY 1")
+@query("SELECT label, n, row_number() OVER (ORDER BY n DESC, label COLLATE NOACCENT.NOCASE, label)::INTEGER AS place FROM (SELECT upper(event_type[1:1]) || event_type[2:] AS label, count(*) AS n FROM events GROUP BY 1)")
 def type_facets(spark, d):
-    return table(spark, d, "events").groupBy(F.initcap("event_type").alias("label")).agg(F.count("*").alias("n"))
+    return documents.label_facets(table(spark, d, "events"), "event_type")
+
+
+@query("SELECT event_type AS value, count(*) AS n, count(DISTINCT user_id) AS who FROM events GROUP BY event_type")
+def facets_of_parts(spark, d):
+    """Facets kept by day and merged: counts, and how many users are behind a type by sketches (exact for so few)."""
+    e = table(spark, d, "events").select(F.to_date("ts").alias("day"), F.col("event_type").alias("value"), "user_id")
+    return documents.merged_facets(documents.facet_parts(e, "day", "value", "user_id"), "value")
 
 
 @query("""SELECT doc_id, CAST(k AS INTEGER) AS index, CAST((k - 1) * 1800 AS DOUBLE) AS offset, least(CAST(k * 1800 AS DOUBLE), n_chars) AS end, CASE WHEN k = 1 THEN '' ELSE '_part' || k END AS suffix
@@ -653,27 +660,37 @@ def doc_nest(spark, d):
     return regions.filter(F.size("nations") > 0).select("r_name", F.size("nations").cast("long").alias("n"), F.array_join(cell, ";").alias("nations"))
 
 
-@query("""SELECT conv_id, turn, text, (SELECT max(turn) FROM conversations c2 WHERE c2.conv_id = c.conv_id AND c2.turn < c.turn) AS previous FROM conversations c WHERE turn = 1""")
+@query("""SELECT '/meetings/talk-' || conv_id % 7 || '/m' || conv_id || '/c' || turn AS path, 'm' || conv_id AS slug, CAST(turn AS INTEGER) AS chapter_index, CASE WHEN turn > 0 THEN 'c' || turn - 1 END AS previous,
+   CASE WHEN turn < (SELECT max(turn) FROM conversations z WHERE z.conv_id = c.conv_id) THEN 'c' || turn + 1 END AS next FROM conversations c WHERE turn <= 1""")
 def chapter_lookup(spark, d):
-    rows = documents.neighbours(table(spark, d, "conversations"), "conv_id", "turn", "turn").filter("turn = 1")
-    return rows.select("conv_id", "turn", "text", "previous")
+    """Addresses of each conversation's first two turns, as they are asked for, found in the manifest; with the neighbours."""
+    slug = F.concat(F.lit("m"), F.col("conv_id").cast("string")).alias("slug")
+    turns = table(spark, d, "conversations").select(slug, "turn", F.concat(F.lit("c"), F.col("turn").cast("string")).alias("chapter"))
+    talks = table(spark, d, "conversations").select("conv_id").distinct().select(slug, F.concat(F.lit("Talk "), (F.col("conv_id") % 7).cast("string")).alias("body"), F.lit("2025-05-01").alias("date"))
+    chapters = turns.select("slug", "turn", F.struct(F.col("chapter").alias("slug"), F.col("turn").cast("string").alias("id")).alias("chapter"))
+    docs = documents.nest(talks, chapters, "slug", ["turn"], ["turn", "chapter"], "chapters").withColumn("chapters", F.transform("chapters", lambda x: x["chapter"]))
+    head, tail = F.when(F.col("turn") == 0, "/og/chapter/").otherwise("/meetings/"), F.when(F.col("turn") == 0, ".png").otherwise("/")
+    asked = F.concat(head, text.site_slug(F.col("body")), F.lit("/"), F.col("slug"), F.lit("/c"), F.col("turn").cast("string"), tail)
+    paths = talks.withColumn("turn", F.explode(F.lit([0, 1]))).select(asked.alias("path"))
+    near = documents.neighbours(turns, "slug", "turn", "chapter").select("slug", F.col("chapter").alias("chapter_slug"), "previous", "next")
+    return documents.by_path(documents.routes(docs), paths).join(near, ["slug", "chapter_slug"]).select("path", "slug", "chapter_index", "previous", "next")
 
 
 @query("""SELECT trim(regexp_replace(lower(o_orderpriority), '[^a-z0-9]+', '-', 'g'), '-') AS body_slug, count(*) AS n, max(strftime(o_orderdate, '%Y-%m-%d')) AS newest FROM orders GROUP BY 1""")
 def bodies(spark, d):
-    o = table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), text.site_slug(F.col("o_orderpriority")).alias("body_slug"))
-    return o.groupBy("body_slug").agg(F.count("*").alias("n"), F.max("date").alias("newest"))
+    o = table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), "o_orderpriority")
+    return documents.by_body(o, "o_orderpriority", ["date"]).select("body_slug", "n", F.get("meetings", F.lit(0))["date"].alias("newest"))
 
 
 @query("SELECT key, count(*) AS n, count(DISTINCT user_id) AS users FROM (SELECT user_id, unnest(json_keys(props)) AS key FROM events) GROUP BY key")
 def schema_summary(spark, d):
-    rows = table(spark, d, "events").select("user_id", F.explode(F.json_object_keys("props")).alias("key"))
-    return rows.groupBy("key").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
+    return documents.key_summary(table(spark, d, "events"), "props", "user_id").withColumnRenamed("n_user_id", "users")
 
 
 @query("""SELECT user_id, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS labels, count(DISTINCT event_type) AS n, max(CASE WHEN value > 0 THEN value ELSE 0 END) AS top FROM events GROUP BY user_id""")
 def label_sets(spark, d):
-    return table(spark, d, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("labels"), F.count_distinct("event_type").alias("n"), F.max(F.coalesce(F.nullif("value", F.lit(0.0)), F.lit(0.0))).alias("top"))
+    sets = documents.label_sets(table(spark, d, "events"), "user_id", "event_type", F.coalesce(F.nullif("value", F.lit(0.0)), F.lit(0.0)))
+    return sets.select("user_id", F.array_join("labels", ",").alias("labels"), "n", F.col("most0").alias("top"))
 
 
 @query("""SELECT p_partkey, CASE WHEN b = 'city council' OR t LIKE '%stated meeting%' THEN 'STATED_MEETING' WHEN regexp_matches(t, 'land use|zoning|franchises|landmarks|public siting') THEN 'LAND_USE' WHEN regexp_matches(t, 'vote|voting') THEN 'VOTE' ELSE 'HEARING' END AS kind
@@ -684,22 +701,23 @@ def meeting_types(spark, d):
     return table(spark, d, "part").select("p_partkey", scalar.meeting_type_from_event(body, F.col("p_type")).alias("kind"))
 
 
-@query("SELECT max(ts) AS cursor, count(*) AS n FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'")
+@query("SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS cursor, count(*) AS n FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'")
 def incremental_cursor(spark, d):
     """What a run after this cursor takes in, and the cursor it leaves."""
-    fresh = table(spark, d, "events").filter("ts > timestamp_ntz'2024-01-15 00:00:00'")
-    return fresh.agg(F.max("ts").alias("cursor"), F.count("*").alias("n"))
+    start = "2024-01-15T00:00:00"
+    fresh = table(spark, d, "events").filter("ts > timestamp_ntz'2024-01-15 00:00:00'").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("modified"))
+    return fresh.agg(F.lit(incremental.next_cursor(fresh, "modified", start)).alias("cursor"), F.count("*").alias("n"))
 
 
 @query("""SELECT time_bucket(INTERVAL '6 hours', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL""")
 def tumbling_counts(spark, d):
-    e = table(spark, d, "events")
-    return e.groupBy(F.window(F.col("ts").cast("timestamp"), "6 hours").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+    e = table(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    return incremental.windowed_counts(e, "ts", "event_type", "6 hours").select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
 @query("SELECT c_mktsegment, c_nationkey, count(*) AS n FROM customer GROUP BY CUBE (c_mktsegment, c_nationkey)")
 def customer_cube(spark, d):
-    return table(spark, d, "customer").cube("c_mktsegment", "c_nationkey").agg(F.count("*").alias("n"))
+    return documents.cube_counts(table(spark, d, "customer"), "c_mktsegment", "c_nationkey")
 
 
 # Terms, corrections, choices
@@ -883,11 +901,11 @@ def slugs(spark, d):
     return table(spark, d, "part").select("p_partkey", text.slug(name).alias("plain"), text.slug(name, 12).alias("short"), text.site_slug(name).alias("site"), text.time_slug(clock).alias("at"))
 
 
-@query("""SELECT conv_id, turn, regexp_replace(trim(regexp_replace(text, ' +', ' ', 'g')), ' +([,.;:!?%)\\]])', '\\1', 'g') || ', (' || role || ')' || chr(39) || 's' AS text FROM conversations WHERE NOT regexp_matches(text, '[^\\x20-\\x7E]|[(\\[] | ' || chr(39))""")
+@query(r"""SELECT conv_id, turn, trim(regexp_replace(regexp_replace(regexp_replace(array_to_string(list_filter(list_concat(string_split(text, ' '), [',', '(', ' ', role, ')', '''s']), lambda t: trim(t, ' ') <> ''), ' '),
+  '[\s\x0B\x1C-\x1F\x{85}\p{Z}]+([,.;:!?%)\]])', '\1', 'g'), '([(\[])[\s\x0B\x1C-\x1F\x{85}\p{Z}]+', '\1', 'g'), '[\s\x0B\x1C-\x1F\x{85}\p{Z}]+(''[\p{L}\p{N}_])', '\1', 'g'), ' ') AS text FROM conversations""")
 def joined_tokens(spark, d):
-    c = table(spark, d, "conversations").filter(~F.col("text").rlike(r"[^\x20-\x7E]|[(\[] | '"))
     tokens = F.concat(F.split("text", " "), F.array(F.lit(","), F.lit("("), F.lit(" "), F.col("role"), F.lit(")"), F.lit("'s")))
-    return c.select("conv_id", "turn", text.join_tokens(tokens).alias("text"))
+    return table(spark, d, "conversations").select("conv_id", "turn", text.join_tokens(tokens).alias("text"))
 
 
 @query("""WITH x AS (SELECT o_orderkey, o_orderdate AS moment, o_orderkey * 37 % 20000 AS s FROM orders)
@@ -989,14 +1007,14 @@ def model_replies(spark, d):
     return e.select("event_id", scalar.reply_text(body).alias("reply"), scalar.refusal(body).alias("refused"), scalar.cached_tokens(usage).alias("cached"))
 
 
-@query("""SELECT page_id, CAST(page_id AS VARCHAR) AS a, page_id % 3 = 1 AS usable, page_id AS n_sources, least(page_id, 2) AS kept FROM pages WHERE page_id < 500""")
+@query("""SELECT page_id, CAST(page_id AS VARCHAR) AS a, page_id % 3 = 1 AS usable, page_id % 50 AS n_sources, least(page_id % 50, 2) AS kept FROM pages""")
 def tolerant_json(spark, d):
     """The key of a reply in a fence, among words or with commas too many; what can stand for a stage's work."""
-    p = table(spark, d, "pages").filter("page_id < 500").withColumn("id", F.col("page_id").cast("string"))
+    p = table(spark, d, "pages").withColumn("id", F.col("page_id").cast("string"))
     shape = F.col("page_id") % 3
     reply = F.when(shape == 0, F.concat(F.lit('```json\n{"a": '), "id", F.lit("}\n```"))).when(shape == 1, F.concat(F.lit('{"a": '), "id", F.lit("}"))).otherwise(F.concat(F.lit('Here: {"a": '), "id", F.lit(", } so")))
     stored = F.when(shape == 0, '{"chapters": []}').when(shape == 1, '{"chapters": [{"t": 1}]}').otherwise('{"chapters": [1]')
-    chunk = F.transform(F.sequence(F.lit(0), F.col("page_id")), lambda i: F.when(i == 0, "{}").otherwise('{"web":{"title":"t","uri":"u"}}'))
+    chunk = F.transform(F.sequence(F.lit(0), F.col("page_id") % 50), lambda i: F.when(i == 0, "{}").otherwise('{"web":{"title":"t","uri":"u"}}'))
     found = scalar.compact_grounding(F.concat(F.lit('{"groundingChunks":['), F.array_join(chunk, ","), F.lit("]}")), 2)
     return p.select("page_id", scalar.json_object(reply, "a string")["a"].alias("a"), scalar.usable(stored, "chapters").alias("usable"), found["n_sources"].cast("long").alias("n_sources"), F.size(found["sources"]).cast("long").alias("kept"))
 
@@ -1052,3 +1070,37 @@ def vendor_records(spark, d):
     body = F.format_string('{"utterances":[{"text":" said  %s","start":%d,"end":%d,"speaker":"%s"},{"text":"","start":1,"end":2},{"text":"x","start":5,"end":5}]}', "event_type", F.col("at"), F.col("at") + 2500, who)
     replies = e.select(F.col("event_id").alias("meeting_key"), (F.col("event_id") % 3).cast("int").alias("part"), F.lit(10.0).alias("offset"), F.lit("_part").alias("suffix"), body.alias("body"))
     return model_io.vendor_segments(replies, "utterances", 0.001)
+
+
+@query("""SELECT page_id, CAST(page_id AS VARCHAR) AS id, CASE page_id % 6 WHEN 3 THEN 'he said "no", twice' ELSE url END AS url, CASE WHEN page_id % 6 IN (2, 5) THEN 1 ELSE 2 END AS n FROM pages""")
+def repaired_replies(spark, d):
+    """Replies with bare keys, single quotes, quotes within words, missing closing signs and commas, read all the same."""
+    p, shape, i, url = table(spark, d, "pages"), F.col("page_id") % 6, F.col("page_id").cast("string"), F.col("url")
+    told = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    broken = (
+        F.when(shape == 0, told("Here you are:\n{id: ", i, ", 'url': '", url, "', items: [1, 2]}\nDone."))
+        .when(shape == 1, told('```json\n{"id": ', i, ', "url": "', url, '", "items": [1, 2,],}\n```'))
+        .when(shape == 2, told('{"id": ', i, ', "url": "', url, '", "items": [1'))
+        .when(shape == 3, told('{"id": ', i, ' "url": "he said "no", twice", "items": ["a", "b"]}'))
+        .when(shape == 4, told("{'id': ", i, ", // the page\n 'url': \"", url, '" "items": [True, None]}'))
+        .otherwise(told('{"id": ', i, ', "url": "', url, '", "items": [{"a": 1}}'))
+    )
+    read = F.from_json(json_repair.repaired_json(broken), "id string, url string, items array<string>")
+    return p.select("page_id", read.alias("r")).select("page_id", "r.id", "r.url", F.size("r.items").alias("n"))
+
+
+@query(f"""WITH {UTTERANCES}, v AS (SELECT conv_id, idx, t0 / 1000 AS t, CASE idx % 3 WHEN 0 THEN 'Hello, my name is Ana K' || chr(97 + CAST(conv_id % 26 AS INTEGER)) || chr(97 + CAST(idx % 26 AS INTEGER)) || ' from ' || label WHEN 1 THEN 'We call the next panel' ELSE 'so be it' END AS x FROM u),
+  w AS (SELECT *, concat_ws(' ', x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o) AS win FROM v WINDOW o AS (PARTITION BY conv_id ORDER BY idx)),
+  h AS (SELECT *, regexp_extract_all(win, 'is (Ana K[a-z]+)', 1) AS names FROM w WHERE contains(x, 'my name is') OR contains(x, 'call the')),
+  e AS (SELECT conv_id, idx, t, win, unnest(CASE WHEN len(names) > 0 THEN names ELSE [''] END) AS name, generate_subscripts(CASE WHEN len(names) > 0 THEN names ELSE [''] END, 1) AS k FROM h),
+  f AS (SELECT *, CASE WHEN name = '' THEN lower(win[1:120]) ELSE lower(name) END AS key FROM e),
+  g AS (SELECT *, row_number() OVER (PARTITION BY conv_id, key ORDER BY idx, k) AS n FROM f),
+  p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY idx, k) AS place FROM g WHERE n = 1)
+  SELECT conv_id, place::INTEGER AS place, '[' || idx || '] ' || CAST(floor(t) AS BIGINT) // 3600 || ':' || lpad((CAST(floor(t) AS BIGINT) % 3600 // 60)::VARCHAR, 2, '0') || ':' || lpad((CAST(floor(t) AS BIGINT) % 60)::VARCHAR, 2, '0') || ': '
+    || CASE WHEN name = '' THEN 'possible panel introduction' ELSE 'possible named speaker ' || name END || ' | ' || win[1:220] AS hint FROM p WHERE place <= 5""")
+def hint_lines(spark, d):
+    """The first five hints of each conversation, whose turns name people and panels."""
+    letter = lambda c: F.char(F.lit(97) + c % 26)
+    said = F.when(F.col("idx") % 3 == 0, F.concat(F.lit("Hello, my name is Ana K"), letter(F.col("conv_id")), letter(F.col("idx")), F.lit(" from "), "label")).when(F.col("idx") % 3 == 1, "We call the next panel").otherwise("so be it")
+    rows = utterances(spark, d).select("conv_id", "idx", (F.col("t0") / 1000).alias("t0"), said.alias("text"))
+    return sequence.speaker_hints(rows, "conv_id", ("FROM",), 5)
