@@ -7,7 +7,9 @@ coarser buckets, so that none becomes more than a few hundred rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -19,25 +21,41 @@ LEVELS, STEP = 3, 256
 BUCKET = ["level", "at", "side"]
 
 
-def bucketed(rows: DataFrame, low: str, high: str, width: float, first: bool) -> DataFrame:
+def _own(low: str, high: str, width: float) -> Column:
+    """The first level at which an interval lies in at most STEP buckets, or the last one."""
+    index = lambda c, w: F.floor(F.col(c) / w).cast("long")
+    own = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        own = F.when(index(high, width * STEP**k) - index(low, width * STEP**k) < STEP, k).otherwise(own)
+    return own
+
+
+def top_level(width: float, *sides: tuple[DataFrame, str, str]) -> int:
+    """The greatest level of the intervals of the sides (rows, low, high): rows need not be written for levels at which
+    nothing lies. One small aggregate of each side; points have level 0."""
+    tops = [rows.filter(F.col(low) <= F.col(high)).agg(F.max(_own(low, high, width)).alias("top")) for rows, low, high in sides if low != high]
+    return max((r["top"] or 0 for r in reduce(DataFrame.union, tops).collect()), default=0) if tops else 0
+
+
+def bucketed(rows: DataFrame, low: str, high: str, width: float, first: bool, top: int = LEVELS - 1) -> DataFrame:
     """``rows``, each once for every bucket (BUCKET) in which its interval may meet one of the other side of a join;
-    one side is ``first``. Points have one column as both ends. Intervals of nulls or that end before they start
-    have no bucket.
+    one side is ``first``, and no interval of either is of a level above ``top``. Points have one column as both ends. Intervals of nulls or
+    that end before they start have no bucket.
 
     An interval's level is the first at which it lies in at most STEP buckets (or the last). Two intervals meet at the
     higher of their levels: under side 0 if that is the level of the first one, else under side 1.
     """
     index = lambda c, w: F.floor(F.col(c) / w).cast("long")
     rows = rows.filter(F.col(low) <= F.col(high))
+    if top == 0:
+        at = index(low, width) if low == high else F.explode(F.sequence(index(low, width), index(high, width)))
+        return rows.withColumn("level", F.lit(0)).withColumn("at", at).withColumn("side", F.lit(0))
     if low == high:
-        rows = rows.withColumn("level", F.explode(F.array(*map(F.lit, range(LEVELS)))))
+        rows = rows.withColumn("level", F.explode(F.array(*map(F.lit, range(top + 1)))))
         rows = rows.withColumn("at", index(low, width * F.pow(F.lit(float(STEP)), "level")))
         return rows.withColumn("side", F.when(F.col("level") > 0, int(first)).otherwise(0))
-    own = F.lit(LEVELS - 1)
-    for k in reversed(range(LEVELS - 1)):
-        own = F.when(index(high, width * STEP**k) - index(low, width * STEP**k) < STEP, k).otherwise(own)
     wide = width * F.pow(F.lit(float(STEP)), "level")
-    rows = rows.withColumn("_own", own).withColumn("level", F.explode(F.sequence("_own", F.lit(LEVELS - 1))))
+    rows = rows.withColumn("_own", _own(low, high, width)).withColumn("level", F.explode(F.sequence("_own", F.lit(top))))
     rows = rows.withColumn("at", F.explode(F.sequence(index(low, wide), index(high, wide))))
     coarser = F.col("level") > F.col("_own")
     if first:
@@ -48,8 +66,9 @@ def bucketed(rows: DataFrame, low: str, high: str, width: float, first: bool) ->
 def max_overlap(rows: DataFrame, turns: DataFrame, group: str, width: float = 60.0) -> DataFrame:
     """``rows`` (group, idx, t0, t1) with the label of the turn (group, ord, start, end, label) that
     overlaps it longest; then the longer turn, then the earlier ``ord``. Only rows with an overlap."""
-    left = bucketed(rows.select(group, "idx", "t0", "t1"), "t0", "t1", width, True)
-    right = bucketed(turns.select(group, "ord", "start", "end", "label"), "start", "end", width, False)
+    top = top_level(width, (rows, "t0", "t1"), (turns, "start", "end"))
+    left = bucketed(rows.select(group, "idx", "t0", "t1"), "t0", "t1", width, True, top)
+    right = bucketed(turns.select(group, "ord", "start", "end", "label"), "start", "end", width, False, top)
     both = left.join(right, [group, *BUCKET]).filter("t0 < end and t1 > start")
     shared = F.least("t1", "end") - F.greatest("t0", "start")
     best = F.max_by("label", F.struct(shared, F.col("end") - F.col("start"), -F.col("ord")))
@@ -92,8 +111,9 @@ def assign_labels(rows: DataFrame, turns: DataFrame, group: str, width: float =
 def contain(spans: DataFrame, points: DataFrame, group: str, keep: list[str], width: float = 600.0) -> DataFrame:
     """``spans`` (group, span, start, end) with ``points``: their rows (group, t, keep...) in
     start <= t < end, in order. Spans may overlap or leave gaps; those without points keep none."""
-    left = bucketed(spans.filter("start < end").select(group, "span", "start", "end"), "start", "end", width, True)
-    right = bucketed(points.select(group, "t", *keep), "t", "t", width, False)
+    top = top_level(width, (spans, "start", "end"))
+    left = bucketed(spans.filter("start < end").select(group, "span", "start", "end"), "start", "end", width, True, top)
+    right = bucketed(points.select(group, "t", *keep), "t", "t", width, False, top)
     inside = left.join(right, [group, *BUCKET]).filter("start <= t and t < end")
     nested = inside.groupBy(group, "span").agg(F.sort_array(F.collect_list(F.struct("t", *keep))).alias("points"))
     return spans.join(nested, [group, "span"], "left")
@@ -101,8 +121,9 @@ def contain(spans: DataFrame, points: DataFrame, group: str, keep: list[str], wi
 
 def override_ranges(rows: DataFrame, ranges: DataFrame, group: str, width: int = 64) -> DataFrame:
     """``rows`` (group, idx) with ``value`` of the last range (group, ord, low, high, value) over idx."""
-    spread = bucketed(ranges.select(group, "ord", "low", "high", "value"), "low", "high", width, False)
-    hit = bucketed(rows.select(group, "idx"), "idx", "idx", width, True).join(spread, [group, *BUCKET])
+    top = top_level(width, (ranges, "low", "high"))
+    spread = bucketed(ranges.select(group, "ord", "low", "high", "value"), "low", "high", width, False, top)
+    hit = bucketed(rows.select(group, "idx"), "idx", "idx", width, True, top).join(spread, [group, *BUCKET])
     last = hit.filter("idx between low and high").groupBy(group, "idx").agg(F.max_by("value", "ord").alias("value"))
     return rows.join(last, [group, "idx"], "left")
 
@@ -110,8 +131,9 @@ def override_ranges(rows: DataFrame, ranges: DataFrame, group: str, width: int =
 def fill_ranges(rows: DataFrame, ranges: DataFrame, group: str, value: str, width: int = 64) -> DataFrame:
     """``rows`` (group, idx, value): where the value is null or UNKNOWN, that of the first range (group, ord, low,
     high, value) over idx that has a known one; if all over it are UNKNOWN, that."""
-    spread = bucketed(ranges.select(group, "ord", "low", "high", F.col("value").alias("_new")), "low", "high", width, False)
-    hit = bucketed(rows.select(group, "idx"), "idx", "idx", width, True).join(spread, [group, *BUCKET]).filter("idx between low and high")
+    top = top_level(width, (ranges, "low", "high"))
+    spread = bucketed(ranges.select(group, "ord", "low", "high", F.col("value").alias("_new")), "low", "high", width, False, top)
+    hit = bucketed(rows.select(group, "idx"), "idx", "idx", width, True, top).join(spread, [group, *BUCKET]).filter("idx between low and high")
     first = hit.groupBy(group, "idx").agg(F.min_by("_new", F.struct(F.col("_new").eqNullSafe("UNKNOWN"), "ord")).alias("_new"))
     open_ = F.col(value).isNull() | (F.col(value) == "UNKNOWN")
     return rows.join(first, [group, "idx"], "left").withColumn(value, F.when(open_ & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col(value))).drop("_new")

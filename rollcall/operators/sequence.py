@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 
 from rollcall.functions.text import clean_text, introduced_names
 from rollcall.functions.timeparse import seconds_to_clock
-from rollcall.operators.intervals import BUCKET, bucketed
+from rollcall.operators.intervals import BUCKET, bucketed, top_level
 from rollcall.operators.segments import TurnFold, WordFold, fold_segments
 
 
@@ -157,8 +157,10 @@ def split_votes(chapters: DataFrame, items: DataFrame, group: str, width: float
     """Vote chapters (group, idx, kind, start, end) with at least two items (group, t) from start - 3 to the
     end become one row per item, up to the next item or the end; other chapters stay."""
     votes = chapters.filter(F.col("kind").isin("VOTE", "VOICE_VOTE") & (F.col("end") > F.col("start") - 3))
-    spread = bucketed(votes.withColumn("_low", F.col("start") - 3), "_low", "end", width, True)
-    at = bucketed(items.select(group, "t"), "t", "t", width, False)
+    votes = votes.withColumn("_low", F.col("start") - 3)
+    top = top_level(width, (votes, "_low", "end"))
+    spread = bucketed(votes, "_low", "end", width, True, top)
+    at = bucketed(items.select(group, "t"), "t", "t", width, False, top)
     inside = spread.join(at, [group, *BUCKET]).filter("t >= start - 3 and t < end")
     by = W.partitionBy(group, "idx")
     inside = inside.withColumn("n", F.count("*").over(by)).filter("n >= 2").withColumn("next", F.lead("t").over(by.orderBy("t")))
