@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 
 from rollcall import model_io
 from rollcall.functions import json_repair, scalar, text, timeparse
-from rollcall.operators import costs, documents, fuzzy, intervals, registry, sequence, terms
+from rollcall.operators import costs, discovery, documents, fuzzy, intervals, registry, sequence, terms
 from rollcall.sources import readers, writers
 from rollcall.sources.readers import table
 from rollcall.streaming import incremental
@@ -1104,3 +1104,17 @@ def hint_lines(spark, d):
     said = F.when(F.col("idx") % 3 == 0, F.concat(F.lit("Hello, my name is Ana K"), letter(F.col("conv_id")), letter(F.col("idx")), F.lit(" from "), "label")).when(F.col("idx") % 3 == 1, "We call the next panel").otherwise("so be it")
     rows = utterances(spark, d).select("conv_id", "idx", (F.col("t0") / 1000).alias("t0"), said.alias("text"))
     return sequence.speaker_hints(rows, "conv_id", ("FROM",), 5)
+
+
+@query(f"""WITH RECURSIVE {SECONDS}, ev AS (SELECT user_id, event_id, sec, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM e WHERE event_type = 'signup'),
+  rc AS (SELECT user_id, list(struct_pack(id := event_id, sec := sec) ORDER BY event_id) AS rs FROM e WHERE event_type = 'purchase' GROUP BY user_id),
+  f AS (SELECT user_id, 0::BIGINT AS n, CAST([] AS BIGINT[]) AS taken, NULL::BIGINT AS event, NULL::BIGINT AS got FROM rc
+    UNION ALL SELECT f.user_id, ev.n, CASE WHEN g IS NULL THEN f.taken ELSE list_append(f.taken, g) END, ev.event_id, g
+    FROM (SELECT f.*, ev.*, list_filter(rc.rs, lambda r: abs(r.sec - ev.sec) <= 200000 AND NOT list_contains(f.taken, r.id))[1].id AS g FROM f JOIN ev ON ev.user_id = f.user_id AND ev.n = f.n + 1 JOIN rc ON rc.user_id = f.user_id) q(user_id, n0, taken, e0, g0, u2, event_id, sec, n, g), LATERAL (SELECT q.taken, q.user_id) f(taken, user_id), LATERAL (SELECT q.n, q.event_id) ev(n, event_id))
+  SELECT event, got AS candidate FROM f WHERE got IS NOT NULL""")
+def first_free_in_turn(spark, d):
+    """Sign-ups that, one after the other, each take the first purchase of their user within a time that is still free."""
+    e = seconds(spark, d)
+    left = e.filter("event_type = 'signup'").select("user_id", F.col("event_id").alias("event"), F.col("sec").alias("t"))
+    right = e.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("candidate"), F.col("sec").alias("t"))
+    return discovery.first_free(discovery.within(left, right, "user_id", 200000.0))
