@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rollcall.functions.scalar import content_version
-from rollcall.functions.text import site_slug
+from rollcall.functions.scalar import content_version, round_seconds
+from rollcall.functions.text import blank_to_null, site_slug, slug
+from rollcall.operators.intervals import BUCKET, bucketed, top_level
+from rollcall.operators.segments import TurnFold, fold_segments
+from rollcall.operators.sequence import number_repeats
 
 # The published document.
 DOCUMENT = (
@@ -44,6 +47,40 @@ def by_body(documents: DataFrame, body: str, fields: list[str]) -> DataFrame:
     return documents.withColumn("body_slug", site_slug(F.col(body))).groupBy("body_slug").agg(F.count("*").alias("n"), inner.alias("meetings"))
 
 
+def caption_documents(meetings: DataFrame, chapters: DataFrame, captions: DataFrame, width: float = 600.0) -> DataFrame:
+    """Documents (DOCUMENT's shape) of meetings whose transcript is captions, as one plan.
+
+    ``meetings`` (slug, body, title, topic, date, time, duration_sec, video, summary, tags), ``chapters`` (slug, idx, start_sec,
+    type, title, summary), ``captions`` (slug, idx, t0, text). A chapter lasts to the start of the next one by idx, the last to the
+    meeting's end, and a second at least. Its slug is its title's, or its number's, with a number from the second of
+    the same on. Its utterances are the turns of the captions that begin within it, folded by themselves.
+    """
+    ahead = W.partitionBy("slug").orderBy("idx")
+    known = chapters.join(meetings.select("slug", F.col("duration_sec").alias("_all")), "slug").withColumn("_nth", F.row_number().over(ahead))
+    known = known.withColumn("end_sec", F.greatest(F.col("start_sec") + 1, F.coalesce(F.lead("start_sec").over(ahead), F.col("_all"))))
+    base = F.coalesce(blank_to_null(slug(F.col("title"))), F.concat(F.lit("chapter-"), F.col("_nth").cast("string")))
+    known = number_repeats(known.withColumn("_base", base), ["slug"], "_base", ["idx"])
+
+    lines = captions.select("slug", F.col("idx").alias("_line"), round_seconds(F.col("t0")).alias("t0"), "text")
+    spans = known.select("slug", F.col("idx").alias("chapter"), "start_sec", "end_sec")
+    top = top_level(width, (spans, "start_sec", "end_sec"))
+    inside = bucketed(spans, "start_sec", "end_sec", width, True, top).join(bucketed(lines, "t0", "t0", width, False, top), ["slug", *BUCKET]).filter("t0 >= start_sec and t0 < end_sec")
+    turns = fold_segments(inside.select("slug", "chapter", "_line", "t0", "text"), ["slug", "chapter"], "_line", TurnFold(), place=True)
+    said = F.sort_array(F.collect_list(F.struct("place", F.struct("t_sec", F.lit("Speaker").alias("speaker"), "text").alias("u"))))
+    turns = turns.groupBy("slug", F.col("chapter").alias("idx")).agg(F.transform(said, lambda x: x["u"]).alias("utterances"))
+
+    none = F.array().cast("array<struct<t_sec:double,speaker:string,text:string>>")
+    full = known.join(turns, ["slug", "idx"], "left").select(
+        "slug", "idx",
+        F.struct(
+            F.format_string("%03d", F.col("_nth")).alias("id"), F.col("unique_key").alias("slug"), "type", "title", "summary",
+            round_seconds(F.col("start_sec")).alias("start_sec"), round_seconds(F.col("end_sec")).alias("end_sec"), F.coalesce("utterances", none).alias("utterances"),
+        ).alias("chapter"),
+    )
+    out = nest(meetings, full, "slug", ["idx"], ["idx", "chapter"], "chapters")
+    return out.withColumn("chapters", F.transform("chapters", lambda x: x["chapter"])).withColumn("duration_sec", round_seconds(F.col("duration_sec")))
+
+
 def routes(documents: DataFrame) -> DataFrame:
     """Flat manifest: one row for each chapter of each document, with its paths and the data's version."""
     flat = documents.select("slug", "body", "date", F.posexplode("chapters").alias("chapter_index", "chapter"))

@@ -311,8 +311,9 @@ def record_failure(df: DataFrame, failed: DataFrame, key: str, attempts: str, er
 def union_by_priority(tables: list[DataFrame], key: str, order: list[str]) -> DataFrame:
     """All rows, of equal keys (letter case aside) the one from the first table, then by order."""
     every = reduce(lambda a, b: a.unionByName(b), [t.withColumn("priority", F.lit(i)) for i, t in enumerate(tables)])
-    best = F.row_number().over(W.partitionBy(F.lower(key)).orderBy("priority", *order))
-    return every.withColumn("_n", best).filter("_n = 1").drop("_n")
+    # a grouped minimum, so that a common key is combined before it is shuffled
+    best = F.min_by(F.struct("*"), F.struct("priority", *order))
+    return every.groupBy(F.lower(key).alias("_key")).agg(best.alias("_row")).select("_row.*")
 
 
 def in_term(df: DataFrame, start: str, end: str, on: Column) -> DataFrame:

@@ -103,10 +103,10 @@ def _pieces(rows: DataFrame, group: list[str], order: str, fold: TurnFold | Word
     return rows.join(count, [*group, "_s"]).withColumn("_piece", piece).drop("_cuts", "_cut", "_s")
 
 
-def fold_segments(rows: DataFrame, group: list[str], order: str, fold: TurnFold | WordFold) -> DataFrame:
+def fold_segments(rows: DataFrame, group: list[str], order: str, fold: TurnFold | WordFold, place: bool = False) -> DataFrame:
     """The segments of each group of ``rows`` in the order of ``order``, a number that tells a group's rows apart
     (rows without it come first). A group of more than STRETCH rows is folded in pieces that end where a fold starts
-    anew for certain; other groups are folded whole."""
+    anew for certain; other groups are folded whole. With ``place`` there is a number by which a group's segments are in order."""
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     names = [x.split()[0] for x in fold.schema.split(", ")]
     cls, start = fold.__class__, {k: v for k, v in vars(fold).items() if k != "open"}
@@ -117,12 +117,14 @@ def fold_segments(rows: DataFrame, group: list[str], order: str, fold: TurnFold
         frame = frame.sort_values(order, kind="stable", na_position="first")
         out = [x for row in zip(*[frame[c] for c in fold.takes], strict=True) for x in state.push(*row)]
         frame = pd.DataFrame([*out, *state.finish()], columns=names)
+        if place:  # behind the group there is the piece's number
+            frame["place"] = (int(key[len(group)]) << 32 if len(key) > len(group) else 0) + frame.index
         for name, value in zip(group, key, strict=False):
             frame.insert(0, name, value)
-        return frame[[*group, *names]]
+        return frame[[*group, *names, *(["place"] if place else [])]]
 
     rows = rows.select(*group, order, *fold.takes)
-    ddl = ", ".join(f"{g} {kinds[g]}" for g in group) + ", " + fold.schema
+    ddl = ", ".join(f"{g} {kinds[g]}" for g in group) + ", " + fold.schema + ", place long" * place
     large = rows.groupBy(*group).count().filter(F.col("count") > STRETCH).select(*group)
     if large.isEmpty():
         return rows.groupBy(*group).applyInPandas(run, ddl)

@@ -1118,3 +1118,27 @@ def first_free_in_turn(spark, d):
     left = e.filter("event_type = 'signup'").select("user_id", F.col("event_id").alias("event"), F.col("sec").alias("t"))
     right = e.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("candidate"), F.col("sec").alias("t"))
     return discovery.first_free(discovery.within(left, right, "user_id", 200000.0))
+
+
+@query(f"""WITH {UTTERANCES}, m AS (SELECT conv_id, max(t0) / 1000 + 5 AS dur FROM u GROUP BY conv_id),
+  c AS (SELECT conv_id, idx, t0 / 1000 AS s, CASE WHEN idx % 4 = 2 THEN '' ELSE label END AS title, row_number() OVER o AS n, lead(t0 / 1000) OVER o AS nx FROM u WHERE idx % 2 = 0 WINDOW o AS (PARTITION BY conv_id ORDER BY idx)),
+  d AS (SELECT conv_id, idx, n, s, greatest(s + 1, coalesce(nx, dur)) AS f, CASE WHEN title = '' THEN 'chapter-' || n ELSE title END AS base FROM c JOIN m USING (conv_id)),
+  g AS (SELECT *, CASE WHEN row_number() OVER r = 1 THEN base ELSE base || '-' || row_number() OVER r END AS slug FROM d WINDOW r AS (PARTITION BY conv_id, base ORDER BY idx)),
+  x AS (SELECT g.conv_id, g.idx, u.idx AS line, round(u.t0 / 1000, 3) AS t, array_to_string(regexp_extract_all(text, '[^\\s]+'), ' ') AS x FROM g JOIN u ON u.conv_id = g.conv_id AND u.t0 / 1000 >= s AND u.t0 / 1000 < f),
+  a AS (SELECT conv_id, idx, list(struct_pack(t := t, x := x) ORDER BY line) AS rs FROM x WHERE x <> '' GROUP BY conv_id, idx),
+  t AS (SELECT conv_id, idx, list_reduce(list_transform(rs, lambda r: [r]), lambda a, r: CASE WHEN r[1].t - a[-1].t > 18 OR length(a[-1].x) > 280 THEN list_concat(a, r)
+    ELSE list_concat(a[:-2], [struct_pack(t := a[-1].t, x := a[-1].x || ' ' || r[1].x)]) END) AS turns FROM a)
+  SELECT conv_id, count(*) AS chapters, string_agg(slug, ',' ORDER BY g.idx) AS slugs, sum(coalesce(len(turns), 0))::BIGINT AS turns, md5(string_agg(coalesce(array_to_string(list_transform(turns, lambda y: y.x), '|'), ''), '/' ORDER BY g.idx)) AS said
+  FROM g LEFT JOIN t USING (conv_id, idx) GROUP BY conv_id""")
+def caption_documents(spark, d):
+    """Each conversation as a document: its turns are captions, every second one begins a chapter, some without a title."""
+    u = utterances(spark, d).withColumn("slug", F.col("conv_id").cast("string")).withColumn("t0", F.col("t0") / 1000)
+    none = F.lit(None).cast("string")
+    meetings = u.groupBy("slug").agg((F.max("t0") + 5).alias("duration_sec")).select("slug", none.alias("body"), none.alias("title"), none.alias("topic"), none.alias("date"), none.alias("time"), "duration_sec", F.struct(none.alias("url"), none.alias("poster")).alias("video"), F.array().cast("array<string>").alias("summary"), F.array().cast("array<string>").alias("tags"))
+    chapters = u.filter("idx % 2 = 0").select("slug", "idx", F.col("t0").alias("start_sec"), F.lit("HEARING").alias("type"), F.when(F.col("idx") % 4 == 2, "").otherwise(F.col("label")).alias("title"), none.alias("summary"))
+    docs = documents.caption_documents(meetings, chapters, u.select("slug", "idx", "t0", "text"))
+    turns = F.transform("chapters", lambda c: F.array_join(F.transform(c["utterances"], lambda x: x["text"]), "|"))
+    return docs.select(
+        F.col("slug").cast("long").alias("conv_id"), F.size("chapters").cast("long").alias("chapters"), F.array_join("chapters.slug", ",").alias("slugs"),
+        F.aggregate("chapters", F.lit(0).cast("long"), lambda n, c: n + F.size(c["utterances"])).alias("turns"), F.md5(F.array_join(turns, "/")).alias("said"),
+    )
