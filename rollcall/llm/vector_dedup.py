@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import connected_components, stash
@@ -139,9 +140,9 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.98, sample: int = 20_0
     Equal vectors of a label are one class, told apart by two independent hashes of 64 bits. The number of
     codes grows with the square root of the rows of the largest label, up to ``most_codes``; codebooks are
     fitted on at most ``sample`` classes (the first by hash), and every class is indexed. The stop of the
-    traversal is a proven bound, so recall does not depend on the sample. The vectors of a code are verified
-    in blocks, each pair of blocks in a unit of its own, and a task gives back one row for each vector,
-    never pairs.
+    traversal is a proven bound, so recall does not depend on the sample. The vectors of a first code are verified
+    in blocks by their second code, to which only those visitors go that visit one of its codes; each pair of blocks is a unit of
+    its own, and a task gives back one row for each vector, never pairs.
     """
     kind = vectors.schema["vec_id"].dataType.simpleString()
     wide = vectors.schema["embedding"].dataType.elementType.simpleString() != "float"
@@ -183,10 +184,23 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.98, sample: int = 20_0
     ddl = f"rep {kind}, label {label}, h1 long, h2 long, copies long, x binary, code int, b int, native boolean, seconds array<int>"
     placed = stash(classes.select("rep", "label", "h1", "h2", "copies", "embedding").mapInArrow(place, ddl))
     size = placed.groupBy("label", "code").agg(F.count_if("native").alias("m"), F.count("*").alias("n")).filter("m > 0")
-    size = stash(size.select("label", "code", F.ceil(F.col("m") / BLOCK).cast("int").alias("mb"), F.ceil(F.col("n") / (4 * BLOCK)).cast("int").alias("vb"), "n"))
+    size = size.select("label", "code", F.ceil(F.col("m") / BLOCK).cast("int").alias("mb"), F.ceil(F.col("n") / (4 * BLOCK)).cast("int").alias("vb"), "n")
+    # members of a first code lie in blocks by their second code, so a visitor goes only where codes are that it visits; of a second
+    # code its first and last block are kept, as many rows as there are cells, and no longer list than there are codes
+    cells = placed.filter("native").groupBy("label", "code", "b").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(W.partitionBy("label", "code").orderBy("b").rowsBetween(W.unboundedPreceding, -1))
+    cells = cells.withColumn("before", F.coalesce(before, F.lit(0)))
+    at = lambda x: F.floor(x / BLOCK).cast("int")
+    spans = cells.groupBy("label", "code").agg(F.map_from_entries(F.collect_list(F.struct("b", F.struct(at(F.col("before")).alias("low"), at(F.col("before") + F.col("c") - 1).alias("high"))))).alias("spans"))
+    size = stash(size.join(spans, ["label", "code"]))
     each = placed.join(size, ["label", "code"])
-    each = each.withColumn("own_m", F.pmod("h1", "mb").cast("int")).withColumn("own_v", F.pmod("h2", "vb").cast("int"))
-    as_visitor = F.transform(F.sequence(F.lit(0), F.col("mb") - 1), lambda m: F.struct(m.alias("low"), F.col("own_v").alias("high"), (F.col("native") & (m == F.col("own_m"))).alias("member"), F.lit(True).alias("visitor")))
+    own = F.element_at("spans", F.col("b"))
+    one = F.col("mb") == 1
+    place_in = F.when(one, 0).otherwise(own["low"] + F.pmod("h1", own["high"] - own["low"] + 1).cast("int"))
+    each = each.withColumn("own_m", F.when(F.col("native"), place_in).otherwise(0)).withColumn("own_v", F.pmod("h2", "vb").cast("int"))
+    reached = F.array_compact(F.transform("seconds", lambda b: F.element_at("spans", b)))
+    blocks = F.when(one, F.array(F.lit(0))).otherwise(F.array_distinct(F.flatten(F.transform(reached, lambda x: F.sequence(x["low"], x["high"])))))
+    as_visitor = F.transform(blocks, lambda m: F.struct(m.alias("low"), F.col("own_v").alias("high"), (F.col("native") & (m == F.col("own_m"))).alias("member"), F.lit(True).alias("visitor")))
     as_member = F.transform(F.sequence(F.lit(0), F.col("vb") - 1), lambda v: F.struct(F.col("own_m").alias("low"), v.alias("high"), F.lit(True).alias("member"), F.lit(False).alias("visitor")))
     others = F.when(F.col("native"), F.filter(as_member, lambda u: u["high"] != F.col("own_v"))).otherwise(F.array().cast(placed.select(F.array(F.struct(F.lit(0).alias("low"), F.lit(0).alias("high"), F.lit(True).alias("member"), F.lit(True).alias("visitor"))).alias("a")).schema["a"].dataType))
     units = max(1, (size.agg(F.sum("n")).first()[0] or 0) // BLOCK)
