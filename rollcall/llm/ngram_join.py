@@ -136,10 +136,17 @@ def block_pairs(sigs: np.ndarray, start: np.ndarray, side: np.ndarray, within: n
         p = np.repeat(np.arange(lo, hi), after[lo:hi])
         q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(after[lo:hi]) - after[lo:hi], after[lo:hi])
         cross = within[p] | (side[p] != side[q])
-        p, q = surviving_pairs(sigs, sigs, p[cross], q[cross], plan)
-        for k in range(int(band[p].max(initial=0))):
-            other = (band[p] <= k) | (sigs[p, k * BAND_ROWS : (k + 1) * BAND_ROWS] != sigs[q, k * BAND_ROWS : (k + 1) * BAND_ROWS]).any(1)
+        p, q = p[cross], q[cross]
+        # near copies share most bands: the first one sorts out most of the pairs that belong elsewhere, before they are compared
+        top = int(band[p].max(initial=0))
+        for k in range(top):
+            if k == 1:
+                p, q = surviving_pairs(sigs, sigs, p, q, plan)
+            own = slice(k * BAND_ROWS, (k + 1) * BAND_ROWS)
+            other = (band[p] <= k) | (sigs[p, own] != sigs[q, own]).any(1)
             p, q = p[other], q[other]
+        if top < 2:
+            p, q = surviving_pairs(sigs, sigs, p, q, plan)
         yield p, q
         lo = hi
 
