@@ -192,7 +192,8 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.98, sample: int = 20_0
     cells = cells.withColumn("before", F.coalesce(before, F.lit(0)))
     at = lambda x: F.floor(x / BLOCK).cast("int")
     spans = cells.groupBy("label", "code").agg(F.map_from_entries(F.collect_list(F.struct("b", F.struct(at(F.col("before")).alias("low"), at(F.col("before") + F.col("c") - 1).alias("high"))))).alias("spans"))
-    size = stash(size.join(spans, ["label", "code"]))
+    # a code of one block needs no map, and no row carries one
+    size = stash(size.join(spans, ["label", "code"]).withColumn("spans", F.when(F.col("mb") > 1, F.col("spans"))))
     each = placed.join(size, ["label", "code"])
     own = F.element_at("spans", F.col("b"))
     one = F.col("mb") == 1
