@@ -633,7 +633,7 @@ def type_facets(spark, d):
 
 @query("SELECT event_type AS value, count(*) AS n, count(DISTINCT user_id) AS who FROM events GROUP BY event_type")
 def facets_of_parts(spark, d):
-    """Facets kept by day and merged: counts, and how many users are behind a type by sketches (exact for so few)."""
+    """Facets kept by day and merged: counts, and how many users are behind a type."""
     e = table(spark, d, "events").select(F.to_date("ts").alias("day"), F.col("event_type").alias("value"), "user_id")
     return documents.merged_facets(documents.facet_parts(e, "day", "value", "user_id"), "value")
 

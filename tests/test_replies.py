@@ -97,6 +97,13 @@ def test_facets(spark):
     assert merged == whole
 
 
+def test_facets_of_many(spark):
+    rows = spark.range(60000).select((F.col("id") % 5).alias("part"), F.when(F.col("id") % 3 > 0, "a").otherwise("b").alias("value"), F.when(F.col("id") % 7 > 0, F.col("id") % 40000).alias("who"))
+    merged = {r.value: (r.n, r.who) for r in documents.merged_facets(documents.facet_parts(rows, "part", "value", "who"), "value").collect()}
+    whole = {r.value: (r.n, r.who) for r in rows.groupBy("value").agg(F.count("*").alias("n"), F.count_distinct("who").alias("who")).collect()}
+    assert merged == whole and merged["a"][1] > 20000
+
+
 def test_hints(spark):
     said = ["good day", "I'm here", "to talk. My name is Bo Li from here", "and I am glad", "We call the next panel", None, "PANEL two", "my name is bo li"]
     rows = spark.createDataFrame([("m", i, 61.5 * i, t) for i, t in enumerate(said)], "g string, idx int, t0 double, text string")
