@@ -31,8 +31,8 @@ def safe_key(c: Column, default: str = "meeting") -> Column:
 
 def slug(c: Column, cap: int | None = None) -> Column:
     """Lower-case words of letters and digits joined by '-'; with ``cap`` cut, and trimmed again."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), "^-+|-+$", "")
-    return plain if cap is None else F.regexp_replace(F.substring(plain, 1, cap), "^-+|-+$", "")
+    plain = F.btrim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", "-"), F.lit("-"))
+    return plain if cap is None else F.btrim(F.substring(plain, 1, cap), F.lit("-"))
 
 
 # What is ASCII in each other character's compatibility decomposition.
@@ -42,6 +42,17 @@ _SEVERAL = {c: x for c, x in _FOLDED.items() if len(x) > 1}
 _WIDTH = max(map(len, _SEVERAL.values()))
 
 
+def _ranges(chars: list[str]) -> str:
+    """The characters as ranges of a pattern's class. One by one, hundreds of them would be tried for each letter of a text."""
+    points = sorted(map(ord, chars))
+    firsts = [p for k, p in enumerate(points) if not k or points[k - 1] != p - 1]
+    lasts = [p for k, p in enumerate(points) if k + 1 == len(points) or points[k + 1] != p + 1]
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(firsts, lasts, strict=True))
+
+
+_TAKEN_APART = f"[{_ranges(list(_SEVERAL))}]"
+
+
 def ascii_fold(c: Column) -> Column:
     """Letters without their accents, ligatures and other composed characters as the letters that they stand for,
     other characters outside ASCII dropped: the ASCII of the compatibility decomposition."""
@@ -49,12 +60,12 @@ def ascii_fold(c: Column) -> Column:
 
     def spelt(char: Column) -> Column:
         at = F.instr(keys, char)
-        return F.when((at > 0) & (F.length(char) > 0), F.translate(F.substr(values, (at - 1) * _WIDTH + 1, F.lit(_WIDTH)), "\0", "")).otherwise(char)
+        return F.when((char > "\x7f") & (at > 0), F.translate(F.substr(values, (at - 1) * _WIDTH + 1, F.lit(_WIDTH)), "\0", "")).otherwise(char)
 
     plain = F.translate(c, "".join(_SINGLE), "".join(_SINGLE.values()))
     # few texts hold a character that stands for several; only they are taken apart
-    ranges = "".join(f"\\x{{{ord(c):x}}}" for c in _SEVERAL)
-    plain = F.when(plain.rlike(f"[{ranges}]"), F.array_join(F.transform(F.split(plain, ""), spelt), "")).otherwise(plain)
+    several = plain.rlike(r"[^\x00-\x7F]") & plain.rlike(_TAKEN_APART)
+    plain = F.when(several, F.array_join(F.transform(F.split(plain, ""), spelt), "")).otherwise(plain)
     return F.regexp_replace(plain, r"[^\x00-\x7F]", "")
 
 

@@ -24,6 +24,12 @@ def test_ascii_fold(spark):
     assert applied(spark, text.ascii_fold, values) == [unicodedata.normalize("NFKD", v).encode("ascii", "ignore").decode() for v in values]
 
 
+def test_ascii_fold_tries_few_ranges(spark):
+    """Each letter of a text is tried against each part of a pattern's class."""
+    plan = spark.createDataFrame([("½ – é",)], "t string").select(text.ascii_fold(F.col("t")).alias("x"))
+    assert 0 < plan._jdf.queryExecution().analyzed().toString().count("\\x{") < 150 and plan.first().x == "12  e"
+
+
 def test_unescape_html(spark):
     rng, names = random.Random(5), list(html5)
     values = ["&lbrace;", "&nbspb", "&copy 2020", "&#150;", "&notit; &not; &ampx", "&#x110000;&#0;&#xD800;&#128;&#129;&#13;&#65", "&#99999999999999999;", "&&amp;&", "a &x; &hellip", "&AMP&lt;&LT", "&NotEqualTilde;", "&#x;", "&#;"]
