@@ -47,7 +47,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         far = cut(hang(back, now.union(back)).distinct())  # larger neighbours
         roots = far.groupBy("x").agg(F.min("y").alias("y"))
         new = cut(hang(far, far).select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).union(roots).distinct())
-        still = new.exceptAll(now).isEmpty() and now.exceptAll(new).isEmpty()
+        still = new.count() == now.count() and new.join(now, ["x", "y"], "left_anti").isEmpty()  # both are distinct
         now = new
         if still:
             break

@@ -5,7 +5,10 @@ Tables are rewritten, not updated in place: each operator gives the new table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby, islice
+from operator import itemgetter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -232,7 +235,7 @@ def upsert_batch(table: DataFrame, incoming: DataFrame, now: str, order: str = "
     fresh = ~F.coalesce(F.col("_e").startswith("k:") | F.col("_f").startswith("k:"), F.lit(False))
     rows = cut(rows.withColumn("_own", F.coalesce("_e", "_f")).withColumn("_new", fresh))
     ends = F.array(F.col("_f"), F.when(F.col("_new"), key_node(F.col("_key"))), F.col("_own"))
-    parts = components(rows.select("_own", F.explode(ends).alias("_end")), "_own", "_end")
+    parts = cut(components(rows.select("_own", F.explode(ends).alias("_end")), "_own", "_end"))
     rows = rows.join(parts.withColumnRenamed("node", "_own"), "_own")
     known = parts.filter(F.col("node").startswith("k:")).select(F.substr("node", F.lit(3)).alias(KEY), "component")
     touched = table.join(known, KEY)
@@ -247,12 +250,23 @@ def upsert_batch(table: DataFrame, incoming: DataFrame, now: str, order: str = "
     tangled = touched.withColumns({"_ord": F.lit(None).cast(rows.schema["_ord"].dataType), "_key": F.lit(None).cast("string")}).unionByName(rows.select(*touched.columns, "_ord", "_key"))
     tangled = tangled.join(kinds.filter("not _plain"), "component").withColumn("_now", F.lit(now))
 
-    def work(group):  # an Arrow table
+    def work(batches: Iterator) -> Iterator:  # Arrow batches, in the order of the component
         import pyarrow as pa
 
-        return pa.Table.from_pylist(_replay(group.to_pylist(), columns), schema=pa.schema([group.schema.field(c) for c in columns]))
+        fields: list = []
 
-    replayed = tangled.select("component", *columns, "_ord", "_key", "_now").groupBy("component").applyInArrow(work, table.schema)
+        def each() -> Iterator[dict]:
+            for batch in batches:
+                fields[:] = [batch.schema.field(c) for c in columns]
+                yield from batch.to_pylist()
+
+        out = (r for _, group in groupby(each(), itemgetter("component")) for r in _replay(list(group), columns))
+        while some := list(islice(out, 5000)):
+            yield pa.RecordBatch.from_pylist(some, schema=pa.schema(fields))
+
+    # many components a task, one of them at a time
+    dealt = tangled.select("component", *columns, "_ord", "_key", "_now").repartition("component").sortWithinPartitions("component")
+    replayed = dealt.mapInArrow(work, table.schema)
     rest = table.join(known.join(kinds, "component").select(KEY), KEY, "left_anti")
     return rest.select(*columns).unionByName(plain).unionByName(replayed)
 

@@ -93,6 +93,24 @@ def test_batch_upsert_of_one_hot_event_and_of_nothing(spark):
         registry.upsert_batch(frame, taken, NOW).collect()
 
 
+def test_batch_upsert_replays_many_components_a_task(spark):
+    n = 200
+    empty = dict.fromkeys(COLUMNS)
+    table = [empty | {"meeting_key": f"e{i}", "legistar_event_id": i} for i in range(n)] + [empty | {"meeting_key": f"f{i}", "viebit_filename": f"f{i}.mp4"} for i in range(n)]
+    feed = [{"legistar_event_id": i % n, "viebit_filename": f"f{i % n}.mp4" if i < n else None, "body_name": f"b{i}", "ord": i} for i in range(3 * n)]
+    frame = spark.createDataFrame(table, SCHEMA)
+    batch = spark.createDataFrame(feed, "legistar_event_id long, viebit_filename string, body_name string, ord int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # components go over the borders of batches
+    try:
+        out = registry.upsert_batch(frame, batch, NOW)
+        got = [r.asDict() for r in out.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    key = lambda r: r["meeting_key"]
+    assert sorted(got, key=key) == sorted(replay(table, feed), key=key) and len(got) == n
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()  # a batch for each component
+
+
 def test_components_against_a_search(spark):
     rng = random.Random(1)
     edges = [(f"n{rng.randrange(150)}", f"n{rng.randrange(150)}") for _ in range(110)] + [(f"p{i:03}", f"p{i + 1:03}") for i in range(60)] + [("s", "s"), (None, "x")]
