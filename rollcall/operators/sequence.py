@@ -6,9 +6,10 @@ group in Python over that group's rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -255,22 +256,34 @@ def drop_rollup(rows: DataFrame, group: str, look_back: int = 8) -> DataFrame:
     return fold(rows, [group], ["idx"], "idx long, text string", step)
 
 
+#: Characters of texts whose lines a task holds at a time.
+PIECE_CHARS = 1 << 20
+
+
 def rollup_dropped(text: Column, look_back: int = 8) -> Column:
     """The lines of a text as an array, without those that are among the last ``look_back`` lines kept. The
-    lines of a text come in one row, so nothing is shuffled."""
-
-    @F.pandas_udf("array<string>")
-    def keep(texts: pd.Series) -> pd.Series:
-        def lines(text: str | None) -> list[str] | None:
-            if text is None:
-                return None
-            kept: list[str] = []
-            for line in text.split("\n"):
-                if line not in kept[-look_back:]:
-                    kept.append(line)
-            return kept
-
-        return texts.map(lines)
+    lines of a text come in one row, so nothing is shuffled; a task holds the lines of about ``PIECE_CHARS`` at a time."""
+
+    def lines(text: str) -> list[str]:
+        kept: list[str] = []
+        for line in text.split("\n"):
+            if line not in kept[-look_back:]:
+                kept.append(line)
+        return kept
+
+    @F.arrow_udf("array<string>")
+    def keep(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            done: list[list[str] | None] = []
+            held = 0
+            for item in texts:
+                text = item.as_py()
+                done.append(None if text is None else lines(text))
+                held += 64 + len(text or "")
+                if held >= PIECE_CHARS:
+                    yield pa.array(done, pa.list_(pa.string()))
+                    done, held = [], 0
+            yield pa.array(done, pa.list_(pa.string()))
 
     return keep(text)
 

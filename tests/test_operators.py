@@ -187,6 +187,13 @@ def test_rollup_in_place(spark):
     assert got == [None, [""], ["a", "b"], list("abcdefghia")]
 
 
+def test_rollup_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(sequence, "PIECE_CHARS", 500)  # pieces end within a batch
+    df = spark.range(300).select("id", F.when(F.col("id") % 11 > 0, F.concat_ws("\n", F.lit("x"), F.col("id").cast("string"), F.lit("x"))).alias("text"))
+    got = {r.id: r.kept for r in df.coalesce(1).select("id", sequence.rollup_dropped(F.col("text")).alias("kept")).collect()}
+    assert got == {i: ["x", str(i)] if i % 11 else None for i in range(300)}
+
+
 def test_matrix_refuses_more_than_its_limit(spark):
     import pytest
 
