@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.scalar import round_seconds
@@ -77,12 +77,19 @@ def segments(responses: DataFrame, unit: float = 1.0) -> DataFrame:
     return _shifted(flat.select("meeting_key", "part", "offset", "suffix", (F.col("s.start") * unit).alias("t0"), (F.col("s.end") * unit).alias("t1"), F.col("s.text").alias("text"), F.col("s.speaker_id").alias("speaker")))
 
 
+def _once(rows: DataFrame, kept: list[str], *columns: Column) -> DataFrame:
+    """``kept`` and further columns, which a generator works out once a row: as plain columns they would be written into
+    each later step that names them, and be worked out there again."""
+    return rows.select(*kept, F.inline(F.array(F.struct(*columns))))
+
+
 def _shifted(rows: DataFrame) -> DataFrame:
-    good = rows.filter((clean_text(F.col("text")) != "") & (F.col("t1") > F.col("t0")))
+    key = ["meeting_key", "part", "offset", "suffix"]
+    good = _once(rows.filter(F.col("t1") > F.col("t0")), [*key, "t0", "t1", "speaker"], clean_text(F.col("text")).alias("text")).filter("text <> ''")
     label = F.concat(F.coalesce(source_label(F.col("speaker")), F.lit("UNKNOWN")), F.coalesce("suffix", F.lit("")))
     shift = lambda c: round_seconds(F.col(c) + F.col("offset"))
-    out = good.select("meeting_key", "part", shift("t0").alias("t0"), shift("t1").alias("t1"), clean_text(F.col("text")).alias("text"), label.alias("label"))
-    return out.filter("t1 > t0")
+    out = _once(good, ["meeting_key", "part", "text", "suffix", "speaker"], shift("t0").alias("t0"), shift("t1").alias("t1")).filter("t1 > t0")
+    return out.select("meeting_key", "part", "t0", "t1", "text", label.alias("label"))
 
 
 _TIMES = "text: string, start: string, end: string, start_time: string, end_time: string, speaker_id: string, speaker: string, speaker_label: string"
@@ -100,31 +107,40 @@ def vendor_segments(replies: DataFrame, items: str, unit: float = 1.0, by_words:
     """
     key = ["meeting_key", "part", "offset", "suffix"]
     body = F.from_json("body", f"struct<{items}: array<{_ITEM}>, words: array<{_WORD}>>")
-    read = replies.select(*key, body.alias("b"))
+    same = ["meeting_key", "part"]
     at = lambda x, name: F.coalesce(x[name], x[f"{name}_time"]).try_cast("double") * unit
     who = lambda x: F.coalesce(source_label(x["speaker_id"], x["speaker"], x["speaker_label"]), F.lit("UNKNOWN"))
     said = lambda w: clean_text(F.coalesce(blank_to_null(w["text"]), w["word"]))
     sound = lambda w: (said(w) != "") & ~F.lower(F.coalesce(w["type"], F.lit("word"))).eqNullSafe("spacing") & (at(w, "end") > at(w, "start"))
 
-    item = F.col("i")
-    rows = read.select(*key, F.posexplode(f"b.{items}").alias("item", "i")).filter("i is not null")
-    rows = rows.withColumn("_w", F.filter(F.coalesce(item["words"], F.array().cast(f"array<{_WORD}>")), sound)).withColumn("_n", F.size("_w"))
-    first, last = F.get("_w", F.lit(0)), F.get("_w", F.col("_n") - 1)
-    text = F.coalesce(blank_to_null(clean_text(F.coalesce(blank_to_null(item["text"]), item["transcript"]))), join_tokens(F.transform("_w", said)))
-    whole = rows.select(*key, F.coalesce(at(item, "start"), at(first, "start")).alias("t0"), F.coalesce(at(item, "end"), at(last, "end")).alias("t1"), text.alias("text"), who(item).alias("speaker"))
-    whole = whole.filter((F.col("text") != "") & (F.col("t1") > F.col("t0")))
+    timed = lambda w: (at(w, "start").alias("t0"), at(w, "end").alias("t1"), said(w).alias("word"))
 
     def cut(words: DataFrame) -> DataFrame:
         made = fold_words(words, [*key, "item"])
         return made.select(*key, "t0", "t1", join_tokens(F.split("text", " ")).alias("text"), "speaker")
 
-    timed = lambda w: (at(w, "start").alias("t0"), at(w, "end").alias("t1"), said(w).alias("word"))
-    if by_words:
-        own = rows.select(*key, "item", who(item).alias("speaker"), F.posexplode("_w").alias("idx", "w"))
-        parted = cut(own.select(*key, "item", "idx", "speaker", *timed(F.col("w"))))
-        whole = parted.unionByName(whole.join(parted.select("meeting_key", "part").distinct(), ["meeting_key", "part"], "left_anti"))
-    loose = read.join(whole.select("meeting_key", "part").distinct(), ["meeting_key", "part"], "left_anti").select(*key, F.posexplode("b.words").alias("idx", "w")).filter(sound(F.col("w")))
-    return _shifted(whole.unionByName(cut(loose.select(*key, F.lit(0).alias("item"), "idx", who(F.col("w")).alias("speaker"), *timed(F.col("w"))))))
+    def itemised(replies: DataFrame) -> DataFrame:
+        item = F.col("i")
+        rows = replies.select(*key, body.alias("b")).select(*key, F.posexplode(f"b.{items}").alias("item", "i")).filter("i is not null")
+        own = F.filter(F.coalesce(item["words"], F.array().cast(f"array<{_WORD}>")), sound)
+        rows = _once(rows, [*key, "item", "i"], own.alias("_w"), clean_text(F.coalesce(blank_to_null(item["text"]), item["transcript"])).alias("_said"))
+        first, last = F.get("_w", F.lit(0)), F.get("_w", F.size("_w") - 1)
+        text = F.when(F.col("_said") != "", F.col("_said")).when(F.size("_w") > 0, join_tokens(F.transform("_w", said))).otherwise("")
+        whole = _once(rows, key, F.coalesce(at(item, "start"), at(first, "start")).alias("t0"), F.coalesce(at(item, "end"), at(last, "end")).alias("t1"), text.alias("text"), who(item).alias("speaker"))
+        whole = whole.filter((F.col("text") != "") & (F.col("t1") > F.col("t0")))
+        if by_words:
+            each = rows.select(*key, "item", who(item).alias("speaker"), F.posexplode("_w").alias("idx", "w"))
+            parted = cut(each.select(*key, "item", "idx", "speaker", *timed(F.col("w"))))
+            whole = parted.unionByName(whole.join(parted.select(*same).distinct(), same, "left_anti"))
+        return whole
+
+    # a reply has words of its own only where its text has that name, or signs by number; others are not read for it,
+    # and which of them have usable items is asked of no other replies
+    wordy = replies.filter(F.contains("body", F.lit("words")) | F.contains("body", F.lit("\\u")))
+    usable = itemised(replies.join(wordy.select(*same).distinct(), same, "left_semi")).select(*same).distinct()
+    loose = wordy.select(*key, body.alias("b")).join(usable, same, "left_anti").select(*key, F.posexplode("b.words").alias("idx", "w")).filter(sound(F.col("w")))
+    loose = cut(loose.select(*key, F.lit(0).alias("item"), "idx", who(F.col("w")).alias("speaker"), *timed(F.col("w"))))
+    return _shifted(itemised(replies).unionByName(loose))
 
 
 def echo_backend(frame: pd.DataFrame) -> list[dict]:

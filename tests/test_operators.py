@@ -290,6 +290,16 @@ def test_vendor_replies_without_items_are_made_of_words(spark):
     assert vendor(spark, "utterances", "not json", unit=0.001) == []
 
 
+def test_vendor_replies_are_read_once_unless_they_name_words(spark):
+    word = '[{"text":"a","start":0,"end":1}]'
+    bodies = {"name by number": '{"\\u0077ords":' + word + "}", "in an item": '{"segments":[{"words":' + word + '}],"words":[]}', "plain": '{"segments":[{"text":"b  c","start":0,"end":2}]}', "neither": '{"segments":[{"text":"words","start":2,"end":1}]}'}
+    rows = [(k, 1, 0.0, "", v) for k, v in bodies.items()] + [("two", 1, 0.0, "", bodies["plain"]), ("two", 1, 0.0, "", '{"words":' + word + "}"), ("two", 2, 0.0, "", '{"words":' + word + "}")]
+    out = model_io.vendor_segments(spark.createDataFrame(rows, REPLY), "segments")
+    assert sorted((r.meeting_key, r.part, r.text) for r in out.collect()) == [("in an item", 1, "a"), ("name by number", 1, "a"), ("plain", 1, "b c"), ("two", 1, "b c"), ("two", 2, "a")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") < 60  # patterns are not written into each step that names their result
+
+
 def test_vendor_utterances_cut_at_the_pauses_of_their_words(spark):
     body = '{"utterances":[{"text":"a b","start":0,"end":5000,"speaker":"A","words":[{"text":"a","start":0,"end":400,"speaker":"Z"},{"text":"b","start":4000,"end":5000}]}]}'
     assert vendor(spark, "utterances", body, unit=0.001, by_words=True) == [(10.0, 10.4, "a", "A_part2"), (14.0, 15.0, "b", "A_part2")]
