@@ -8,6 +8,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,14 +46,15 @@ class ByteBpe:
         self.added = added or {}
         codec = tiktoken.Encoding("byte-bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
         self.encode = partial(codec.encode, allowed_special="all") if self.added else codec.encode_ordinary
-        self.known: dict[str, np.ndarray] = {}
+        self.plain = codec.encode_ordinary  # of texts without added tokens
+        self.known: dict[str, list[int]] = {}
 
-    def chunk(self, text: str) -> np.ndarray:
+    def chunk(self, text: str) -> list[int]:
         ids = self.known.get(text)
         if ids is None:
             if len(self.known) >= CACHE:
                 self.known.clear()
-            ids = self.known[text] = np.array(self.encode(" " + text), np.uint32)
+            ids = self.known[text] = self.plain(" " + text)
         return ids
 
     def batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
@@ -69,9 +71,9 @@ class ByteBpe:
         heads = flat.filter(pa.array(first)).to_pylist()
         rest = flat.filter(pa.array(~first)).dictionary_encode()
         each = [self.chunk(x) for x in rest.dictionary.to_pylist()]
-        size = np.array([len(x) for x in each], np.int64)
+        size = np.fromiter(map(len, each), np.int64, len(each))
         at = np.cumsum(size) - size
-        pool = np.concatenate(each) if each else np.zeros(0, np.uint32)
+        pool = np.fromiter(chain.from_iterable(each), np.uint32, int(size.sum()))
         index = rest.indices.to_numpy().astype(np.int64)
         lens = size[index] if len(index) else np.zeros(0, np.int64)
         ends = np.cumsum(lens)
@@ -81,7 +83,7 @@ class ByteBpe:
             if odd[k]:
                 yield np.array(self.encode(texts[k].as_py()), np.uint32)
             else:
-                yield np.concatenate([np.array(self.encode(head), np.uint32), ids[bounds[k] : bounds[k + 1]]])
+                yield np.concatenate([np.array(self.plain(head), np.uint32), ids[bounds[k] : bounds[k + 1]]])
 
 
 def added_tokens(path: str) -> dict[str, int]:
