@@ -76,13 +76,15 @@ class Domains:
 
 
 def learn_domains(docs: DataFrame, labelled: DataFrame, max_rows: int = 4000, max_bytes: int = 100_000, cues: int = 300) -> Domains | None:
-    """Learns from at most ``max_rows`` rows of ``labelled`` (doc_id, domain; the first by a hash of
-    doc_id, and of several for a document the smallest domain) with texts of at most ``max_bytes``.
+    """Learns from at most ``max_rows`` rows of ``labelled`` (doc_id, domain; of those with a row in ``docs`` the first
+    by a hash of doc_id, and of several for a document the smallest domain) with texts of at most ``max_bytes``.
+    Rows of ``labelled`` whose document is gone, as a copy of another, take no place in the sample.
 
     Cues are the words whose presence tells most about the domain (mutual information). None if
     nothing is labelled.
     """
-    chosen = labelled.filter("doc_id is not null and domain is not null").groupBy("doc_id").agg(F.min("domain").alias("_domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    there = labelled.filter("doc_id is not null and domain is not null").join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = there.groupBy("doc_id").agg(F.min("domain").alias("_domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     sample = docs.select("doc_id", "text").filter(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), "doc_id")
     seen = cut(sample.select(F.col("_domain").cast("string").alias("d"), F.array_remove(F.array_distinct(words(F.col("text"))), "").alias("words")))
     count = {r["d"]: r["n"] for r in seen.groupBy("d").agg(F.count("*").alias("n")).collect()}
@@ -105,10 +107,18 @@ def _bounded(rate: Column, low: float, high: float) -> Column:
 
 
 def _rate(df: DataFrame, p: str, out: str, steps: list[list[float]], low: float, high: float) -> DataFrame:
-    """``df`` with ``out``: a document's rate after these gradient steps, projected after each."""
+    """``df`` with ``out``: a document's rate after these gradient steps, projected after each.
+
+    The steps lie in one array that is gone through: an expression for each would lie within the next, and some
+    hundred of them are too deep for the driver's stack.
+    """
     rate = F.lit(min(max(1.0, low), high))
-    for g in steps:
-        rate = _bounded(rate - sum((F.col(p)[i] * x for i, x in enumerate(g)), F.lit(0.0)), low, high)
+    if steps:
+        d = len(steps[0])
+        flat = F.split(F.lit(" ".join(repr(float(x)) for g in steps for x in g)), " ").cast("array<double>")
+        move = lambda at: sum((F.col(p)[i] * F.element_at(flat, at + (i + 1)) for i in range(d)), F.lit(0.0))
+        starts = F.sequence(F.lit(0), F.lit(d * (len(steps) - 1)), F.lit(d))
+        rate = F.aggregate(starts, rate, lambda r, at: _bounded(r - move(at), low, high))
     return df.withColumn(out, rate)
 
 

@@ -520,6 +520,34 @@ def test_mixing_stops_where_targets_cannot_be_reached(spark):
     assert 1 <= rate < 2 and len(steps) < 50
 
 
+def test_mixing_goes_through_many_steps(spark):
+    """As many steps as a fit may take are no deep expression, and give the rate of the steps taken one by one."""
+    rng = np.random.default_rng(4)
+    steps, points = rng.normal(0, 0.3, (1000, 4)), rng.dirichlet([1] * 4, 20)
+    df = spark.createDataFrame([(p.tolist(),) for p in points], "p array<double>")
+    for low, high in ((1.0, float("inf")), (0.0, 1.5)):
+        got = mixing._rate(df, "p", "rate", steps.tolist(), low, high).toPandas()
+        for p, rate in zip(got.p, got.rate, strict=True):
+            want = min(max(1.0, low), high)
+            for g in steps:
+                want = max(min(want - sum(a * b for a, b in zip(p, g, strict=True)), high), low)
+            assert rate == pytest.approx(want, abs=1e-9)
+    assert mixing._rate(df, "p", "rate", [], 1.0, 2.0).agg(F.max("rate")).first()[0] == 1
+
+
+def test_domains_are_learnt_from_documents_that_are_left(spark):
+    """Labels of copies that are gone take no place in the sample, however many they are."""
+    said = {"en": "the and of", "fr": "le et des", "de": "der und von", "es": "el y los"}
+    langs = list(said) * 25
+    docs = spark.createDataFrame([(i, f"{said[x]} x{i}", x) for i, x in enumerate(langs)], "doc_id long, text string, lang string")
+    gone = spark.range(100, 40_100).select(F.col("id").alias("doc_id"), F.lit("en").alias("domain"))
+    labelled = docs.select("doc_id", F.col("lang").alias("domain")).unionByName(gone)
+    model = mixing.learn_domains(docs, labelled, max_rows=40)
+    assert model.names == ("de", "en", "es", "fr") and sum(round(p * 40) for p in model.priors) == 40
+    told = model.posteriors(docs, "text", "p").select("lang", F.array_position("p", F.array_max("p")).alias("k")).collect()
+    assert all(model.names[r.k - 1] == r.lang for r in told)
+
+
 def test_mixing_odd_rows(spark, odd):
     labelled = spark.createDataFrame([(5, "a"), (8, "b"), (9, None), (None, "b")], "doc_id long, domain string")
     out = mixing.plan_mix(odd, labelled, {"a": 0.5, "b": 0.5})
