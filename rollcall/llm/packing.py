@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -24,6 +25,9 @@ from rollcall.llm.words import slices
 PIECE = "doc_id {}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Encoded chunks that a worker remembers.
 CACHE = 200_000
+#: White space so long is cut out of a text before the encoder's own search, whose stack a million of it overflows.
+LONG = 100_000
+BLANK = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG)
 
 
 class ByteBpe:
@@ -45,10 +49,25 @@ class ByteBpe:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.added = added or {}
         codec = tiktoken.Encoding("byte-bpe", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
-        self.encode = partial(codec.encode, allowed_special="all") if self.added else codec.encode_ordinary
-        self.plain = codec.encode_ordinary  # of texts without added tokens
+        self.encode = partial(self._cut, partial(codec.encode, allowed_special="all") if self.added else codec.encode_ordinary)
+        self.plain = partial(self._cut, codec.encode_ordinary)  # of texts without added tokens
+        self.piece = codec._encode_single_piece
         self.known: dict[str, list[int]] = {}
 
+    def _cut(self, encode: Callable[[str], list[int]], text: str) -> list[int]:
+        """The ids of a text. The pattern makes one piece of white space but for its last character where a word
+        follows, and of all of it before an added token or the end; so long runs are encoded as such pieces."""
+        if len(text) < LONG:
+            return encode(text)
+        out, at = [], 0
+        for run in BLANK.finditer(text):
+            whole = run.end() == len(text) or text.startswith(tuple(self.added), run.end())
+            end = run.end() - (not whole)
+            out += encode(text[at : run.start()])
+            out += self.piece(text[run.start() : end])
+            at = end
+        return out + encode(text[at:])
+
     def chunk(self, text: str) -> list[int]:
         ids = self.known.get(text)
         if ids is None:

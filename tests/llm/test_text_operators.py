@@ -561,6 +561,24 @@ def test_mixing_odd_rows(spark, odd):
 # packing
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\t ", " \u3000"])
+def test_ids_of_long_white_space(monkeypatch, blank):
+    """A million characters of white space do not stop the encoder; shorter runs, cut out alike, keep their ids."""
+    from rollcall.llm.queries import byte_bpe
+
+    encoder = byte_bpe(added=True)()
+    ends = ["x", "", "<|endoftext|>y", "=1", "'s"]
+    texts = [f"a b{blank * 40}{e}{blank * 7}c d{e}" for e in ends] + [f"{blank * 40}{e}" for e in ends]
+    want = [list(encoder.encode(x)) for x in texts]
+    monkeypatch.setattr(packing, "LONG", 5)
+    monkeypatch.setattr(packing, "BLANK", packing.re.compile(packing.BLANK.pattern.replace("100000", "5")))
+    assert [list(encoder.encode(x)) for x in texts] == want
+    monkeypatch.undo()
+    long = f"a b{blank * (1_200_000 // len(blank))}x"
+    (ids,) = encoder.batch(pa.array([long]))
+    assert ids.tolist()[:2] == want[0][:2] and len(ids) > 100
+
+
 def test_encoder_equals_tokenizers():
     import public_tokenizers
     from tokenizers import Tokenizer
